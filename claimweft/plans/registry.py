@@ -1,0 +1,13 @@
+"""All queries of the evidence operators."""
+
+
+def flagship(spark, sf_dir):
+    raise NotImplementedError
+
+
+def queries():
+    return {}
+
+
+def oracle_sql():
+    return {}
