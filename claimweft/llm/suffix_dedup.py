@@ -10,8 +10,8 @@ elsewhere too. The steps:
 3. runs are merged with a loser tree in which every entry knows its common prefix with the last output, so known
    prefixes are never compared again; common prefixes of neighbours come out of the merge;
 4. entries with the same first K bytes are neighbours then: each finds how far left and right it agrees with another
-   by a whole window. Where so many different ones have the same K bytes that comparing them in one task won't do,
-   each gives its windows' hashes (bounded by its neighbours' common prefixes) to a grouped count instead;
+   by a whole window, by comparison or, among many, by counting equal windows. Where even that is too much for one
+   task, each gives its windows' hashes (bounded by its neighbours' common prefixes) to a grouped count over all tasks;
 5. texts get their intervals and lose those bytes.
 
 Equal texts are one text with a count on the way, so groups of copies send their text once a slice.
@@ -34,8 +34,10 @@ WINDOW = 200
 K = 100
 BEFORE = WINDOW - K
 ENTRY = WINDOW + BEFORE
-#: Different suffixes with the same first K bytes that are compared in one task; with more, windows are counted.
-TOGETHER = 2048
+#: Different suffixes with the same first K bytes that are compared one with all; with more, a task counts their windows.
+TOGETHER = 256
+#: With still more, the windows are counted by a grouped aggregation over all tasks.
+IN_TASK = 100_000
 #: Bytes of text for a bucket of anchors, a group of texts, and a part of the merge.
 BUCKET_BYTES, GROUP_BYTES, PART_BYTES = 32 << 20, 12 << 20, 24 << 20
 SLICE = 3 << 20
@@ -374,10 +376,30 @@ def reaches(m: np.ndarray, right: np.ndarray, left: np.ndarray, asks: np.ndarray
     return best_l, best_r
 
 
+def window_reaches(m: np.ndarray, right: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``reaches``, for all rows, by counting equal windows at each distance of the anchor from the window's start."""
+    lo, hi = np.full(len(m), WINDOW), np.full(len(m), -1)
+    distance = np.arange(BEFORE + 1)
+    hashes = np.empty((len(m), BEFORE + 1), np.uint64)
+    up, down = _powers("up", BASE, ENTRY), _powers("down", BASE_INVERSE, ENTRY + 1)
+    with np.errstate(over="ignore"):
+        for a in range(0, len(m), 5000):
+            line = np.concatenate([m[a : a + 5000, WINDOW:][:, ::-1], m[a : a + 5000, :WINDOW]], axis=1)
+            run = np.zeros((len(line), ENTRY + 1), np.uint64)
+            np.cumsum(_byte_table()[line] * up, axis=1, out=run[:, 1:])
+            hashes[a : a + 5000] = mix((run[:, ENTRY - distance] - run[:, BEFORE - distance]) * down[BEFORE - distance])
+    for d in range(BEFORE + 1):
+        own = np.flatnonzero((left >= d) & (right >= WINDOW - d))
+        _, number, count = np.unique(hashes[own, d], return_inverse=True, return_counts=True)
+        own = own[count[number] > 1]
+        lo[own], hi[own] = np.minimum(lo[own], d), d
+    return np.where(hi >= 0, hi, 0), np.where(hi >= 0, WINDOW - lo, 0)
+
+
 _MERGED = "part int, kind int, blob binary, w1 long, w2 long, key binary, place long, d int, several boolean"
 
 
-def _merge(n_groups: int, together: int):
+def _merge(n_groups: int, together: int, in_task: int):
     def widen(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.num_rows
         return pa.RecordBatch.from_arrays([*batch.columns, *(pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()))], ["part", "kind", "blob", "w1", "w2", "key", "place", "d", "several"])
@@ -433,6 +455,10 @@ def _merge(n_groups: int, together: int):
                     asks = np.flatnonzero(~full[a:b])
                     x, y = reaches(m, r, l, asks)
                     found_l[a + asks], found_r[a + asks] = x, y
+                elif b - a <= in_task:
+                    x, y = window_reaches(m, r, l)
+                    asks = ~full[a:b]
+                    found_l[a:b][asks], found_r[a:b][asks] = x[asks], y[asks]
                 else:
                     near = np.maximum(bound[a:b], np.append(bound[a + 1 : b], 0))
                     near[0] = bound[a + 1]
@@ -496,7 +522,7 @@ def _cut(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False, together: int = TOGETHER) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = False, together: int = TOGETHER, in_task: int = IN_TASK) -> DataFrame:
     """One row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (binary).
 
     Texts are UTF-8 bytes, null is empty; texts below WINDOW bytes lose nothing; a text of WINDOW bytes or more that
@@ -514,12 +540,12 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, together: int = TOG
     places = _dealt(offers, parts, "bucket").mapInArrow(_answer(n_groups), row)
     texts = plain.mapInArrow(_texts(n_groups), row)
     runs = _dealt(texts.union(places), parts, "part", "kind").mapInArrow(_runs(n_parts, n_groups), row)
-    merged = written(_dealt(runs, parts, "part", "kind").mapInArrow(_merge(n_groups, together), _MERGED), "merged")
+    merged = written(_dealt(runs, parts, "part", "kind").mapInArrow(_merge(n_groups, together, in_task), _MERGED), "merged")
     intervals = merged.where("kind = 1").select("part", "kind", "blob")
     asked = merged.where("kind = 3")
-    if not asked.isEmpty():
-        met = asked.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.max("several").alias("s")).where("n > 1 or s").select(F.col("w1").alias("x"), F.col("w2").alias("y"))
-        ranges = asked.join(met, (F.col("w1") == F.col("x")) & (F.col("w2") == F.col("y"))).where(~F.col("several")).groupBy("key", "place").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+    if not asked.isEmpty():  # d is part of the key: two anchors in one window would count its one place twice
+        met = asked.groupBy("w1", "w2", "d").agg(F.count(F.lit(1)).alias("n"), F.max("several").alias("s")).where("n > 1 or s").select(F.col("w1").alias("x"), F.col("w2").alias("y"), F.col("d").alias("z"))
+        ranges = asked.join(met, (F.col("w1") == F.col("x")) & (F.col("w2") == F.col("y")) & (F.col("d") == F.col("z"))).where(~F.col("several")).groupBy("key", "place").agg(F.min("d").alias("low"), F.max("d").alias("high"))
         intervals = intervals.union(ranges.mapInArrow(_window_intervals(n_groups), row))
     result = _dealt(plain.mapInArrow(_texts(n_groups), row).union(intervals), parts, "part", "kind").mapInArrow(_cut(with_text), "key string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("of"))
