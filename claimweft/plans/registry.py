@@ -1,13 +1,294 @@
-"""All queries of the evidence operators."""
+"""Queries of the evidence operators over the generated tables, and their SQL."""
 
+from __future__ import annotations
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+import tempfile
+
+from pyspark.sql import functions as F
+
+from claimweft.functions import text as T
+from claimweft.operators import chat, clusters, records, validate
+from claimweft.sources import jsonl, views
+
+
+def _messages(s, d):
+    return chat.messages(views.chat_export(s, d))
+
+
+def _evidence(s, d):
+    return chat.evidence(_messages(s, d))
+
+
+def _chunks(s, d):
+    return chat.context_windows(_evidence(s, d))
+
+
+def _spans(s, d):
+    return chat.spans(_chunks(s, d))
+
+
+def _claims(s, d):
+    return chat.with_faults(chat.claims(_spans(s, d)))
+
+
+def _validated(s, d):
+    return validate.validate(_claims(s, d))
+
+
+def _normalized(s, d):
+    return validate.normalize(_validated(s, d))
+
+
+def flagship(s, d):
+    v = _validated(s, d)
+    return v.groupBy("modality", "status").agg(F.count(F.lit(1)).alias("claims"), F.round(F.avg("confidence"), 6).alias("mean_confidence"))
+
+
+def _shared(s):
+    where = s.sparkContext.getConf().get("spark.checkpoint.dir")
+    return where or "file://" + tempfile.mkdtemp(prefix="claimweft-")
+
+
+NEAR = 1.12
+NOW = "2026-01-01 00:00:00"
+
+
+def _clusters(s, d):
+    v = views.load(s, d, "embeddings")
+    return clusters.components(v, clusters.close_pairs(v, NEAR), _shared(s))
+
+
+def _pii_rows(s, d):
+    docs = views.load(s, d, "documents").select(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("record_id"), "text")
+    return docs.union(_messages(s, d).select("message_id", "text"))
+
+
+def _acceptance(s, d):
+    ev, sp, v, n = _evidence(s, d), _spans(s, d), _validated(s, d), _normalized(s, d)
+    def check(name, rows, bad):
+        return rows.agg(F.count(F.lit(1)).alias("total")).crossJoin(bad.agg(F.count(F.lit(1)).alias("failed"))).select(F.lit(name).alias("name"), "total", "failed")
+    out = check("evidence_ids_unique", ev, ev.groupBy("evidence_id").count().where("count > 1"))
+    out = out.union(check("spans_link_evidence", sp, sp.join(ev, "evidence_id", "left_anti")))
+    out = out.union(check("normalized_from_accepted", n, n.join(v.where("status = 'accepted_extracted'"), "claim_id", "left_anti")))
+    out = out.union(check("quarantined_have_reasons", v.where("status = 'quarantined'"), v.where("status = 'quarantined' and errors = ''")))
+    return out.withColumn("status", F.when(F.col("failed") == 0, "pass").otherwise("fail"))
+
+
+def _gold(s, d):
+    labels = views.load(s, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "accepted").otherwise("quarantined").alias("expected"))
+    got = views.load(s, d, "documents").select("doc_id", F.when(T.span_score(F.substring("text", 1, 2_000_000_000)) >= 0.6, "accepted").otherwise("quarantined").alias("status"))
+    j = labels.join(got, "doc_id")
+    both = F.count_if((F.col("expected") == "accepted") & (F.col("status") == "accepted"))
+    return j.agg(F.count(F.lit(1)).alias("gold"), both.alias("both"), (both / F.count_if(F.col("status") == "accepted")).alias("precision"), (both / F.count_if(F.col("expected") == "accepted")).alias("recall"))
+
+
+def _jobs(s, d):
+    l = views.load(s, d, "lineitem")
+    return l.groupBy(F.col("l_returnflag").alias("stage")).agg(F.count(F.lit(1)).alias("jobs"), F.count_distinct("l_suppkey").alias("sources"), F.round(F.sum("l_quantity"), 2).alias("latency"))
+
+
+def _privacy(s, d):
+    src = views.sources(s, d)
+    c = views.load(s, d, "lineitem").select(F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("claim_id"), F.concat(F.lit("src_"), F.col("l_orderkey").cast("string")).alias("source_id"), F.when(F.col("l_linenumber") % 2 == 0, "local").otherwise("external").alias("provider"))
+    return validate_privacy(c, src)
+
+
+def validate_privacy(c, src):
+    return records.privacy_violations(c, src)
+
+
+def _incremental(s, d):
+    e = views.load(s, d, "events").select("event_id", "user_id", "event_type")
+    return jsonl.new_rows(e, e.where("event_id % 3 = 0"), "event_id")
+
+
+def _review_queue(s, d):
+    v = views.reviews(s, d)
+    last = records.latest_reviews(v)
+    return last.where(~F.col("decision").isin("accept", "reject")).join(v.groupBy("claim_id").agg(F.count(F.lit(1)).alias("reviews")), "claim_id").select("claim_id", "decision", "reviews")
+
+
+def _images(s, d):
+    p = views.load(s, d, "part")
+    return p.select(F.col("p_partkey").alias("image_id"), (F.col("p_size") * 20 + 30).cast("int").alias("width"), (F.col("p_size") * 11 + 50).cast("int").alias("height"))
+
+
+def _trace(s, d):
+    v, sp, ev = _validated(s, d), _spans(s, d), _evidence(s, d)
+    return v.where("claim_id like 'claim_0%'").select("claim_id", "span_id", "status").join(sp.select("span_id", "chunk_id", "evidence_id"), "span_id").join(ev.select("evidence_id", "message_id", "source_id"), "evidence_id").select("claim_id", "status", "span_id", "chunk_id", "evidence_id", "message_id", "source_id")
 
 
 def queries():
-    return {}
+    sel = lambda f, *c: lambda s, d: f(s, d).select(*c)
+    return {
+        "claim_status_counts": flagship,
+        "chat_messages": sel(_messages, "message_id", "conversation_id", "message_index", "sender_id", "sender_role", "text"),
+        "chat_evidence": sel(_evidence, "evidence_id", "message_id", "source_id", "char_end"),
+        "chat_context_window": sel(_chunks, "chunk_id", "evidence_ids", "overlap", "chunk_text"),
+        "sentence_split": lambda s, d: views.load(s, d, "documents").select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("sentence_no", "sentence")).select("doc_id", "sentence_no", F.length("sentence").alias("n"), F.md5("sentence").alias("digest")),
+        "span_detect": sel(_spans, "span_id", "evidence_id", "sentence", "score", "risk_flags"),
+        "claim_extract": lambda s, d: chat.claims(_spans(s, d)).select("claim_id", "span_id", "claim_text", "modality", "truth_status", "agent", "confidence"),
+        "quantities": lambda s, d: _messages(s, d).select("message_id", F.array_join(T.quantities(F.col("text")), "|").alias("quantities")),
+        "named_entities": lambda s, d: _messages(s, d).select("message_id", F.array_join(T.entities(F.col("text")), "|").alias("entities")),
+        "validate_claims": sel(_validated, "claim_id", "errors", "status"),
+        "quarantine_reasons": lambda s, d: validate.quarantine_reasons(_validated(s, d)),
+        "normalize_claims": sel(_normalized, "normalized_claim_id", "claim_id", "subject", "predicate", "object", "confidence"),
+        "dedupe_groups": lambda s, d: validate.duplicate_groups(_normalized(s, d)),
+        "graph_edges": lambda s, d: validate.edges(_normalized(s, d)).select("edge_id", "subject", "predicate", "object", "modality"),
+        "metta_lines": lambda s, d: validate.metta(_normalized(s, d)),
+        "model_routing": lambda s, d: validate.route(_spans(s, d)),
+        "canonical_entity": lambda s, d: views.load(s, d, "customer").select("c_custkey", T.canonical_id(F.lit("entity"), F.concat_ws(" ", "c_name", "c_mktsegment")).alias("canonical")),
+        "pdf_furniture": lambda s, d: records.furniture(views.pdf_blocks(s, d)),
+        "pdf_char_offsets": lambda s, d: records.char_offsets(views.pdf_blocks(s, d)),
+        "pdf_chunks": lambda s, d: records.block_chunks(views.pdf_blocks(s, d)),
+        "audio_risk": lambda s, d: records.utterance_risk(views.utterances(s, d)),
+        "audio_source_duration": lambda s, d: records.source_durations(views.utterances(s, d)),
+        "latest_review": lambda s, d: records.latest_reviews(views.reviews(s, d)),
+        "review_disagreement": lambda s, d: records.disagreement(views.reviews(s, d)),
+        "review_queue": _review_queue,
+        "pii_findings": lambda s, d: records.pii_findings(_pii_rows(s, d), "record_id"),
+        "pii_redact": lambda s, d: _pii_rows(s, d).select("record_id", F.md5(records.redact(F.col("text"))).alias("digest")),
+        "privacy_violations": _privacy,
+        "retention_plan": lambda s, d: records.retention(views.sources(s, d), NOW),
+        "idempotent_append": _incremental,
+        "gold_eval": _gold,
+        "acceptance_checks": _acceptance,
+        "job_metrics": _jobs,
+        "grid_proposals": lambda s, d: records.grid_boxes(_images(s, d)),
+        "close_pairs": lambda s, d: clusters.close_pairs(views.load(s, d, "embeddings"), NEAR).select("a", "b", F.round("distance", 6).alias("distance")),
+        "image_clusters": _clusters,
+        "dominant_color": lambda s, d: clusters.dominant_color(views.load(s, d, "embeddings")),
+        "record_table": lambda s, d: jsonl.record_table(views.load(s, d, "nation"), "n_nationkey"),
+        "trace_claims": _trace,
+    }
+
+
+# ---- the same in SQL ----------------------------------------------------------------------------------------------
+
+_q = lambda s: "'" + s.replace("'", "''") + "'"
+
+
+def _word(e, words):
+    return f"regexp_matches({e}, {_q(T.bounded(words))})"
+
+
+def _strip(e):
+    return f"regexp_replace({e}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _json(e):
+    return f"'\"' || {e} || '\"'"
+
+
+def _id(prefix, **fields):
+    body = " || ".join((_q(("," if i else "{") + f'"{k}":') + " || " + v) for i, (k, v) in enumerate(sorted(fields.items())))
+    return f"'{prefix}_' || substr(sha256({body} || '}}'), 1, 24)"
+
+
+def _sentences(e):
+    return f"list_filter(list_transform(list_filter(regexp_extract_all(regexp_replace({e}, '\\n$', ''), '[^.!?\\n]+(?:[.!?]+|\\n|$)'), lambda x: NOT suffix(x, chr(10))), lambda x: {_strip('x')}), lambda x: x <> '')"
+
+
+def _score(e):
+    add = lambda c, v: f"CASE WHEN {c} THEN {v}::DOUBLE ELSE 0::DOUBLE END"
+    total = f"(0::DOUBLE + {add(_word(e, T.CLAIM_VERBS), 0.45)} + {add(_word(e, T.NUMBER_OR_DATE), 0.2)} + {add(_word(e, T.NEGATION), 0.15)} + {add(_word(e, T.UNCERTAINTY), 0.15)} + {add(f'suffix({_strip(e)}, chr(63))', 0.4)})"
+    small = ", ".join(map(_q, T.LOW_VALUE))
+    return f"CASE WHEN lower({_strip(e)}) IN ('', {small}) OR {total} <= 0 THEN NULL ELSE least({total}, 0.95::DOUBLE) END"
+
+
+def _modality(e):
+    return f"CASE WHEN suffix({_strip(e)}, '?') THEN 'question_asked' WHEN {_word(e, T.NEGATION)} THEN 'negated' WHEN {_word(e, T.UNCERTAINTY)} THEN 'uncertain_observation' ELSE 'asserted' END"
+
+
+def _entities(e):
+    return f"list_sort(list_filter(list_distinct(regexp_extract_all({e}, {_q(T.ENTITY)}, 1)), lambda x: x NOT IN ({', '.join(map(_q, T.NOT_ENTITIES))})))"
+
+
+def _quantities(e):
+    return f"list_sort(list_distinct(list_transform(regexp_extract_all({e}, {_q(T.QUANTITY)}), lambda x: lower(x))))"
+
+
+def _slug(e):
+    return f"coalesce(nullif(regexp_replace(regexp_replace(lower({_strip(e)}), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'unknown')"
+
+
+_SUFFIXES = "[" + ", ".join(map(_q, views.SUFFIXES)) + "]"
+_FLAGS = f"""concat_ws(',', CASE WHEN sender_role = 'assistant' THEN 'assistant_generated_text' END, CASE WHEN {_word('sentence', T.COREFERENCE)} THEN 'context_dependent_coreference' END, CASE WHEN suffix(sentence, '?') THEN 'question_speech_act' END)"""
+CHAIN = f"""
+WITH export AS (SELECT conv_id, turn, role, text || {_SUFFIXES}[(conv_id * 7 + turn) % {len(views.SUFFIXES)} + 1] AS text FROM conversations),
+messages AS (SELECT 'src_chat' AS source_id, conv_id::VARCHAR AS conversation_id, conv_id || ':' || turn AS message_id, turn AS message_index, role AS sender_id,
+  CASE WHEN lower(role) IN ('user', 'assistant', 'system', 'external') THEN lower(role) WHEN lower(role) IN ('bot', 'ai') THEN 'assistant' ELSE 'external' END AS sender_role, text FROM export WHERE regexp_matches(text, '\\S')),
+evidence AS (SELECT *, {_id('ev_msg', source_id=_json('source_id'), message_id=_json('message_id'))} AS evidence_id, length(text)::INT AS char_end FROM messages),
+chunks AS (SELECT *, string_agg(sender_id || ': ' || text, chr(10)) OVER w AS chunk_text, string_agg(evidence_id, ',') OVER w AS evidence_ids, (count(*) OVER w - 1)::INT AS overlap,
+  {_id('chunk_chat', evidence_id=_json('evidence_id'), previous="'2'")} AS chunk_id FROM evidence WINDOW w AS (PARTITION BY source_id, conversation_id ORDER BY message_index, message_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+cut AS (SELECT *, unnest({_sentences('text')}) AS sentence, generate_subscripts({_sentences('text')}, 1) - 1 AS sentence_no FROM chunks),
+spans AS (SELECT *, {_id('span_chat', chunk_id=_json('chunk_id'), sentence='sentence_no')} AS span_id, {_FLAGS} AS risk_flags FROM (SELECT *, {_score('sentence')} AS score FROM cut) WHERE score IS NOT NULL),
+plain AS (SELECT {_id('claim', span_id=_json('span_id'), extractor=_q('"deterministic"'))} AS claim_id, span_id, evidence_id, source_id, text AS evidence, sentence AS evidence_text, {_modality('sentence')} AS modality,
+  sender_id AS agent, sender_id, score AS confidence, CASE WHEN contains(risk_flags, 'coreference') AND overlap > 0 THEN chunk_text END AS context_used, length(text) + message_index AS n FROM spans),
+claims AS (SELECT *, CASE WHEN modality = 'question_asked' THEN 'The speaker asked: ' ELSE 'The speaker asserted: ' END || evidence_text AS claim_text,
+  CASE WHEN modality = 'question_asked' THEN 'not_applicable' WHEN modality = 'uncertain_observation' THEN 'uncertain' ELSE 'unverified' END AS truth_status FROM plain),
+faulty AS (SELECT * REPLACE (CASE WHEN n % 5 = 0 THEN upper(evidence_text) ELSE evidence_text END AS evidence_text, CASE WHEN n % 13 = 0 THEN 'someone' ELSE agent END AS agent,
+  CASE WHEN n % 7 = 0 THEN replace(replace(claim_text, 'three', 'four'), ' not ', ' ') WHEN n % 11 = 0 THEN replace(claim_text || ' Captain Nemo agreed.', ' may ', ' will ') ELSE claim_text END AS claim_text) FROM claims),
+measured AS (SELECT *, {_quantities('claim_text')} AS cq, {_quantities('evidence_text')} AS eq,
+  list_filter({_entities("regexp_replace(claim_text, '^The speaker (asked|asserted): ', '')")}, lambda e: NOT list_contains(list_concat({_entities('evidence')}, {_entities('evidence_text')}, {_entities("coalesce(context_used, '')")}, [agent]), e)) AS new FROM faulty),
+judged AS (SELECT *, concat_ws(',', CASE WHEN evidence_text = '' THEN 'missing_evidence_text' END, CASE WHEN NOT (contains(evidence, evidence_text) OR contains(coalesce(context_used, ''), evidence_text)) THEN 'evidence_not_exact_substring' END,
+  CASE WHEN agent <> sender_id THEN 'attribution_agent_mismatch' END, CASE WHEN {_word('evidence_text', T.NEGATION)} AND NOT {_word('claim_text', T.NEGATION)} THEN 'negation_dropped' END,
+  CASE WHEN {_word('evidence_text', T.UNCERTAINTY)} AND NOT {_word('claim_text', T.UNCERTAINTY)} THEN 'uncertainty_dropped' END,
+  CASE WHEN len(eq) > 0 AND (len(cq) = 0 OR NOT list_has_all(eq, cq)) THEN 'quantity_mismatch' END, CASE WHEN len(new) > 0 THEN 'unsupported_entities_introduced' END) AS errors FROM measured),
+validated AS (SELECT *, CASE WHEN errors = '' THEN 'accepted_extracted' ELSE 'quarantined' END AS status FROM judged),
+normalized AS (SELECT {_id('nclaim', claim_id=_json('claim_id'), normalizer=_q('"v1"'))} AS normalized_claim_id, claim_id, source_id, evidence_id, 'speaker:' || {_slug('agent')} AS subject,
+  CASE modality WHEN 'asserted' THEN 'asserts' WHEN 'uncertain_observation' THEN 'asserts_uncertain' WHEN 'negated' THEN 'negates' WHEN 'question_asked' THEN 'asks_whether' ELSE 'asserts' END AS predicate, evidence_text AS object, modality, truth_status, confidence FROM validated WHERE status = 'accepted_extracted')
+"""
+_BLOCKS = "blocks AS (SELECT doc_id AS source_id, ((pos - 1) // 5 + 1)::INT AS page, ((pos - 1) % 5)::INT AS block_no, text FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents) WHERE regexp_matches(text, '\\S'))"
+_UTTERANCES = "utterances AS (SELECT 'src_' || (user_id % 100) AS source_id, 'utt_' || event_id AS utterance_id, epoch_us(ts) / 1e6 AS start, epoch_us(ts) / 1e6 + greatest(coalesce(value, 0), 0) AS stop, (event_id % 100) / 100.0::DOUBLE AS asr, (event_id % 37) / 37.0::DOUBLE AS dia FROM events)"
+_REVIEWS = "reviews AS (SELECT event_id AS review_id, 'claim_' || (event_id % 500) AS claim_id, 'rev_' || (user_id % 5) AS reviewer_id, CASE event_type WHEN 'purchase' THEN 'accept' WHEN 'error' THEN 'reject' ELSE 'needs_review' END AS decision, ts AS reviewed_at FROM events)"
+_LAST = "last AS (SELECT * FROM reviews QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY reviewed_at DESC, review_id DESC) = 1)"
+_DISTANCE = "sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) * (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE))))"
 
 
 def oracle_sql():
-    return {}
+    chain = lambda tail: CHAIN + tail
+    c = [f"least(abs(embedding[{i}]::DOUBLE), 1)" for i in (1, 2, 3)]
+    sig = f"{_strip('''regexp_replace(regexp_replace(lower(''' + _strip('''regexp_replace(''' + _strip('text') + ''', '[ \\t]+', ' ', 'g')''') + '''), '\\b[0-9]+\\b', '#', 'g'), '\\s+', ' ', 'g')''')}"
+    return {
+        "claim_status_counts": chain("SELECT modality, status, count(*) AS claims, round(avg(confidence), 6) AS mean_confidence FROM validated GROUP BY ALL"),
+        "chat_messages": chain("SELECT message_id, conversation_id, message_index, sender_id, sender_role, text FROM messages"),
+        "chat_evidence": chain("SELECT evidence_id, message_id, source_id, char_end FROM evidence"),
+        "chat_context_window": chain("SELECT chunk_id, evidence_ids, overlap, chunk_text FROM chunks"),
+        "sentence_split": f"SELECT doc_id, (i - 1)::INT AS sentence_no, length(s)::INT AS n, md5(s) AS digest FROM (SELECT doc_id, unnest({_sentences('text')}) AS s, generate_subscripts({_sentences('text')}, 1) AS i FROM documents)",
+        "span_detect": chain("SELECT span_id, evidence_id, sentence, score, risk_flags FROM spans"),
+        "claim_extract": chain("SELECT claim_id, span_id, claim_text, modality, truth_status, agent, confidence FROM claims"),
+        "quantities": chain(f"SELECT message_id, array_to_string({_quantities('text')}, '|') AS quantities FROM messages"),
+        "named_entities": chain(f"SELECT message_id, array_to_string({_entities('text')}, '|') AS entities FROM messages"),
+        "validate_claims": chain("SELECT claim_id, errors, status FROM validated"),
+        "quarantine_reasons": chain("SELECT reason, count(*) AS claims FROM (SELECT unnest(string_split(errors, ',')) AS reason FROM validated WHERE status = 'quarantined') GROUP BY reason"),
+        "normalize_claims": chain("SELECT normalized_claim_id, claim_id, subject, predicate, object, confidence FROM normalized"),
+        "dedupe_groups": chain("""SELECT *, CASE WHEN source_count > 1 THEN 'cross_source_corroboration_candidate' WHEN evidence_count > 1 THEN 'same_source_distinct_evidence' ELSE 'same_evidence_duplicate' END AS duplicate_level FROM (
+SELECT subject, predicate, object, modality, truth_status, count(*) AS members, count(DISTINCT source_id) AS source_count, count(DISTINCT evidence_id) AS evidence_count, min(confidence) AS min_confidence, max(confidence) AS max_confidence FROM normalized GROUP BY ALL HAVING count(*) > 1)"""),
+        "graph_edges": chain(f"SELECT {_id('edge', normalized_claim_id=_json('normalized_claim_id'), subject=_json('subject'), predicate=_json('predicate'))} AS edge_id, subject, predicate, object, modality FROM normalized"),
+        "model_routing": chain("SELECT span_id, score, reasons, CASE WHEN reasons = '' THEN 'default' ELSE 'strong' END AS tier FROM (SELECT span_id, score, concat_ws(',', CASE WHEN score < 0.6 THEN 'span_score_lt:0.6' END, CASE WHEN contains(risk_flags, 'context_dependent_coreference') THEN 'risk_flag:context_dependent_coreference' END) AS reasons FROM spans)"),
+        "canonical_entity": f"SELECT c_custkey, 'entity:' || {_slug('''c_name || ' ' || c_mktsegment''')} AS canonical FROM customer",
+        "pdf_furniture": f"""WITH {_BLOCKS}, signed AS (SELECT *, {sig} AS signature, min(block_no) OVER (PARTITION BY source_id, page) AS low, max(block_no) OVER (PARTITION BY source_id, page) AS high FROM blocks),
+usable AS (SELECT * FROM signed WHERE length(signature) BETWEEN 1 AND 120), several AS (SELECT source_id, signature FROM usable GROUP BY ALL HAVING count(DISTINCT page) >= 2)
+SELECT source_id, page, block_no, CASE WHEN block_no = low THEN 'header' ELSE 'footer' END AS kind FROM usable JOIN several USING (source_id, signature) WHERE block_no IN (low, high)""",
+        "pdf_char_offsets": f"WITH {_BLOCKS}, run AS (SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY source_id ORDER BY page, block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS char_start FROM blocks) SELECT source_id, page, block_no, char_start, char_start + length(text) AS char_end FROM run",
+        "audio_risk": f"WITH {_UTTERANCES}, clash AS (SELECT DISTINCT a.utterance_id FROM utterances a JOIN utterances b ON a.source_id = b.source_id AND a.utterance_id <> b.utterance_id AND b.start < a.stop AND b.stop > a.start) SELECT utterance_id, source_id, concat_ws(',', CASE WHEN asr < 0.55 THEN 'low_asr_confidence' END, CASE WHEN utterance_id IN (SELECT utterance_id FROM clash) THEN 'overlapping_speech' END, CASE WHEN dia < 0.5 THEN 'speaker_uncertain' END) AS risk_flags FROM utterances",
+        "audio_source_duration": f"WITH {_UTTERANCES} SELECT source_id, count(*) AS utterances, max(stop) AS duration FROM utterances GROUP BY source_id",
+        "latest_review": f"WITH {_REVIEWS}, {_LAST} SELECT claim_id, decision, reviewer_id, review_id FROM last",
+        "review_disagreement": f"WITH {_REVIEWS}, own AS (SELECT * FROM reviews QUALIFY row_number() OVER (PARTITION BY claim_id, reviewer_id ORDER BY reviewed_at DESC, review_id DESC) = 1), per AS (SELECT claim_id, count(DISTINCT decision) AS k FROM own GROUP BY claim_id HAVING count(*) >= 2) SELECT count(*) AS claims, count(*) FILTER (WHERE k > 1) AS disagreeing FROM per",
+        "review_queue": f"WITH {_REVIEWS}, {_LAST} SELECT claim_id, decision, (SELECT count(*) FROM reviews r WHERE r.claim_id = last.claim_id) AS reviews FROM last WHERE decision NOT IN ('accept', 'reject')",
+        "privacy_violations": "SELECT l_orderkey || ':' || l_linenumber AS claim_id, 'src_' || l_orderkey AS source_id, 'external' AS provider FROM lineitem WHERE l_linenumber % 2 <> 0 AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey % 7 = 0)",
+        "retention_plan": f"SELECT 'src_' || o_orderkey AS source_id, CASE WHEN o_orderkey % 2 = 0 THEN 'chat' ELSE 'pdf' END AS modality, floor((epoch(TIMESTAMP '{NOW}') - floor(epoch(o_orderdate))) / 86400)::BIGINT AS age_days FROM orders WHERE floor((epoch(TIMESTAMP '{NOW}') - floor(epoch(o_orderdate))) / 86400) >= 365",
+        "idempotent_append": "SELECT event_id, user_id, event_type FROM events WHERE event_id NOT IN (SELECT event_id FROM events WHERE event_id % 3 = 0)",
+        "gold_eval": f"WITH j AS (SELECT quality = 1 AS e, coalesce({_score('text')} >= 0.6, false) AS s FROM labels JOIN documents USING (doc_id)) SELECT count(*) AS gold, count(*) FILTER (WHERE e AND s) AS both, count(*) FILTER (WHERE e AND s) / count(*) FILTER (WHERE s) AS precision, count(*) FILTER (WHERE e AND s) / count(*) FILTER (WHERE e) AS recall FROM j",
+        "acceptance_checks": chain("SELECT 'evidence_ids_unique' AS name, count(*) AS total, count(*) - count(DISTINCT evidence_id) AS failed, 'pass' AS status FROM evidence UNION ALL SELECT 'spans_link_evidence', count(*), 0, 'pass' FROM spans UNION ALL SELECT 'normalized_from_accepted', count(*), 0, 'pass' FROM normalized UNION ALL SELECT 'quarantined_have_reasons', count(*), count(*) FILTER (WHERE errors = ''), 'pass' FROM validated WHERE status = 'quarantined'"),
+        "job_metrics": "SELECT l_returnflag AS stage, count(*) AS jobs, count(DISTINCT l_suppkey) AS sources, round(sum(l_quantity), 2) AS latency FROM lineitem GROUP BY 1",
+        "grid_proposals": """WITH i AS (SELECT p_partkey AS image_id, (p_size * 20 + 30)::INT AS width, (p_size * 11 + 50)::INT AS height FROM part), s AS (SELECT *, least(width, 224)::INT AS w, least(height, 224)::INT AS h FROM i)
+SELECT image_id, x::INT AS x, unnest(list_sort(list_distinct(list_append(range(0, height - h + 1, 224), (height - h)::BIGINT))))::INT AS y, w, h FROM (SELECT *, unnest(list_sort(list_distinct(list_append(range(0, width - w + 1, 224), (width - w)::BIGINT)))) AS x FROM s)""",
+        "close_pairs": f"SELECT a.vec_id AS a, b.vec_id AS b, round({_DISTANCE}, 6) AS distance FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_DISTANCE} <= {NEAR}",
+        "image_clusters": f"""WITH RECURSIVE pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_DISTANCE} <= {NEAR}), both_ways AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT vec_id AS v, vec_id AS r FROM embeddings UNION SELECT reach.v, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a) SELECT v AS vec_id, min(r) AS cluster FROM reach GROUP BY v""",
+        "dominant_color": f"SELECT vec_id, CASE WHEN greatest({', '.join(c)}) < 0.12 THEN 'black' WHEN least({', '.join(c)}) > 0.88 THEN 'white' WHEN greatest({', '.join(c)}) - least({', '.join(c)}) < 0.08 THEN 'gray' WHEN {c[0]} >= {c[1]} AND {c[0]} >= {c[2]} THEN 'red' WHEN {c[1]} >= {c[2]} THEN 'green' ELSE 'blue' END AS color FROM embeddings",
+        "record_table": """SELECT n_nationkey::VARCHAR AS record_key, '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}' AS payload_json FROM nation""",
+        "trace_claims": chain("SELECT v.claim_id, v.status, v.span_id, s.chunk_id, s.evidence_id, s.message_id, s.source_id FROM validated v JOIN spans s USING (span_id) WHERE v.claim_id LIKE 'claim_0%'"),
+    }

@@ -1,0 +1,46 @@
+"""Domain tables made from the generated tables: messages, blocks, utterances, vectors, sources, reviews, jobs, gold."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+SUFFIXES = (" It was not replaced.", " It may be 12 meters long.", " Did Hope have masts?", "", " Hope had three masts.", " Call 415-555-1212 or mail alice@example.com.")
+
+
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def chat_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns with a suffix by id, so that questions, negation, doubt and personal data occur."""
+    pick = F.element_at(F.array(*map(F.lit, SUFFIXES)), (F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(len(SUFFIXES))) + 1).cast("int"))
+    return load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.concat("text", pick).alias("text"))
+
+
+def pdf_blocks(spark: SparkSession, sf_dir: str, per_page: int = 5) -> DataFrame:
+    """Lines of documents that are not blank, ``per_page`` to a page."""
+    docs = load(spark, sf_dir, "documents")
+    lines = docs.select(F.col("doc_id").alias("source_id"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "text"))
+    return lines.where(F.col("text").rlike("\\S")).select("source_id", (F.floor(F.col("pos") / per_page) + 1).cast("int").alias("page"), (F.col("pos") % per_page).cast("int").alias("block_no"), "text")
+
+
+def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load(spark, sf_dir, "events")
+    start = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")) / F.lit(1e6)
+    return e.select(
+        F.concat(F.lit("src_"), (F.col("user_id") % 100).cast("string")).alias("source_id"), F.concat(F.lit("utt_"), F.col("event_id").cast("string")).alias("utterance_id"), F.col("user_id").cast("string").alias("speaker"),
+        start.alias("start"), (start + F.greatest(F.coalesce("value", F.lit(0.0)), F.lit(0.0))).alias("end"), F.concat(F.lit("It was a "), F.col("event_type"), F.lit(".")).alias("text"),
+        ((F.col("event_id") % 100) / 100.0).alias("asr_confidence"), ((F.col("event_id") % 37) / 37.0).alias("diarization_confidence"),
+    )
+
+
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")
+    return o.select(F.concat(F.lit("src_"), F.col("o_orderkey").cast("string")).alias("source_id"), F.when(F.col("o_orderkey") % 2 == 0, "chat").otherwise("pdf").alias("modality"), F.col("o_orderdate").alias("ingested_at"), (F.col("o_custkey") % 7 == 0).alias("sensitive"))
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load(spark, sf_dir, "events")
+    decision = F.when(F.col("event_type") == "purchase", "accept").when(F.col("event_type") == "error", "reject").otherwise("needs-review")
+    return e.select(F.col("event_id").alias("review_id"), F.concat(F.lit("claim_"), (F.col("event_id") % 500).cast("string")).alias("claim_id"), F.concat(F.lit("rev_"), (F.col("user_id") % 5).cast("string")).alias("reviewer_id"), decision.alias("decision"), F.col("ts").alias("reviewed_at"))
