@@ -45,9 +45,18 @@ def components(vectors: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
 
 
 def dominant_color(vectors: DataFrame) -> DataFrame:
-    """A colour name from the first three coordinates, taken as red, green and blue from 0 to 1."""
-    c = [F.least(F.greatest(F.abs(F.element_at("embedding", i).cast("double")), F.lit(0.0)), F.lit(1.0)) for i in (1, 2, 3)]
-    high, low = F.greatest(*c), F.least(*c)
-    r, g, b = c
-    name = F.when(high < 0.12, "black").when(low > 0.88, "white").when(high - low < 0.08, "gray").when((r >= g) & (r >= b), "red").when(g >= b, "green").otherwise("blue")
-    return vectors.select("vec_id", name.alias("color"))
+    """A colour name and its confidence from the first three coordinates, taken as red, green and blue from 0 to 1.
+
+    Two strong channels above a weak third one make yellow, cyan or magenta; among equal channels red goes before green
+    before blue.
+    """
+    r, g, b = (F.least(F.abs(F.element_at("embedding", i).cast("double")), F.lit(1.0)) for i in (1, 2, 3))
+    high, low = F.greatest(r, g, b), F.least(r, g, b)
+    middle = F.element_at(F.array_sort(F.array(r, g, b)), 2)
+    spread = high - low
+    two = (middle > 0.45) & (middle >= high * 0.65) & (low < high * 0.5)
+    mixed = F.when((b <= r) & (b <= g), "yellow").when(g <= r, "magenta").otherwise("cyan")
+    name = F.when(high < 0.12, "black").when(low > 0.88, "white").when(spread < 0.08, "gray").when(two, mixed).when((r >= g) & (r >= b), "red").when(g >= b, "green").otherwise("blue")
+    gray = 0.55 + F.least(F.lit(0.25), 0.08 - spread)
+    sure = F.when((high < 0.12) | (low > 0.88), F.lit(0.9)).when(spread < 0.08, gray).otherwise(F.greatest(F.lit(0.5), F.least(F.lit(1.0), 0.55 + spread / 2)))
+    return vectors.select("vec_id", name.alias("color"), F.round(sure, 3).alias("confidence"))

@@ -56,6 +56,14 @@ def source_durations(u: DataFrame) -> DataFrame:
     return u.groupBy("source_id").agg(F.count(F.lit(1)).alias("utterances"), F.max("end").alias("duration"))
 
 
+def audio_windows(u: DataFrame, previous: int = 1) -> DataFrame:
+    """Each utterance with the ``previous`` ones of its source: text of labelled lines, start, end and speakers."""
+    w = Window.partitionBy("source_id").orderBy("start", "end", "utterance_id").rowsBetween(-previous, 0)
+    out = u.withColumn("w", F.collect_list(F.struct("utterance_id", "speaker", "start", "end", F.concat_ws(": ", "speaker", "text").alias("line"))).over(w))
+    pick = lambda k: F.transform("w", lambda x: x[k])
+    return out.select("source_id", "utterance_id", F.array_join(pick("line"), "\n").alias("chunk_text"), F.element_at("w", 1)["start"].alias("chunk_start"), F.element_at("w", -1)["end"].alias("chunk_end"), F.array_join(F.array_sort(F.array_distinct(pick("speaker"))), ",").alias("speakers"))
+
+
 def latest_reviews(r: DataFrame) -> DataFrame:
     """The last decision on each claim, later rows winning ties; an aggregate, not a sort."""
     d = r.withColumn("decision", F.regexp_replace(F.lower(T.strip(F.col("decision"))), "-", "_"))

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from claimweft.functions import text as T
-from claimweft.operators import chat, clusters, records, validate
+from claimweft.operators import chat, clusters, provenance, records, repair, reports, sections, validate
 from claimweft.sources import jsonl, views
 
 
@@ -118,6 +118,36 @@ def _trace(s, d):
     return v.where("claim_id like 'claim_0%'").select("claim_id", "span_id", "status").join(sp.select("span_id", "chunk_id", "evidence_id"), "span_id").join(ev.select("evidence_id", "message_id", "source_id"), "evidence_id").select("claim_id", "status", "span_id", "chunk_id", "evidence_id", "message_id", "source_id")
 
 
+def _sections(s, d):
+    b = views.pdf_blocks(s, d)
+    return sections.section_paths(b, records.furniture(b))
+
+
+def _misquoted(s, d):
+    """Claims whose evidence text has wide blanks, or typographic marks for plain ones, in every third."""
+    n = F.length("evidence") + F.col("message_index")
+    wide = F.when(n % 3 == 0, F.regexp_replace("evidence_text", " ", "  ")).when(n % 3 == 1, F.regexp_replace("evidence_text", "'", "\u2019")).otherwise(F.col("evidence_text"))
+    return chat.claims(_spans(s, d)).withColumn("span_text", F.col("evidence_text")).withColumn("evidence_text", wide)
+
+
+def _links(s, d):
+    """Referential checks along the path from sources to edges, as name, total, failed."""
+    ev, ch, sp, c, v, n = _evidence(s, d), _chunks(s, d), _spans(s, d), _claims(s, d), _validated(s, d), _normalized(s, d)
+    def check(name, rows, bad):
+        return rows.agg(F.count(F.lit(1)).alias("total")).crossJoin(bad.agg(F.count(F.lit(1)).alias("failed"))).select(F.lit(name).alias("name"), "total", "failed")
+    accepted = v.where("status = 'accepted_extracted'")
+    out = [
+        check("chunks_link_evidence", ch, ch.join(ev, "evidence_id", "left_anti")), check("spans_link_chunks", sp, sp.join(ch, "chunk_id", "left_anti")), check("claims_link_spans", c, c.join(sp, "span_id", "left_anti")),
+        check("validation_run_completed", c, c.join(v, "claim_id", "left_anti")), check("accepted_have_exact_evidence", accepted, accepted.where(~F.contains("evidence", "evidence_text"))),
+        check("accepted_are_attributed", accepted, accepted.where("agent IS NULL OR agent <> sender_id")), check("normalized_preserve_confidence", n, n.join(v.select("claim_id", F.col("confidence").alias("had")), "claim_id").where("NOT confidence <=> had")),
+        check("normalized_complete", n, n.where("subject IS NULL OR predicate IS NULL OR object IS NULL")),
+    ]
+    rows = out[0]
+    for o in out[1:]:
+        rows = rows.union(o)
+    return rows.withColumn("status", F.when(F.col("failed") == 0, "pass").otherwise("fail"))
+
+
 def queries():
     sel = lambda f, *c: lambda s, d: f(s, d).select(*c)
     return {
@@ -160,6 +190,16 @@ def queries():
         "dominant_color": lambda s, d: clusters.dominant_color(views.load(s, d, "embeddings")),
         "record_table": lambda s, d: jsonl.record_table(views.load(s, d, "nation"), "n_nationkey"),
         "trace_claims": _trace,
+        "pdf_headings": lambda s, d: sections.headings(views.pdf_blocks(s, d)),
+        "pdf_section_path": _sections,
+        "audio_context_window": lambda s, d: records.audio_windows(views.utterances(s, d)),
+        "provenance_findings": lambda s, d: provenance.provenance_findings(views.from_events(s, d, views.PROVENANCE)),
+        "image_gate": lambda s, d: provenance.image_gate(views.from_events(s, d, views.IMAGE_CLAIMS)),
+        "repair_suggestions": lambda s, d: repair.suggest_repairs(_misquoted(s, d)),
+        "import_claims": lambda s, d: repair.import_claims(views.from_events(s, d, views.LOOSE_CLAIMS)),
+        "report_counters": lambda s, d: reports.counters(_validated(s, d), _normalized(s, d)),
+        "quality_rates": lambda s, d: reports.quality_rates(_validated(s, d), _normalized(s, d)),
+        "link_checks": _links,
     }
 
 
@@ -246,6 +286,105 @@ _LAST = "last AS (SELECT * FROM reviews QUALIFY row_number() OVER (PARTITION BY
 _DISTANCE = "sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) * (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE))))"
 
 
+_SIGNATURE = _strip("regexp_replace(regexp_replace(lower(" + _strip("regexp_replace(" + _strip("text") + ", '[ \\t]+', ' ', 'g')") + "), '\\b[0-9]+\\b', '#', 'g'), '\\s+', ' ', 'g')")
+_FURNITURE = f"""{_BLOCKS}, signed AS (SELECT *, {_SIGNATURE} AS signature, min(block_no) OVER (PARTITION BY source_id, page) AS low, max(block_no) OVER (PARTITION BY source_id, page) AS high FROM blocks),
+usable AS (SELECT * FROM signed WHERE length(signature) BETWEEN 1 AND 120), several AS (SELECT source_id, signature FROM usable GROUP BY ALL HAVING count(DISTINCT page) >= 2),
+furniture AS (SELECT source_id, page, block_no, CASE WHEN block_no = low THEN 'header' ELSE 'footer' END AS kind FROM usable JOIN several USING (source_id, signature) WHERE block_no IN (low, high))"""
+
+
+def _headings():
+    number, verbs = _q(sections.NUMBERED), ", ".join(map(_q, sections.SENTENCE_VERBS))
+    words = f"regexp_extract_all(title, {_q(sections.HEADING_WORD)})"
+    return f"""titled AS (SELECT source_id, page, block_no, {_strip("regexp_replace(" + _strip("text") + ", '[ \\t]+', ' ', 'g')")} AS title FROM blocks),
+parts AS (SELECT *, {words} AS words, regexp_replace(regexp_extract(title, {number}, 1), '[.)]+$', '') AS number, len(string_split_regex(regexp_extract(title, {number}, 2), '\\s+')) AS tail, NOT regexp_matches(title, '[.?!]$') AS whole,
+  length(regexp_replace(title, '[^\\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(title, '[^\\p{{Lu}}]', '', 'g')) AS capitals FROM titled WHERE length(title) BETWEEN 1 AND 120),
+leveled AS (SELECT *, (CASE WHEN regexp_matches(title, {number}) AND tail <= 14 THEN length(number) - length(replace(number, '.', '')) + 1 WHEN regexp_matches(title, {_q(sections.APPENDIX)}) THEN 1 WHEN whole AND letters >= 3 AND capitals >= 0.85 * letters THEN 1
+  WHEN whole AND len(words) BETWEEN 1 AND 14 AND len(list_filter(words, lambda w: lower(w) IN ({verbs}))) = 0 AND len(list_filter(words, lambda w: regexp_matches(w, '^[A-Z]'))) >= greatest(1, len(words) - 1) THEN 2 END)::INT AS level FROM parts),
+headings AS (SELECT source_id, page, block_no, title, level FROM leveled WHERE level IS NOT NULL)"""
+
+
+def _codes(*rules):
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {test} THEN '{code}' END" for code, test in rules) + ")"
+
+
+def _provenance_sql():
+    blank = lambda c: f"trim(coalesce({c}, '')) = ''"
+    outside = lambda c: f"({c} < 0 OR {c} > 1)"
+    box = "(bbox IS NULL OR bbox[1] < 0 OR bbox[2] < 0 OR bbox[3] <= 0 OR bbox[4] <= 0)"
+    chat, pdf, audio = (f"modality = '{m}' AND " for m in ("chat", "pdf", "audio"))
+    region, cluster, ocr = (f"evidence_type = '{t}' AND " for t in ("visual_region", "visual_cluster", "ocr_text_span"))
+    either = "evidence_type IN ('visual_region', 'ocr_text_span') AND "
+    errors = _codes(
+        ("missing_page_provenance", pdf + "page < 1"), ("missing_block_provenance", pdf + "block_id IS NULL"), ("missing_bbox_provenance", pdf + "extractor = 'PyMuPDF' AND bbox IS NULL"),
+        ("missing_conversation_provenance", chat + blank("conversation_id")), ("missing_message_provenance", chat + blank("message_id")), ("missing_sender_provenance", chat + blank("sender_id")),
+        ("missing_utterance_provenance", audio + blank("utterance_id")), ("missing_speaker_provenance", audio + blank("speaker")), ("missing_audio_timestamp_provenance", audio + "(start IS NULL OR \"end\" IS NULL)"),
+        ("invalid_audio_timestamp_bounds", audio + '(start < 0 OR "end" < start)'), ("invalid_audio_source_duration_provenance", audio + "source_duration < 0"),
+        ("audio_timestamp_out_of_source_bounds", audio + 'start IS NOT NULL AND source_duration >= 0 AND "end" > source_duration'), ("invalid_asr_confidence_provenance", audio + outside("asr_confidence")),
+        ("invalid_diarization_confidence_provenance", audio + outside("diarization_confidence")), ("missing_image_provenance", either + blank("image_id")), ("missing_region_provenance", region + blank("region_id")),
+        ("missing_image_bbox_provenance", either + box), ("missing_region_proposal_provenance", region + blank("proposal_method")), ("missing_feature_cluster_provenance", cluster + blank("feature_cluster_id")),
+        ("missing_embedding_model_provenance", cluster + blank("embedding_model")), ("missing_clustering_method_provenance", cluster + blank("clustering_method")), ("missing_cluster_member_provenance", cluster + "member_region_ids IS NULL"),
+        ("missing_ocr_model_provenance", ocr + blank("ocr_model")), ("invalid_ocr_confidence_provenance", ocr + outside("ocr_confidence")))
+    warnings = _codes(
+        ("missing_audio_source_duration_provenance", audio + "source_duration IS NULL"), ("missing_asr_confidence_provenance", audio + "asr_confidence IS NULL"), ("missing_diarization_confidence_provenance", audio + "diarization_confidence IS NULL"),
+        ("missing_region_crop_provenance", region + blank("crop_path")), ("missing_cluster_representative_provenance", cluster + "representative_region_ids IS NULL"), ("missing_ocr_confidence_provenance", ocr + "ocr_confidence IS NULL"))
+    return f"WITH e AS ({views.events_sql(views.PROVENANCE)}) SELECT evidence_id, {errors} AS errors, {warnings} AS warnings FROM e"
+
+
+def _import_sql():
+    get = lambda k: f"(payload->>'$.{k}')"
+    is_text = lambda k: f"coalesce(json_type(payload, '$.{k}') = 'VARCHAR', false)"
+    claim = f"coalesce({', '.join(get(k) for k in ('source_faithful_claim', 'claim', 'claim_text', 'text'))})"
+    support = f"coalesce({', '.join(get(k) for k in ('evidence_text', 'evidence', 'supporting_text'))})"
+    rename = lambda name, aliases: "CASE WHEN " + get(name) + " IS NULL THEN CASE " + " ".join(f"WHEN {get(a)} IS NOT NULL THEN 'rename_{a}_to_{name}'" for a in aliases) + " END END"
+    own = _id("claim_import", source_id=_json("source"), evidence_id=_json(get("evidence_id")), source_faithful_claim=_json("claim"))
+    return f"""WITH l AS ({views.events_sql(views.LOOSE_CLAIMS)}), r AS (SELECT *, {claim} AS claim, {support} AS support, {get('source_id')} AS source, {get('claim_id')} AS given, {get('source_modality')} AS modality, {is_text('attribution')} AS named,
+  try_cast(regexp_replace({get('confidence')}, '%+$', '') AS DOUBLE) AS raw FROM l),
+f AS (SELECT *, given IS NULL AND source IS NOT NULL AND {get('evidence_id')} IS NOT NULL AND claim IS NOT NULL AS made, CASE WHEN named THEN {get('attribution')} ELSE {get('attribution.agent')} END AS agent, CASE WHEN raw > 1 AND raw <= 100 THEN raw / 100 ELSE raw END AS confidence FROM r),
+a AS (SELECT *, concat_ws(',', {rename('source_faithful_claim', ('claim', 'claim_text', 'text'))}, {rename('evidence_text', ('evidence', 'supporting_text'))}, CASE WHEN named THEN 'coerce_attribution_string' END, CASE WHEN {is_text('confidence')} AND raw IS NOT NULL THEN 'coerce_confidence_number' END,
+  CASE WHEN raw > 1 AND raw <= 100 THEN 'scale_confidence_percent' END, CASE WHEN {is_text('risk_flags')} THEN 'coerce_risk_flags_string' END, CASE WHEN made THEN 'generate_claim_id' END) AS actions FROM f)
+SELECT line, CASE WHEN made THEN {own} ELSE given END AS claim_id, claim AS claim_text, support AS evidence_text,
+  CASE WHEN named THEN CASE WHEN modality IN ('chat', 'audio') THEN 'speaker' WHEN modality = 'pdf' THEN 'document' WHEN modality = 'image' THEN 'model' ELSE 'unknown' END ELSE {get('attribution.type')} END AS attribution_type, agent, confidence, actions,
+  CASE WHEN source IS NULL OR claim IS NULL OR agent IS NULL OR confidence < 0 OR confidence > 1 OR (modality <> 'image' AND coalesce(support, '') = '') THEN 'schema_invalid' WHEN actions <> '' THEN 'repaired' ELSE 'schema_valid' END AS status FROM a"""
+
+
+def _more_sql():
+    chain = lambda tail: CHAIN + tail
+    kept = lambda code, name: f"SELECT '{name}', avg(CASE WHEN list_contains(string_split(errors, ','), '{code}') THEN 0 ELSE 1 END) FROM validated"
+    wide = "CASE WHEN n % 3 = 0 THEN replace(evidence_text, ' ', '  ') ELSE replace(evidence_text, '''', chr(8217)) END"
+    checked = lambda name, total, bad: f"SELECT '{name}' AS name, (SELECT count(*) FROM {total}) AS total, (SELECT count(*) FROM {bad}) AS failed"
+    return {
+        "pdf_headings": f"WITH {_BLOCKS}, {_headings()} SELECT * FROM headings",
+        "pdf_section_path": f"""WITH {_FURNITURE}, {_headings()},
+h AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY page, block_no) AS i FROM headings ANTI JOIN furniture USING (source_id, page, block_no)),
+d AS (SELECT *, least(i, min(level - i) OVER (PARTITION BY source_id ORDER BY i ROWS UNBOUNDED PRECEDING) + i) AS depth FROM h),
+u AS (SELECT *, unnest(range(1, depth + 1)) AS k FROM d),
+v AS (SELECT *, last_value(CASE WHEN depth = k THEN title END IGNORE NULLS) OVER (PARTITION BY source_id, k ORDER BY i ROWS UNBOUNDED PRECEDING) AS name FROM u),
+p AS (SELECT source_id, page, block_no, string_agg(name, ' > ' ORDER BY k) AS path FROM v GROUP BY ALL)
+SELECT source_id, page, block_no, CASE WHEN kind IS NOT NULL THEN '' ELSE coalesce(last_value(path IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY page, block_no ROWS UNBOUNDED PRECEDING), '') END AS section
+FROM blocks LEFT JOIN furniture USING (source_id, page, block_no) LEFT JOIN p USING (source_id, page, block_no)""",
+        "audio_context_window": f"""WITH {_UTTERANCES}, said AS (SELECT u.*, user_id::VARCHAR AS speaker, user_id || ': It was a ' || event_type || '.' AS line FROM utterances u JOIN events ON utterance_id = 'utt_' || event_id)
+SELECT source_id, utterance_id, string_agg(line, chr(10)) OVER w AS chunk_text, first_value(start) OVER w AS chunk_start, stop AS chunk_end, array_to_string(list_sort(list_distinct(list(speaker) OVER w)), ',') AS speakers FROM said
+WINDOW w AS (PARTITION BY source_id ORDER BY start, stop, utterance_id ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)""",
+        "provenance_findings": _provenance_sql(),
+        "image_gate": f"""WITH c AS ({views.events_sql(views.IMAGE_CLAIMS)}) SELECT claim_id, CASE WHEN claim_type LIKE 'named%' THEN CASE WHEN review_decision = 'reject' THEN 'human_review_rejected_label' WHEN review_decision = 'needs_review' THEN 'human_review_needs_review'
+WHEN review_decision = 'accept' OR human_confirmed THEN '' WHEN confidence IS NULL THEN 'image_label_missing_confidence' WHEN confidence < 0.85 THEN 'image_label_low_confidence' ELSE '' END
+ELSE {_codes(('image_cluster_too_small', 'cluster_size < 5'), ('image_cluster_low_cohesion', 'cohesion_score IS NULL OR cohesion_score < 0.75'), ('image_cluster_insufficient_cross_source', 'source_count < 3'))} END AS errors FROM c""",
+        "repair_suggestions": chain(f"SELECT claim_id, {wide} AS original, evidence_text AS suggestion, 'span' AS scope FROM claims WHERE (n % 3 = 0 AND contains(evidence_text, ' ')) OR (n % 3 = 1 AND contains(evidence_text, ''''))"),
+        "import_claims": _import_sql(),
+        "report_counters": chain("""SELECT 'modality' AS counter, modality AS value, count(*) AS n FROM validated GROUP BY ALL UNION ALL SELECT 'truth_status', truth_status, count(*) FROM validated GROUP BY ALL UNION ALL SELECT 'status', status, count(*) FROM validated GROUP BY ALL
+UNION ALL SELECT 'reason', reason, count(*) FROM (SELECT unnest(string_split(errors, ',')) AS reason FROM validated WHERE status = 'quarantined') GROUP BY ALL UNION ALL SELECT 'predicate', predicate, count(*) FROM normalized GROUP BY ALL"""),
+        "quality_rates": chain("SELECT rate, round(value, 6) AS value FROM (SELECT 'quarantine' AS rate, avg(CASE WHEN status = 'quarantined' THEN 1 ELSE 0 END) AS value FROM validated UNION ALL " + " UNION ALL ".join(
+            [kept("evidence_not_exact_substring", "exact_evidence"), kept("negation_dropped", "negation_preserved"), kept("uncertainty_dropped", "uncertainty_preserved"), kept("quantity_mismatch", "quantity_preserved"), kept("attribution_agent_mismatch", "attribution_preserved")])
+            + " UNION ALL SELECT 'unsupported_entity', avg(CASE WHEN contains(errors, 'unsupported_entities_introduced') THEN 1 ELSE 0 END) FROM validated"
+            + " UNION ALL SELECT 'duplicate', sum(CASE WHEN m > 1 THEN m ELSE 0 END) / sum(m) FROM (SELECT count(*) AS m FROM normalized GROUP BY subject, predicate, object, modality, truth_status))"),
+        "link_checks": chain("SELECT *, CASE WHEN failed = 0 THEN 'pass' ELSE 'fail' END AS status FROM (" + " UNION ALL ".join([
+            checked("chunks_link_evidence", "chunks", "chunks ANTI JOIN evidence USING (evidence_id)"), checked("spans_link_chunks", "spans", "spans ANTI JOIN chunks USING (chunk_id)"), checked("claims_link_spans", "faulty", "faulty ANTI JOIN spans USING (span_id)"),
+            checked("validation_run_completed", "faulty", "faulty ANTI JOIN validated USING (claim_id)"), checked("accepted_have_exact_evidence", "normalized", "validated WHERE status <> 'quarantined' AND NOT contains(evidence, evidence_text)"),
+            checked("accepted_are_attributed", "normalized", "validated WHERE status <> 'quarantined' AND (agent IS NULL OR agent <> sender_id)"),
+            checked("normalized_preserve_confidence", "normalized", "normalized n JOIN validated v USING (claim_id) WHERE n.confidence IS DISTINCT FROM v.confidence"), checked("normalized_complete", "normalized", "normalized WHERE subject IS NULL OR predicate IS NULL OR object IS NULL")]) + ")"),
+    }
+
+
 def oracle_sql():
     chain = lambda tail: CHAIN + tail
     c = [f"least(abs(embedding[{i}]::DOUBLE), 1)" for i in (1, 2, 3)]
@@ -288,7 +427,9 @@ SELECT image_id, x::INT AS x, unnest(list_sort(list_distinct(list_append(range(0
         "close_pairs": f"SELECT a.vec_id AS a, b.vec_id AS b, round({_DISTANCE}, 6) AS distance FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_DISTANCE} <= {NEAR}",
         "image_clusters": f"""WITH RECURSIVE pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_DISTANCE} <= {NEAR}), both_ways AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach AS (SELECT vec_id AS v, vec_id AS r FROM embeddings UNION SELECT reach.v, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a) SELECT v AS vec_id, min(r) AS cluster FROM reach GROUP BY v""",
-        "dominant_color": f"SELECT vec_id, CASE WHEN greatest({', '.join(c)}) < 0.12 THEN 'black' WHEN least({', '.join(c)}) > 0.88 THEN 'white' WHEN greatest({', '.join(c)}) - least({', '.join(c)}) < 0.08 THEN 'gray' WHEN {c[0]} >= {c[1]} AND {c[0]} >= {c[2]} THEN 'red' WHEN {c[1]} >= {c[2]} THEN 'green' ELSE 'blue' END AS color FROM embeddings",
+        "dominant_color": f"""WITH v AS (SELECT vec_id, {c[0]} AS r, {c[1]} AS g, {c[2]} AS b FROM embeddings), x AS (SELECT *, greatest(r, g, b) AS high, least(r, g, b) AS low, list_sort([r, g, b])[2] AS middle FROM v)
+SELECT vec_id, CASE WHEN high < 0.12 THEN 'black' WHEN low > 0.88 THEN 'white' WHEN high - low < 0.08 THEN 'gray' WHEN middle > 0.45 AND middle >= high * 0.65 AND low < high * 0.5 THEN CASE low WHEN b THEN 'yellow' WHEN g THEN 'magenta' ELSE 'cyan' END WHEN r = high THEN 'red' WHEN g = high THEN 'green' ELSE 'blue' END AS color,
+  round(CASE WHEN high < 0.12 OR low > 0.88 THEN 0.9::DOUBLE WHEN high - low < 0.08 THEN 0.55::DOUBLE + least(0.25::DOUBLE, 0.08::DOUBLE - (high - low)) ELSE greatest(0.5::DOUBLE, least(1::DOUBLE, 0.55::DOUBLE + (high - low) / 2)) END, 3) AS confidence FROM x""",
         "record_table": """SELECT n_nationkey::VARCHAR AS record_key, '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}' AS payload_json FROM nation""",
         "trace_claims": chain("SELECT v.claim_id, v.status, v.span_id, s.chunk_id, s.evidence_id, s.message_id, s.source_id FROM validated v JOIN spans s USING (span_id) WHERE v.claim_id LIKE 'claim_0%'"),
-    }
+    } | _more_sql()

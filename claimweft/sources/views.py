@@ -44,3 +44,39 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events")
     decision = F.when(F.col("event_type") == "purchase", "accept").when(F.col("event_type") == "error", "reject").otherwise("needs-review")
     return e.select(F.col("event_id").alias("review_id"), F.concat(F.lit("claim_"), (F.col("event_id") % 500).cast("string")).alias("claim_id"), F.concat(F.lit("rev_"), (F.col("user_id") % 5).cast("string")).alias("reviewer_id"), decision.alias("decision"), F.col("ts").alias("reviewed_at"))
+
+
+# Facts of origin from events, with gaps and faults by number. {list} opens an array, so that one text serves every dialect.
+PROVENANCE = {
+    "evidence_id": "CAST(event_id AS STRING)", "modality": "CASE event_id % 6 WHEN 0 THEN 'chat' WHEN 1 THEN 'pdf' WHEN 2 THEN 'audio' ELSE 'image' END",
+    "evidence_type": "CASE event_id % 6 WHEN 0 THEN 'message_span' WHEN 1 THEN 'text_span' WHEN 2 THEN 'utterance_span' WHEN 3 THEN 'visual_region' WHEN 4 THEN 'visual_cluster' ELSE 'ocr_text_span' END",
+    "conversation_id": "CAST(user_id AS STRING)", "message_id": "CASE WHEN event_type = 'click' THEN ' ' ELSE 'm' END", "sender_id": "CASE WHEN user_id % 7 <> 0 THEN 'u' END",
+    "page": "CASE WHEN user_id % 4 = 0 THEN 0 ELSE 1 END", "block_id": "CASE WHEN event_type <> 'view' THEN 'b' END", "extractor": "CASE WHEN user_id % 2 = 0 THEN 'PyMuPDF' ELSE 'pypdf' END",
+    "bbox": "CASE WHEN user_id % 3 <> 0 THEN {list}0, 0, user_id % 2, 5{end} END", "utterance_id": "CAST(event_id AS STRING)", "speaker": "CASE WHEN user_id % 5 = 0 THEN '' ELSE 's' END",
+    "start": "CASE WHEN event_type <> 'error' THEN CAST(user_id % 10 AS DOUBLE) END", "end": "CAST(user_id % 13 AS DOUBLE)", "source_duration": "CASE WHEN user_id % 6 = 1 THEN CAST(-1 AS DOUBLE) WHEN user_id % 6 <> 0 THEN CAST(8 AS DOUBLE) END",
+    "asr_confidence": "CASE WHEN user_id % 8 <> 0 THEN CAST(event_id % 120 AS DOUBLE) / 100 END", "diarization_confidence": "CASE WHEN user_id % 9 <> 0 THEN CAST(event_id % 37 AS DOUBLE) / 30 END",
+    "image_id": "CASE WHEN user_id % 5 <> 1 THEN 'i' END", "region_id": "CASE WHEN user_id % 5 <> 2 THEN 'r' END", "proposal_method": "'grid'", "crop_path": "CASE WHEN user_id % 2 = 0 THEN 'c' END",
+    "feature_cluster_id": "CASE WHEN user_id % 5 <> 3 THEN 'f' END", "embedding_model": "CASE WHEN user_id % 5 <> 4 THEN 'e' END", "clustering_method": "CASE WHEN user_id % 7 <> 1 THEN 'k' END",
+    "member_region_ids": "CASE WHEN user_id % 7 <> 2 THEN {list}'r'{end} END", "representative_region_ids": "CASE WHEN user_id % 7 <> 3 THEN {list}'r'{end} END", "ocr_model": "CASE WHEN user_id % 7 <> 4 THEN 'o' END",
+    "ocr_confidence": "CASE WHEN user_id % 7 <> 5 THEN CAST(event_id % 110 AS DOUBLE) / 100 END",
+}
+IMAGE_CLAIMS = {
+    "claim_id": "CAST(event_id AS STRING)", "claim_type": "CASE WHEN event_id % 2 = 0 THEN 'named_visual_classification' ELSE 'unnamed_visual_feature_cluster' END",
+    "review_decision": "CASE user_id % 4 WHEN 0 THEN 'accept' WHEN 1 THEN 'reject' WHEN 2 THEN 'needs_review' END", "human_confirmed": "user_id % 9 = 0", "confidence": "CASE WHEN event_id % 11 <> 0 THEN CAST(event_id % 100 AS DOUBLE) / 100 END",
+    "cluster_size": "event_id % 10", "cohesion_score": "CASE WHEN event_id % 13 <> 0 THEN CAST(event_id % 50 AS DOUBLE) / 50 END", "source_count": "event_id % 5",
+}
+LOOSE_CLAIMS = {
+    "line": "event_id",
+    "payload": """concat('{', CASE WHEN event_id % 7 <> 0 THEN '"source_id":"s1",' ELSE '' END, CASE WHEN event_id % 3 = 0 THEN '"claim_id":"given",' ELSE '' END, '"evidence_id":"e', CAST(event_id AS STRING), '","source_modality":"',
+      CASE event_id % 4 WHEN 0 THEN 'chat' WHEN 1 THEN 'pdf' WHEN 2 THEN 'image' ELSE 'web' END, '","', CASE event_id % 5 WHEN 0 THEN 'claim' WHEN 1 THEN 'claim_text' WHEN 2 THEN 'text' ELSE 'source_faithful_claim' END, '":"It was a ', event_type, '.","',
+      CASE event_id % 3 WHEN 0 THEN 'evidence' WHEN 1 THEN 'supporting_text' ELSE 'evidence_text' END, '":"', CASE WHEN event_id % 8 = 0 THEN '' ELSE event_type END, '","attribution":', CASE WHEN event_id % 2 = 0 THEN '"alice"' ELSE '{"type":"speaker","agent":"bob"}' END,
+      CASE event_id % 6 WHEN 0 THEN ',"confidence":"82%"' WHEN 1 THEN ',"confidence":64' WHEN 2 THEN ',"confidence":0.5' WHEN 3 THEN ',"confidence":250' ELSE '' END, CASE WHEN event_id % 4 = 0 THEN ',"risk_flags":"x"' ELSE '' END, '}')""",
+}
+
+
+def from_events(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
+    return load(spark, sf_dir, "events").selectExpr(*(f"{e.format(list='array(', end=')') if '{list}' in e else e} AS `{c}`" for c, e in columns.items()))
+
+
+def events_sql(columns: dict[str, str]) -> str:
+    return "SELECT " + ", ".join(f'{e.format(list="[", end="]") if "{list}" in e else e} AS "{c}"' for c, e in columns.items()) + " FROM events"
