@@ -61,6 +61,24 @@ def suggest_repairs(claims: DataFrame) -> DataFrame:
     return inexact.select("claim_id", "evidence_text", "span_text", "evidence").mapInPandas(run, "claim_id string, original string, suggestion string, scope string")
 
 
+def apply_repairs(suggestions: DataFrame, claims: DataFrame, existing: DataFrame) -> DataFrame:
+    """Outcome of each suggestion and, where it is created, the id and text of the new claim.
+
+    failed: the claim is missing, its text has changed, or the suggestion is in no support text; skipped: the repaired
+    claim is among ``existing`` (claim_id) already. The repaired claim has an id of its own and goes to validation anew.
+    """
+    s = suggestions.select("claim_id", "original", "suggestion", "scope").dropDuplicates()
+    repair_id = stable_id("repair", claim_id=json_string(F.col("claim_id")), original_evidence_text=json_string(F.col("original")), suggested_evidence_text=json_string(F.col("suggestion")))
+    s = s.withColumn("repair_id", repair_id)
+    s = s.withColumn("new_claim_id", stable_id("claim_repair", claim_id=json_string(F.col("claim_id")), repair_id=json_string(F.col("repair_id")), suggested_evidence_text=json_string(F.col("suggestion"))))
+    c = claims.select("claim_id", F.col("evidence_text").alias("now"), "span_text", "evidence", F.lit(True).alias("found"))
+    j = s.join(c, "claim_id", "left").join(existing.select(F.col("claim_id").alias("new_claim_id"), F.lit(True).alias("there")).distinct(), "new_claim_id", "left")
+    exact = F.coalesce(F.contains("span_text", "suggestion"), F.lit(False)) | F.coalesce(F.contains("evidence", "suggestion"), F.lit(False))
+    reason = F.when(F.col("found").isNull(), "missing_claim").when(~F.col("now").eqNullSafe(F.col("original")), "claim_evidence_text_changed").when(~exact, "suggested_text_not_exact_support").when(F.col("there"), "repaired_claim_exists")
+    outcome = F.when(reason.isNull(), "created").when(reason == "repaired_claim_exists", "skipped").otherwise("failed")
+    return j.select("claim_id", "repair_id", "new_claim_id", outcome.alias("outcome"), F.coalesce(reason, F.lit("")).alias("reason"), F.when(outcome == "created", F.col("suggestion")).alias("evidence_text"))
+
+
 def import_claims(payloads: DataFrame) -> DataFrame:
     """Loose claims (one JSON object a row, column payload) with aliases renamed, types coerced, ids made, and a status.
 

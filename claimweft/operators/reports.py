@@ -32,6 +32,14 @@ def quality_rates(validated: DataFrame, normalized: DataFrame) -> DataFrame:
     return rates.union(duplicates).select("rate", F.round("value", 6).alias("value"))
 
 
+def job_rates(jobs: DataFrame, validated: DataFrame) -> DataFrame:
+    """Cost of an accepted claim and seconds of a source, from jobs (source_id, cost_usd, latency_seconds); null if unknown."""
+    accepted = validated.agg(F.count_if(F.col("status") == "accepted_extracted").alias("accepted"))
+    both = jobs.agg(F.sum("cost_usd").alias("cost"), F.sum("latency_seconds").alias("seconds"), F.count_distinct("source_id").alias("sources")).crossJoin(accepted)
+    part = lambda a, b: F.try_divide(F.col(a), F.nullif(F.col(b), F.lit(0)))
+    return both.select(F.round(part("cost", "accepted"), 4).alias("cost_per_accepted_claim"), F.round(part("seconds", "sources"), 2).alias("latency_per_source"))
+
+
 def markdown(tables: dict[str, DataFrame]) -> str:
     """Report tables (a row a counter, a rate or a check) under headings, rows in order of their values."""
     out = []

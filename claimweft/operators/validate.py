@@ -59,13 +59,22 @@ def edges(n: DataFrame) -> DataFrame:
     return n.select(stable_id("edge", normalized_claim_id=json_string(F.col("normalized_claim_id")), subject=json_string(F.col("subject")), predicate=json_string(F.col("predicate"))).alias("edge_id"), "normalized_claim_id", "subject", "predicate", "object", "modality", "confidence")
 
 
+def atom(column):
+    """A JSON string literal that leaves everything beyond ASCII as it is."""
+    quoted = F.to_json(F.struct(F.coalesce(column, F.lit("")).alias("c")))
+    return F.substring(quoted, 6, F.length(quoted) - 6)
+
+
 def metta(n: DataFrame) -> DataFrame:
-    """S-expressions of the normalized claims, every atom quoted as JSON."""
-    q = lambda c: json_string(F.col(c))
+    """S-expressions of the normalized claims: the claim with its qualifiers, then modality, truth status and confidence."""
+    q = lambda c: atom(F.col(c))
+    expression = lambda name, *atoms: F.concat_ws(" ", F.lit("(" + name), *atoms, F.lit(")"))
     id_ = q("normalized_claim_id")
-    lines = F.array(
-        F.concat(F.lit("(claim "), id_, F.lit(" "), q("subject"), F.lit(" "), q("predicate"), F.lit(" "), q("object"), F.lit(")")),
-        F.concat(F.lit("(claim-modality "), id_, F.lit(" "), q("modality"), F.lit(")")), F.concat(F.lit("(claim-truth-status "), id_, F.lit(" "), q("truth_status"), F.lit(")")))
+    qualifiers = atom(F.concat(F.lit('{"modality":'), q("modality"), F.lit(',"truth_status":'), q("truth_status"), F.lit("}")))
+    number = F.regexp_replace(F.round("confidence", 6).cast("string"), "\\.0$", "")
+    lines = F.array_compact(F.array(
+        expression("claim", id_, *map(q, ("claim_id", "source_id", "evidence_id", "subject", "predicate", "object")), qualifiers), expression("claim-modality", id_, q("modality")),
+        expression("claim-truth-status", id_, q("truth_status")), F.when(F.col("confidence").isNotNull(), expression("claim-confidence", id_, number))))
     return n.select(F.explode(lines).alias("line"))
 
 

@@ -76,7 +76,7 @@ def _acceptance(s, d):
 
 def _gold(s, d):
     labels = views.load(s, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "accepted").otherwise("quarantined").alias("expected"))
-    got = views.load(s, d, "documents").select("doc_id", F.when(T.span_score(F.substring("text", 1, 2_000_000_000)) >= 0.6, "accepted").otherwise("quarantined").alias("status"))
+    got = views.load(s, d, "documents").select("doc_id", F.when(T.span_score(F.col("text")) >= 0.6, "accepted").otherwise("quarantined").alias("status"))
     j = labels.join(got, "doc_id")
     both = F.count_if((F.col("expected") == "accepted") & (F.col("status") == "accepted"))
     return j.agg(F.count(F.lit(1)).alias("gold"), both.alias("both"), (both / F.count_if(F.col("status") == "accepted")).alias("precision"), (both / F.count_if(F.col("expected") == "accepted")).alias("recall"))
@@ -115,7 +115,7 @@ def _images(s, d):
 
 def _trace(s, d):
     v, sp, ev = _validated(s, d), _spans(s, d), _evidence(s, d)
-    return v.where("claim_id like 'claim_0%'").select("claim_id", "span_id", "status").join(sp.select("span_id", "chunk_id", "evidence_id"), "span_id").join(ev.select("evidence_id", "message_id", "source_id"), "evidence_id").select("claim_id", "status", "span_id", "chunk_id", "evidence_id", "message_id", "source_id")
+    return v.select("claim_id", "span_id", "status").join(sp.select("span_id", "chunk_id", "evidence_id"), "span_id").join(ev.select("evidence_id", "message_id", "source_id"), "evidence_id").select("claim_id", "status", "span_id", "chunk_id", "evidence_id", "message_id", "source_id")
 
 
 def _sections(s, d):
@@ -130,6 +130,16 @@ def _misquoted(s, d):
     return chat.claims(_spans(s, d)).withColumn("span_text", F.col("evidence_text")).withColumn("evidence_text", wide)
 
 
+def _applied(s, d):
+    c = _misquoted(s, d)
+    return repair.apply_repairs(repair.suggest_repairs(c), c, c).select("claim_id", "outcome", "reason", "evidence_text")
+
+
+def _job_rates(s, d):
+    jobs = views.load(s, d, "lineitem").select(F.col("l_orderkey").alias("source_id"), F.col("l_tax").alias("cost_usd"), F.col("l_quantity").alias("latency_seconds"))
+    return reports.job_rates(jobs, _validated(s, d))
+
+
 def _links(s, d):
     """Referential checks along the path from sources to edges, as name, total, failed."""
     ev, ch, sp, c, v, n = _evidence(s, d), _chunks(s, d), _spans(s, d), _claims(s, d), _validated(s, d), _normalized(s, d)
@@ -200,6 +210,9 @@ def queries():
         "report_counters": lambda s, d: reports.counters(_validated(s, d), _normalized(s, d)),
         "quality_rates": lambda s, d: reports.quality_rates(_validated(s, d), _normalized(s, d)),
         "link_checks": _links,
+        "apply_repairs": _applied,
+        "job_rates": _job_rates,
+        "pii_email_ssn": lambda s, d: records.pii_findings(_pii_rows(s, d), "record_id").where("kind <> 'phone'"),
     }
 
 
@@ -352,7 +365,16 @@ def _more_sql():
     kept = lambda code, name: f"SELECT '{name}', avg(CASE WHEN list_contains(string_split(errors, ','), '{code}') THEN 0 ELSE 1 END) FROM validated"
     wide = "CASE WHEN n % 3 = 0 THEN replace(evidence_text, ' ', '  ') ELSE replace(evidence_text, '''', chr(8217)) END"
     checked = lambda name, total, bad: f"SELECT '{name}' AS name, (SELECT count(*) FROM {total}) AS total, (SELECT count(*) FROM {bad}) AS failed"
+    misquoted = "(n % 3 = 0 AND contains(evidence_text, ' ')) OR (n % 3 = 1 AND contains(evidence_text, chr(39)))"
+    found = lambda kind, p: f"SELECT record_id, '{kind}' AS kind, unnest(list_distinct(regexp_extract_all(text, {_q(p)}))) AS m FROM rows"
+    line = lambda name, *atoms: f"concat_ws(' ', '({name}', " + ", ".join(f"to_json({a})::VARCHAR" for a in atoms) + ", ')')"
+    qualifiers = """'{"modality":' || to_json(modality) || ',"truth_status":' || to_json(truth_status) || '}'"""
     return {
+        "apply_repairs": chain(f"SELECT claim_id, 'created' AS outcome, '' AS reason, evidence_text FROM claims WHERE {misquoted}"),
+        "job_rates": chain("SELECT round((SELECT sum(l_tax) FROM lineitem) / (SELECT count(*) FROM normalized), 4) AS cost_per_accepted_claim, round((SELECT sum(l_quantity) / count(DISTINCT l_orderkey) FROM lineitem), 2) AS latency_per_source"),
+        "pii_email_ssn": chain(f"SELECT record_id, kind, CASE WHEN kind = 'email' THEN substr(m, 1, 1) || '***@' || string_split(m, '@')[-1] ELSE '***-**-' || right(m, 4) END AS preview, sha256(m) AS match_sha256 FROM (WITH rows AS (SELECT 'doc:' || doc_id AS record_id, text FROM documents UNION ALL SELECT message_id, text FROM messages) {found('email', T.EMAIL)} UNION ALL {found('ssn', T.SSN)})"),
+        "metta_lines": chain(f"SELECT unnest([{line('claim', 'normalized_claim_id', 'claim_id', 'source_id', 'evidence_id', 'subject', 'predicate', 'object', qualifiers)}, {line('claim-modality', 'normalized_claim_id', 'modality')}, {line('claim-truth-status', 'normalized_claim_id', 'truth_status')}, "
+            "concat_ws(' ', '(claim-confidence', to_json(normalized_claim_id)::VARCHAR, regexp_replace(round(confidence, 6)::VARCHAR, '\\.0$', ''), ')')]) AS line FROM normalized"),
         "pdf_headings": f"WITH {_BLOCKS}, {_headings()} SELECT * FROM headings",
         "pdf_section_path": f"""WITH {_FURNITURE}, {_headings()},
 h AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY page, block_no) AS i FROM headings ANTI JOIN furniture USING (source_id, page, block_no)),
@@ -369,7 +391,7 @@ WINDOW w AS (PARTITION BY source_id ORDER BY start, stop, utterance_id ROWS BETW
         "image_gate": f"""WITH c AS ({views.events_sql(views.IMAGE_CLAIMS)}) SELECT claim_id, CASE WHEN claim_type LIKE 'named%' THEN CASE WHEN review_decision = 'reject' THEN 'human_review_rejected_label' WHEN review_decision = 'needs_review' THEN 'human_review_needs_review'
 WHEN review_decision = 'accept' OR human_confirmed THEN '' WHEN confidence IS NULL THEN 'image_label_missing_confidence' WHEN confidence < 0.85 THEN 'image_label_low_confidence' ELSE '' END
 ELSE {_codes(('image_cluster_too_small', 'cluster_size < 5'), ('image_cluster_low_cohesion', 'cohesion_score IS NULL OR cohesion_score < 0.75'), ('image_cluster_insufficient_cross_source', 'source_count < 3'))} END AS errors FROM c""",
-        "repair_suggestions": chain(f"SELECT claim_id, {wide} AS original, evidence_text AS suggestion, 'span' AS scope FROM claims WHERE (n % 3 = 0 AND contains(evidence_text, ' ')) OR (n % 3 = 1 AND contains(evidence_text, ''''))"),
+        "repair_suggestions": chain(f"SELECT claim_id, {wide} AS original, evidence_text AS suggestion, 'span' AS scope FROM claims WHERE {misquoted}"),
         "import_claims": _import_sql(),
         "report_counters": chain("""SELECT 'modality' AS counter, modality AS value, count(*) AS n FROM validated GROUP BY ALL UNION ALL SELECT 'truth_status', truth_status, count(*) FROM validated GROUP BY ALL UNION ALL SELECT 'status', status, count(*) FROM validated GROUP BY ALL
 UNION ALL SELECT 'reason', reason, count(*) FROM (SELECT unnest(string_split(errors, ',')) AS reason FROM validated WHERE status = 'quarantined') GROUP BY ALL UNION ALL SELECT 'predicate', predicate, count(*) FROM normalized GROUP BY ALL"""),
@@ -431,5 +453,5 @@ reach AS (SELECT vec_id AS v, vec_id AS r FROM embeddings UNION SELECT reach.v,
 SELECT vec_id, CASE WHEN high < 0.12 THEN 'black' WHEN low > 0.88 THEN 'white' WHEN high - low < 0.08 THEN 'gray' WHEN middle > 0.45 AND middle >= high * 0.65 AND low < high * 0.5 THEN CASE low WHEN b THEN 'yellow' WHEN g THEN 'magenta' ELSE 'cyan' END WHEN r = high THEN 'red' WHEN g = high THEN 'green' ELSE 'blue' END AS color,
   round(CASE WHEN high < 0.12 OR low > 0.88 THEN 0.9::DOUBLE WHEN high - low < 0.08 THEN 0.55::DOUBLE + least(0.25::DOUBLE, 0.08::DOUBLE - (high - low)) ELSE greatest(0.5::DOUBLE, least(1::DOUBLE, 0.55::DOUBLE + (high - low) / 2)) END, 3) AS confidence FROM x""",
         "record_table": """SELECT n_nationkey::VARCHAR AS record_key, '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}' AS payload_json FROM nation""",
-        "trace_claims": chain("SELECT v.claim_id, v.status, v.span_id, s.chunk_id, s.evidence_id, s.message_id, s.source_id FROM validated v JOIN spans s USING (span_id) WHERE v.claim_id LIKE 'claim_0%'"),
+        "trace_claims": chain("SELECT v.claim_id, v.status, v.span_id, s.chunk_id, s.evidence_id, s.message_id, s.source_id FROM validated v JOIN spans s USING (span_id)"),
     } | _more_sql()

@@ -5,7 +5,7 @@ import sqlite3
 
 from pyspark.sql import functions as F
 
-from claimweft.operators import clusters, provenance, records, repair, reports, sections
+from claimweft.operators import clusters, provenance, records, repair, reports, sections, validate
 from claimweft.sources.jsonl import record_table
 
 BLOCKS = "source_id string, page int, block_no int, text string"
@@ -92,3 +92,24 @@ def test_audio_windows(spark):
     rows = records.audio_windows(u).orderBy("utterance_id").collect()
     assert (rows[1].chunk_text, rows[1].chunk_start, rows[1].chunk_end, rows[1].speakers) == ("S0: Did it?\nS1: Yes.", 0.0, 6.0, "S0,S1") and rows[0].chunk_text == "S0: Did it?"
     assert records.audio_windows(u.where(F.lit(False))).count() == 0
+
+
+def test_repairs_are_applied_once(spark):
+    claims = spark.createDataFrame([("a", "x  y", "x y", "x y."), ("b", "changed", "u v", "u v"), ("c", "p  q", "r", "s")], "claim_id string, evidence_text string, span_text string, evidence string")
+    suggested = spark.createDataFrame([("a", "x  y", "x y", "span"), ("b", "u  v", "u v", "span"), ("c", "p  q", "p q", "span"), ("d", "m  n", "m n", "span")], "claim_id string, original string, suggestion string, scope string")
+    first = repair.apply_repairs(suggested, claims, claims).collect()
+    assert {r.claim_id: (r.outcome, r.reason) for r in first} == {"a": ("created", ""), "b": ("failed", "claim_evidence_text_changed"), "c": ("failed", "suggested_text_not_exact_support"), "d": ("failed", "missing_claim")}
+    made = [(r.new_claim_id,) for r in first if r.outcome == "created"]
+    again = repair.apply_repairs(suggested, claims, spark.createDataFrame(made, "claim_id string")).collect()
+    assert [r.outcome for r in again if r.claim_id == "a"] == ["skipped"]
+
+
+def test_rates_of_no_jobs_are_null(spark):
+    jobs = spark.createDataFrame([], "source_id string, cost_usd double, latency_seconds double")
+    assert tuple(reports.job_rates(jobs, spark.createDataFrame([], "status string")).first()) == (None, None)
+
+
+def test_s_expressions_keep_letters(spark):
+    n = spark.createDataFrame([("n", "c", "s", "e", "speaker:x", "asserts", 'é "q"\\', "asserted", "unverified", 1.0)], "normalized_claim_id string, claim_id string, source_id string, evidence_id string, subject string, predicate string, object string, modality string, truth_status string, confidence double")
+    lines = [r.line for r in validate.metta(n).collect()]
+    assert lines[0] == '(claim "n" "c" "s" "e" "speaker:x" "asserts" "é \\"q\\"\\\\" "{\\"modality\\":\\"asserted\\",\\"truth_status\\":\\"unverified\\"}" )' and lines[3] == '(claim-confidence "n" 1 )'
