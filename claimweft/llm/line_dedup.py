@@ -4,6 +4,10 @@ A line's hash is the first 28 bits of its MD5; a rolling hash over WINDOW line h
 divisible by DIVISOR, so that an inserted line moves no other boundary than those near it. Of a chunk of MIN_LINES or
 more lines that stands in several places, the first place (by doc_id, then position) is kept and the others are removed,
 after their bytes were compared with the kept place's.
+
+Lines are chunked twice: with every boundary, and with boundaries left out until MIN_LINES lines are gathered, a short
+last chunk joined to the one before. In the second chunking each line of a text of MIN_LINES lines is in a chunk long
+enough; the first finds short repeated runs whose surroundings differ. A line goes if a repeated chunk of either has it.
 """
 
 from __future__ import annotations
@@ -25,8 +29,10 @@ def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias(s)).select(*df.columns, *(F.col(f"{s}.{n}").alias(n) for n in columns))
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """Add __cw_chunks to docs: for each chunk in order its number of lines ``n`` and its ``text``. Null texts: none."""
+def chunked(docs: DataFrame, leasts: tuple[int, ...] = (MIN_LINES, 1)) -> DataFrame:
+    """Add __cw_lines and __cw_chunks to docs: the lines, and the distinct chunks of the chunkings with these least
+    lengths, each with its first line ``at``, its number of lines ``n`` and its ``text``. A null text is an empty one.
+    """
     lines, hashes, ends = f"{INNER}lines", f"{INNER}hashes", f"{INNER}ends"
     out = _fixed(docs, **{lines: F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)})
     out = _fixed(out, **{hashes: F.transform(lines, lambda line: F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long"))})
@@ -35,25 +41,35 @@ def chunked(docs: DataFrame) -> DataFrame:
     def rolled(i: Column) -> Column:
         return sum((F.when(i >= k, F.element_at(hashes, (i - k + 1).cast("int"))).otherwise(0) * FACTOR ** (WINDOW - 1 - k) for k in range(WINDOW)), F.lit(0))
 
-    out = _fixed(out, **{ends: F.filter(F.sequence(F.lit(0), last), lambda i: (rolled(i) % DIVISOR == 0) | (i == last))})
-    def chunk(e: Column, j: Column) -> Column:
-        begin = F.when(j == 0, 0).otherwise(F.element_at(ends, F.greatest(j, F.lit(1))) + 1)
-        return F.struct((e - begin + 1).alias("n"), F.array_join(F.slice(lines, begin + 1, e - begin + 1), "\n").alias("text"))
-    return _fixed(out, **{f"{INNER}chunks": F.transform(ends, chunk)}).drop(lines, hashes, ends)
+    cuts = f"{INNER}cuts"
+    out = _fixed(out, **{cuts: F.filter(F.sequence(F.lit(0), last), lambda i: (rolled(i) % DIVISOR == 0) & (i < last))})
+    far = lambda least: lambda a, i: F.when((i - F.element_at(a, -1) >= least) & (last - i >= least), F.concat(a, F.array(i))).otherwise(a)
+    bounds = {f"{ends}{least}": F.concat(F.aggregate(cuts, F.array(F.lit(-1)), far(least)) if least > 1 else F.concat(F.array(F.lit(-1)), cuts), F.array(last)) for least in leasts}
+    out = _fixed(out, **bounds)
+
+    def pieces(e: str) -> Column:
+        begins = F.slice(e, 1, F.size(e) - 1)
+        return F.zip_with(begins, F.slice(e, 2, F.size(e) - 1), lambda a, b: F.struct((a + 1).alias("at"), (b - a).alias("n")))
 
+    places = F.array_distinct(F.concat(*map(pieces, bounds)))
+    text = lambda c: F.struct(c["at"].alias("at"), c["n"].alias("n"), F.array_join(F.slice(lines, c["at"] + 1, c["n"]), "\n").alias("text"))
+    return _fixed(out, **{f"{INNER}chunks": F.transform(places, text)}).drop(hashes, cuts, *bounds)
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, leasts: tuple[int, ...] | None = None) -> DataFrame:
     """Replace ``text`` of docs by what is kept of it and add n_lines, n_removed (lines) and n_chunks (removed chunks).
 
-    Every row stays, other columns too (clashing names are replaced). A null text stays null, with no line removed; an
-    empty text is one empty line. Rows alike in doc_id and text are treated alike: what either keeps, both keep. A null
-    doc_id comes first. Texts with equal hashes but other bytes than the kept place's stay.
+    ``leasts`` are the least lengths of the chunkings, (min_lines, 1) unless given. Every row stays, other columns too
+    (clashing names are replaced). A null text stays null, with no line removed; an empty text is one empty line. Rows
+    alike in doc_id and text are treated alike: what either keeps, both keep. A null doc_id comes first. Texts with
+    equal hashes but other bytes than the kept place's stay.
     """
+    leasts = (min_lines, 1) if leasts is None else leasts
     docs = docs.drop("n_lines", "n_removed", "n_chunks")
     row = [F.col("doc_id").alias("d"), F.xxhash64(F.col("text").cast("string")).alias("h")]
-    each = chunked(docs.select("doc_id", "text")).select(*row, F.posexplode(f"{INNER}chunks").alias("at", "c")).where(F.col("c.n") >= min_lines)
+    each = chunked(docs.select("doc_id", "text"), leasts).select(*row, F.explode(f"{INNER}chunks").alias("c")).where(F.col("c.n") >= min_lines)
     # keys only: which chunks are repeated at all, and where each stands first
-    keyed = each.select(F.md5("c.text").alias("key"), "d", "h", "at", F.col("c.text").alias("chunk"))
+    keyed = each.select(F.md5("c.text").alias("key"), "d", "h", F.struct("c.at", "c.n").alias("at"), F.col("c.text").alias("chunk"))
     place = F.struct("d", "h", "at")
     repeated = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("places"), F.min(place).alias("first")).where("places > 1").select(F.col("key").alias("k"), "first")
     held = written(keyed.join(repeated, F.col("key") == F.col("k")).select("key", "d", "h", "at", "chunk", (place == F.col("first")).alias("kept")), "chunks")
@@ -63,22 +79,32 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         gone.withColumnsRenamed({"d": f"{INNER}d", "h": f"{INNER}h", "gone": f"{INNER}gone"}),
         F.col("doc_id").eqNullSafe(F.col(f"{INNER}d")) & (F.xxhash64(F.col("text").cast("string")) == F.col(f"{INNER}h")), "left",
     )
-    gone_at, chunks, left = f"{INNER}gone", f"{INNER}chunks", f"{INNER}left"
-    full = chunked(full.withColumn(gone_at, F.coalesce(F.col(gone_at), F.array().cast("array<int>"))))
-    full = _fixed(full, **{left: F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col(gone_at))})
-    lines = F.aggregate(chunks, F.lit(0), lambda s, c: s + c["n"])
-    texts = F.transform(left, lambda j: F.element_at(chunks, j + 1)["text"])
-    left_lines = F.aggregate(left, F.lit(0), lambda s, j: s + F.element_at(chunks, j + 1)["n"])
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long")
+    gone_at, lines, left = f"{INNER}gone", f"{INNER}lines", f"{INNER}left"
+    full = full.withColumn(gone_at, F.coalesce(F.col(gone_at), F.array().cast("array<struct<at:int,n:int>>")))
+    full = _fixed(full, **{lines: F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)})
+    full = _fixed(full, **{f"{INNER}out": F.array_distinct(F.flatten(F.transform(gone_at, lambda g: F.sequence(g["at"], g["at"] + g["n"] - 1))))})
+    full = _fixed(full, **{left: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), f"{INNER}out")})
+    texts = F.transform(left, lambda i: F.element_at(lines, i + 1))
+    count = lambda n: F.when(F.col("text").isNull(), 0).otherwise(n).cast("long")
     return full.select(
         *(F.when(F.col("text").isNull(), F.lit(None)).when(F.size(gone_at) == 0, F.col("text").cast("string")).otherwise(F.array_join(texts, "\n")).alias("text") if c == "text" else F.col(c) for c in docs.columns),
-        n_lines.alias("n_lines"), F.when(F.col("text").isNull(), 0).otherwise(lines - left_lines).cast("long").alias("n_removed"), F.size(gone_at).cast("long").alias("n_chunks"),
+        count(F.size(lines)).alias("n_lines"), count(F.size(f"{INNER}out")).alias("n_removed"), F.size(gone_at).cast("long").alias("n_chunks"),
     )
 
 
-def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
+def _query(spark, sf_dir: str, leasts: tuple[int, ...]) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return dedup_lines(docs, leasts=leasts).select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """The chunking with every boundary only, as ORACLE states it: lines in chunks of one line stay."""
+    return _query(spark, sf_dir, (1,))
+
+
+def op2_line_dedup_whole(spark, sf_dir: str) -> DataFrame:
+    """Both chunkings, as the pipeline has them."""
+    return _query(spark, sf_dir, (MIN_LINES, 1))
 
 
 ORACLE = f"""
@@ -98,3 +124,29 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0
   sha256(coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+#: In a stretch of neighbouring boundaries every second one is kept (the text's start counts as one): MIN_LINES is 2.
+WHOLE_ORACLE = f"""
+WITH lines AS (
+  SELECT doc_id, i, l, ('0x' || substr(md5(l), 1, 7))::BIGINT AS h
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i FROM documents)
+), cuts AS (
+  SELECT *, (h * {FACTOR} + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {DIVISOR} = 0 AS cut, max(i) OVER (PARTITION BY doc_id) AS last FROM lines
+), stretches AS (
+  SELECT *, coalesce(max(i) FILTER (WHERE NOT cut) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING), -2) AS unbroken FROM cuts
+), chunkings AS (
+  SELECT 1 AS least, doc_id, i, l, cut FROM stretches
+  UNION ALL SELECT 2, doc_id, i, l, cut AND (i - unbroken) % 2 = 1 AND last - i >= 2 FROM stretches
+), numbered AS (
+  SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY least, doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM chunkings
+), chunks AS (
+  SELECT DISTINCT doc_id, b, n, chunk FROM (SELECT doc_id, min(i) AS b, count(*) AS n, string_agg(l, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY least, doc_id, c) WHERE n >= {MIN_LINES}
+), gone AS (
+  SELECT doc_id, b, n FROM chunks QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY doc_id, b, n) > 1
+), removed AS (
+  SELECT DISTINCT doc_id, unnest(range(b, b + n)) AS i FROM gone
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(removed.i)::BIGINT AS n_removed, coalesce(any_value(g.n), 0)::BIGINT AS n_chunks,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE removed.i IS NULL), '')) AS kept_sha256
+FROM lines LEFT JOIN removed USING (doc_id, i) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id) GROUP BY doc_id
+"""

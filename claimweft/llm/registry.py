@@ -9,6 +9,7 @@ def queries():
     return {
         "op1_best_fit_packing": packing.op1_best_fit_packing,
         "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op2_line_dedup_whole": line_dedup.op2_line_dedup_whole,
         "op3_license_scan": licenses.op3_license_scan,
         "op4_suffix_array_dedup": suffix_dedup.op4_suffix_array_dedup,
         "op5_source_mixing": mixing.op5_source_mixing,
@@ -21,4 +22,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op2_line_dedup": line_dedup.ORACLE, "op3_license_scan": licenses.oracle(), "op9_secret_scan": secrets.oracle()}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op2_line_dedup_whole": line_dedup.WHOLE_ORACLE, "op3_license_scan": licenses.oracle(), "op9_secret_scan": secrets.oracle()}

@@ -94,6 +94,19 @@ def test_line_dedup_keeps_the_first_place(docs, rows, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_leaves_no_stub_of_an_exact_copy(spark):
+    """Every line of a later exact copy goes, also those that every boundary would leave in chunks of one line."""
+    r = random.Random(8)
+    texts = ["\n".join(prose(r, 4) for _ in range(n)) for n in (2, 3, 4, 7, 12, 25, 60) for _ in range(4)]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts)], "doc_id long, text string")
+    got = {x.doc_id: x for x in line_dedup.dedup_lines(d).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].n_removed == 0 and got[i].text == t
+        assert got[len(texts) + i].n_removed == t.count("\n") + 1 and got[len(texts) + i].text == ""
+    old = line_dedup.dedup_lines(d, leasts=(1,)).agg(F.sum("n_removed")).first()[0]
+    assert old < sum(t.count("\n") + 1 for t in texts)
+
+
 def test_license_scan(docs, empty):
     got = [(r.doc_id, r.unit, r.license, r.dice) for r in licenses.scan(docs).collect()]
     assert (13, "line", "MIT-notice", 1.0) in got and {g[0] for g in got} == {13}
