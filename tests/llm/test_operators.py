@@ -242,6 +242,41 @@ def test_fingerprints(spark, docs, rows, empty):
     assert fingerprints.with_next(empty, 3).count() == 0
 
 
+def test_fingerprint_query_counts_near_copies(spark, tmp_path):
+    r = random.Random(9)
+    base = prose(r, 100).split()
+    texts = {100: " ".join(base), 200: "", 300: prose(r, 80), 301: None}
+    for i in range(12):
+        texts[101 + i] = " ".join(w if k != 8 * i + 2 else "edited" for k, w in enumerate(base))
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x.doc_id: x for x in fingerprints.op7_document_fingerprints(spark, str(tmp_path)).collect()}
+    order = sorted(texts, reverse=True)
+    own = fingerprints.simhash(pa.array([texts[d] for d in order], pa.large_string()))
+    bits = [int(x.tobytes().hex(), 16) for x in own]
+    for i, d in enumerate(order):
+        text, after = texts[d] or "", texts[order[(i + 1) % len(order)]] or ""
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        other = fingerprints.simhash(pa.array([edited], pa.large_string()))
+        assert got[d].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and int(got[d].fingerprint, 16) == bits[i]
+        assert abs(got[d].near_edited - fingerprints.likeness(own[i : i + 1], other)[0]) < 1e-12
+        assert abs(got[d].near_next - fingerprints.likeness(own[i : i + 1], own[[(i + 1) % len(order)]])[0]) < 1e-12
+        assert got[d].n_within == (None if d % 100 else sum((b ^ bits[i]).bit_count() <= fingerprints.RADIUS for b in bits) - 1)
+    assert got[100].n_within == 12
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 20, 31])
+def test_radius_search_is_exact(spark, radius):
+    r = random.Random(radius)
+    base = [r.getrandbits(128) for _ in range(6)]
+    prints = [b ^ sum(1 << k for k in r.sample(range(128), n)) for b in base for n in [0, 0, 1, 2, 3, 4, radius, radius, radius + 1, radius + 1]]
+    df = spark.createDataFrame([(f"{x:032x}",) for x in prints] + [(None,)], "fingerprint string")
+    asked = df.limit(25)
+    got = collections.Counter((x.fingerprint, x.other, x.distance, x["rows"]) for x in fingerprints.within_radius(asked, df, radius).collect())
+    many = collections.Counter(prints)
+    want = {(f"{x:032x}", f"{y:032x}", (x ^ y).bit_count(), many[y]): 1 for x in {int(q[0], 16) for q in asked.collect() if q[0]} for y in many if (x ^ y).bit_count() <= radius}
+    assert got == want
+
+
 def test_media_round_trip(docs, rows, empty):
     stored = media.store_texts(docs)
     got = {r.doc_id: r for r in media.digest(stored).collect()}
