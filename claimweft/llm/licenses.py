@@ -1,14 +1,17 @@
 """License scans: Dice coefficient over word bigrams between normalised text and licence templates.
 
-Units of a text are its lines and its paragraphs of two or more lines. Two bigram sets of sizes a and b have a Dice
+Units of a text are its lines, its paragraphs of two or more lines, its runs of adjacent paragraphs (the whole text is
+one), and the sentences of lines and paragraphs of several sentences. Two bigram sets of sizes a and b have a Dice
 coefficient of 2 min(a, b) / (a + b) at most, so a unit of size a needs comparing only with templates whose size is
-from a t / (2 - t) to a (2 - t) / t; a table from sizes to templates, fixed by the templates alone, finds them.
+from a t / (2 - t) to a (2 - t) / t; a table from sizes to templates, fixed by the templates alone, finds them. They share b t / (2 - t) bigrams at least, so
+a text without any of some words that are in more of a template's bigrams than the others leave is not like it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +61,41 @@ def size_table(templates: dict[str, str], threshold: float) -> list[tuple[int, s
     return rows
 
 
+def telling_words(templates: dict[str, str], threshold: float) -> list[str]:
+    """Words of which each text that is like a template has one or more; long words, as they are rare elsewhere."""
+    out = set()
+    for text in templates.values():
+        grams = [g.split(" ") for g in template_bigrams(text)]
+        least = len(grams) * threshold / (2 - threshold) - 1e-3
+        left = [g for g in grams if not out & set(g)]
+        for word in sorted({w for g in grams for w in g}, key=lambda w: (-len(w), w)):
+            if len(left) < least:
+                break
+            out.add(word)
+            left = [g for g in left if word not in g]
+    return sorted(out)
+
+
+def paragraph_runs(parts: str, most: int) -> Column:
+    """From paragraphs (grams, first word, last word) the runs of two or more as (place, grams), up to ``most`` bigrams.
+
+    A longer run from the same place with the same bigrams is left out, as it is as like as the shorter one.
+    """
+    none = F.array().cast("array<string>")
+
+    def step(s: Column, p: Column) -> Column:
+        joint = F.when(s["last"].isNotNull() & p["first"].isNotNull(), F.array(F.concat_ws(" ", s["last"], p["first"]))).otherwise(none)
+        grams = F.array_union(s["grams"], F.array_union(joint, p["grams"]))
+        new = (s["n"] > 0) & (F.size(grams) > F.size(s["grams"])) & (F.size(grams) <= most)
+        runs = F.when(new, F.concat(s["runs"], F.array(grams))).otherwise(s["runs"])
+        after = F.struct((s["n"] + 1).alias("n"), grams.alias("grams"), F.coalesce(p["last"], s["last"]).alias("last"), runs.alias("runs"))
+        return F.when(F.size(s["grams"]) > most, s).otherwise(after)
+
+    zero = F.struct(F.lit(0).alias("n"), none.alias("grams"), F.lit(None).cast("string").alias("last"), F.array().cast("array<array<string>>").alias("runs"))
+    from_place = lambda _, i: F.transform(F.aggregate(F.slice(parts, i + 1, F.size(parts) - i), zero, step, lambda s: s["runs"]), lambda g: F.struct(F.lit("run").alias("unit"), i.alias("place"), g.alias("grams")))
+    return F.flatten(F.transform(parts, from_place))
+
+
 def bigram_set(text: Column) -> tuple[Column, Column]:
     """Words of the normalised text; how to make bigrams of the words once they are a column."""
     words = F.filter(F.split(F.regexp_replace(F.lower(text), SEPARATORS, " "), " "), lambda w: w != "")
@@ -67,17 +105,40 @@ def bigram_set(text: Column) -> tuple[Column, Column]:
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Units of the texts that are like a licence: doc_id, unit, place (its number from 0), license, dice.
 
-    A unit gets its best template, by name among equals. Null and empty texts and units of fewer than two words have
-    no match. Repeated rows give repeated matches. No shuffle: the templates' table is fixed and small.
+    The place of a sentence is that of its line ("sentence") or, if it goes over several lines, of its paragraph
+    ("wrapped sentence"); that of a run is its first paragraph's; several of one place may be found. A unit gets its best template, by name among equals. Null and empty texts and units of fewer than two words
+    have no match. Repeated rows give repeated matches. No shuffle: the templates' table is fixed and small.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = F.transform(F.split(text, "\n", -1), lambda t, i: F.struct(F.lit("line").alias("unit"), i.alias("place"), t.alias("part")))
-    blocks = F.filter(F.transform(F.split(text, "\n[ \t\r]*\n", -1), lambda t, i: F.struct(F.lit("paragraph").alias("unit"), i.alias("place"), t.alias("part"))), lambda s: F.contains(s["part"], F.lit("\n")))
-    units = docs.select("doc_id", F.explode(F.concat(lines, blocks)).alias("u")).select("doc_id", "u.unit", "u.place", "u.part")
+    table_rows = size_table(templates, threshold)
+    telling = telling_words(templates, threshold)
+
+    def may_match(text: Column) -> Column:
+        lower = F.lower(text)
+        return reduce(lambda a, b: a | b, [F.contains(lower, F.lit(w)) for w in telling], F.lit(False))
+
+    text, lines, blocks, parts = (f"{INNER}{n}" for n in ("text", "lines", "blocks", "parts"))
+    base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias(text)).where(may_match(F.col(text)))
+    unit = lambda name, i, t: F.struct(F.lit(name).alias("unit"), i.alias("place"), t.alias("part"))
+    base = _fixed(base, **{lines: F.split(text, "\n", -1), blocks: F.split(text, "\n[ \t\r]*\n", -1)})
+
+    def sentences(of: str, name: str, keep) -> Column:
+        each = lambda t, i: F.transform(F.filter(F.split(t, "(?<=[.!?])[ \t\r\n]+", -1), lambda x: keep(x, t)), lambda x: unit(name, i, x))
+        return F.flatten(F.transform(of, each))
+
+    several = F.concat(
+        F.transform(lines, lambda t, i: unit("line", i, t)), F.filter(F.transform(blocks, lambda t, i: unit("paragraph", i, t)), lambda u: F.contains(u["part"], F.lit("\n"))),
+        sentences(lines, "sentence", lambda x, t: F.length(x) < F.length(F.trim(t))), sentences(blocks, "wrapped sentence", lambda x, t: F.contains(x, F.lit("\n")) & (F.length(x) < F.length(F.trim(t)))),
+    )
+    units = base.select("doc_id", F.explode(several).alias("u")).select("doc_id", "u.unit", "u.place", "u.part").where(may_match(F.col("part")))
     words, grams = bigram_set(F.col("part"))
-    sized = _fixed(_fixed(units, **{f"{INNER}words": words}).drop("part"), **{f"{INNER}grams": grams(F.col(f"{INNER}words"))}).withColumn(f"{INNER}size", F.size(f"{INNER}grams"))
-    by_size = _literal(spark, size_table(templates, threshold)).groupBy("size").agg(F.collect_list(F.struct("license", "rank", "grams")).alias("near"))
+    single = _fixed(_fixed(units, **{f"{INNER}words": words}).drop("part"), **{f"{INNER}grams": grams(F.col(f"{INNER}words"))}).drop(f"{INNER}words")
+    worded = _fixed(base.where(F.size(blocks) > 1), **{f"{INNER}worded": F.transform(blocks, lambda t: bigram_set(t)[0])})
+    part = lambda w: F.struct(grams(w).alias("grams"), F.get(w, F.lit(0)).alias("first"), F.get(w, F.size(w) - 1).alias("last"))
+    parted = _fixed(worded, **{parts: F.transform(f"{INNER}worded", part)})
+    runs = parted.select("doc_id", F.explode(paragraph_runs(parts, max((r[0] for r in table_rows), default=0))).alias("u")).select("doc_id", "u.unit", "u.place", F.col("u.grams").alias(f"{INNER}grams"))
+    sized = single.unionByName(runs).withColumn(f"{INNER}size", F.size(f"{INNER}grams"))
+    by_size = _literal(spark, table_rows).groupBy("size").agg(F.collect_list(F.struct("license", "rank", "grams")).alias("near"))
     found = sized.join(F.broadcast(by_size), F.col(f"{INNER}size") == F.col("size"))
 
     def likeness(t: Column) -> Column:

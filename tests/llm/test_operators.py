@@ -113,6 +113,21 @@ def test_license_scan(docs, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_scan_sees_whole_texts_runs_and_sentences(spark):
+    t = licenses.TEMPLATES
+    cut = lambda name, *starts: re.sub("(" + "|".join(map(re.escape, starts)) + ")", r"\n\n\1", t[name])
+    mit = cut("MIT", "The above copyright", "THE SOFTWARE IS PROVIDED")
+    texts = [
+        mit, cut("Apache-2.0-header", "You may obtain", "Unless required"), cut("ISC", "THE SOFTWARE IS PROVIDED"),
+        "A title\n\n" + prose(random.Random(1), 400) + "\n\n" + mit + "\n\n" + prose(random.Random(2), 400),
+        "See foo. Released under the MIT License. Other words follow here in the same long line",
+        "See foo. Released under\nthe MIT License. Other words\nfollow", "no licence here.\n\nNone. At all, and other words",
+    ]
+    got = {(r.doc_id, r.unit, r.license) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {(0, "run", "MIT"), (1, "run", "Apache-2.0-header"), (2, "run", "ISC"), (3, "run", "MIT"), (4, "sentence", "MIT-notice"), (5, "wrapped sentence", "MIT-notice")} <= got
+    assert not [g for g in got if g[0] == 6]
+
+
 def brute_repeats(texts, n=200):
     seen = collections.Counter(b[i : i + n] for b in texts for i in range(len(b) - n + 1))
     out = []
