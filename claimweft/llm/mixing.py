@@ -23,7 +23,7 @@ MOST_TIMES = 3
 SEED = 20240607
 #: A word: a run without space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = "[^\\x20\\x09-\\x0D]+"
-#: The dynamic programme's table ends at so many budget words; longer documents than that cannot be part of the rest.
+#: Shares and longest documents first leave half so many budget words to the dynamic programme, if they can.
 DP_WORDS = 1 << 14
 
 
@@ -57,7 +57,11 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
 
 
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_WORDS) -> np.ndarray:
-    """How many documents of each size to take, so that their words together come as near to the budget as can be."""
+    """How many documents of each size to take, so that their words together come near to the budget.
+
+    The rest after the shares and the longest documents is fitted as near as the documents still open allow, long ones
+    among them; what was taken before is not given back.
+    """
     order = np.argsort(-sizes)
     s, c = sizes[order].astype(object), counts[order].astype(object)
     total = int(sum(a * b for a, b in zip(s, c)))
@@ -67,20 +71,21 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int
         return counts.astype(np.int64)
     take = [int(n) * budget // total for n in c]
     rest = budget - int(sum(int(a) * t for a, t in zip(s, take)))
-    for i, size in enumerate(s):  # longest first, but leave what the dynamic programme can fit
-        k = min(int(c[i]) - take[i], max(0, rest - dp_words // 2) // int(size)) if size else 0
+    room = dp_words // 2
+    for i, size in enumerate(s):  # longest first, but leave what the dynamic programme can fit, a longer open document too
+        k = min(int(c[i]) - take[i], max(0, rest - room) // int(size)) if size else 0
         take[i] += k
         rest -= k * int(size)
+        room = max(room, int(size)) if take[i] < c[i] else room
     for i in range(len(s) - 1, -1, -1):  # what is still open beyond the table goes to short documents
         if rest < dp_words:
             break
-        k = min(int(c[i]) - take[i], (rest - dp_words // 2) // max(1, int(s[i])))
+        k = min(int(c[i]) - take[i], max(0, rest - room) // max(1, int(s[i])))
         take[i] += k
         rest -= k * int(s[i])
-    limit = min(rest, dp_words) + max((int(x) for i, x in enumerate(s) if int(x) <= dp_words and take[i] < c[i]), default=0)
-    reach = np.zeros(limit + 1, bool)
-    reach[0] = True
-    steps = []
+    # a sum beyond twice the rest is no nearer than none
+    limit = min(2 * rest, rest + max((int(x) for i, x in enumerate(s) if take[i] < c[i]), default=0))
+    mask, reach, steps = (1 << (limit + 1)) - 1, 1, []  # bit n of reach: n words can be had
     for i, size in enumerate(s):
         size, have = int(size), int(c[i]) - take[i]
         if not size or not have or size > limit:
@@ -89,20 +94,17 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int
         have = min(have, limit // size)
         while have:  # binary parts of the bounded count
             k = min(k, have)
-            before = reach.copy()
-            if k * size <= limit:
-                reach[k * size :] |= before[: limit + 1 - k * size]
-            steps.append((i, k, before))
+            steps.append((i, k, reach))
+            reach |= (reach << (k * size)) & mask
             have -= k
             k *= 2
-            if reach[min(rest, limit)]:
+            if reach >> rest & 1:
                 break
-        if reach[min(rest, limit)]:
+        if reach >> rest & 1:
             break
-    hits = np.flatnonzero(reach)
-    at = int(hits[np.abs(hits - rest).argmin()])
+    at = next(n for off in range(rest + 1) for n in (rest - off, rest + off) if reach >> n & 1)
     for i, k, before in reversed(steps):
-        if not before[at]:
+        if not before >> at & 1:
             at -= k * int(s[i])
             take[i] += k
     out = np.zeros(len(sizes), np.int64)

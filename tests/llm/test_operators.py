@@ -193,6 +193,12 @@ def test_budget_fit_is_near_for_any_histogram():
         assert (take >= 0).all() and (take <= counts).all() and abs(int((take * sizes).sum()) - budget) <= sizes.max()
 
 
+@pytest.mark.parametrize("sizes,counts,budget,off", [([20000], [10], 19_999, 1), ([20000], [1], 19_999, 1), ([20000], [1], 9_999, 9_999), ([20000, 30000, 40000], [1, 1, 1], 60_000, 0), ([50, 20000], [3, 2], 20_050, 0)])
+def test_budget_fit_takes_long_documents(sizes, counts, budget, off):
+    take = mixing.fit_budget(np.asarray(sizes), np.asarray(counts), budget)
+    assert (take >= 0).all() and (take <= counts).all() and abs(int((take * sizes).sum()) - budget) == off
+
+
 def brute_classes(rows, similarity=0.8):
     grams = {}
     for i, (d, t, *_) in enumerate(rows):
