@@ -65,16 +65,19 @@ class _Chunks(dict):
 
 
 class ByteBPE:
-    """The byte-level BPE of a ``tokenizers`` file; special tokens' strings in a text are ordinary text.
+    """The byte-level BPE of a ``tokenizers`` file; a special token's string in a text is that token, as by default there.
 
-    The file's vocabulary is run by tiktoken's encoder, which gives the same ids several times faster; ``probe``
-    compares the two on loading and refuses a file for which they differ.
+    The file's vocabulary is run by tiktoken's encoder, which gives the same ids several times faster; a probe text
+    compares the two on loading and refuses a file for which they differ. Texts are cut at the special tokens' strings
+    (the longest of those that start first), and what stands between is encoded by itself.
     """
 
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     PROBE = "It's a (small) test,\nof 12 things:  naïve — ça va?\n\n\tüber 3.5 % 中文 😀 don't stop "
 
     def __init__(self, path: str):
+        import re
+
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -84,22 +87,33 @@ class ByteBPE:
         shown = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
         ranks = {bytes(map(shown.__getitem__, w)): i for w, i in model["vocab"].items() if all(c in shown for c in w)}
         own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True
-        special = {t.content.encode() for t in own.get_added_tokens_decoder().values()}
-        self._encode = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks={w: i for w, i in ranks.items() if w not in special}, special_tokens={}).encode_ordinary
-        if self._encode(self.PROBE) != own.encode(self.PROBE, add_special_tokens=False).ids:
-            raise ValueError(f"{path} is not a byte-level BPE with the known pattern")
+        added = own.get_added_tokens_decoder()
+        special = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        self._encode = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks={w: i for w, i in ranks.items() if w.decode("utf-8", "replace") not in special}, special_tokens={}).encode_ordinary
+        self._special = special
+        self._at_special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self._first = _Chunks(self._raw, "")
         self._next = _Chunks(self._raw, " ", self._first)
-        import re
-
         self._odd = re.compile(r"^\s|\s$|\s |\s\s").search  # white space beside white space or at an end: no chunks
+        probe = self.PROBE + "".join(f"a {t} b{t}" for t in special)
+        plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
+        if not plain or self.ids(probe) != array("I", own.encode(probe, add_special_tokens=False).ids).tobytes():
+            raise ValueError(f"{path} is not a byte-level BPE with the known pattern")
 
     def _raw(self, text: str) -> bytes:
         return array("I", self._encode(text)).tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids as unsigned 32-bit little-endian numbers."""
+        if self._at_special and self._at_special.search(text):
+            out, at = [], 0
+            for m in self._at_special.finditer(text):
+                out += [self._ordinary(text[at : m.start()]), self._special[m.group()]]
+                at = m.end()
+            return b"".join([*out, self._ordinary(text[at:])])
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         if not text:
             return b""
         if self._odd(text):
@@ -362,4 +376,5 @@ def default_tokenizer() -> str:
 
 
 def op1_best_fit_packing(spark, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of CAPACITY tokens. A null or empty text is one piece with the end id."""
     return pack_documents(table(spark, sf_dir, "documents"), default_tokenizer())

@@ -31,7 +31,7 @@ def rows():
     r = random.Random(7)
     shared = prose(r, 60)
     base = prose(r, 120)
-    texts = [None, "", " \n ", "a", base, base, base.replace("a", "b", 3), prose(r, 30) + " " + shared + "\n" + prose(r, 25), shared + "\n" + prose(r, 40), "x" * 500, "ab " * 300, LINES, "zero\n" + LINES, "MIT\nReleased under the MIT License.", "日本語 текст 😀 " * 30]
+    texts = [None, "", " \n ", "a", base, base, base.replace("a", "b", 3), prose(r, 30) + " " + shared + "\n" + prose(r, 25), shared + "\n" + prose(r, 40), "x" * 500, "ab " * 300, LINES, "zero\n" + LINES, "MIT\nReleased under the MIT License.", "日本語 текст 😀 " * 30, "end <|endoftext|> of text<|endoftext|>"]
     texts += [prose(r, r.randint(1, 400)) for _ in range(40)]
     words = base.split()
     for i in range(6):
@@ -57,7 +57,6 @@ def test_packing_is_gapless_and_whole(spark, docs, rows):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(packing.default_tokenizer())
-    own.encode_special_tokens = True
     want = collections.Counter()
     for d, t, *_ in rows:
         ids = own.encode(t or "", add_special_tokens=False).ids + [2]
@@ -79,6 +78,27 @@ def test_packing_is_gapless_and_whole(spark, docs, rows):
     assert len(seqs) <= -(-sum(r.length for r in got) // 1024) + 2
 
 
+def test_ids_are_those_of_the_tokenizer():
+    """Special tokens' strings, random characters and bytes, blanks at every place."""
+    from tokenizers import Tokenizer
+
+    own, t = Tokenizer.from_file(packing.default_tokenizer()), packing.tokenizer(packing.default_tokenizer())
+    r = random.Random(12)
+    parts = ["<|endoftext|>", "<|endof", "text|>", "<|", " ", "  ", "\n", "\t", "a", "it's", "Zürich", "12", "…", "\u00a0", "\u2003", "😀", "中文", "!", ",", "\x00", "\r\n", "é", "e\u0301"]
+    for _ in range(3000):
+        text = "".join(r.choices(parts, k=r.randint(0, 12)))
+        assert np.frombuffer(t.ids(text), "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, text
+    for _ in range(500):
+        text = bytes(r.randrange(256) for _ in range(40)).decode("utf-8", "replace")
+        assert np.frombuffer(t.ids(text), "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing_of_an_empty_table_and_a_very_long_text(spark, empty):
+    assert packing.pack_documents(empty, packing.default_tokenizer()).count() == 0
+    got = packing.pack_documents(spark.createDataFrame([(1, "word " * 300_000)], "doc_id long, text string"), packing.default_tokenizer()).collect()
+    assert sum(r.length for r in got) > 300_000 and len({r.sequence_id for r in got}) == len(got)
+
+
 def test_plan_places_every_piece_once_and_nearly_full():
     r = random.Random(1)
     h = collections.Counter(min(1024, max(1, int(r.lognormvariate(5, 1.2)))) for _ in range(20_000))
