@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -39,14 +40,18 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which driver and executors share; a local one only where it is unset."""
+    """A folder of this application in ``spark.checkpoint.dir``, which driver and executors share.
+
+    In local mode, as in tests, a folder is made where the setting is unset; on a cluster that is an error.
+    """
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where
-    local = getattr(spark.sparkContext, "_claimweft_dir", None)
-    if local is None:
-        local = spark.sparkContext._claimweft_dir = "file://" + tempfile.mkdtemp(prefix="claimweft-shared-")
-    return local
+    if not where:
+        where = getattr(spark.sparkContext, "_claimweft_dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        where = spark.sparkContext._claimweft_dir = "file://" + tempfile.mkdtemp(prefix="claimweft-shared-")
+    return f"{where.rstrip('/')}/claimweft-{spark.sparkContext.applicationId}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -54,14 +59,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._claimweft_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(t._claimweft_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rename the columns of df that an operator would replace by its own, and a function that gives back df's columns."""
+    held = {c: f"{INNER}own_{c}" for c in df.columns if c.lower() in names}
+    return df.withColumnsRenamed(held), lambda out: out.select(*(F.col(held.get(c, c)).alias(c) for c in df.columns))
 
 
 def salts(spark: SparkSession) -> int:
-    """Into how many parts a hot key is dealt: the session's shuffle partitions, 1024 at most (a bound for small tables keyed by part)."""
+    """Into how many parts the rows of a hot key are dealt: the session's shuffle partitions, 1024 at most.
+
+    No row is left out beyond that: a part is a sort that spills, and tables keyed by part stay small.
+    """
     return max(1, min(1024, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def tasks(spark: SparkSession, n_bytes: int, each: int) -> int:
+    """Tasks for a shuffle of n_bytes: as many as keep a task at ``each`` bytes, the session's partitions at least."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // each))
+
+
 def salted_rank(df: DataFrame, keys: list[str], salt: Column, order: list[Column], out: str, parts: int) -> DataFrame:
     """Add out: the row's rank from 0 among the rows with equal keys, ordered by (salt, order).
 
@@ -143,7 +172,6 @@ def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
-#: Bytes that end a word: ASCII blanks and controls up to the space.
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of bytes that are not ASCII white space: start, end, 64-bit hash, and row of each, in order."""
     n = len(data)

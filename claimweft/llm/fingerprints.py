@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import math
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import INNER, flat, mix, row_bounds, salts, ship, slices, table, words, written
+from claimweft.llm.common import INNER, flat, mix, row_bounds, ship, slices, table, tasks, words, written
 
 BITS = 128
 TERM_WORDS = 3
@@ -26,6 +27,8 @@ TERM_WORDS = 3
 RADIUS = 20
 #: The most keys that a query looks up; of the cuts into blocks that need no more, the one with the longest blocks is used.
 MOST_KEYS = 2000
+#: Bytes of text of a run of neighbouring documents, which is a task.
+RUN_BYTES = 256 << 20
 
 
 def terms(data: np.ndarray, offsets: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +77,10 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(docs: DataFrame, n_words: int = TERM_WORDS) -> DataFrame:
-    """Add a column ``fingerprint`` (hex) to docs, from ``text``. Needs no shuffle."""
+    """Add a column ``fingerprint`` (hex) to docs, from ``text``; one of that name is replaced. Needs no shuffle.
+
+    Null, empty and blank texts have the fingerprint without bits; equal texts have equal ones; other columns stay.
+    """
     ship(docs.sparkSession)
     docs = docs.drop("fingerprint")
 
@@ -140,27 +146,32 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     next document: columns run, ahead (1 for that extra document), doc_id, text, sorted within partitions.
 
     Rows with one doc_id are ordered by text, null last; a null doc_id comes after all others; the last document is
-    followed by the first. Cut points are quantiles of doc_id, at most ``parts``.
+    followed by the first. Cut points are quantiles of doc_id, at most ``parts``; a row's run is found by bisection.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cuts = d.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    edges = F.array(*map(F.lit, cuts)).cast("array<bigint>")
-    run = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(edges, lambda c: c <= F.col("doc_id")))).cast("int")
-    runs = d.withColumn("run", run)
-    heads = sorted(runs.groupBy("run").agg(F.max("doc_id").alias("doc_id")).collect(), key=lambda r: -r["run"])  # one row a run
     spark = docs.sparkSession
-    follow = [(r["doc_id"], heads[(i - 1) % len(heads)]["run"]) for i, r in enumerate(heads)]  # the run before gets it
+    cuts = d.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], max(10_000, 4 * parts))).first()[0] or []
+    cuts = sorted(set(cuts))
+    edges = F.from_json(F.lit(json.dumps(cuts)), "array<bigint>")
+    steps = [1 << k for k in range(len(cuts).bit_length(), -1, -1)]
+    bisected = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) <= F.col("doc_id"), at + step).otherwise(at))
+    runs = d.withColumn("run", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(F.lit(len(cuts)) - bisected).cast("int"))
+    heads = sorted(runs.groupBy("run").agg(F.max("doc_id").alias("doc_id")).collect(), key=lambda r: r["run"])  # one row a run
+    follow = [(r["doc_id"], heads[i - 1]["run"]) for i, r in enumerate(heads)]  # the run before gets it
     to = spark.createDataFrame(follow, "doc_id long, to int").withColumnRenamed("doc_id", f"{INNER}d")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    known = [r["doc_id"] for r in heads if r["doc_id"] is not None]
-    near = d.where(F.col("doc_id").isin(known) | F.col("doc_id").isNull()) if any(r["doc_id"] is None for r in heads) else d.where(F.col("doc_id").isin(known))
-    ahead = near.withColumn("n", first).where("n = 1").join(F.broadcast(to), F.col("doc_id").eqNullSafe(F.col(f"{INNER}d"))).select(F.col("to").alias("run"), F.lit(1).alias("ahead"), "doc_id", "text")
-    both = runs.select("run", F.lit(0).alias("ahead"), "doc_id", "text").unionByName(ahead)
-    return both.repartition(parts, "run").sortWithinPartitions(F.col("run").desc(), "ahead", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_last())
+    head = F.col("doc_id").eqNullSafe(F.col(f"{INNER}d"))
+    near = d.join(F.broadcast(to), head).withColumn("n", first).where("n = 1")  # a row or two a run
+    both = runs.select("run", F.lit(0).alias("ahead"), "doc_id", "text").unionByName(near.select(F.col("to").alias("run"), F.lit(1).alias("ahead"), "doc_id", "text"))
+    return both.repartitionById(len(cuts) + 2, "run").sortWithinPartitions("run", "ahead", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_last())
 
 
 def op7_document_fingerprints(spark, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, and how many others are within RADIUS of every hundredth.
+
+    A null text is an empty one, whose fingerprint has no bit set. Rows with one doc_id follow each other by text; a null
+    doc_id comes last and is not looked up (n_within is null). An empty table gives an empty one.
+    """
     ship(spark)
     docs = table(spark, sf_dir, "documents")
 
@@ -195,11 +206,13 @@ def op7_document_fingerprints(spark, sf_dir: str) -> DataFrame:
                     ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
                 )
 
+    n_bytes = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     prints = written(
-        with_next(docs, salts(spark)).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"),
+        with_next(docs, tasks(spark, n_bytes, RUN_BYTES)).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"),
         "prints",
     )
-    # a fixed query set: every document whose id is divisible by 100, against all
+    # a fixed query set: every document whose id is divisible by 100, against all; the others need no lookup
     asked = prints.where("doc_id % 100 = 0")
     found = within_radius(asked, prints).groupBy("fingerprint").agg((F.sum("rows") - 1).alias("n_within"))
-    return prints.join(found.withColumnRenamed("fingerprint", "f"), F.when(F.col("doc_id") % 100 == 0, F.col("fingerprint")) == F.col("f"), "left").drop("f")
+    counted = asked.join(found.withColumnRenamed("fingerprint", "f"), F.col("fingerprint") == F.col("f"), "left").drop("f")
+    return counted.unionByName(prints.where("doc_id % 100 <> 0 OR doc_id IS NULL").withColumn("n_within", F.lit(None).cast("long")))

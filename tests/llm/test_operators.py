@@ -457,3 +457,49 @@ def test_pipeline_runs_and_keeps_columns(spark):
     first = p.STAGES[0][1](spark, docs, SMALL)
     assert first.columns == docs.columns and first.count() >= 0.97 * docs.count()
     assert p.run(spark, SMALL).count() > 0
+
+
+def slow_simhash(text, n_words=fingerprints.TERM_WORDS):
+    """Bit by bit: each occurrence of a term votes with each of its hash bits."""
+    data, offsets = np.frombuffer((text or "").encode(), np.uint8), np.asarray([0, len((text or "").encode())])
+    votes = [0] * fingerprints.BITS
+    _, hashes = fingerprints.terms(data, offsets, n_words)
+    for h in hashes.tolist():
+        for word in range(fingerprints.BITS // 64):
+            v = int(fingerprints.mix(np.asarray([(h + 0x9E3779B97F4A7C15 * (word + 1)) % 2**64], np.uint64))[0])
+            for byte in range(8):
+                for bit in range(8):
+                    votes[64 * word + 8 * byte + bit] += 1 if v >> 8 * byte >> (7 - bit) & 1 else -1
+    return sum((v > 0) << (fingerprints.BITS - 1 - i) for i, v in enumerate(votes))
+
+
+def test_simhash_equals_a_slow_vote(rows):
+    texts = [t for _, t, *_ in rows][:30]
+    got = fingerprints.simhash(pa.array(texts, pa.large_string()))
+    for g, t in zip(got, texts):
+        assert int(g.tobytes().hex(), 16) == slow_simhash(t), t
+
+
+def test_terms_are_the_runs_of_words():
+    def count(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return collections.Counter(fingerprints.terms(data, np.asarray([0, len(data)]), 3)[1].tolist())
+
+    a, b = count("a b c d e a b c"), count("a b c")
+    assert sum(a.values()) == 6 and sorted(a.values()) == [1, 1, 1, 1, 2] and [a[h] for h in b] == [2]
+    assert sum(count("x y").values()) == 1 and not count(" \n")
+
+
+def test_fingerprint_query_on_ties_nulls_clashes_and_no_rows(spark, tmp_path):
+    rows = [(None, "no id", 1), (5, "b", 2), (5, "a", 3), (5, None, 4), (400, None, 5), (400, "", 6), (900, "x " * 40_000, 7)]
+    for name, some in (("some", rows), ("none", [])):
+        spark.createDataFrame(some, "doc_id long, text string, fingerprint long").write.parquet(str(tmp_path / name / "documents.parquet"))
+    got = fingerprints.op7_document_fingerprints(spark, str(tmp_path / "some")).collect()
+    order = [(900, "x " * 40_000), (400, ""), (400, None), (5, "a"), (5, "b"), (5, None), (None, "no id")]
+    want = collections.Counter()
+    for i, (d, t) in enumerate(order):
+        t, after = t or "", order[(i + 1) % len(order)][1] or ""
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        want[d, len(t), hashlib.sha256(edited.encode()).hexdigest(), f"{slow_simhash(t):032x}" if len(t) < 100 else None] += 1
+    assert collections.Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint if r.n_chars < 100 else None) for r in got) == want
+    assert fingerprints.op7_document_fingerprints(spark, str(tmp_path / "none")).count() == 0
