@@ -219,6 +219,46 @@ def test_budget_fit_takes_long_documents(sizes, counts, budget, off):
     assert (take >= 0).all() and (take <= counts).all() and abs(int((take * sizes).sum()) - budget) == off
 
 
+def nearest_sum(sizes, counts, budget):
+    """How near the sums of any choice come to the budget: all of them, one size after another."""
+    sums = {0}
+    for s, n in zip(sizes, counts):
+        sums = {x + k * s for x in sums for k in range(n + 1)}
+    return min(abs(x - budget) for x in sums)
+
+
+def test_budget_fit_against_all_sums():
+    """Where the budget is within the table of the dynamic programme, no choice comes nearer."""
+    r = random.Random(13)
+    for _ in range(300):
+        sizes = r.sample(range(1, 40), r.randint(1, 6))
+        counts = [r.randint(1, 5) for _ in sizes]
+        budget = r.randint(0, sum(s * n for s, n in zip(sizes, counts)))
+        take = mixing.fit_budget(np.asarray(sizes), np.asarray(counts), budget)
+        assert abs(sum(int(t) * s for t, s in zip(take, sizes)) - budget) == nearest_sum(sizes, counts, budget), (sizes, counts, budget)
+
+
+def test_mix_keeps_clashing_columns_and_repeated_rows(spark):
+    rows = [(1, "a b c", "s", 9.5, 7, 1), (1, "a b c", "s", 9.5, 7, 1), (2, None, None, 1.5, 8, 2), (3, "", "t", None, 9, 3), (4, "x " * 400_000, "t", 2.5, None, 4), (None, "p q", None, 0.5, 1, 5)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, size double, copies int, weight int")
+    got = collections.Counter(map(tuple, mixing.taken(d).collect()))
+    assert set(got) <= set(rows) and mixing.taken(d).columns == d.columns
+    mixed = mixing.mix(d).collect()
+    assert sum(got.values()) == sum(r.copies for r in mixed) and len(mixed) == len(rows)
+    alike = [r.copies for r in mixed if r.doc_id == 1]
+    assert len(alike) == 2 and max(alike) - min(alike) <= 1
+
+
+def test_sources_are_ranked_by_code_point(spark):
+    names = ["", "a", "ab", "abc", "b", "z", "é", "中", "😀", None, "a\x00", "ab\x7f"]
+    for some in (names, ["http://" + (n or "") for n in names], [None], ["x"], []):
+        some = list(dict.fromkeys(some))
+        df = spark.createDataFrame([(n,) for n in some], "source string")
+        got = dict(mixing.in_order(df, "at").select("source", "at").collect())
+        order = sorted((n for n in some if n is not None), key=lambda n: n.encode()) + [None] * (None in some)
+        assert got == {n: i for i, n in enumerate(order)}
+
+
 def brute_classes(rows, similarity=0.8):
     grams = {}
     for i, (d, t, *_) in enumerate(rows):
