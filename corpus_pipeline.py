@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows of docs and returns a frame; all but the last keep the columns
 of documents. ``run`` writes each stage's rows as Parquet into the shared folder and reads them for the next one.
-Null texts, empty texts, repeated rows, extra columns and empty tables follow the operators' own definitions.
+Null texts, empty texts, repeated rows and empty tables follow the operators' own definitions; extra columns keep their
+values, also those with names that the operators use.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import table, written
+from claimweft.llm.common import aside, table, written
 from claimweft.llm.language import UNDETERMINED, fit, identify
 from claimweft.llm.line_dedup import dedup_lines
 from claimweft.llm.mixing import taken
@@ -22,18 +23,26 @@ LEAST_LANGUAGE_SCORE = 0.3
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of undetermined language. The model learns from the labelled rows of the documents themselves."""
-    known = identify(docs, fit(docs))
-    return known.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    """Drop documents of undetermined language. The model learns from the labelled rows of the documents themselves.
+
+    Where no row has a label, nothing can be told apart, and every document with letters stays.
+    """
+    held, back = aside(docs, ("lang_pred", "score"))
+    model = fit(held)
+    if not model.langs:
+        return docs.where(F.col("text").rlike("\\p{L}"))
+    return back(identify(held, model).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)))
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove repeated chunks of lines and bring n_chars up to date; a document of which nothing is left goes."""
-    kept = dedup_lines(docs).where(~((F.col("n_chunks") > 0) & (F.trim("text") == ""))).select(*docs.columns)
+    held, back = aside(docs, ("n_lines", "n_removed", "n_chunks"))
+    kept = back(dedup_lines(held).where(F.col("text").isNull() | ~((F.col("n_chunks") > 0) & ~F.col("text").rlike("\\S"))))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else kept
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the least doc_id; texts without words all stay."""
     return one_of_each(docs)
 
 
@@ -43,6 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequences and offsets."""
     return pack_documents(docs, default_tokenizer())
 
 
