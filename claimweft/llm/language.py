@@ -6,7 +6,7 @@ are labelled by forward-backward, so a text may switch languages; a document's l
 sum of word posteriors and its score is their mean.
 
 The model is fitted on the driver on a bounded sample: TRAIN_DOCS documents of each of at most TRAIN_LANGS languages,
-of at most TRAIN_CHARS characters. Prediction reads every whole text.
+TRAIN_CHARS characters of each at most. Prediction reads every whole text.
 """
 
 from __future__ import annotations
@@ -262,10 +262,15 @@ def held_out() -> Column:
 
 
 def fit(docs: DataFrame, docs_per_lang: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> Model:
-    """Train on a bounded sample of the labelled rows that aren't held out, chosen by a hash of doc_id."""
-    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars) & (F.length("text") > 0))
+    """Train on a bounded sample of the labelled rows that aren't held out, chosen by a hash of doc_id.
+
+    Of a text longer than ``chars`` a stretch of so many characters is read, from a place chosen by that hash too.
+    """
+    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
     chance = F.xxhash64(F.col("doc_id").cast("long"), F.lit(SEED))
-    best = labelled.select("doc_id", "lang", "text").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(chance, "doc_id", "text"))).where(F.col("n") <= docs_per_lang)
+    from_ = F.pmod(chance, F.greatest(F.length("text") - chars, F.lit(0)) + 1) + 1
+    stretch = F.substring("text", from_.cast("int"), F.lit(chars))
+    best = labelled.select("doc_id", "lang", stretch.alias("text"), chance.alias("chance")).withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("chance", "doc_id", "text"))).where(F.col("n") <= docs_per_lang)
     rows = best.orderBy(F.col("n"), F.col("lang")).limit(docs_per_lang * TRAIN_LANGS).select("text", "lang").collect()
     return train([r[0] for r in rows], [r[1] for r in rows])
 
@@ -292,5 +297,9 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those not held out. A null doc_id is not held out.
+
+    Null, empty and letterless texts are ``und`` with score 0; so are all if no document has a label.
+    """
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     return identify(docs.select("doc_id", "text"), fit(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
