@@ -4,17 +4,20 @@ A 200-byte window picks an anchor in itself: the right-most of the K-byte string
 windows pick it at the same place, so only suffixes at anchors need sorting, and only at anchors whose K bytes stand
 elsewhere too. The steps:
 
-1. each slice of texts sends its distinct anchor hashes to buckets, which answer with the places of repeated ones;
-2. the suffixes at those places (WINDOW bytes on, and what is before them, last byte first) are sorted per group of
-   texts; equal ones are one entry; sorted runs are front-coded, split by their first K bytes and exchanged;
+1. texts are dealt to groups by their content, equal ones as one text with a count, and written; each group sends the
+   distinct hashes of its anchors to buckets, which answer each group which of them are repeated, so a frequent string
+   is one number a group however many texts have it; some repeated strings come along as a sample;
+2. the suffixes at those places (WINDOW bytes on, and what is before them, last byte first) are sorted in each group;
+   equal ones are one entry; sorted runs are front-coded, split by splitters from the sample and exchanged;
 3. runs are merged with a loser tree in which every entry knows its common prefix with the last output, so known
-   prefixes are never compared again; common prefixes of neighbours come out of the merge;
+   prefixes are never compared again; common prefixes of neighbours come out of the merge, and parts follow each other
+   in the order of suffixes;
 4. entries with the same first K bytes are neighbours then: each finds how far left and right it agrees with another
-   by a whole window, by comparison or, among many, by counting equal windows. Where even that is too much for one
-   task, each gives its windows' hashes (bounded by its neighbours' common prefixes) to a grouped count over all tasks;
+   by a whole window, by comparison or, among many, by grouping equal windows. Where even that is too much for one
+   task, each gives its windows (bounded by its neighbours' common prefixes) to a grouped count over all tasks;
 5. texts get their intervals and lose those bytes.
 
-Equal texts are one text with a count on the way, so groups of copies send their text once a slice.
+Hashes only choose places and candidates: what is removed was found equal byte by byte.
 """
 
 from __future__ import annotations
@@ -28,19 +31,22 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import BASE, BASE_INVERSE, _byte_table, _powers, flat, mix, salts, ship, slices, span_hashes, table, written
+from claimweft.llm.common import BASE, BASE_INVERSE, _byte_table, _powers, mix, ship, slices, table, tasks, written
 
 WINDOW = 200
 K = 100
 BEFORE = WINDOW - K
 ENTRY = WINDOW + BEFORE
-#: Different suffixes with the same first K bytes that are compared one with all; with more, a task counts their windows.
+#: Different suffixes with the same first K bytes that are compared one with all; with more, a task groups their windows.
 TOGETHER = 256
 #: With still more, the windows are counted by a grouped aggregation over all tasks.
 IN_TASK = 100_000
-#: Bytes of text for a bucket of anchors, a group of texts, and a part of the merge.
-BUCKET_BYTES, GROUP_BYTES, PART_BYTES = 32 << 20, 12 << 20, 24 << 20
-SLICE = 3 << 20
+#: Bytes of text for a bucket of anchors, a group of texts, and a part of the merge; bytes of a shuffle task.
+BUCKET_BYTES, GROUP_BYTES, PART_BYTES, TASK_BYTES = 256 << 20, 12 << 20, 24 << 20, 128 << 20
+#: Bytes of a slice of the table, and of a piece of joined texts whose anchors are found at once.
+SLICE, PIECE = 12 << 20, 3 << 20
+#: Repeated strings in the sample (expected), and the most splitters made of it; between two, parts are cut evenly.
+SAMPLE, SPLITTERS = 20_000, 1024
 
 
 def _pack(*arrays) -> bytes:
@@ -51,6 +57,25 @@ def _unpack(blob: bytes):
     return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
 
 
+def _sliding_least(h: np.ndarray, w: int) -> np.ndarray:
+    """For each run of w hashes, ascending, the place of the least; the right-most among equals."""
+    m = len(h)
+    rows = np.concatenate([h, np.full(-m % w, ~np.uint64(0))]).reshape(-1, w)
+    at = np.arange(rows.size).reshape(-1, w)
+    before = np.minimum.accumulate(rows, axis=1)
+    before_at = np.maximum.accumulate(np.where(rows == before, at, -1), axis=1).reshape(-1)
+    turned = rows[:, ::-1]
+    after = np.minimum.accumulate(turned, axis=1)
+    lower = np.ones(rows.shape, bool)
+    lower[:, 1:] = turned[:, 1:] < after[:, :-1]
+    step = np.maximum.accumulate(np.where(lower, np.arange(w), 0), axis=1)
+    after_at = (at[:, -1:] - step)[:, ::-1].reshape(-1)
+    after, before = after[:, ::-1].reshape(-1), before.reshape(-1)
+    n = m - w + 1
+    right = before[w - 1 : w - 1 + n] <= after[:n]
+    return np.where(right, before_at[w - 1 : w - 1 + n], after_at[:n])
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, k: int = K) -> tuple[np.ndarray, np.ndarray]:
     """Places of the anchors of all windows that lie within a text, ascending, and the hashes of their k bytes."""
     n, m, w = len(data), len(data) - k + 1, window - k + 1
@@ -60,42 +85,34 @@ def anchors(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, k: int
         run = np.zeros(n + 1, np.uint64)
         np.cumsum(_byte_table()[data] * _powers("up", BASE, n), out=run[1:])
         h = mix((run[k:] - run[:m]) * _powers("down", BASE_INVERSE, n + 1)[:m])
-    mask = np.uint64((1 << int(m).bit_length()) - 1)
-    ranked = (h & ~mask) | (mask - np.arange(m, dtype=np.uint64))  # least hash first, then right-most
-    rows = np.concatenate([ranked, np.full(-m % w, ~np.uint64(0))]).reshape(-1, w)
-    before = np.minimum.accumulate(rows, axis=1).reshape(-1)
-    after = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    starts = m - w + 1
-    least = np.minimum(after[:starts], before[w - 1 : w - 1 + starts])
-    inside = np.zeros(n + 1, np.int8)
-    lengths = np.diff(offsets)
-    long = lengths >= window
+    least = _sliding_least(h, w)
+    inside = np.zeros(n + 1, np.int32)
+    long = np.diff(offsets) >= window
     np.add.at(inside, offsets[:-1][long], 1)
     np.add.at(inside, offsets[1:][long] - window + 1, -1)
-    least = least[np.cumsum(inside[:starts]).astype(bool)]
+    least = least[np.cumsum(inside[: len(least)]).astype(bool)]
     if len(least):  # neighbours mostly pick the same anchor
         least = least[np.concatenate([[True], least[1:] != least[:-1]])]
-    at = np.unique((mask - (least & mask)).astype(np.int64))
+    at = np.unique(least)
     return at, h[at]
 
 
-def _distinct_texts(part: pa.RecordBatch) -> tuple[list[bytes], list[bytes], list[int]]:
-    """Keys, bytes and counts of the distinct texts of a slice."""
-    seen: dict[bytes, list] = {}
-    for t in part.column("text").to_pylist():
-        b = (t or "").encode()
-        seen.setdefault(hashlib.md5(b).digest(), [b, 0])[1] += 1
-    return list(seen), [v[0] for v in seen.values()], [v[1] for v in seen.values()]
+def all_anchors(data: np.ndarray, offsets: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """As ``anchors``, by pieces of the data that overlap by what a window needs, so that memory does not grow with it."""
+    places, hashes = [], []
+    for a in range(0, max(1, len(data)), piece):
+        b = min(len(data), a + piece + WINDOW - 1)
+        lo, hi = np.searchsorted(offsets, [a, b], "right")
+        at, h = anchors(data[a:b], np.clip(offsets[max(0, lo - 1) : hi + 1] - a, 0, b - a))
+        places.append(at + a), hashes.append(h)
+    at, first = np.unique(np.concatenate(places), return_index=True)
+    return at, np.concatenate(hashes)[first]
 
 
 def _join(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
 
 
-def _key_array(keys: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(keys), "<u8").reshape(-1, 2)
-
-
 def _groups(batches, key: str):
     """(key, rows) of a stream of batches that is sorted by key; rows have the other columns."""
     held, at = [], None
@@ -114,102 +131,139 @@ def _dealt(df: DataFrame, parts: int, *order: str) -> DataFrame:
     return df.repartition(parts, order[0]).sortWithinPartitions(*order)
 
 
-# ---- step 1 -------------------------------------------------------------------------------------------------------
+def _edges(sorted_: np.ndarray) -> list[tuple[int, int]]:
+    """The runs of equal values."""
+    cuts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1], [True]])) if len(sorted_) else np.zeros(1, np.int64)
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
 
 
-def _offer(n_buckets: int):
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                keys, texts, _ = _distinct_texts(part)
-                data, offsets = _join(texts)
-                at, h = anchors(data, offsets)
-                if not len(at):
-                    continue
-                doc = np.searchsorted(offsets, at, "right") - 1
-                bucket = (h % np.uint64(n_buckets)).astype(np.int64)
-                order = np.lexsort((h, bucket))
-                doc, at, h, bucket = doc[order], at[order] - offsets[doc[order]], h[order], bucket[order]
-                key = _key_array(keys)
-                edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-                blobs = []
-                for a, b in zip(edges[:-1], edges[1:]):
-                    own, number = np.unique(doc[a:b], return_inverse=True)
-                    distinct, count = np.unique(h[a:b], return_counts=True)
-                    blobs.append(_pack(key[own], distinct, count.astype(np.uint32), number.astype(np.uint32), at[a:b].astype(np.uint32)))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]], pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+_ROW = "part int, kind int, blob binary"
 
-    return run
 
+def _rows(parts: list[int], kind: int, blobs: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([kind] * len(parts), pa.int32()), pa.array(blobs, pa.binary())], ["part", "kind", "blob"])
 
-def _answer(n_groups: int):
-    def run(batches):
-        for _, rows in _groups(batches, "bucket"):
-            offers = [_unpack(r["blob"]) for r in rows]
-            every = np.concatenate([o[1] for o in offers])
-            several = np.concatenate([o[2] > 1 for o in offers])
-            distinct, number, count = np.unique(every, return_inverse=True, return_counts=True)
-            repeated = (count > 1) | (np.bincount(number, several, len(distinct)) > 0)
-            flags, at = repeated[number], 0
-            keys, places = [], []
-            for key, h, n, doc, place in offers:
-                hit = np.repeat(flags[at : at + len(h)], n)
-                at += len(h)
-                keys.append(key[doc[hit]])
-                places.append(place[hit])
-            keys, places = np.concatenate(keys), np.concatenate(places)
-            yield _by_group(keys, n_groups, 1, places)
 
-    return run
+def _spans_by_group(group: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    """One row (group, kind 1, blob) a group: the numbers of its texts and the intervals found in them."""
+    order = np.argsort(group, kind="stable")
+    group, doc, start, end = group[order], doc[order].astype(np.uint32), start[order].astype(np.uint32), end[order].astype(np.uint32)
+    runs = _edges(group)
+    return _rows([int(group[a]) for a, _ in runs], 1, [_pack(doc[a:b], start[a:b], end[a:b]) for a, b in runs])
 
 
-def _by_group(keys: np.ndarray, n_groups: int, kind: int, *values: np.ndarray) -> pa.RecordBatch:
-    """One row (part, kind, blob) for each group of texts; a blob has the distinct keys, numbers into them, and values."""
-    group = (keys[:, 0] % np.uint64(n_groups)).astype(np.int64)
-    order = np.argsort(group, kind="stable")
-    group, keys = group[order], keys[order]
-    edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if len(group) else np.zeros(1, np.int64)
-    blobs = []
-    for a, b in zip(edges[:-1], edges[1:]):
-        own, number = np.unique(np.ascontiguousarray(keys[a:b]).view("S16").reshape(-1), return_inverse=True)
-        blobs.append(_pack(own.view("<u8").reshape(-1, 2), number.astype(np.uint32), *(v[order[a:b]] for v in values)))
-    n = len(blobs)
-    return pa.RecordBatch.from_arrays([pa.array(group[edges[:-1]], pa.int32()), pa.array([kind] * n, pa.int32()), pa.array(blobs, pa.binary())], ["part", "kind", "blob"])
+# ---- step 1 -------------------------------------------------------------------------------------------------------
 
 
 def _texts(n_groups: int):
-    """The distinct texts of each slice, by group: (part, kind 0, blob of keys, counts and joined texts)."""
+    """The distinct texts of each slice, by group: (part, kind 0, blob of keys, counts and texts)."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 4 * SLICE):
-                keys, texts, counts = _distinct_texts(part)
-                group = (_key_array(keys)[:, 0] % np.uint64(n_groups)).astype(np.int64)
-                out = []
-                for g in np.unique(group).tolist():
-                    own = np.flatnonzero(group == g).tolist()
-                    out.append((g, _pack([keys[i] for i in own], [counts[i] for i in own], [texts[i] for i in own])))
-                yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], pa.int32()), pa.array([0] * len(out), pa.int32()), pa.array([b for _, b in out], pa.binary())], ["part", "kind", "blob"])
+            for part in slices(batch, "text", SLICE):
+                seen: dict[bytes, list] = {}
+                for t in part.column("text").to_pylist():
+                    b = (t or "").encode()
+                    seen.setdefault(hashlib.sha256(b).digest()[:16], [b, 0])[1] += 1
+                by: dict[int, list[bytes]] = {}
+                for key in seen:
+                    by.setdefault(int.from_bytes(key[:8], "little") % n_groups, []).append(key)
+                yield _rows(list(by), 0, [_pack(own, [seen[k][1] for k in own], [seen[k][0] for k in own]) for own in by.values()])
 
     return run
 
 
-def _group_texts(rows: list[dict]) -> tuple[dict[bytes, int], list[bytes], list[bytes], list[int]]:
-    number: dict[bytes, int] = {}
-    keys, texts, counts = [], [], []
-    for r in rows:
-        if r["kind"] == 0:
+def _whole_groups(batches):
+    """One row a group: the keys, counts and bytes of its distinct texts."""
+    for part, rows in _groups(batches, "part"):
+        number: dict[bytes, int] = {}
+        keys, texts, counts = [], [], []
+        for r in rows:
             for key, count, text in zip(*_unpack(r["blob"])):
                 i = number.setdefault(key, len(keys))
                 if i == len(keys):
                     keys.append(key), texts.append(text), counts.append(0)
+                elif text != texts[i]:
+                    raise ValueError("two texts with one key")
                 counts[i] += count
-    return number, keys, texts, counts
+        yield _rows([part], 0, [_pack(keys, counts, texts)])
+
+
+def _offer(n_buckets: int, one_in: int):
+    def run(batches):
+        for batch in batches:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob").to_pylist()):
+                data, offsets = _join(_unpack(blob)[2])
+                at, h = all_anchors(data, offsets)
+                h, first, count = np.unique(h, return_index=True, return_counts=True)
+                bucket = (h % np.uint64(n_buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                h, several, place, bucket = h[order], (count[order] > 1).astype(np.uint8), at[first[order]], bucket[order]
+                chosen = mix(h + np.uint64(1)) % np.uint64(one_in) == 0
+                out = []
+                for a, b in _edges(bucket):
+                    own = a + np.flatnonzero(chosen[a:b])
+                    out.append((int(bucket[a]), part, h[a:b].tobytes(), several[a:b].tobytes(), b"".join(h[i].tobytes() + data[place[i] : place[i] + K].tobytes() for i in own.tolist())))
+                if out:
+                    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["bucket", "part", "hashes", "several", "sample"])
+
+    return run
+
+
+def _answer(batches):
+    """(group, kind 1, its repeated hashes); (-1, kind 9, a repeated string and in how many groups it is) for the sample."""
+    for _, rows in _groups(batches, "bucket"):
+        hashes = [np.frombuffer(r["hashes"], "<u8") for r in rows]
+        every = np.concatenate(hashes)
+        several = np.frombuffer(b"".join(r["several"] for r in rows), np.uint8)
+        distinct, number, count = np.unique(every, return_inverse=True, return_counts=True)
+        repeated = (count > 1) | (np.bincount(number, several, len(distinct)) > 0)
+        group = np.repeat(np.asarray([r["part"] for r in rows]), [len(h) for h in hashes])[repeated[number]]
+        every = every[repeated[number]]
+        order = np.argsort(group, kind="stable")
+        group, every = group[order], every[order]
+        runs = _edges(group)
+        yield _rows([int(group[a]) for a, _ in runs], 1, [every[a:b].tobytes() for a, b in runs])
+        sample = {r["sample"][i : i + 8]: r["sample"][i + 8 : i + 8 + K] for r in rows for i in range(0, len(r["sample"]), 8 + K)}
+        own = [(np.searchsorted(distinct, np.frombuffer(k, "<u8")[0]), v) for k, v in sample.items()]
+        own = [v + int(count[i]).to_bytes(8, "big") for i, v in own if repeated[i]]
+        yield _rows([-1] * len(own), 9, own)
 
 
 # ---- step 2 -------------------------------------------------------------------------------------------------------
 
 
+def splitters(sample: list[tuple[bytes, int]], most: int = SPLITTERS) -> np.ndarray:
+    """At most ``most`` - 1 strings that cut the weighted sample into even ranges, ascending."""
+    sample = sorted(sample)
+    weight = np.cumsum([w for _, w in sample]) if sample else np.zeros(0)
+    at = np.unique(np.searchsorted(weight, np.arange(1, most) * (weight[-1] / most))) if sample else []
+    return np.unique(np.asarray([sample[i][0] for i in at], f"S{K}"))
+
+
+def part_of(prefixes: np.ndarray, cuts: np.ndarray, each: int) -> np.ndarray:
+    """The number of the part of each K-byte string: ascending with the strings, ``each`` parts between two cuts.
+
+    Between two cuts, the eight bytes after what both cuts begin with say where a string stands.
+    """
+    p = np.ascontiguousarray(prefixes)
+    at = np.searchsorted(cuts, p.view(f"S{K}").reshape(-1), "right")
+    ends = np.zeros((len(cuts) + 2, K + 8), np.uint8)
+    ends[-1] = 255
+    if len(cuts):
+        ends[1:-1, :K] = np.frombuffer(cuts.astype(f"S{K}").tobytes(), np.uint8).reshape(-1, K)
+    low, high = ends[:-1], ends[1:]
+    other = low != high
+    common = np.minimum(np.where(other.any(axis=1), other.argmax(axis=1), K), K)
+    eight = np.arange(8)
+    number = lambda rows, start: np.ascontiguousarray(np.take_along_axis(rows, start[:, None] + eight, axis=1)).view(">u8").reshape(-1).astype(np.float64)
+    a, b = number(low, common), number(high, common)
+    wide = np.concatenate([p, np.zeros((len(p), 8), np.uint8)], axis=1)
+    x = (number(wide, common[at]) - a[at]) / np.maximum(b - a, 1.0)[at]
+    return at * each + np.clip((x * each).astype(np.int64), 0, each - 1)
+
+
 def entries(data: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, ENTRY) bytes: WINDOW bytes from each place, then the BEFORE bytes ahead of it, last first.
 
@@ -236,18 +290,17 @@ def _prefixes(m: np.ndarray) -> np.ndarray:
     return out
 
 
-def _runs(n_parts: int, n_groups: int):
+def _runs(cuts: np.ndarray, each: int):
     def run(batches):
-        weights = mix(np.arange(1, K // 8 + 1, dtype=np.uint64)) | np.uint64(1)
-        for _, rows in _groups(batches, "part"):
-            number, keys, texts, _ = _group_texts(rows)
-            data, offsets = _join(texts)
-            places = [_unpack(r["blob"]) for r in rows if r["kind"] == 1]
-            if not places:
+        for group, rows in _groups(batches, "part"):
+            repeated = [np.frombuffer(r["blob"], "<u8") for r in rows if r["kind"] == 1]
+            if not repeated:
                 continue
-            doc = np.concatenate([np.asarray([number[k.tobytes()] for k in own], np.int64)[i] for own, i, _ in places])
-            at = offsets[doc] + np.concatenate([p for _, _, p in places]).astype(np.int64)
-            key = _key_array(keys)
+            data, offsets = _join(next(_unpack(r["blob"])[2] for r in rows if r["kind"] == 0))
+            repeated = np.sort(np.concatenate(repeated))
+            at, h = all_anchors(data, offsets)
+            at = at[repeated[np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)] == h]
+            doc = np.searchsorted(offsets, at, "right") - 1
             for a in range(0, len(at), 200_000):  # a run each, so that the matrices stay small
                 d, p = doc[a : a + 200_000], at[a : a + 200_000]
                 m, right, left = entries(data, offsets[d], offsets[d + 1], p)
@@ -259,18 +312,15 @@ def _runs(n_parts: int, n_groups: int):
                 several = np.repeat(count > 1, count)
                 hit = several & (left + right >= WINDOW)
                 if hit.any():
-                    yield _by_group(key[d[hit]], n_groups, 1, (p - left)[hit].astype(np.uint32), (p + right)[hit].astype(np.uint32))
+                    yield _spans_by_group(np.full(int(hit.sum()), group), d[hit], (p - left)[hit], (p + right)[hit])
                 m, right, left, d, p, several = m[new], right[new], left[new], d[new], p[new], several[new]
-                with np.errstate(over="ignore"):
-                    part = (mix(np.ascontiguousarray(m[:, : K // 8 * 8]).view("<u8") @ weights) % np.uint64(n_parts)).astype(np.int64)
+                part = part_of(m[:, :K], cuts, each)
                 out = []
-                for x in np.unique(part).tolist():
-                    own = np.flatnonzero(part == x)
-                    rows_, common = m[own], _prefixes(m[own])
-                    tails = rows_[np.arange(ENTRY) >= common[:, None]]
-                    used, i = np.unique(d[own], return_inverse=True)
-                    out.append((x, _pack(common.astype(np.uint16), tails, right[own].astype(np.uint8), left[own].astype(np.uint8), several[own], key[used], i.astype(np.uint32), p[own].astype(np.uint32))))
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int32()), pa.array([2] * len(out), pa.int32()), pa.array([b for _, b in out], pa.binary())], ["part", "kind", "blob"])
+                for x, y in _edges(part):
+                    common = _prefixes(m[x:y])
+                    tails = m[x:y][np.arange(ENTRY) >= common[:, None]]
+                    out.append((int(part[x]), _pack(group, common.astype(np.uint16), tails, right[x:y].astype(np.uint8), left[x:y].astype(np.uint8), several[x:y], d[x:y].astype(np.uint32), p[x:y].astype(np.uint32))))
+                yield _rows([x for x, _ in out], 2, [b for _, b in out])
 
     return run
 
@@ -377,65 +427,72 @@ def reaches(m: np.ndarray, right: np.ndarray, left: np.ndarray, asks: np.ndarray
 
 
 def window_reaches(m: np.ndarray, right: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As ``reaches``, for all rows, by counting equal windows at each distance of the anchor from the window's start."""
+    """As ``reaches``, for all rows, by grouping equal windows at each distance of the anchor from the window's start.
+
+    Windows are grouped by their hashes and compared with the first of their group; where a group has different ones,
+    the windows of that distance are grouped by their bytes.
+    """
     lo, hi = np.full(len(m), WINDOW), np.full(len(m), -1)
     distance = np.arange(BEFORE + 1)
     hashes = np.empty((len(m), BEFORE + 1), np.uint64)
+    line = np.concatenate([m[:, WINDOW:][:, ::-1], m[:, :WINDOW]], axis=1)
     up, down = _powers("up", BASE, ENTRY), _powers("down", BASE_INVERSE, ENTRY + 1)
     with np.errstate(over="ignore"):
         for a in range(0, len(m), 5000):
-            line = np.concatenate([m[a : a + 5000, WINDOW:][:, ::-1], m[a : a + 5000, :WINDOW]], axis=1)
-            run = np.zeros((len(line), ENTRY + 1), np.uint64)
-            np.cumsum(_byte_table()[line] * up, axis=1, out=run[:, 1:])
+            own = line[a : a + 5000]
+            run = np.zeros((len(own), ENTRY + 1), np.uint64)
+            np.cumsum(_byte_table()[own] * up, axis=1, out=run[:, 1:])
             hashes[a : a + 5000] = mix((run[:, ENTRY - distance] - run[:, BEFORE - distance]) * down[BEFORE - distance])
     for d in range(BEFORE + 1):
         own = np.flatnonzero((left >= d) & (right >= WINDOW - d))
-        _, number, count = np.unique(hashes[own, d], return_inverse=True, return_counts=True)
-        own = own[count[number] > 1]
+        _, first, number, count = np.unique(hashes[own, d], return_index=True, return_inverse=True, return_counts=True)
+        own, first, count = own[count[number] > 1], own[first[number]][count[number] > 1], None
+        if not len(own):
+            continue
+        windows = slice(BEFORE - d, ENTRY - d)
+        if any((line[own[a : a + 50_000], windows] != line[first[a : a + 50_000], windows]).any() for a in range(0, len(own), 50_000)):
+            _, number, count = np.unique(np.ascontiguousarray(line[own, windows]).view(f"V{WINDOW}").reshape(-1), return_inverse=True, return_counts=True)
+            own = own[count[number] > 1]
         lo[own], hi[own] = np.minimum(lo[own], d), d
     return np.where(hi >= 0, hi, 0), np.where(hi >= 0, WINDOW - lo, 0)
 
 
-_MERGED = "part int, kind int, blob binary, w1 long, w2 long, key binary, place long, d int, several boolean"
+_MERGED = "part int, kind int, blob binary, group int, doc int, place long, d int, window binary, several boolean"
 
 
-def _merge(n_groups: int, together: int, in_task: int):
-    def widen(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = batch.num_rows
-        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()))], ["part", "kind", "blob", "w1", "w2", "key", "place", "d", "several"])
+def _widen(batch: pa.RecordBatch) -> pa.RecordBatch:
+    n = batch.num_rows
+    return pa.RecordBatch.from_arrays([*batch.columns, *(pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()))], [*batch.schema.names, "group", "doc", "place", "d", "window", "several"])
 
-    def windows(m, right, left, several, keys, places, near):
-        """Rows with the hashes of the windows that the neighbours' common prefixes leave possible."""
-        for i in range(len(m)):
-            line = np.concatenate([m[i, WINDOW : WINDOW + left[i]][::-1], m[i, : right[i]]])
-            d = np.arange(WINDOW - min(near[i], right[i]), left[i] + 1)
-            if not len(d):
-                continue
-            s = left[i] - d
-            w1, w2 = span_hashes(line, s, s + WINDOW), span_hashes(255 - line, s, s + WINDOW)
-            n = len(d)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * n, pa.int32()), pa.array([3] * n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array([keys[i].tobytes()] * n, pa.binary()), pa.array([int(places[i])] * n, pa.int64()), pa.array(d, pa.int32()), pa.array([bool(several[i])] * n)],
-                ["part", "kind", "blob", "w1", "w2", "key", "place", "d", "several"],
-            )
 
+def _windows(m, right, left, several, group, doc, place, near):
+    """Rows with the windows that the neighbours' common prefixes leave possible."""
+    for i in range(len(m)):
+        line = np.concatenate([m[i, WINDOW : WINDOW + left[i]][::-1], m[i, : right[i]]]).tobytes()
+        ds = range(WINDOW - min(int(near[i]), int(right[i])), int(left[i]) + 1)
+        if not len(ds):
+            continue
+        n, s = len(ds), [int(left[i]) - d for d in ds]
+        columns = [[0] * n, [3] * n, [None] * n, [int(group[i])] * n, [int(doc[i])] * n, [int(place[i])] * n, list(ds), [line[x : x + WINDOW] for x in s], [bool(several[i])] * n]
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["part", "kind", "blob", "group", "doc", "place", "d", "window", "several"])
+
+
+def _merge(together: int, in_task: int):
     def run(batches):
-        for _, rows in _groups(batches, "part"):
-            runs = []
+        for part, rows in _groups(batches, "part"):
             for r in rows:
                 if r["kind"] == 1:  # intervals on their way
-                    yield widen(pa.RecordBatch.from_pylist([r], pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])))
-                else:
-                    runs.append(_unpack(r["blob"]))
+                    yield _widen(_rows([part], 1, [r["blob"]]))
+            runs = [_unpack(r["blob"]) for r in rows if r["kind"] == 2]
             if not runs:
                 continue
-            coded = [(decode_run(c, t), c.tolist()) for c, t, *_ in runs]
-            order = list(merge_runs(coded))
-            which, index, common = (np.asarray(x, np.int64) for x in zip(*order))
+            coded = [(decode_run(r[1], r[2]), r[1].tolist()) for r in runs]
+            which, index, common = (np.asarray(x, np.int64) for x in zip(*merge_runs(coded)))
             start = np.concatenate([[0], np.cumsum([len(c[0]) for c in coded])])
             flat_at = start[which] + index
-            right, left, several, place = (np.concatenate([r[i] for r in runs]).astype(np.int64)[flat_at] for i in (2, 3, 4, 7))
-            key = np.concatenate([r[5][r[6]] for r in runs])[flat_at]
+            right, left, several, doc, place = (np.concatenate([r[i] for r in runs]).astype(np.int64)[flat_at] for i in (3, 4, 5, 6, 7))
+            group = np.asarray([r[0] for r in runs], np.int64)[which]
             matrix = np.frombuffer(b"".join(b"".join(c[0]) for c in coded), np.uint8).reshape(-1, ENTRY)
             new = common < ENTRY
             new[:1] = True
@@ -453,8 +510,7 @@ def _merge(n_groups: int, together: int, in_task: int):
                 m, r, l = matrix[flat_at[own]], right[own], left[own]
                 if b - a <= together:
                     asks = np.flatnonzero(~full[a:b])
-                    x, y = reaches(m, r, l, asks)
-                    found_l[a + asks], found_r[a + asks] = x, y
+                    found_l[a + asks], found_r[a + asks] = reaches(m, r, l, asks)
                 elif b - a <= in_task:
                     x, y = window_reaches(m, r, l)
                     asks = ~full[a:b]
@@ -462,23 +518,19 @@ def _merge(n_groups: int, together: int, in_task: int):
                 else:
                     near = np.maximum(bound[a:b], np.append(bound[a + 1 : b], 0))
                     near[0] = bound[a + 1]
-                    yield from windows(m, r, l, full[a:b], key[own], place[own], np.minimum(near, WINDOW))
+                    yield from _windows(m, r, l, full[a:b], group[own], doc[own], place[own], np.minimum(near, WINDOW))
             l, r = found_l[entry], found_r[entry]
             hit = l + r >= WINDOW
             if hit.any():
-                yield widen(_by_group(key[hit], n_groups, 1, (place - l)[hit].astype(np.uint32), (place + r)[hit].astype(np.uint32)))
+                yield _widen(_spans_by_group(group[hit], doc[hit], (place - l)[hit], (place + r)[hit]))
 
     return run
 
 
-def _window_intervals(n_groups: int):
-    def run(batches):
-        for batch in batches:
-            keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), "<u8").reshape(-1, 2)
-            place, low, high = (np.asarray(batch.column(c)).astype(np.int64) for c in ("place", "low", "high"))
-            yield _by_group(keys, n_groups, 1, (place - high).astype(np.uint32), (place - low + WINDOW).astype(np.uint32))
-
-    return run
+def _window_intervals(batches):
+    for batch in batches:
+        group, doc, place, low, high = (np.asarray(batch.column(c)).astype(np.int64) for c in ("group", "doc", "place", "low", "high"))
+        yield _spans_by_group(group, doc, place - high, place - low + WINDOW)
 
 
 # ---- step 5 -------------------------------------------------------------------------------------------------------
@@ -495,23 +547,18 @@ def spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _cut(with_text: bool):
     def run(batches):
         for _, rows in _groups(batches, "part"):
-            number, keys, texts, counts = _group_texts(rows)
-            doc, starts, ends = [], [], []
-            for r in rows:
-                if r["kind"] == 1:
-                    own, i, s, e = _unpack(r["blob"])
-                    doc.append(np.asarray([number[k.tobytes()] for k in own], np.int64)[i]), starts.append(s), ends.append(e)
-            if doc:
-                doc, starts, ends = np.concatenate(doc), np.concatenate(starts).astype(np.int64), np.concatenate(ends).astype(np.int64)
-                order = np.argsort(doc, kind="stable")
-                doc, starts, ends = doc[order], starts[order], ends[order]
-                bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
+            keys, counts, texts = next(_unpack(r["blob"]) for r in rows if r["kind"] == 0)
+            found = [_unpack(r["blob"]) for r in rows if r["kind"] == 1]
+            doc, starts, ends = (np.concatenate([f[i] for f in found]).astype(np.int64) if found else np.zeros(0, np.int64) for i in range(3))
+            order = np.argsort(doc, kind="stable")
+            doc, starts, ends = doc[order], starts[order], ends[order]
+            bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
             out = []
             for i, (key, text, count) in enumerate(zip(keys, texts, counts)):
                 s = e = ()
                 if count > 1 and len(text) >= WINDOW:
                     s, e = [0], [len(text)]
-                elif len(doc) and bounds[i] < bounds[i + 1]:
+                elif bounds[i] < bounds[i + 1]:
                     s, e = (x.tolist() for x in spans(starts[bounds[i] : bounds[i + 1]], ends[bounds[i] : bounds[i + 1]]))
                 kept = b"".join(text[a:b] for a, b in zip([0, *e], [*s, len(text)])) if s else text
                 out.append((key.hex(), len(text), len(text) - len(kept), len(s), hashlib.sha256(kept).hexdigest(), kept if with_text else None))
@@ -533,25 +580,27 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, together: int = TOG
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = docs.select(text.alias("text"))
     total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = salts(spark)
-    n_buckets, n_groups, n_parts = (max(parts, total // b) for b in (BUCKET_BYTES, GROUP_BYTES, PART_BYTES))
-    row = "part int, kind int, blob binary"
-    offers = plain.mapInArrow(_offer(n_buckets), "bucket int, blob binary")
-    places = _dealt(offers, parts, "bucket").mapInArrow(_answer(n_groups), row)
-    texts = plain.mapInArrow(_texts(n_groups), row)
-    runs = _dealt(texts.union(places), parts, "part", "kind").mapInArrow(_runs(n_parts, n_groups), row)
-    merged = written(_dealt(runs, parts, "part", "kind").mapInArrow(_merge(n_groups, together, in_task), _MERGED), "merged")
+    n = tasks(spark, total, TASK_BYTES)
+    n_buckets, n_groups, n_parts = (max(n, total // b) for b in (BUCKET_BYTES, GROUP_BYTES, PART_BYTES))
+    groups = written(_dealt(plain.mapInArrow(_texts(n_groups), _ROW), n, "part").mapInArrow(_whole_groups, _ROW), "groups")
+    offers = groups.mapInArrow(_offer(n_buckets, max(1, total // (K // 2) // SAMPLE)), "bucket int, part int, hashes binary, several binary, sample binary")
+    answers = written(_dealt(offers, n, "bucket").mapInArrow(_answer, _ROW), "answers")
+    sample = [(bytes(r[0][:K]), int.from_bytes(r[0][K:], "big")) for r in answers.where("kind = 9").select("blob").collect()]  # some SAMPLE rows
+    cuts = splitters(sample)
+    runs = _dealt(groups.union(answers.where("kind = 1")), n, "part", "kind").mapInArrow(_runs(cuts, -(-n_parts // (len(cuts) + 1))), _ROW)
+    merged = written(_dealt(runs, n, "part", "kind").mapInArrow(_merge(together, in_task), _MERGED), "merged")
     intervals = merged.where("kind = 1").select("part", "kind", "blob")
-    asked = merged.where("kind = 3")
+    asked = merged.where("kind = 3").select("group", "doc", "place", "d", "window", "several")
     if not asked.isEmpty():  # d is part of the key: two anchors in one window would count its one place twice
-        met = asked.groupBy("w1", "w2", "d").agg(F.count(F.lit(1)).alias("n"), F.max("several").alias("s")).where("n > 1 or s").select(F.col("w1").alias("x"), F.col("w2").alias("y"), F.col("d").alias("z"))
-        ranges = asked.join(met, (F.col("w1") == F.col("x")) & (F.col("w2") == F.col("y")) & (F.col("d") == F.col("z"))).where(~F.col("several")).groupBy("key", "place").agg(F.min("d").alias("low"), F.max("d").alias("high"))
-        intervals = intervals.union(ranges.mapInArrow(_window_intervals(n_groups), row))
-    result = _dealt(plain.mapInArrow(_texts(n_groups), row).union(intervals), parts, "part", "kind").mapInArrow(_cut(with_text), "key string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("of"))
+        met = asked.groupBy(F.col("window").alias("w"), F.col("d").alias("z")).agg(F.count(F.lit(1)).alias("n"), F.max("several").alias("s")).where("n > 1 or s").select("w", "z")
+        ranges = asked.where(~F.col("several")).join(met, (F.col("window") == F.col("w")) & (F.col("d") == F.col("z"))).groupBy("group", "doc", "place").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+        intervals = intervals.union(ranges.mapInArrow(_window_intervals, _ROW))
+    result = _dealt(groups.union(intervals), n, "part", "kind").mapInArrow(_cut(with_text), "key string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring(F.sha2(text.cast("binary"), 256), 1, 32).alias("of"))
     out = ids.join(result, F.col("of") == F.col("key")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
     return out if with_text else out.drop("kept")
 
 
 def op4_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
+    """What is left of every document, as digests; see ``remove_repeats`` for nulls, short texts and repeated rows."""
     return remove_repeats(table(spark, sf_dir, "documents"))

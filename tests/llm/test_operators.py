@@ -543,3 +543,54 @@ def test_fingerprint_query_on_ties_nulls_clashes_and_no_rows(spark, tmp_path):
         want[d, len(t), hashlib.sha256(edited.encode()).hexdigest(), f"{slow_simhash(t):032x}" if len(t) < 100 else None] += 1
     assert collections.Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint if r.n_chars < 100 else None) for r in got) == want
     assert fingerprints.op7_document_fingerprints(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_anchors_are_the_right_most_of_the_least():
+    """Against every window looked at alone, with hashes from few values so that there are many ties; and by pieces."""
+    r = np.random.default_rng(1)
+    for n in (101, 150, 202, 303, 1000):
+        h = r.integers(0, 4, n).astype(np.uint64)
+        want = [max(j for j in range(i, i + 101) if h[j] == h[i : i + 101].min()) for i in range(n - 100)]
+        assert suffix_dedup._sliding_least(h, 101).tolist() == want
+    texts = [bytes(r.integers(97, 100, k).astype(np.uint8)) for k in (0, 150, 199, 200, 201, 5000, 10, 9000, 250)]
+    data, offsets = suffix_dedup._join(texts)
+    whole = suffix_dedup.anchors(data, offsets)
+    for piece in (200, 257, 1000, 100_000):
+        assert all((a == b).all() for a, b in zip(suffix_dedup.all_anchors(data, offsets, piece), whole))
+
+
+def test_parts_follow_the_order_of_strings():
+    r = random.Random(5)
+    strings = sorted(bytes(r.choice(b"abc\x00\xff") for _ in range(100)) for _ in range(3000))
+    matrix = np.frombuffer(b"".join(strings), np.uint8).reshape(-1, 100)
+    for cuts in (suffix_dedup.splitters([]), suffix_dedup.splitters([(x, 1 + r.randrange(3)) for x in r.sample(strings, 300)], 16), suffix_dedup.splitters([(strings[5], 9)])):
+        part = suffix_dedup.part_of(matrix, cuts, 7)
+        assert (np.diff(part) >= 0).all() and part.max() < 7 * (len(cuts) + 1)
+        assert len(cuts) < 5 or np.bincount(part // 7).max() < 800
+
+
+def test_window_groups_compare_bytes(monkeypatch):
+    """With hashes that say nothing, the result is that of comparing all with all."""
+    r = np.random.default_rng(3)
+    base = r.integers(97, 99, (40, suffix_dedup.ENTRY)).astype(np.uint8)
+    base[20:] = base[:20]
+    base[20:30, 150:200] = 120
+    base[5:15, 230:] = 121
+    right, left = np.full(40, 200), np.full(40, 100)
+    want = suffix_dedup.reaches(base, right, left, np.arange(40))
+    for bad in (False, True):
+        if bad:
+            monkeypatch.setattr(suffix_dedup, "mix", lambda x: np.zeros_like(x))
+        got = suffix_dedup.window_reaches(base, right, left)
+        ok = (want[0] + want[1] >= 200)
+        assert ((got[0] + got[1] >= 200) == ok).all() and (got[0][ok] >= want[0][ok]).all()
+        assert (got[0] == [max([d for d in range(101) if any((np.concatenate([base[i, 200:][::-1], base[i, :200]])[100 - d : 300 - d] == np.concatenate([base[j, 200:][::-1], base[j, :200]])[100 - d : 300 - d]).all() for j in range(40) if j != i)], default=0) for i in range(40)]).all()
+
+
+def test_suffix_dedup_of_very_long_texts(spark):
+    r = random.Random(6)
+    shared = prose(r, 100)
+    long = prose(r, 300_000)
+    texts = [long[:1_000_000] + shared + long[1_000_000:], prose(r, 50) + shared, long[500:900], "a" * 100_000]
+    want = collections.Counter((i, *w) for i, w in enumerate(brute_repeats([t.encode() for t in texts])))
+    assert collections.Counter(map(tuple, suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())) == want
