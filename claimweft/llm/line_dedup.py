@@ -1,9 +1,10 @@
 """Line dedup by content-defined chunks of lines, in DataFrame functions only.
 
-A line's hash is the first 28 bits of its MD5; a rolling hash over WINDOW line hashes ends a chunk wherever it is
-divisible by DIVISOR, so that an inserted line moves no other boundary than those near it. Of a chunk of MIN_LINES or
-more lines that stands in several places, the first place (by doc_id, then position) is kept and the others are removed,
-after their bytes were compared with the kept place's.
+A line's hash is the first 28 bits of its MD5; a rolling polynomial hash over WINDOW line hashes, modulo a prime, ends a
+chunk wherever it is divisible by DIVISOR, so that an inserted line moves no other boundary than those near it, and a
+chunk of more than MAX_LINES lines is cut every MAX_LINES. Of a chunk of MIN_LINES or more lines that stands in several
+places, the first place (by doc_id, then position) is kept and the others are removed, after their bytes were compared
+with the kept place's.
 
 Lines are chunked twice: with every boundary, and with boundaries left out until MIN_LINES lines are gathered, a short
 last chunk joined to the one before. In the second chunking each line of a text of MIN_LINES lines is in a chunk long
@@ -17,10 +18,12 @@ from pyspark.sql import functions as F
 
 from claimweft.llm.common import INNER, table, written
 
-WINDOW = 2
+WINDOW = 3
 DIVISOR = 3
 MIN_LINES = 2
-FACTOR = 31
+MAX_LINES = 64
+PRIME = 2**31 - 1
+FACTORS = tuple(pow(1_000_003, k + 1, PRIME) for k in range(WINDOW))
 
 
 def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -33,27 +36,28 @@ def chunked(docs: DataFrame, leasts: tuple[int, ...] = (MIN_LINES, 1)) -> DataFr
     """Add __cw_lines and __cw_chunks to docs: the lines, and the distinct chunks of the chunkings with these least
     lengths, each with its first line ``at``, its number of lines ``n`` and its ``text``. A null text is an empty one.
     """
-    lines, hashes, ends = f"{INNER}lines", f"{INNER}hashes", f"{INNER}ends"
+    lines, hashes, bits = f"{INNER}lines", f"{INNER}hashes", f"{INNER}bits"
     out = _fixed(docs, **{lines: F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)})
     out = _fixed(out, **{hashes: F.transform(lines, lambda line: F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long"))})
     last = F.size(lines) - 1
 
     def rolled(i: Column) -> Column:
-        return sum((F.when(i >= k, F.element_at(hashes, (i - k + 1).cast("int"))).otherwise(0) * FACTOR ** (WINDOW - 1 - k) for k in range(WINDOW)), F.lit(0))
+        return sum((F.when(i >= k, F.element_at(hashes, (i - k + 1).cast("int"))).otherwise(0) * FACTORS[k] for k in range(WINDOW)), F.lit(0)) % PRIME
 
-    cuts = f"{INNER}cuts"
-    out = _fixed(out, **{cuts: F.filter(F.sequence(F.lit(0), last), lambda i: (rolled(i) % DIVISOR == 0) & (i < last))})
-    far = lambda least: lambda a, i: F.when((i - F.element_at(a, -1) >= least) & (last - i >= least), F.concat(a, F.array(i))).otherwise(a)
-    bounds = {f"{ends}{least}": F.concat(F.aggregate(cuts, F.array(F.lit(-1)), far(least)) if least > 1 else F.concat(F.array(F.lit(-1)), cuts), F.array(last)) for least in leasts}
-    out = _fixed(out, **bounds)
+    # a digit a line, 1 where a chunk may end; the 1 ahead of the first line is the text's start
+    out = _fixed(out, **{bits: F.array_join(F.transform(F.sequence(F.lit(0), last), lambda i: F.when(rolled(i) % DIVISOR == 0, "1").otherwise("0")), "")})
+    starts = {f"{INNER}starts{least}": F.split(F.regexp_replace(F.concat(F.lit("1"), bits), f"1[01]{{{least - 1}}}", "1" + "0" * (least - 1)), "") for least in leasts}
+    out = _fixed(out, **starts)
 
-    def pieces(e: str) -> Column:
-        begins = F.slice(e, 1, F.size(e) - 1)
-        return F.zip_with(begins, F.slice(e, 2, F.size(e) - 1), lambda a, b: F.struct((a + 1).alias("at"), (b - a).alias("n")))
+    def pieces(least: int, of: str) -> Column:
+        ends = F.filter(F.sequence(F.lit(0), last), lambda i: (F.element_at(of, i + 2) == "1") & (last - i >= least))
+        from_, to = F.concat(F.array(F.lit(-1)), ends), F.concat(ends, F.array(last))
+        each = lambda a, b: F.transform(F.sequence(a, F.greatest(a, b - least), F.lit(MAX_LINES)), lambda x: F.struct((x + 1).alias("at"), F.when(x + MAX_LINES <= b - least, MAX_LINES).otherwise(b - x).alias("n")))
+        return F.flatten(F.zip_with(from_, to, each))
 
-    places = F.array_distinct(F.concat(*map(pieces, bounds)))
+    places = F.array_distinct(F.concat(*(pieces(least, of) for least, of in zip(leasts, starts))))
     text = lambda c: F.struct(c["at"].alias("at"), c["n"].alias("n"), F.array_join(F.slice(lines, c["at"] + 1, c["n"]), "\n").alias("text"))
-    return _fixed(out, **{f"{INNER}chunks": F.transform(places, text)}).drop(hashes, cuts, *bounds)
+    return _fixed(out, **{f"{INNER}chunks": F.transform(places, text)}).drop(hashes, bits, *starts)
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, leasts: tuple[int, ...] | None = None) -> DataFrame:
@@ -92,46 +96,19 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, leasts: tuple[int,
     )
 
 
-def _query(spark, sf_dir: str, leasts: tuple[int, ...]) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return dedup_lines(docs, leasts=leasts).select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
-
-
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """The chunking with every boundary only, as ORACLE states it: lines in chunks of one line stay."""
-    return _query(spark, sf_dir, (1,))
-
-
-def op2_line_dedup_whole(spark, sf_dir: str) -> DataFrame:
-    """Both chunkings, as the pipeline has them."""
-    return _query(spark, sf_dir, (MIN_LINES, 1))
+    """What is left of every document, as counts and a digest; see ``dedup_lines`` for nulls, ties and repeated rows."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-ORACLE = f"""
-WITH lines AS (
-  SELECT doc_id, i, l, ('0x' || substr(md5(l), 1, 7))::BIGINT AS h
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i FROM documents)
-), cuts AS (
-  SELECT *, (h * {FACTOR} + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {DIVISOR} = 0 AS cut FROM lines
-), numbered AS (
-  SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cuts
-), chunks AS (
-  SELECT doc_id, c, count(*) AS n, string_agg(l, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY doc_id, c
-), marked AS (
-  SELECT *, n >= {MIN_LINES} AND row_number() OVER (PARTITION BY n >= {MIN_LINES}, chunk ORDER BY doc_id, c) > 1 AS gone FROM chunks
-)
-SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS n_removed, count(*) FILTER (WHERE gone) AS n_chunks,
-  sha256(coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
-"""
-
 #: In a stretch of neighbouring boundaries every second one is kept (the text's start counts as one): MIN_LINES is 2.
-WHOLE_ORACLE = f"""
+ORACLE = f"""
 WITH lines AS (
   SELECT doc_id, i, l, ('0x' || substr(md5(l), 1, 7))::BIGINT AS h
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i FROM documents)
 ), cuts AS (
-  SELECT *, (h * {FACTOR} + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {DIVISOR} = 0 AS cut, max(i) OVER (PARTITION BY doc_id) AS last FROM lines
+  SELECT *, ({" + ".join(f"coalesce(lag(h, {k}) OVER w, 0) * {f}" for k, f in enumerate(FACTORS))}) % {PRIME} % {DIVISOR} = 0 AS cut, max(i) OVER (PARTITION BY doc_id) AS last FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), stretches AS (
   SELECT *, coalesce(max(i) FILTER (WHERE NOT cut) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING), -2) AS unbroken FROM cuts
 ), chunkings AS (
@@ -139,8 +116,11 @@ WITH lines AS (
   UNION ALL SELECT 2, doc_id, i, l, cut AND (i - unbroken) % 2 = 1 AND last - i >= 2 FROM stretches
 ), numbered AS (
   SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY least, doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM chunkings
+), counted AS (
+  SELECT *, i - min(i) OVER (PARTITION BY least, doc_id, c) AS j, count(*) OVER (PARTITION BY least, doc_id, c) AS size FROM numbered
 ), chunks AS (
-  SELECT DISTINCT doc_id, b, n, chunk FROM (SELECT doc_id, min(i) AS b, count(*) AS n, string_agg(l, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY least, doc_id, c) WHERE n >= {MIN_LINES}
+  SELECT DISTINCT doc_id, b, n, chunk FROM (
+    SELECT doc_id, min(i) AS b, count(*) AS n, string_agg(l, chr(10) ORDER BY i) AS chunk FROM counted GROUP BY least, doc_id, c, least(j // {MAX_LINES}, greatest(0, (size - least) // {MAX_LINES}))) WHERE n >= {MIN_LINES}
 ), gone AS (
   SELECT doc_id, b, n FROM chunks QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY doc_id, b, n) > 1
 ), removed AS (

@@ -127,6 +127,51 @@ def test_line_dedup_leaves_no_stub_of_an_exact_copy(spark):
     assert old < sum(t.count("\n") + 1 for t in texts)
 
 
+def slow_chunks(lines, least):
+    """The boundaries line by line, as bounds of chunks."""
+    h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+    last, ends = len(lines) - 1, []
+    for i in range(last):
+        r = sum(h[i - k] * pow(1_000_003, k + 1, 2**31 - 1) for k in range(line_dedup.WINDOW) if i >= k) % (2**31 - 1)
+        if r % line_dedup.DIVISOR == 0 and i - (ends[-1] if ends else -1) >= least and last - i >= least:
+            ends.append(i)
+    out = []
+    for a, b in zip([-1, *ends], [*ends, last]):
+        while b - a >= line_dedup.MAX_LINES + least:
+            out.append((a + 1, line_dedup.MAX_LINES))
+            a += line_dedup.MAX_LINES
+        out.append((a + 1, b - a))
+    return out
+
+
+def test_chunks_equal_a_slow_chunking(spark):
+    r = random.Random(14)
+    texts = ["\n".join(r.choices(["a", "b", "c", "d", "", "e f"], k=n)) for n in (1, 2, 3, 5, 40, 400) for _ in range(6)] + ["same\n" * 300, "x\ny\n" * 200]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for x in line_dedup.chunked(d).collect():
+        lines = texts[x.doc_id].split("\n")
+        want = list(dict.fromkeys(slow_chunks(lines, 2) + slow_chunks(lines, 1)))
+        assert [(c["at"], c["n"]) for c in x["__cw_chunks"]] == want
+        assert all(c["text"] == "\n".join(lines[c["at"] : c["at"] + c["n"]]) for c in x["__cw_chunks"])
+
+
+def test_boundaries_depend_on_the_order_of_lines(spark):
+    r = random.Random(15)
+    a = [prose(r, 3) for _ in range(300)]
+    ends = lambda lines: {tuple(lines[max(0, at + n - 2) : at + n]) for at, n in slow_chunks(lines, 1)}
+    turned = {p[::-1] for p in ends(a[::-1])}
+    assert len(ends(a) & turned) < 0.6 * len(ends(a))
+    moved = a[:150] + ["inserted"] + a[150:]
+    assert len(ends(a) - ends(moved)) <= 4
+
+
+def test_line_dedup_of_a_very_long_text_and_clashing_names(spark):
+    lines = [f"line {i}" for i in range(60_000)]
+    d = spark.createDataFrame([(1, "\n".join(lines), 7), (2, "\n".join(lines), 8), (None, "\n".join(lines[:500]), 9), (3, "once\nonly", 1)], "doc_id long, text string, n_lines int")
+    got = {x.doc_id: x for x in line_dedup.dedup_lines(d).collect()}
+    assert got[None].n_removed == 0 and got[2].n_removed == 60_000 and 480 <= got[1].n_removed <= 500 and got[3].n_removed == 0 and got[3].n_lines == 2
+
+
 def test_license_scan(docs, empty):
     got = [(r.doc_id, r.unit, r.license, r.dice) for r in licenses.scan(docs).collect()]
     assert (13, "line", "MIT-notice", 1.0) in got and {g[0] for g in got} == {13}
