@@ -44,7 +44,9 @@ IN_TASK = 100_000
 #: Bytes of text for a bucket of anchors, a group of texts, and a part of the merge; bytes of a shuffle task.
 BUCKET_BYTES, GROUP_BYTES, PART_BYTES, TASK_BYTES = 256 << 20, 12 << 20, 24 << 20, 128 << 20
 #: Bytes of a slice of the table, and of a piece of joined texts whose anchors are found at once.
-SLICE, PIECE = 12 << 20, 3 << 20
+SLICE, PIECE = 6 << 20, 1 << 20
+#: Suffixes of a sorted run.
+RUN = 60_000
 #: Repeated strings in the sample (expected), and the most splitters made of it; between two, parts are cut evenly.
 SAMPLE, SPLITTERS = 20_000, 1024
 
@@ -61,14 +63,14 @@ def _sliding_least(h: np.ndarray, w: int) -> np.ndarray:
     """For each run of w hashes, ascending, the place of the least; the right-most among equals."""
     m = len(h)
     rows = np.concatenate([h, np.full(-m % w, ~np.uint64(0))]).reshape(-1, w)
-    at = np.arange(rows.size).reshape(-1, w)
+    at = np.arange(rows.size, dtype=np.int32).reshape(-1, w)
     before = np.minimum.accumulate(rows, axis=1)
-    before_at = np.maximum.accumulate(np.where(rows == before, at, -1), axis=1).reshape(-1)
+    before_at = np.maximum.accumulate(np.where(rows == before, at, np.int32(-1)), axis=1).reshape(-1)
     turned = rows[:, ::-1]
     after = np.minimum.accumulate(turned, axis=1)
     lower = np.ones(rows.shape, bool)
     lower[:, 1:] = turned[:, 1:] < after[:, :-1]
-    step = np.maximum.accumulate(np.where(lower, np.arange(w), 0), axis=1)
+    step = np.maximum.accumulate(np.where(lower, np.arange(w, dtype=np.int32), np.int32(0)), axis=1)
     after_at = (at[:, -1:] - step)[:, ::-1].reshape(-1)
     after, before = after[:, ::-1].reshape(-1), before.reshape(-1)
     n = m - w + 1
@@ -272,8 +274,8 @@ def entries(data: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray
     right, left = np.minimum(end - at, WINDOW), np.minimum(at - begin, BEFORE)
     m = np.full((len(at), ENTRY), 255, np.uint8)
     k, j = np.arange(WINDOW), np.arange(BEFORE)
-    for a in range(0, len(at), 20_000):  # index matrices are wide
-        own = slice(a, a + 20_000)
+    for a in range(0, len(at), 5_000):  # index matrices are wide
+        own = slice(a, a + 5_000)
         p = at[own, None]
         m[own, :WINDOW] = np.where(k < right[own, None], data[np.minimum(p + k, len(data) - 1)], 255)
         m[own, WINDOW:] = np.where(j < left[own, None], data[np.maximum(p - 1 - j, 0)], 255)
@@ -297,12 +299,13 @@ def _runs(cuts: np.ndarray, each: int):
             if not repeated:
                 continue
             data, offsets = _join(next(_unpack(r["blob"])[2] for r in rows if r["kind"] == 0))
+            rows.clear()
             repeated = np.sort(np.concatenate(repeated))
             at, h = all_anchors(data, offsets)
             at = at[repeated[np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)] == h]
             doc = np.searchsorted(offsets, at, "right") - 1
-            for a in range(0, len(at), 200_000):  # a run each, so that the matrices stay small
-                d, p = doc[a : a + 200_000], at[a : a + 200_000]
+            for a in range(0, len(at), RUN):  # so that the matrices stay small
+                d, p = doc[a : a + RUN], at[a : a + RUN]
                 m, right, left = entries(data, offsets[d], offsets[d + 1], p)
                 order = np.argsort(m.view(f"S{ENTRY}").reshape(-1), kind="stable")
                 m, right, left, d, p = m[order], right[order], left[order], d[order], p[order] - offsets[d[order]]
