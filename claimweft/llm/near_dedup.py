@@ -1,10 +1,13 @@
 """MinHash near-dedup with DartMinHash signatures.
 
-A text is the multiset of its runs of SHINGLE_WORDS words; the k-th occurrence of a run is a unit-wide column of its
-weighted region. Darts fall on each column as a Poisson process in rank, made by hashing the column and the dart's
-number, and are thrown down to a rank that leaves about k ln k + 2 k darts on the whole text; each dart belongs to one
-of k coordinates, which keeps its earliest. Two texts agree on a coordinate with the probability of their weighted
-Jaccard similarity. Bands of coordinates make buckets.
+A text is a weighted set of its runs of SHINGLE_WORDS words, weighted by their number of occurrences (or by any weights).
+Above each element stands a plane of weight and rank on which darts fall evenly; an element has the darts below its
+weight. Its weights are cut into regions, each twice as wide as the one before, and a region along the ranks into cells of
+area one; a cell's darts, their number (Poisson) and their places all come from a hash of element, region and cell. So
+heavy elements cost their logarithm and the darts they get, and all texts see the same darts. Darts are thrown down to a
+rank that leaves about k ln k + 2 k of them on the whole text; each belongs to one of k coordinates, which keeps its
+earliest. Two texts agree on a coordinate with the probability of their weighted Jaccard similarity. Bands of coordinates
+make buckets.
 
 Texts with equal words are one content. In a bucket every content is compared with the first one; connected components
 follow; where a bucket still holds contents of several components, all pairs across components are compared in blocks.
@@ -14,13 +17,16 @@ contents leave a task. All comparisons are exact, over the whole texts.
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import INNER, flat, mix, row_bounds, ship, slices, table, words, written
+from claimweft.llm.common import INNER, discard, flat, mix, row_bounds, ship, slices, table, words, written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -30,10 +36,10 @@ BLOCK = 256
 SLICE = 3 << 20
 
 
-def columns_of(column: pa.Array, n_words: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row and hash of each unit column of the texts' regions, sorted by row; and two 64-bit keys of each text's words.
+def elements_of(column: pa.Array, n_words: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash and number of occurrences of each distinct run of words, by row and hash; and two 64-bit keys of each text's words.
 
-    A text of fewer than n_words words is one run of all its words; one without words has no column and keys of 0.
+    A text of fewer than n_words words is one run of all its words; one without words has no element and keys of 0.
     """
     data, offsets = flat(column)
     n = len(offsets) - 1
@@ -55,45 +61,81 @@ def columns_of(column: pa.Array, n_words: int = SHINGLE_WORDS) -> tuple[np.ndarr
             for i in range(2):
                 w = mix(h ^ mix(place.astype(np.uint64) + np.uint64(i + 1)))
                 keys[i, some] = mix(np.add.reduceat(w, bounds[:-1][some]) + count[some].astype(np.uint64))
-        first = np.flatnonzero(place + n_words <= np.maximum(count[rows], n_words))
-        rows, run = rows[first], run[first]
-        # number the occurrences of a run within its text
-        own = run ^ mix(rows.astype(np.uint64) + np.uint64(77))
-        order = np.argsort(own, kind="stable")
-        new = np.ones(len(own), bool)
-        new[1:] = own[order[1:]] != own[order[:-1]]
-        at = np.arange(len(own))
-        occurrence = np.empty(len(own), np.uint64)
-        occurrence[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
-        return rows, mix(run + occurrence * np.uint64(0xD6E8FEB86659FD93)), keys[0], keys[1]
-
-
-def dart_signatures(rows: np.ndarray, columns: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(texts with columns, k) identities of the earliest dart of each coordinate; and the row numbers of those texts."""
-    weight = np.bincount(rows, minlength=n)
-    texts = np.flatnonzero(weight)
+    first = np.flatnonzero(place + n_words <= np.maximum(count[rows], n_words))
+    rows, run = rows[first], run[first]
+    order = np.lexsort((run, rows))
+    rows, run = rows[order], run[order]
+    new = np.ones(len(run), bool)
+    new[1:] = (run[1:] != run[:-1]) | (rows[1:] != rows[:-1])
+    at = np.flatnonzero(new)
+    return rows[at], run[at], np.diff(np.append(at, len(run))), keys[0], keys[1]
+
+
+def unit_columns(run: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """A hash for each occurrence of each element, in order: what two texts share of them is the sum of the lesser counts."""
+    at = np.repeat(np.arange(len(run)), times)
+    occurrence = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    with np.errstate(over="ignore"):
+        return mix(run[at] + occurrence.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _uniform(bits: np.ndarray) -> np.ndarray:
+    """Above 0, below 1."""
+    return ((bits >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
+
+
+#: The chance that a cell of area one has at most so many darts, for 0, 1, ...
+POISSON = np.cumsum([np.exp(-1.0) / math.factorial(i) for i in range(20)])
+
+
+def throw(elements: np.ndarray, weights: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The darts below each element's weight, of a rank up to its depth: number of the element, rank, and identity.
+
+    Weights are numbers above 0; the first region has the weights up to 1, the next ones those up to 3, 7, 15, ...
+    """
+    owner, ranks, idents = [], [], []
+    with np.errstate(over="ignore"):
+        for region in range(int(np.log2(1.0 + weights.max())) + 1 if len(weights) else 0):
+            wide = 2.0**region
+            own = np.flatnonzero(weights > wide - 1.0)
+            if not len(own):
+                break
+            seed = mix(elements[own] ^ mix(np.asarray([region + 1], np.uint64)))
+            cells = np.ceil(depth[own] * wide).astype(np.int64)  # a cell is the region's width times 1 / width of rank
+            at = np.repeat(np.arange(len(own)), cells)
+            cell = np.arange(len(at)) - np.repeat(np.cumsum(cells) - cells, cells)
+            z = mix(seed[at] + cell.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+            darts = np.searchsorted(POISSON, _uniform(z))
+            which = np.repeat(np.arange(len(at)), darts)
+            number = np.arange(len(which)) - np.repeat(np.cumsum(darts) - darts, darts)
+            dart = mix(z[which] + (number + 1).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+            weight = wide - 1.0 + wide * _uniform(dart)
+            dart = mix(dart + np.uint64(1))
+            rank = (cell[which] + _uniform(dart)) / wide
+            element = own[at[which]]
+            hit = np.flatnonzero((weight < weights[element]) & (rank <= depth[element]))
+            owner.append(element[hit]), ranks.append(rank[hit]), idents.append(mix(dart[hit] + np.uint64(2)))
+    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+    return join(owner, np.int64), join(ranks, np.float64), join(idents, np.uint64)
+
+
+def dart_signatures(rows: np.ndarray, elements: np.ndarray, weights: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(texts with elements, k) identities of the earliest dart of each coordinate; and the row numbers of those texts.
+
+    ``rows`` has the text of each element, ``weights`` its weight there, a number above 0.
+    """
+    weights = np.asarray(weights, np.float64)
+    total = np.bincount(rows, weights, minlength=n)
+    texts = np.flatnonzero(total)
     out = np.zeros((n, k), np.uint64)
     open_texts, darts = texts, k * np.log(k) + 2 * k
     while len(open_texts):
         wanted = np.zeros(n, bool)
         wanted[open_texts] = True
         at = np.flatnonzero(wanted[rows])
-        doc, seed = rows[at], columns[at]
-        depth = darts / weight[doc]
-        rank = np.zeros(len(at))
-        found_doc, found_rank, found_id = [], [], []
-        i = 0
-        with np.errstate(over="ignore"):
-            while len(doc):
-                i += 1
-                dart = mix(seed + np.uint64(i) * np.uint64(0xA0761D6478BD642F))
-                rank = rank - np.log(((dart >> np.uint64(11)).astype(np.float64) + 1.0) / 2.0**53)
-                hit = np.flatnonzero(rank <= depth)
-                doc, seed, depth, rank = doc[hit], seed[hit], depth[hit], rank[hit]
-                found_doc.append(doc), found_rank.append(rank), found_id.append(mix(dart[hit]))
-        doc, rank, ident = np.concatenate(found_doc), np.concatenate(found_rank), np.concatenate(found_id)
-        cell = doc * k + (ident % np.uint64(k)).astype(np.int64)
-        order = np.lexsort((rank, cell))
+        own, rank, ident = throw(elements[at], weights[at], darts / total[rows[at]])
+        cell = rows[at][own] * k + (ident % np.uint64(k)).astype(np.int64)
+        order = np.lexsort((ident, rank, cell))
         cell = cell[order]
         first = np.ones(len(cell), bool)
         first[1:] = cell[1:] != cell[:-1]
@@ -104,6 +146,43 @@ def dart_signatures(rows: np.ndarray, columns: np.ndarray, n: int, k: int) -> tu
     return out[texts], texts
 
 
+def signatures(sets: DataFrame, k: int, unit: float = 1.0) -> DataFrame:
+    """Add ``signature`` (array of k longs) to a table of weighted sets: columns ``elements`` (strings) and ``weights``.
+
+    ``unit``, the same for all sets to be compared, is a weight at the lower end of what is usual; a set whose weights add
+    up to less than a thousandth of it would need too many darts and fails.
+    Two sets agree in each place with the probability of their weighted Jaccard similarity. An element that is named twice
+    has the sum of its weights; weights that are null, not above 0 or not finite count as absent. A null or empty set has
+    a null signature. Other columns stay; a clashing one is replaced.
+    """
+    ship(sets.sparkSession)
+    sets = sets.drop("signature")
+
+    def run(batches):
+        for batch in batches:
+            names, values = batch.column("elements").to_pylist(), batch.column("weights").to_pylist()
+            rows, hashes, weights = [], [], []
+            for i, (own, w) in enumerate(zip(names, values)):
+                total: dict[str, float] = {}
+                for name, x in zip(own or (), w or ()):
+                    if name is not None and x is not None and 0 < x < float("inf"):
+                        total[name] = total.get(name, 0.0) + x
+                rows += [i] * len(total)
+                hashes += [int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "little") for name in total]
+                weights += total.values()
+            rows, weights = np.asarray(rows, np.int64), np.asarray(weights) / unit
+            total = np.bincount(rows, weights)
+            if ((total > 0) & (total < 1e-3)).any():
+                raise ValueError("weights far below the unit: choose a smaller one")
+            found, texts = dart_signatures(rows, np.asarray(hashes, np.uint64), weights, batch.num_rows, k)
+            out = [None] * batch.num_rows
+            for i, x in zip(texts.tolist(), found.view(np.int64).tolist()):
+                out[i] = x
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], [*batch.schema.names, "signature"])
+
+    return sets.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sets.schema) + ", signature array<long>")
+
+
 def _hex(a: np.ndarray, b: np.ndarray) -> list[str]:
     both = np.stack([a, b], axis=1).astype(">u8").tobytes().hex()
     return [both[i : i + 32] for i in range(0, len(both), 32)]
@@ -116,10 +195,10 @@ def sketches(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS, n_
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                rows, columns, k1, k2 = columns_of(part.column("text"), n_words)
+                rows, elements, times, k1, k2 = elements_of(part.column("text"), n_words)
                 n = part.num_rows
-                weight = np.bincount(rows, minlength=n)
-                signature, texts = dart_signatures(rows, columns, n, bands * band_rows)
+                weight = np.bincount(rows, times, minlength=n).astype(np.int64)
+                signature, texts = dart_signatures(rows, elements, times, n, bands * band_rows)
                 buckets = np.zeros((n, bands), np.uint64)
                 with np.errstate(over="ignore"):
                     for b in range(bands):
@@ -140,7 +219,8 @@ def _grams(docs: DataFrame, n_words: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                rows, columns, k1, k2 = columns_of(part.column("text"), n_words)
+                rows, elements, times, k1, k2 = elements_of(part.column("text"), n_words)
+                columns, rows = unit_columns(elements, times), np.repeat(rows, times)
                 order = np.lexsort((columns, rows))
                 columns, bounds = columns[order], row_bounds(rows, part.num_rows)
                 yield pa.RecordBatch.from_arrays([pa.array(_hex(k1, k2)), pa.array([columns[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())], ["node", "grams"])
@@ -162,16 +242,19 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 def components(links: DataFrame) -> DataFrame:
     """node, label (the least node of its component) for the nodes of links (a, b). Every round is a written table."""
     edges = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    held = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
+        labels = held.select("node", "label")
         near = edges.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         lower = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("label", "near").alias("step"), F.col("label").alias("old"))
         lower = written(lower, "steps")
         up = lower.select(F.col("node").alias("up"), F.col("step").alias("beyond"))
         moved = written(lower.join(up, F.col("step") == F.col("up")).select("node", F.least("step", "beyond").alias("label"), "old"), "labels")
-        labels = moved.select("node", "label")
+        discard(lower, held)
+        held = moved
         if moved.where("label <> old").isEmpty():
-            return labels
+            discard(edges)
+            return held.select("node", "label")
 
 
 def _compare_blocks(similarity: float):
@@ -257,4 +340,5 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def op6_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """The class of every document; see ``classes`` for nulls, texts without words and repeated rows."""
     return classes(table(spark, sf_dir, "documents"))

@@ -338,13 +338,49 @@ def test_near_dedup_classes(docs, rows, empty):
 
 
 def test_dart_signatures_estimate_similarity():
-    r = random.Random(4)
-    w = [prose(r, 1) for _ in range(400)]
-    a, b = " ".join(w), " ".join(w[:300] + [prose(r, 1) for _ in range(100)])
-    rows, cols, *_ = near_dedup.columns_of(pa.array([a, b], pa.large_string()))
-    s, _ = near_dedup.dart_signatures(rows, cols, 2, 400)
-    x, y = set(cols[rows == 0].tolist()), set(cols[rows == 1].tolist())
-    assert abs((s[0] == s[1]).mean() - len(x & y) / len(x | y)) < 0.1
+    """Counted and real weights, light and heavy ones; the more coordinates the nearer."""
+    r = np.random.default_rng(4)
+    for scale, n in ((1, 300), (40, 30), (0.3, 200), (3000, 4)):
+        ids = r.integers(0, 2**63, n).astype(np.uint64)
+        x, y = scale * r.random(n) + 1e-3, scale * r.random(n) + 1e-3
+        y[: n // 2] = x[: n // 2]
+        rows = np.repeat([0, 1], n)
+        s, _ = near_dedup.dart_signatures(rows, np.concatenate([ids, ids]), np.concatenate([x, y]), 2, 1500)
+        assert abs((s[0] == s[1]).mean() - np.minimum(x, y).sum() / np.maximum(x, y).sum()) < 0.06
+        assert len(set(s[0].tolist())) == 1500
+
+
+def test_darts_fall_evenly():
+    """As many as the area, on average, at ranks and weights spread evenly; deeper throws keep the earlier darts."""
+    ids = np.arange(1, 4001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for weight, depth in ((1.0, 0.5), (0.4, 2.0), (10.0, 0.3), (100.0, 1.0)):
+        own, rank, ident = near_dedup.throw(ids, np.full(4000, weight), np.full(4000, depth))
+        area = 4000 * weight * depth
+        assert abs(len(own) - area) < 5 * area**0.5 and abs(rank.mean() - depth / 2) < 5 * depth / area**0.5 and len(np.unique(ident)) == len(ident)
+        more = near_dedup.throw(ids, np.full(4000, weight * 1.5), np.full(4000, depth * 2))
+        assert set(ident.tolist()) <= set(more[2].tolist())
+
+
+def test_signatures_of_weighted_sets(spark):
+    rows = [(1, ["a", "b"], [1.5, 2.0], "x"), (2, ["b", "a"], [2.0, 1.5], "x"), (3, ["a", "a", "b"], [1.0, 0.5, 2.0], "x"), (4, [], [], "x"), (5, None, None, "x"), (6, ["a", None], [-1.0, 2.0], "x"), (7, ["c"], [0.05], "x")]
+    got = {r.id: r.signature for r in near_dedup.signatures(spark.createDataFrame(rows, "id int, elements array<string>, weights array<double>, signature string"), 32).collect()}
+    assert got[1] == got[2] == got[3] and len(got[1]) == 32 and got[4] is got[5] is got[6] is None and len(got[7]) == 32 and got[7] != got[1]
+
+
+def test_recall_at_the_similarity(spark):
+    """Pairs just at 0.8 are found; far pairs aren't."""
+    r = random.Random(21)
+    texts, pairs = [], 0
+    for i in range(150):
+        w = prose(r, 180).split()
+        texts += [" ".join(w)]
+        w[30] = "new"
+        w[90] = "other"
+        w[140] = "third"
+        texts += [" ".join(w)]  # 15 of 176 runs differ: 161 / 191 = 0.843
+        pairs += 1
+    got = near_dedup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sum(x.class_id == x.doc_id - 1 for x in got if x.doc_id % 2) >= pairs - 1 and len({x.class_id for x in got}) <= 151
 
 
 def test_fingerprints(spark, docs, rows, empty):
