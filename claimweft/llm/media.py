@@ -6,8 +6,8 @@ its codes are equally wide, the scan is read with numpy in one step; other scans
 
 ``encode_bytes`` stores arbitrary bytes losslessly as the quantised coefficients of a 4:2:0 progressive JPEG, the unit
 that the format keeps exactly: in an AC coefficient a byte is one of the 256 values of magnitude class 8, in a DC
-coefficient one of 256 values which alternate between two ranges, so that differences stay in one class. The number of
-bytes is in a comment segment.
+coefficient one of 256 values which alternate between two ranges, so that differences stay in one class; all are within
+what 8-bit samples can give. The number of bytes is in a comment segment.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import ship, slices, table
+from claimweft.llm.common import ship, slices, table, written
 
 PAD_UNIT = 576
 PAD_BYTE = 255
@@ -38,6 +38,8 @@ def _zigzag() -> np.ndarray:
 
 ZIGZAG = _zigzag()
 _K = np.arange(8)
+#: What is added to a byte in the even and odd DC coefficients of a component: halves differ by 256 to 511 (class 9).
+DC_EVEN, DC_ODD = -1022, -256
 #: Row u, column x: the 8-point DCT-II basis.
 BASIS = np.where(_K[:, None] == 0, np.sqrt(0.125), 0.5 * np.cos((2 * _K[None, :] + 1) * _K[:, None] * np.pi / 16)).astype(np.float32)
 
@@ -86,19 +88,19 @@ def encode_bytes(payload: bytes) -> bytes:
     # DC, in coded order of each component
     dc, diff = [], []
     for plane, o in zip(planes, order):
-        v = plane[o, 0] - np.where(np.arange(len(o)) % 2 == 0, 1279, 0)
+        v = plane[o, 0] + np.where(np.arange(len(o)) % 2 == 0, DC_EVEN, DC_ODD)
         dc.append(v)
         top = v >> 1
         diff.append(np.diff(top, prepend=0))
     def interleave(x):
         return np.concatenate([x[0].reshape(-1, 4), x[1][:, None], x[2][:, None]], axis=1).reshape(-1)
     d = interleave(diff)
-    extra = np.where(d < 0, d + 1023, d)
-    dc_first = np.concatenate([np.zeros((len(d), 1), np.uint8), (extra[:, None] >> np.arange(9, -1, -1) & 1).astype(np.uint8)], axis=1)
+    extra = np.where(d < 0, d + 511, d)
+    dc_first = np.concatenate([np.zeros((len(d), 1), np.uint8), (extra[:, None] >> np.arange(8, -1, -1) & 1).astype(np.uint8)], axis=1)
     all3 = [(1, 0x00), (2, 0x00), (3, 0x00)]
     out = [b"\xff\xd8", _segment(0xFE, COMMENT + str(len(payload)).encode()), _segment(0xDB, bytes([0]) + bytes([1]) * 64),
            _segment(0xC2, struct.pack(">BHHB", 8, 16 * rows, 16 * columns, 3) + bytes([1, 0x22, 0, 2, 0x11, 0, 3, 0x11, 0])),
-           _one_symbol(0, 0, 10), _one_symbol(1, 0, 7), _one_symbol(1, 1, 0),
+           _one_symbol(0, 0, 9), _one_symbol(1, 0, 7), _one_symbol(1, 1, 0),
            _scan(all3, 0, 0, 0, 1, _bits(dc_first))]
     for low, high in ((1, 5), (6, 63)):
         for c, plane in enumerate(planes):  # code 0 and seven bits for each coefficient
@@ -409,7 +411,7 @@ def decode_bytes(image: Image) -> bytes:
         c = p["coef"].reshape(-1, 64)
         b = np.where(c < 0, c + 255, c)
         coded = c[:, 0] if order is None else c[order, 0]
-        dc = coded + np.where(np.arange(len(coded)) % 2 == 0, 1279, 0)
+        dc = coded - np.where(np.arange(len(coded)) % 2 == 0, DC_EVEN, DC_ODD)
         if order is None:
             b[:, 0] = dc
         else:
@@ -467,12 +469,19 @@ def read_tensors(media: DataFrame, column: str = "media") -> DataFrame:
 
 
 def digest(media: DataFrame) -> DataFrame:
-    """Read stored media back: payload digests, the media's own, and features of the decoded tensor."""
+    """Read media of ``store_texts`` back: payload digests, the media's own, and features of the decoded tensor.
+
+    Null media give nulls, repeated rows repeated digests, an empty table an empty one; what isn't such a JPEG fails.
+    """
 
     def run(batches):
         for batch in batches:
             cols = [[] for _ in range(6)]
             for data in batch.column("media").to_pylist():
+                if data is None:
+                    for c in cols:
+                        c.append(None)
+                    continue
                 image = decode(data)
                 payload = decode_bytes(image)
                 for c, v in zip(cols, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), features(image.rgb()))):
@@ -487,4 +496,8 @@ def digest(media: DataFrame) -> DataFrame:
 
 
 def op8_media_columns(spark, sf_dir: str) -> DataFrame:
-    return digest(store_texts(table(spark, sf_dir, "documents")))
+    """All texts stored as a table of media, and what is read back from it. A null text is an empty one.
+
+    The tensors' features are returned; the tensors themselves, twice the size of the texts, are given by ``read_tensors``.
+    """
+    return digest(written(store_texts(table(spark, sf_dir, "documents")), "media"))

@@ -506,6 +506,245 @@ def test_any_progressive_scans_are_read():
     assert image.rgb().shape == (24, 32, 3)
 
 
+class BitWriter:
+    def __init__(self):
+        self.bits = []
+
+    def put(self, value, n):
+        self.bits.append(format(value, f"0{n}b") if n else "")
+
+    def number(self, v, n):
+        self.put(v if v >= 0 else v + (1 << n) - 1, n)
+
+    def bytes(self):
+        b = "".join(self.bits)
+        b += "1" * (-len(b) % 8)
+        return bytes(int(b[i : i + 8], 2) for i in range(0, len(b), 8))
+
+
+def huffman(kind, slot, symbols):
+    """A table of ordinary kind, short codes first: its segment, and symbol -> (code, length). No code has only ones."""
+    lengths, code, n, codes, left = [], 0, 2, {}, list(symbols)
+    counts = [0] * 17
+    while left:
+        room = (1 << n) - 1 - code if n == 16 else max(1, ((1 << n) - 1 - code) // 4)
+        for _ in range(min(room, len(left))):
+            codes[left.pop(0)] = (code, n)
+            counts[n] += 1
+            code += 1
+        code, n = code << 1, n + 1
+    return media._segment(0xC4, bytes([kind << 4 | slot, *counts[1:], *symbols])), codes
+
+
+def progressive(planes, sampling, width, height, restart=0, eob_runs=True):
+    """A progressive JPEG of given coefficients, scan after scan, in plain Python: spectral bands, two bits of
+    approximation, runs of 16 zeros, runs of ended blocks, restarts."""
+    hmax, vmax = max(h for h, _ in sampling), max(v for _, v in sampling)
+    across, down = -(-width // (8 * hmax)), -(-height // (8 * vmax))
+    dc_table, dc_codes = huffman(0, 0, range(12))
+    ac_symbols = [run << 4 | size for size in range(0, 11) for run in range(16)]
+    ac_table, ac_codes = huffman(1, 0, ac_symbols)
+    out = [b"\xff\xd8", media._segment(0xDB, bytes([0]) + bytes(range(1, 65))), media._segment(0xC2, bytes([8]) + height.to_bytes(2, "big") + width.to_bytes(2, "big") + bytes([len(planes)]) + b"".join(bytes([i + 1, h << 4 | v, 0]) for i, (h, v) in enumerate(sampling))), dc_table, ac_table]
+    if restart:
+        out.append(media._segment(0xDD, restart.to_bytes(2, "big")))
+
+    def scan(parts, low, high, before, after, segments):
+        head = bytes([len(parts)]) + b"".join(bytes([c + 1, 0]) for c in parts) + bytes([low, high, before << 4 | after])
+        body = b"".join((bytes([0xFF, 0xD0 + (k - 1) % 8]) if k else b"") + w.bytes().replace(b"\xff", b"\xff\x00") for k, w in enumerate(segments))
+        out.append(media._segment(0xDA, head) + body)
+
+    def units(parts):
+        if len(parts) == 1:
+            c = parts[0]
+            h, v = sampling[c]
+            for y in range(-(-(-(-height * v // vmax)) // 8)):
+                for x in range(-(-(-(-width * h // hmax)) // 8)):
+                    yield [(c, y, x)]
+        else:
+            for r in range(down):
+                for k in range(across):
+                    yield [(c, r * sampling[c][1] + i, k * sampling[c][0] + j) for c in parts for i in range(sampling[c][1]) for j in range(sampling[c][0])]
+
+    def cut(parts):
+        u = list(units(parts))
+        return [u[a : a + (restart or len(u))] for a in range(0, len(u), restart or len(u))]
+
+    every = list(range(len(planes)))
+    segments = []
+    for part in cut(every):  # the first bits of DC
+        w, last = BitWriter(), [0] * len(planes)
+        for unit in part:
+            for c, y, x in unit:
+                v = int(planes[c][y, x, 0]) >> 1
+                n = abs(v - last[c]).bit_length()
+                w.put(*dc_codes[n])
+                w.number(v - last[c], n)
+                last[c] = v
+        segments.append(w)
+    scan(every, 0, 0, 0, 1, segments)
+    shift = lambda v, a: int(np.sign(v)) * (abs(int(v)) >> a)
+    for c in every:
+        for low, high in ((1, 5), (6, 63)):  # the first bits of AC
+            segments = []
+            for part in cut([c]):
+                w, ended = BitWriter(), 0
+
+                def flush():
+                    nonlocal ended
+                    while ended:
+                        n = min(ended.bit_length() - 1, 14)
+                        w.put(*ac_codes[n << 4])
+                        w.put(min(ended, (1 << n + 1) - 1) - (1 << n), n)
+                        ended -= min(ended, (1 << n + 1) - 1)
+
+                for ((_, y, x),) in part:
+                    run, values = 0, [shift(v, 2) for v in planes[c][y, x]]
+                    for k in range(low, high + 1):
+                        if not values[k]:
+                            run += 1
+                            continue
+                        flush()
+                        while run > 15:
+                            w.put(*ac_codes[0xF0])
+                            run -= 16
+                        n = abs(values[k]).bit_length()
+                        w.put(*ac_codes[run << 4 | n])
+                        w.number(values[k], n)
+                        run = 0
+                    if run:
+                        ended += 1
+                        if not eob_runs:
+                            flush()
+                flush()
+                segments.append(w)
+            scan([c], low, high, 0, 2, segments)
+    for after in (1, 0):  # the lower bits of AC
+        for c in every:
+            segments = []
+            for part in cut([c]):
+                w, ended, held = BitWriter(), 0, []
+
+                def flush():
+                    nonlocal ended, held
+                    if ended:
+                        n = ended.bit_length() - 1
+                        w.put(*ac_codes[n << 4])
+                        w.put(ended - (1 << n), n)
+                        for b in held:
+                            w.put(b, 1)
+                    ended, held = 0, []
+
+                for ((_, y, x),) in part:
+                    values = [shift(v, after) for v in planes[c][y, x]]
+                    new_at = [k for k in range(1, 64) if abs(values[k]) == 1]
+                    last_new = max(new_at, default=0)
+                    run, corrections = 0, []
+                    for k in range(1, 64):
+                        v = values[k]
+                        if not v:
+                            run += 1
+                            continue
+                        if k <= last_new:
+                            while run > 15:
+                                flush()
+                                w.put(*ac_codes[0xF0])
+                                for b in corrections:
+                                    w.put(b, 1)
+                                run, corrections = run - 16, []
+                        if abs(v) > 1:
+                            corrections.append(abs(v) & 1)
+                            continue
+                        flush()
+                        w.put(*ac_codes[run << 4 | 1])
+                        w.put(int(v > 0), 1)
+                        for b in corrections:
+                            w.put(b, 1)
+                        run, corrections = 0, []
+                    if run or corrections:
+                        ended += 1
+                        held += corrections
+                        if not eob_runs or ended == 30_000:
+                            flush()
+                flush()
+                segments.append(w)
+            scan([c], 1, 63, after + 1, after, segments)
+    segments = []
+    for part in cut(every):  # the last bit of DC
+        w = BitWriter()
+        for unit in part:
+            for c, y, x in unit:
+                w.put(int(planes[c][y, x, 0]) & 1, 1)
+        segments.append(w)
+    scan(every, 0, 0, 1, 0, segments)
+    return b"".join(out) + b"\xff\xd9"
+
+
+def slow_rgb(planes, sampling, width, height):
+    """Sample by sample with the cosine sum, chroma taken from the block it lies in."""
+    hmax, vmax = max(h for h, _ in sampling), max(v for _, v in sampling)
+    full = []
+    for plane, (h, v) in zip(planes, sampling):
+        grid = np.zeros((8 * plane.shape[0], 8 * plane.shape[1]))
+        for by in range(plane.shape[0]):
+            for bx in range(plane.shape[1]):
+                f = np.zeros((8, 8))
+                order = sorted(((y, x) for y in range(8) for x in range(8)), key=lambda p: (p[0] + p[1], p[0] if (p[0] + p[1]) % 2 else p[1]))
+                for k, (y, x) in enumerate(order):
+                    f[y, x] = plane[by, bx, k] * (k + 1)
+                for y in range(8):
+                    for x in range(8):
+                        total = 0.0
+                        for u, w in zip(*np.nonzero(f)):
+                            total += (0.5**0.5 if u == 0 else 1) * (0.5**0.5 if w == 0 else 1) / 4 * f[u, w] * np.cos((2 * y + 1) * u * np.pi / 16) * np.cos((2 * x + 1) * w * np.pi / 16)
+                        grid[8 * by + y, 8 * bx + x] = total + 128
+        grid = np.clip(np.rint(grid), 0, 255)
+        full.append(np.asarray([[grid[y * v // vmax, x * h // hmax] for x in range(width)] for y in range(height)]))
+    if len(full) == 1:
+        return np.repeat(full[0][:, :, None], 3, axis=2)
+    y, cb, cr = full[0], full[1] - 128, full[2] - 128
+    return np.clip(np.rint(np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], axis=2)), 0, 255)
+
+
+@pytest.mark.parametrize("sampling,width,height,restart,eob_runs,density", [
+    (((1, 1),), 37, 21, 0, True, 0.1), (((1, 1),), 64, 64, 3, True, 0.02), (((2, 2), (1, 1), (1, 1)), 45, 39, 0, True, 0.05), (((2, 2), (1, 1), (1, 1)), 70, 33, 2, False, 0.2), (((2, 1), (1, 1), (1, 1)), 33, 17, 0, True, 0.6), (((1, 1), (1, 1), (1, 1)), 16, 24, 1, True, 0.0),
+])
+def test_any_scans_are_read_and_transformed(sampling, width, height, restart, eob_runs, density):
+    """Sparse and dense coefficients with ordinary tables against the coefficients and a slow float transform."""
+    r = np.random.default_rng(int(width + 10 * density))
+    hmax, vmax = max(h for h, _ in sampling), max(v for _, v in sampling)
+    across, down = -(-width // (8 * hmax)), -(-height // (8 * vmax))
+    planes = []
+    for i, (h, v) in enumerate(sampling):
+        p = np.where(r.random((down * v, across * h, 64)) < density, r.integers(-40, 41, (down * v, across * h, 64)), 0) // (1 + np.arange(64) // 8)
+        p[:, :, 0] = r.integers(-300, 300, p.shape[:2])
+        if len(sampling) > 1:  # blocks beyond the image are in no scan of one component
+            p[-(-(-(-height * v // vmax)) // 8) :, :, 1:] = 0
+            p[:, -(-(-(-width * h // hmax)) // 8) :, 1:] = 0
+        planes.append(p)
+    image = media.decode(progressive(planes, sampling, width, height, restart, eob_runs))
+    for p, part in zip(planes, image.parts):
+        assert (part["coef"] == p).all()
+    got, want = image.rgb(), slow_rgb(planes, sampling, width, height)
+    assert got.shape == (height, width, 3) and np.abs(got.astype(int) - want).max() <= 2 and (got == want).mean() > 0.99
+
+
+def test_stored_coefficients_are_legal():
+    payload = media.padded(bytes(range(256)) * 40)
+    image = media.decode(media.encode_bytes(payload))
+    for p in image.parts:
+        c = p["coef"].reshape(-1, 64)
+        assert c[:, 0].min() >= -1024 and c[:, 0].max() <= 1023 and np.abs(c[:, 1:]).max() <= 1023
+    assert media.decode_bytes(image) == payload
+
+
+def test_digests_of_null_media_and_very_long_texts(spark):
+    long = "äb" * 1_500_000
+    stored = media.store_texts(spark.createDataFrame([(1, long), (2, None), (2, None)], "doc_id long, text string"))
+    got = media.digest(stored.union(spark.createDataFrame([(3, 0, None)], stored.schema))).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == 4 and by[3].payload_sha256 is None and by[1].payload_sha256 == hashlib.sha256(media.padded(long.encode())).hexdigest() and by[2].n_bytes == 0
+
+
 def test_secret_features_agree_and_findings(spark, empty):
     rows = secrets.generated_findings(300)
     df = spark.createDataFrame([(i, c, t, b, p) for i, (c, t, b, p, _) in enumerate(rows)], "i int, core string, token string, before string, path string")
