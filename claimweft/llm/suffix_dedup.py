@@ -42,7 +42,7 @@ TOGETHER = 256
 #: With still more, the windows are counted by a grouped aggregation over all tasks.
 IN_TASK = 100_000
 #: Bytes of text for a bucket of anchors, a group of texts, and a part of the merge; bytes of a shuffle task.
-BUCKET_BYTES, GROUP_BYTES, PART_BYTES, TASK_BYTES = 256 << 20, 12 << 20, 24 << 20, 128 << 20
+BUCKET_BYTES, GROUP_BYTES, PART_BYTES, TASK_BYTES = 256 << 20, 8 << 20, 24 << 20, 128 << 20
 #: Bytes of a slice of the table, and of a piece of joined texts whose anchors are found at once.
 SLICE, PIECE = 6 << 20, 1 << 20
 #: Suffixes of a sorted run.
