@@ -41,7 +41,7 @@ def terms(data: np.ndarray, offsets: np.ndarray, n_words: int) -> tuple[np.ndarr
     with np.errstate(over="ignore"):
         for k in range(n_words):
             part = np.zeros(len(h), np.uint64)
-            part[: len(h) - k] = h[k:]
+            part[: max(0, len(h) - k)] = h[k:]
             if k:
                 part[place + k >= count[rows]] = 0  # past the text's end, in texts shorter than a run
             total += mix(part + np.uint64(k + 1)) * np.uint64(2 * k + 1)

@@ -52,7 +52,7 @@ def elements_of(column: pa.Array, n_words: int = SHINGLE_WORDS) -> tuple[np.ndar
     with np.errstate(over="ignore"):
         for k in range(n_words):
             part = np.zeros(len(h), np.uint64)
-            part[: len(h) - k] = h[k:]
+            part[: max(0, len(h) - k)] = h[k:]
             part[place + k >= count[rows]] = 0
             run = run * np.uint64(0x9E3779B97F4A7C15) + mix(part + np.uint64(k + 1))
         run = mix(run)

@@ -839,6 +839,92 @@ def test_pipeline_runs_and_keeps_columns(spark):
     assert p.run(spark, SMALL).count() > 0
 
 
+WIDE = "doc_id long, text string, lang string, source string, n_chars long, weight double, score double, lang_pred string, size long, source_size long, target double, copies int, n_lines int, n_removed int, n_chunks int, piece int"
+
+
+def pipeline_rows():
+    r = random.Random(31)
+    block = "\n".join(prose(r, 6) for _ in range(12))
+    texts = [None, "", " \n", "12 !?", "lone", block, block, "ahead\n" + block, prose(r, 200), None, prose(r, 4000), "\n".join([prose(r, 5)] * 400)]
+    texts.append(texts[8].replace(" ", "  ", 2))
+    texts += [prose(r, r.randint(5, 150)) for _ in range(30)]
+    out = [(i, t, "en" if i % 3 else None, ["a", "b", None][i % 3], len(t or ""), 9.5, 0.25, "xx", 1, 2, 3.5, 4, 5, 6, 7, 8) for i, t in enumerate(texts)]
+    return out + [out[20], out[20], (None, prose(r, 30), None, None, None, None, None, None, None, None, None, None, None, None, None, None)]
+
+
+def test_each_stage_of_the_pipeline_against_plain_python(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rows = pipeline_rows()
+    spark.createDataFrame(rows, WIDE).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    stages = dict(p.STAGES)
+    counted = lambda df: collections.Counter(map(tuple, df.collect()))
+    # language: what has letters stays (one language is labelled, so every word leans to it)
+    known = stages["language_id"](spark, docs, "")
+    want = collections.Counter(x for x in rows if re.search(r"[^\W\d_]", x[1] or ""))
+    assert known.columns == docs.columns and counted(known) == want
+    known = spark.createDataFrame(list(want.elements()), WIDE)
+    # lines: of each chunk that is repeated, the first place stays
+    lined = stages["line_dedup"](spark, known, "")
+    places, parts = collections.defaultdict(list), {}
+    for x in sorted(set(want), key=lambda x: (x[0] is not None, x[0])):
+        lines = x[1].split("\n")
+        parts[x] = [c for c in dict.fromkeys(slow_chunks(lines, 2) + slow_chunks(lines, 1)) if c[1] >= 2]
+        for at, n in sorted(parts[x]):
+            places["\n".join(lines[at : at + n])].append((x, at, n))
+    gone = collections.defaultdict(set)
+    for found in places.values():
+        for x, at, n in found[1:]:
+            gone[x] |= set(range(at, at + n))
+    repeated = collections.Counter()
+    for x, n in want.items():
+        left = "\n".join(y for i, y in enumerate(x[1].split("\n")) if i not in gone[x])
+        if left.strip() or not gone[x]:
+            repeated[(x[0], left, *x[2:4], len(left), *x[5:])] += n
+    assert counted(lined) == repeated
+    # near copies: one of each class
+    held = list(repeated.elements())
+    near = counted(stages["minhash_near_dedup"](spark, spark.createDataFrame(held, WIDE), ""))
+    classes = brute_classes([x for x in held if x[0] is not None])
+    assert {x[0] for x in near} - {None} == {c for _, c in classes} and set(near) <= set(repeated) and set(near.values()) == {1}
+    # mix: the rows themselves, at most three times each, near their source's share
+    kept = list(near)
+    mixed = counted(stages["source_mixing"](spark, spark.createDataFrame(kept, WIDE), ""))
+    words = lambda x: len(re.findall(r"[^\x20\x09-\x0D]+", x[1]))
+    assert set(mixed) <= set(near) and max(mixed.values()) <= 3
+    total, size = sum(map(words, kept)), collections.Counter()
+    for x in kept:
+        size[x[3]] += words(x)
+    weight = dict(zip(sorted(k for k in size if k) + [None], (5, 2, 1)))
+    capped: dict = {}
+    while True:
+        open_ = [k for k in size if k not in capped]
+        level = (total - sum(capped.values())) / sum(weight[k] for k in open_)
+        over = [k for k in open_ if level * weight[k] >= 3 * size[k]]
+        if not over:
+            break
+        capped |= {k: 3 * size[k] for k in over}
+    for k in size:
+        assert abs(sum(words(x) * n for x, n in mixed.items() if x[3] == k) - capped.get(k, level * weight[k])) <= max(words(x) for x in kept)
+    # packing: every token of every row, and run() as the chain of all
+    packed = stages["best_fit_packing"](spark, spark.createDataFrame(list(mixed.elements()), WIDE), "").collect()
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(packing.default_tokenizer())
+    assert sum(r.length for r in packed) == sum((len(own.encode(x[1], add_special_tokens=False).ids) + 1) * n for x, n in mixed.items())
+    assert collections.Counter((r.doc_id, r.ids_crc32) for r in p.run(spark, str(tmp_path)).collect()) == collections.Counter((r.doc_id, r.ids_crc32) for r in packed)
+
+
+def test_pipeline_of_no_rows_and_of_no_labels(spark, tmp_path):
+    import corpus_pipeline as p
+
+    for name, some in (("none", []), ("bare", [(1, "some words here", None, None, None, *[None] * 11), (2, "123", None, None, None, *[None] * 11)])):
+        spark.createDataFrame(some, WIDE).write.parquet(str(tmp_path / name / "documents.parquet"))
+        assert {r.doc_id for r in p.run(spark, str(tmp_path / name)).collect()} == ({1} if some else set())
+
+
+
 def slow_simhash(text, n_words=fingerprints.TERM_WORDS):
     """Bit by bit: each occurrence of a term votes with each of its hash bits."""
     data, offsets = np.frombuffer((text or "").encode(), np.uint8), np.asarray([0, len((text or "").encode())])
