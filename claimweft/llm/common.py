@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -149,6 +150,20 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def lean(run: Callable) -> Callable:
+    """``run`` over Arrow batches, after which the worker gives freed memory back: it stays alive beside later stages."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # not every C library has it
+            pass
+
+    return wrapped
+
+
 _TABLES: dict[str, np.ndarray] = {}
 
 

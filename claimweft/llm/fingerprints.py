@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import INNER, flat, mix, row_bounds, ship, slices, table, tasks, words, written
+from claimweft.llm.common import INNER, flat, lean, mix, row_bounds, ship, slices, table, tasks, words, written
 
 BITS = 128
 TERM_WORDS = 3
@@ -89,7 +89,7 @@ def fingerprint(docs: DataFrame, n_words: int = TERM_WORDS) -> DataFrame:
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x.tobytes().hex() for x in simhash(part.column("text"), n_words)])], [*part.schema.names, "fingerprint"])
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", fingerprint string")
+    return docs.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", fingerprint string")
 
 
 def block_plan(radius: int, most_keys: int = MOST_KEYS) -> list[tuple[int, int, int]]:
@@ -208,7 +208,7 @@ def op7_document_fingerprints(spark, sf_dir: str) -> DataFrame:
 
     n_bytes = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     prints = written(
-        with_next(docs, tasks(spark, n_bytes, RUN_BYTES)).mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"),
+        with_next(docs, tasks(spark, n_bytes, RUN_BYTES)).mapInArrow(lean(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"),
         "prints",
     )
     # a fixed query set: every document whose id is divisible by 100, against all; the others need no lookup

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import flat, mix, row_bounds, ship, slices, span_hashes, table
+from claimweft.llm.common import flat, lean, mix, row_bounds, ship, slices, span_hashes, table
 
 TRAIN_DOCS = 300
 TRAIN_CHARS = 6000
@@ -30,7 +30,7 @@ TABLE = 1 << 16
 LEXICON_WORDS = 4000
 UNDETERMINED = "und"
 SEED = 11
-PREDICT_BYTES = 3 << 20
+PREDICT_BYTES = 1 << 20
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -293,7 +293,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 langs, score = predict(part.column("text"), sent.value)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(score)], [*part.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double")
+    return docs.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double")
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

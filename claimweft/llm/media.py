@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import ship, slices, table, written
+from claimweft.llm.common import lean, ship, slices, table, written
 
 PAD_UNIT = 576
 PAD_BYTE = 255
@@ -445,7 +445,7 @@ def store_texts(docs: DataFrame) -> DataFrame:
                 texts = [(t or "").encode() for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array([encode_bytes(padded(t)) for t in texts], pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "doc_id long, n_bytes long, media binary")
 
 
 def read_tensors(media: DataFrame, column: str = "media") -> DataFrame:
@@ -465,7 +465,7 @@ def read_tensors(media: DataFrame, column: str = "media") -> DataFrame:
                 more = [pa.array([None if rgb is None else rgb.shape[k]], pa.int32()) for k in (0, 1)] + [pa.array([None if rgb is None else rgb.tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays([*one.columns, *more], [*one.schema.names, "height", "width", "rgb"])
 
-    return media.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema) + ", height int, width int, rgb binary")
+    return media.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema) + ", height int, width int, rgb binary")
 
 
 def digest(media: DataFrame) -> DataFrame:
@@ -492,7 +492,7 @@ def digest(media: DataFrame) -> DataFrame:
                 ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
             )
 
-    return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.mapInArrow(lean(run), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op8_media_columns(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import INNER, discard, flat, mix, row_bounds, ship, slices, table, words, written
+from claimweft.llm.common import INNER, discard, flat, lean, mix, row_bounds, ship, slices, table, words, written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -180,7 +180,7 @@ def signatures(sets: DataFrame, k: int, unit: float = 1.0) -> DataFrame:
                 out[i] = x
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], [*batch.schema.names, "signature"])
 
-    return sets.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sets.schema) + ", signature array<long>")
+    return sets.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sets.schema) + ", signature array<long>")
 
 
 def _hex(a: np.ndarray, b: np.ndarray) -> list[str]:
@@ -210,7 +210,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, band_rows: int = BAND_ROWS, n_
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands), pa.int32()), pa.array(buckets.view(np.int64).reshape(-1)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(nodes, pa.string()), pa.array(weight, pa.int64()), lists], ["doc_id", "node", "n", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, node string, n long, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "doc_id long, node string, n long, keys array<long>")
 
 
 def _grams(docs: DataFrame, n_words: int) -> DataFrame:
@@ -225,7 +225,7 @@ def _grams(docs: DataFrame, n_words: int) -> DataFrame:
                 columns, bounds = columns[order], row_bounds(rows, part.num_rows)
                 yield pa.RecordBatch.from_arrays([pa.array(_hex(k1, k2)), pa.array([columns[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())], ["node", "grams"])
 
-    return docs.select("text").mapInArrow(run, "node string, grams binary")
+    return docs.select("text").mapInArrow(lean(run), "node string, grams binary")
 
 
 def jaccard_at_least(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
@@ -314,7 +314,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     with_b = star.join(grams.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
     with_both = with_b.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
     able = F.least(size("ga"), size("gb")) >= similarity * F.greatest(size("ga"), size("gb")) - 1e-6
-    links = written(with_both.where(able).select("a", "b", "ga", "gb").mapInArrow(verify, "a string, b string"), "links")
+    links = written(with_both.where(able).select("a", "b", "ga", "gb").mapInArrow(lean(verify), "a string, b string"), "links")
     labels = components(links)
     # buckets that hold several components: all pairs across components, in blocks
     named = shared.where("members > 2").join(labels.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("key", "node", "members", F.coalesce("label", "node").alias("label"))

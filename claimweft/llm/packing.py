@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import INNER, salted_rank, salts, ship, slices, table, written
+from claimweft.llm.common import INNER, lean, salted_rank, salts, ship, slices, table, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -162,7 +162,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES + (", ids array<int>" if with_ids else ""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(cut), PIECES + (", ids array<int>" if with_ids else ""))
 
 
 # ---- plan ---------------------------------------------------------------------------------------------------------
@@ -362,7 +362,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(shift[at] + r, pa.int64()), pa.array(offset[at], pa.int64())], [*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(lean(place), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:

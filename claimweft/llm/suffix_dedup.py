@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweft.llm.common import BASE, BASE_INVERSE, _byte_table, _powers, mix, ship, slices, table, tasks, written
+from claimweft.llm.common import BASE, BASE_INVERSE, _byte_table, _powers, lean, mix, ship, slices, table, tasks, written
 
 WINDOW = 200
 K = 100
@@ -585,20 +585,20 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, together: int = TOG
     total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = tasks(spark, total, TASK_BYTES)
     n_buckets, n_groups, n_parts = (max(n, total // b) for b in (BUCKET_BYTES, GROUP_BYTES, PART_BYTES))
-    groups = written(_dealt(plain.mapInArrow(_texts(n_groups), _ROW), n, "part").mapInArrow(_whole_groups, _ROW), "groups")
-    offers = groups.mapInArrow(_offer(n_buckets, max(1, total // (K // 2) // SAMPLE)), "bucket int, part int, hashes binary, several binary, sample binary")
-    answers = written(_dealt(offers, n, "bucket").mapInArrow(_answer, _ROW), "answers")
+    groups = written(_dealt(plain.mapInArrow(lean(_texts(n_groups)), _ROW), n, "part").mapInArrow(lean(_whole_groups), _ROW), "groups")
+    offers = groups.mapInArrow(lean(_offer(n_buckets, max(1, total // (K // 2) // SAMPLE))), "bucket int, part int, hashes binary, several binary, sample binary")
+    answers = written(_dealt(offers, n, "bucket").mapInArrow(lean(_answer), _ROW), "answers")
     sample = [(bytes(r[0][:K]), int.from_bytes(r[0][K:], "big")) for r in answers.where("kind = 9").select("blob").collect()]  # some SAMPLE rows
     cuts = splitters(sample)
-    runs = _dealt(groups.union(answers.where("kind = 1")), n, "part", "kind").mapInArrow(_runs(cuts, -(-n_parts // (len(cuts) + 1))), _ROW)
-    merged = written(_dealt(runs, n, "part", "kind").mapInArrow(_merge(together, in_task), _MERGED), "merged")
+    runs = _dealt(groups.union(answers.where("kind = 1")), n, "part", "kind").mapInArrow(lean(_runs(cuts, -(-n_parts // (len(cuts) + 1)))), _ROW)
+    merged = written(_dealt(runs, n, "part", "kind").mapInArrow(lean(_merge(together, in_task)), _MERGED), "merged")
     intervals = merged.where("kind = 1").select("part", "kind", "blob")
     asked = merged.where("kind = 3").select("group", "doc", "place", "d", "window", "several")
     if not asked.isEmpty():  # d is part of the key: two anchors in one window would count its one place twice
         met = asked.groupBy(F.col("window").alias("w"), F.col("d").alias("z")).agg(F.count(F.lit(1)).alias("n"), F.max("several").alias("s")).where("n > 1 or s").select("w", "z")
         ranges = asked.where(~F.col("several")).join(met, (F.col("window") == F.col("w")) & (F.col("d") == F.col("z"))).groupBy("group", "doc", "place").agg(F.min("d").alias("low"), F.max("d").alias("high"))
-        intervals = intervals.union(ranges.mapInArrow(_window_intervals, _ROW))
-    result = _dealt(groups.union(intervals), n, "part", "kind").mapInArrow(_cut(with_text), "key string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        intervals = intervals.union(ranges.mapInArrow(lean(_window_intervals), _ROW))
+    result = _dealt(groups.union(intervals), n, "part", "kind").mapInArrow(lean(_cut(with_text)), "key string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring(F.sha2(text.cast("binary"), 256), 1, 32).alias("of"))
     out = ids.join(result, F.col("of") == F.col("key")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
     return out if with_text else out.drop("kept")
