@@ -130,7 +130,7 @@ def _groups(batches, key: str):
 
 
 def _dealt(df: DataFrame, parts: int, *order: str) -> DataFrame:
-    return df.repartition(parts, order[0]).sortWithinPartitions(*order)
+    return df.repartitionById(parts, F.pmod(F.col(order[0]), F.lit(parts))).sortWithinPartitions(*order)
 
 
 def _edges(sorted_: np.ndarray) -> list[tuple[int, int]]:
