@@ -15,7 +15,7 @@ LOW_VALUE = ("ok", "okay", "thanks", "thank you", "hi", "hello", "yes", "no", "l
 NUMBER_WORDS = "zero|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty"
 UNITS = "masts?|engines?|meters?|metres?|feet|foot|ft|inches|inch|in|cm|mm|km|miles?|mi|kg|g|lbs?|pounds?|oz|tons?|hours?|hrs?|minutes?|mins?|seconds?|secs?|days?|weeks?|months?|years?|liters?|litres?|gallons?|percent|%"
 NOT_ENTITIES = ("I", "The", "A", "An", "This", "That", "It", "They", "He", "She", "OCR", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
-EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
+EMAIL = "(?:(?<![\\p{L}\\p{N}_])(?=[A-Za-z0-9_])|(?<=[\\p{L}\\p{N}_])(?=[.%+-]))[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}(?![\\p{L}\\p{N}_])"
 PHONE = "(?<!\\d)(?:\\+?1[\\s.-]?)?(?:\\(?\\d{3}\\)?[\\s.-]?)\\d{3}[\\s.-]?\\d{4}(?!\\d)"
 SSN = "\\b\\d{3}-\\d{2}-\\d{4}\\b"
 
@@ -24,7 +24,10 @@ QUANTITY = (
     "(?i)\\b(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}|[0-9]{1,2}:[0-9]{2}(?:\\s?[ap]m)?|yesterday|today|tomorrow|last week|next week|"
     f"{VALUE}\\s*(?:-|to)\\s*{VALUE}(?:\\s+(?:{UNITS}))?|{VALUE}\\s+(?:{UNITS})|[0-9]+(?:\\.[0-9]+)?%?|{NUMBER_WORDS})\\b"
 )
-ENTITY = "(?:^|[^\\p{L}\\p{N}_])([A-Z][\\p{L}\\p{N}_-]*(?:\\s+[A-Z][\\p{L}\\p{N}_-]*)*)"
+# Capitalised words of ASCII letters in a run; a word ends where a letter, digit or underscore meets anything else.
+WORD_END = "(?:(?<=[A-Za-z0-9_])(?![\\p{L}\\p{N}_])|(?<=-)(?=[\\p{L}\\p{N}_]))"
+BLANK = "[\\s\\p{Z}\\x{1c}-\\x{1f}\\x{85}]"
+ENTITY = f"(?<![\\p{{L}}\\p{{N}}_])[A-Z][A-Za-z0-9_-]*(?:{BLANK}+[A-Z][A-Za-z0-9_-]*)*{WORD_END}"
 SENTENCE = "[^.!?\n]++(?:[.!?]++|\n|\\z)"
 
 
@@ -38,7 +41,7 @@ def has_word(text: Column, alternatives: str) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space at both ends, of every kind."""
-    return F.regexp_replace(text, "^\\s+|\\s+$", "")
+    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
 
 
 def sentences(text: Column) -> Column:
@@ -48,6 +51,11 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(whole, strip), lambda s: s != "")
 
 
+def pieces(text: Column) -> Column:
+    """The text cut into what may be a sentence, with what ends it, and stretches of terminators and line ends."""
+    return F.regexp_extract_all(text, F.lit("[^.!?\n]++(?:[.!?]++|\n|\\z)|[.!?\n]++"), F.lit(0))
+
+
 def span_score(text: Column) -> Column:
     """How likely a segment bears a claim, .95 at most; null where it is blank, small talk or has no sign of a claim."""
     plain = F.lower(strip(text))
@@ -68,7 +76,7 @@ def quantities(text: Column) -> Column:
 
 
 def entities(text: Column) -> Column:
-    return F.array_sort(F.array_except(F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1))), F.array(*map(F.lit, NOT_ENTITIES))))
+    return F.array_sort(F.array_except(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), strip)), F.array(*map(F.lit, NOT_ENTITIES))))
 
 
 def slug(text: Column) -> Column:
@@ -80,10 +88,27 @@ def canonical_id(prefix: Column, text: Column) -> Column:
     return F.concat(prefix, F.lit(":"), slug(text))
 
 
+#: What cleaning does, in order: name, pattern, replacement.
+CLEANING = (("repair_hyphenation", "(?<=[\\p{L}\\p{N}_])-\n(?=[\\p{L}\\p{N}_])", ""), ("join_wrapped_lines", "(?<!\n)\n(?!\n)", " "), ("collapse_whitespace", "[ \t]+", " "))
+
+
 def clean_block(text: Column) -> Column:
     """Hyphenation repaired, single line ends to spaces, runs of blanks to one."""
-    t = F.regexp_replace(strip(text), "(?<=\\w)-\n(?=\\w)", "")
-    return strip(F.regexp_replace(F.regexp_replace(t, "(?<!\n)\n(?!\n)", " "), "[ \t]+", " "))
+    t = strip(text)
+    for _, pattern, to in CLEANING:
+        t = F.regexp_replace(t, pattern, to)
+    return strip(t)
+
+
+def cleanup_actions(text: Column) -> Column:
+    """Names of the cleaning steps that change the text, in order."""
+    t, out = strip(text), []
+    for i, (name, pattern, to) in enumerate(CLEANING):
+        after = F.regexp_replace(t, pattern, to)
+        after = strip(after) if i == len(CLEANING) - 1 else after
+        out.append(F.when(after != t, name))
+        t = after
+    return F.array_compact(F.array(*out))
 
 
 def furniture_signature(text: Column) -> Column:

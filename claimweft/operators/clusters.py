@@ -3,54 +3,134 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimweft.functions.ids import json_string, stable_id
 
-def close_pairs(vectors: DataFrame, threshold: float, planes: int = 3) -> DataFrame:
-    """Pairs (a < b) of vectors at most ``threshold`` apart.
 
-    Exact blocking: vectors are cut into cells as wide as the threshold on each of ``planes`` coordinates; a pair within
-    the threshold is in cells that differ by one at most in each, so one side is sent to its 3 ^ planes neighbours and
-    an equi-join on the cell finds all candidates.
+def _square(a: str | Column, b: str | Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x)
+
+
+def pairs_within(left: DataFrame, right: DataFrame, threshold: float, pivots: int = 12) -> DataFrame:
+    """Pairs (a of left, b of right, a <> b) of vectors (vec_id, embedding) at most ``threshold`` apart, with distances.
+
+    Exact, by pivots: the distances of two vectors to one point differ by no more than their own distance. A vector is in
+    a cell as wide as the threshold by its distance to the first pivots; one side goes to the neighbouring cells too, and
+    what meets is tested with the distances to all pivots, ids and a dozen numbers only, before vectors are fetched. The
+    pivots are the vectors of right with the least hashes. Null vectors are in no pair.
     """
-    cell = lambda i: F.floor(F.element_at("embedding", i + 1).cast("double") / threshold).cast("long")
-    v = vectors.select(F.col("vec_id"), "embedding", *(cell(i).alias(f"c{i}") for i in range(planes)))
-    near = v.select(F.col("vec_id").alias("b"), F.col("embedding").alias("eb"), *(f"c{i}" for i in range(planes)))
-    for i in range(planes):
-        near = near.withColumn(f"c{i}", F.explode(F.array(*(F.col(f"c{i}") + d for d in (-1, 0, 1)))))
-    square = F.aggregate(F.zip_with("embedding", "eb", lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x)
-    pairs = v.withColumnRenamed("vec_id", "a").join(near, [f"c{i}" for i in range(planes)]).where("a < b")
-    return pairs.select("a", "b", F.sqrt(square).alias("distance")).where(F.col("distance") <= threshold)
+    one, two = (t.where(F.col("embedding").isNotNull()).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")) for t in (left, right))
+    points = [r[0] for r in two.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("embedding").collect()]  # a fixed number
+    if not points:
+        return one.select(F.col("vec_id").alias("a"), F.col("vec_id").alias("b"), F.lit(0.0).alias("distance")).limit(0)
+    to = F.array(*(F.sqrt(_square("embedding", F.array(*map(F.lit, p)))) for p in points))
+    wide = threshold if threshold > 0 else 1.0
+    cells = [F.floor(F.get("to", F.lit(i)) / wide).cast("long").alias(f"c{i}") for i in range(min(2, len(points)))]
+    names = [f"c{i}" for i in range(len(cells))]
+    mine = one.withColumn("to", to).select(F.col("vec_id").alias("a"), F.col("to").alias("ta"), *cells)
+    theirs = two.withColumn("to", to).select(F.col("vec_id").alias("b"), F.col("to").alias("tb"), *cells)
+    for c in names:
+        theirs = theirs.withColumn(c, F.explode(F.array(*(F.col(c) + k for k in (-1, 0, 1)))))
+    near = F.forall(F.zip_with("ta", "tb", lambda x, y: F.abs(x - y)), lambda g: g <= threshold + 1e-9)
+    met = mine.join(theirs, names).where((F.col("a") != F.col("b")) & near).select("a", "b")
+    with_a = met.join(one.select(F.col("vec_id").alias("a"), F.col("embedding").alias("ea")), "a")
+    with_b = with_a.join(two.select(F.col("vec_id").alias("b"), F.col("embedding").alias("eb")), "b")
+    return with_b.select("a", "b", F.sqrt(_square("ea", "eb")).alias("distance")).where(F.col("distance") <= threshold)
 
 
-def components(vectors: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
-    """vec_id, cluster (the least id connected with it). Each round is a table written under ``folder``."""
-    spark = vectors.sparkSession
+def close_pairs(vectors: DataFrame, threshold: float, pivots: int = 12) -> DataFrame:
+    """Pairs (a < b) of vectors (vec_id, embedding) at most ``threshold`` apart, with their distances."""
+    return pairs_within(vectors, vectors, threshold, pivots).where("a < b")
+
 
-    def written(df):
-        path = f"{folder}/components-{uuid.uuid4().hex}"
+def _store(folder: str):
+    """Writes a table below a folder and reads it back."""
+
+    def written(df: DataFrame) -> DataFrame:
+        path = f"{folder}/clusters-{uuid.uuid4().hex}"
         df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return written
+
 
+def components(vectors: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
+    """vec_id, cluster (the least id connected with it). Each round is a table written under ``folder``."""
+    written = _store(folder)
     both = written(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(pairs.select("b", "a")).distinct())
-    labels = written(vectors.select("vec_id", F.col("vec_id").alias("cluster")))
-    while True:
+    labels = written(both.groupBy(F.col("u").alias("vec_id")).agg(F.least(F.min("v"), F.first("u")).alias("cluster")))
+    while True:  # the least label among neighbours, then that label's own: paths halve
         near = both.join(labels, F.col("v") == F.col("vec_id")).groupBy("u").agg(F.min("cluster").alias("near"))
-        moved = written(labels.join(near, F.col("vec_id") == F.col("u"), "left").select("vec_id", F.least("cluster", F.coalesce("near", "cluster")).alias("new"), F.col("cluster").alias("old")))
-        labels = moved.select("vec_id", F.col("new").alias("cluster"))
-        if moved.where("new <> old").isEmpty():
-            return labels
+        lower = written(labels.join(near, F.col("vec_id") == F.col("u")).select("vec_id", F.least("cluster", "near").alias("step"), F.col("cluster").alias("old")))
+        up = lower.select(F.col("vec_id").alias("up"), F.col("step").alias("beyond"))
+        moved = written(lower.join(up, F.col("step") == F.col("up")).select("vec_id", F.least("step", "beyond").alias("cluster"), "old"))
+        labels = moved.select("vec_id", "cluster")
+        if moved.where("cluster <> old").isEmpty():
+            break
+    return vectors.select("vec_id").join(labels, "vec_id", "left").select("vec_id", F.coalesce("cluster", "vec_id").alias("cluster"))
 
 
-def dominant_color(vectors: DataFrame) -> DataFrame:
-    """A colour name and its confidence from the first three coordinates, taken as red, green and blue from 0 to 1.
+def _nearest_outside(member: DataFrame, ids: DataFrame, v: DataFrame, within: DataFrame, threshold: float, written) -> DataFrame:
+    """cluster, outside: the distance of its members to the nearest vector of another component, if that is below one more
+    than the largest distance within, beyond which it makes no difference. Searched in growing radii, found clusters left out.
+    """
+    most = within.agg(F.max("most")).first()[0] or 0.0
+    radius, found, open_ = max(threshold, 1e-3) * 1.25, [], member.select("cluster", "vec_id", "embedding")
+    while True:
+        radius = min(radius, 1.0 + most)
+        pairs = pairs_within(open_, v, radius).join(open_.select(F.col("vec_id").alias("a"), "cluster"), "a").join(ids.select(F.col("vec_id").alias("b"), F.col("cluster").alias("other")), "b")
+        got = written(pairs.where("cluster <> other").groupBy("cluster").agg(F.min("distance").alias("outside")))
+        found.append(got)
+        open_ = written(open_.join(got, "cluster", "left_anti"))
+        if radius >= 1.0 + most or open_.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        radius *= 1.5
+
+
+def feature_clusters(embeddings: DataFrame, threshold: float, least: int, model: str, method: str, folder: str) -> DataFrame:
+    """Clusters of region embeddings (region_id, source_id, embedding_model, vector, risk_flags) with scores and flags.
+
+    A component of vectors within the threshold with ``least`` members or more. Cohesion is 1 less the mean distance of
+    members, margin the nearest distance to a vector of another component less the largest distance within; both are held
+    between 0 and 1. Representatives are the two members nearest to the centroid, by id among equals. The mean distance of
+    all members takes all pairs of a cluster: where clusters are large, choose a smaller threshold.
+    """
+    v = embeddings.where(F.col("embedding_model") == model).select(F.col("region_id").alias("vec_id"), "source_id", F.col("vector").alias("embedding"), F.coalesce("risk_flags", F.array().cast("array<string>")).alias("flags"))
+    written = _store(folder)
+    v = written(v)
+    ids = written(components(v, close_pairs(v, threshold), folder))
+    sizes = ids.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    member = written(ids.join(sizes, "cluster").join(v, "vec_id"))
+    axis = member.select("cluster", F.posexplode("embedding").alias("k", "x")).groupBy("cluster", "k").agg(F.avg("x").alias("x"))
+    centroid = axis.groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda p: p["x"]).alias("center"))  # as many as dimensions
+    ranked = member.join(centroid, "cluster").withColumn("off", F.round(F.sqrt(_square("embedding", "center")), 9))
+    best = ranked.withColumn("at", F.row_number().over(Window.partitionBy("cluster").orderBy("off", "vec_id"))).where("at <= 2").groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "vec_id"))), lambda p: p["vec_id"]).alias("representatives"))
+    a = member.select("cluster", F.col("vec_id").alias("a"), F.col("embedding").alias("ea"))
+    b = member.select("cluster", F.col("vec_id").alias("b"), F.col("embedding").alias("eb"))
+    within = a.join(b, "cluster").where("a < b").select("cluster", F.sqrt(_square("ea", "eb")).alias("d")).groupBy("cluster").agg(F.avg("d").alias("mean"), F.max("d").alias("most"))
+    within = written(within)
+    outside = _nearest_outside(member, ids, v, within, threshold, written)
+    held = lambda x: F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)), 6)
+    g = member.groupBy("cluster").agg(F.array_sort(F.collect_list("vec_id")).alias("members"), F.array_sort(F.collect_set("source_id")).alias("sources"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("flags")))).alias("flags"), F.count(F.lit(1)).cast("int").alias("size"))
+    j = g.join(best, "cluster").join(within, "cluster", "left").join(outside, "cluster", "left")
+    margin = held(F.coalesce("outside", F.lit(1.0)) - F.coalesce("most", F.lit(0.0)))
+    flags = F.array_sort(F.array_union("flags", F.array_compact(F.array(F.when(F.col("size") < 3, "small_cluster"), F.when(F.size("sources") == 1, "same_source_cluster"), F.when(margin < 0.05, "weak_cluster_margin")))))
+    own = stable_id("img_cluster", member_region_ids=F.concat(F.lit("["), F.array_join(F.transform("members", json_string), ","), F.lit("]")), embedding_model=json_string(F.lit(model)), clustering_method=json_string(F.lit(method)))
+    return j.select(
+        own.alias("feature_cluster_id"), F.lit(model).alias("embedding_model"), F.lit(method).alias("clustering_method"), F.col("members").alias("member_region_ids"), F.col("size").alias("cluster_size"), held(1 - F.coalesce("mean", F.lit(0.0))).alias("cohesion_score"),
+        margin.alias("nearest_neighbor_margin"), F.col("representatives").alias("representative_region_ids"), F.col("sources").alias("source_ids"), flags.alias("risk_flags"))
+
+
+def color_of(r, g, b):
+    """A colour name and its confidence from red, green and blue from 0 to 1.
 
     Two strong channels above a weak third one make yellow, cyan or magenta; among equal channels red goes before green
     before blue.
     """
-    r, g, b = (F.least(F.abs(F.element_at("embedding", i).cast("double")), F.lit(1.0)) for i in (1, 2, 3))
     high, low = F.greatest(r, g, b), F.least(r, g, b)
     middle = F.element_at(F.array_sort(F.array(r, g, b)), 2)
     spread = high - low
@@ -59,4 +139,10 @@ def dominant_color(vectors: DataFrame) -> DataFrame:
     name = F.when(high < 0.12, "black").when(low > 0.88, "white").when(spread < 0.08, "gray").when(two, mixed).when((r >= g) & (r >= b), "red").when(g >= b, "green").otherwise("blue")
     gray = 0.55 + F.least(F.lit(0.25), 0.08 - spread)
     sure = F.when((high < 0.12) | (low > 0.88), F.lit(0.9)).when(spread < 0.08, gray).otherwise(F.greatest(F.lit(0.5), F.least(F.lit(1.0), 0.55 + spread / 2)))
-    return vectors.select("vec_id", name.alias("color"), F.round(sure, 3).alias("confidence"))
+    return name, F.round(sure, 3)
+
+
+def dominant_color(vectors: DataFrame) -> DataFrame:
+    """``color_of`` the first three coordinates, without their signs and 1 at most."""
+    name, sure = color_of(*(F.least(F.abs(F.element_at("embedding", i).cast("double")), F.lit(1.0)) for i in (1, 2, 3)))
+    return vectors.select("vec_id", name.alias("color"), sure.alias("confidence"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweft.functions import text as T
+from claimweft.functions.ids import json_string, stable_id
 
 
 def furniture(blocks: DataFrame, most_chars: int = 120, least_pages: int = 2) -> DataFrame:
@@ -37,8 +38,8 @@ def block_chunks(blocks: DataFrame, target_chars: int = 4800) -> DataFrame:
     return rows.select("source_id", F.explode(F.aggregate("b", zero, add)["out"]).alias("o")).select("source_id", "o.page", "o.block_no", "o.chunk")
 
 
-def utterance_risk(u: DataFrame) -> DataFrame:
-    """Flags for low confidence and for speech that overlaps in its source.
+def overlaps():
+    """Whether an utterance (source_id, start, end, utterance_id) overlaps another of its source.
 
     Overlap needs no self-join: an utterance overlaps an earlier one iff it starts before the running maximum of ends
     ahead of it in (start, end, id) order, and a later one iff the least later start with an end beyond it is before
@@ -47,7 +48,12 @@ def utterance_risk(u: DataFrame) -> DataFrame:
     order = Window.partitionBy("source_id").orderBy("start", "end", "utterance_id")
     earlier = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     later = F.lead("start").over(order)
-    over = F.coalesce(earlier > F.col("start"), F.lit(False)) | (F.coalesce(later < F.col("end"), F.lit(False)))
+    return F.coalesce(earlier > F.col("start"), F.lit(False)) | (F.coalesce(later < F.col("end"), F.lit(False)))
+
+
+def utterance_risk(u: DataFrame) -> DataFrame:
+    """Flags for low confidence and for speech that overlaps in its source."""
+    over = overlaps()
     flags = F.array_compact(F.array(F.when(F.col("asr_confidence") < 0.55, "low_asr_confidence"), F.when(over, "overlapping_speech"), F.when(F.col("diarization_confidence") < 0.5, "speaker_uncertain")))
     return u.withColumn("risk_flags", F.array_join(flags, ",")).select("utterance_id", "source_id", "risk_flags")
 
@@ -105,3 +111,22 @@ def grid_boxes(images: DataFrame, patch: int = 224, stride: int = 224) -> DataFr
     w, h = F.least("width", F.lit(patch)), F.least("height", F.lit(patch))
     xs = images.select("image_id", w.alias("w"), h.alias("h"), F.explode(positions(F.col("width"), w)).alias("x"), "height")
     return xs.select("image_id", "x", F.explode(positions(F.col("height"), F.col("h"))).alias("y"), "w", "h")
+
+
+def proposal_method(patch: int, stride: int) -> str:
+    return f"grid_{patch}_stride{stride}"
+
+
+def region_id(image_id, x, y, w, h, method: str):
+    box = F.concat(F.lit("["), F.concat_ws(",", *(c.cast("string") for c in (x, y, w, h))), F.lit("]"))
+    return stable_id("img_region", image_id=json_string(image_id), bbox=box, proposal_method=json_string(F.lit(method)))
+
+
+def propose_regions(images: DataFrame, patch: int = 224, stride: int = 112) -> DataFrame:
+    """Regions of a grid over images (image_id, source_id, width, height); edge_patch where the image is smaller than one."""
+    method = proposal_method(patch, stride)
+    boxes = grid_boxes(images, patch, stride).join(images.select("image_id", "source_id"), "image_id")
+    own = region_id(F.col("image_id"), F.col("x"), F.col("y"), F.col("w"), F.col("h"), method)
+    flags = F.when((F.col("w") < patch) | (F.col("h") < patch), F.array(F.lit("edge_patch"))).otherwise(F.array().cast("array<string>"))
+    nothing = F.lit(None).cast("string")
+    return boxes.select(own.alias("region_id"), "image_id", "source_id", F.lit("patch").alias("region_type"), "x", "y", "w", "h", F.array("x", "y", "w", "h").alias("bbox"), nothing.alias("crop_path"), nothing.alias("mask_path"), F.lit(method).alias("proposal_method"), F.lit(None).cast("double").alias("proposal_score"), flags.alias("risk_flags"))

@@ -45,8 +45,13 @@ def flagship(s, d):
 
 
 def _shared(s):
-    where = s.sparkContext.getConf().get("spark.checkpoint.dir")
-    return where or "file://" + tempfile.mkdtemp(prefix="claimweft-")
+    """The folder that driver and executors share; in local mode, as in tests, one is made where none is named."""
+    where = s.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(s.sparkContext, "_claimweft_registry", None)
+    if not where:
+        if not s.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        where = s.sparkContext._claimweft_registry = "file://" + tempfile.mkdtemp(prefix="claimweft-")
+    return where
 
 
 NEAR = 1.12
@@ -218,6 +223,7 @@ def queries():
 
 # ---- the same in SQL ----------------------------------------------------------------------------------------------
 
+EMAIL = "\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}\\b"
 _q = lambda s: "'" + s.replace("'", "''") + "'"
 
 
@@ -254,7 +260,9 @@ def _modality(e):
 
 
 def _entities(e):
-    return f"list_sort(list_filter(list_distinct(regexp_extract_all({e}, {_q(T.ENTITY)}, 1)), lambda x: x NOT IN ({', '.join(map(_q, T.NOT_ENTITIES))})))"
+    # words with letters beyond ASCII are no entities; without them, ASCII word bounds are right
+    plain = f"regexp_replace({e}, '[\\p{{L}}\\p{{N}}_]*[\\x{{c0}}-\\x{{d6}}\\x{{d8}}-\\x{{f6}}\\x{{f8}}-\\x{{24f}}][\\p{{L}}\\p{{N}}_]*', 'é', 'g')"
+    return f"list_sort(list_filter(list_distinct(regexp_extract_all({plain}, '\\b[A-Z][A-Za-z0-9_-]*(?:\\s+[A-Z][A-Za-z0-9_-]*)*\\b')), lambda x: x NOT IN ({', '.join(map(_q, T.NOT_ENTITIES))})))"
 
 
 def _quantities(e):
@@ -372,7 +380,7 @@ def _more_sql():
     return {
         "apply_repairs": chain(f"SELECT claim_id, 'created' AS outcome, '' AS reason, evidence_text FROM claims WHERE {misquoted}"),
         "job_rates": chain("SELECT round((SELECT sum(l_tax) FROM lineitem) / (SELECT count(*) FROM normalized), 4) AS cost_per_accepted_claim, round((SELECT sum(l_quantity) / count(DISTINCT l_orderkey) FROM lineitem), 2) AS latency_per_source"),
-        "pii_email_ssn": chain(f"SELECT record_id, kind, CASE WHEN kind = 'email' THEN substr(m, 1, 1) || '***@' || string_split(m, '@')[-1] ELSE '***-**-' || right(m, 4) END AS preview, sha256(m) AS match_sha256 FROM (WITH rows AS (SELECT 'doc:' || doc_id AS record_id, text FROM documents UNION ALL SELECT message_id, text FROM messages) {found('email', T.EMAIL)} UNION ALL {found('ssn', T.SSN)})"),
+        "pii_email_ssn": chain(f"SELECT record_id, kind, CASE WHEN kind = 'email' THEN substr(m, 1, 1) || '***@' || string_split(m, '@')[-1] ELSE '***-**-' || right(m, 4) END AS preview, sha256(m) AS match_sha256 FROM (WITH rows AS (SELECT 'doc:' || doc_id AS record_id, text FROM documents UNION ALL SELECT message_id, text FROM messages) {found('email', EMAIL)} UNION ALL {found('ssn', T.SSN)})"),
         "metta_lines": chain(f"SELECT unnest([{line('claim', 'normalized_claim_id', 'claim_id', 'source_id', 'evidence_id', 'subject', 'predicate', 'object', qualifiers)}, {line('claim-modality', 'normalized_claim_id', 'modality')}, {line('claim-truth-status', 'normalized_claim_id', 'truth_status')}, "
             "concat_ws(' ', '(claim-confidence', to_json(normalized_claim_id)::VARCHAR, regexp_replace(round(confidence, 6)::VARCHAR, '\\.0$', ''), ')')]) AS line FROM normalized"),
         "pdf_headings": f"WITH {_BLOCKS}, {_headings()} SELECT * FROM headings",
