@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from claimweft.operators import reports
-from claimweft.plans import registry
+from claimweft.plans import catalog as registry
 from claimweft.sources import jsonl
 
 REPORT = {"Counters": "report_counters", "Quality rates": "quality_rates", "Costs": "job_rates", "Quarantine reasons": "quarantine_reasons", "Acceptance": "acceptance_checks", "References": "link_checks"}

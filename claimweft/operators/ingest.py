@@ -78,7 +78,7 @@ def chat_messages(exports: DataFrame, metadata: dict[str, str] | None = None) ->
     sender = F.when(is_object("author"), F.coalesce(person("author", ids), F.lit("unknown"))).when(is_object("sender"), F.coalesce(person("sender", ids), F.lit("unknown")))
     sender = sender.otherwise(first_present(m, ("sender_id", "user_id", "author_id", "sender"), F.lit("unknown")))
     display = F.when(is_object("author"), person("author", shown)).when(is_object("sender"), person("sender", shown)).otherwise(first_present(m, ("sender_display_name", "sender_name", "author_name", "username")))
-    text = F.coalesce(*(c for k in ("text", "content", "body", "message") for c in (_get(m, k), F.array_join(_get(m, k, "array<string>"), "\n"))), F.lit(""))
+    text = F.coalesce(*(c for k in ("text", "content", "body", "message") for c in (F.array_join(_get(m, k, "array<string>"), "\n"), _get(m, k))), F.lit(""))
     conversation = first_present(m, ("conversation_id", "channel_id", "chat_id", "room_id"), F.coalesce(_truthy(head, ("conversation_id", "channel_id")), F.col("source_id")))
     flags = as_list(m, "risk_flags")
     history = F.transform(F.coalesce(_get(m, "edit_history", "array<variant>"), F.when(F.coalesce(_get(m, "edit_history"), F.lit("")) != "", F.array(_get(m, "edit_history", "variant")))), lambda x: F.to_json(x))

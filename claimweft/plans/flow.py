@@ -172,3 +172,240 @@ def queries():
         "cluster_scores": sel(feature_clusters, "feature_cluster_id", _list("member_region_ids"), "cluster_size", "cohesion_score", "nearest_neighbor_margin", _list("representative_region_ids"), _list("source_ids"), _list("risk_flags")),
         "cluster_evidence": lambda s, d: evidence.of_clusters(feature_clusters(s, d), cluster_regions(s, d)).select("evidence_id", "source_id", *_flat("feature_cluster_id", "cluster_size", "cohesion_score"), F.array_join("provenance.representative_crop_paths", ",").alias("crops"), _list("risk_flags")),
     }
+
+
+# ---- the same in SQL ----------------------------------------------------------------------------------------------
+
+
+def _const_id(prefix: str, length: int, **fields) -> str:
+    return f"{prefix}_{hashlib.sha256(json.dumps(fields, sort_keys=True, separators=(',', ':')).encode()).hexdigest()[:length]}"
+
+
+def _ascii(e):
+    """A JSON string literal with everything beyond ASCII escaped; null is null."""
+    bare = f"replace(replace({e}, '\\', '\\\\'), '\"', '\\\"')"
+    each = "CASE unicode(c) WHEN 10 THEN '\\n' WHEN 13 THEN '\\r' WHEN 9 THEN '\\t' ELSE CASE WHEN unicode(c) < 32 OR unicode(c) > 126 THEN format('\\u{:04x}', unicode(c)) ELSE c END END"
+    return f"coalesce('\"' || array_to_string(list_transform(string_split({bare}, ''), lambda c: {each}), '') || '\"', 'null')"
+
+
+def _set(*lists):
+    return "list_sort(list_distinct(flatten([" + ", ".join(f"coalesce({x}, []::VARCHAR[])" for x in lists) + "])))"
+
+
+def _when(*pairs):
+    """A list of the names whose tests hold."""
+    return "list_filter([" + ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in pairs) + "]::VARCHAR[], lambda x: x IS NOT NULL)"
+
+
+_sql = lambda e: e.replace("substring(", "substr(")
+_PROMPT = {k: f"extract_claims.{k}.v1:" + _const_id("prompt", 16, prompt_key=k, prompt_version=f"extract_claims.{k}.v1", prompt_text=t) for k, t in extraction.PROMPTS.items()}
+_METHOD = records.proposal_method(PATCH, STRIDE)
+_STATE = exports.SAID
+_BLOCK_SQL = exports.BLOCK_TEXT
+
+
+def _ingest_sql() -> str:
+    said = _STATE.replace("event_id", "(conv_id + turn)").replace("event_type", "role")
+    clean = _strip("regexp_replace(replace(" + _strip("raw") + ", chr(10), ' '), '[ \\t]+', ' ', 'g')")
+    signature = _strip("regexp_replace(regexp_replace(lower(text), '\\b[0-9]+\\b', '#', 'g'), '\\s+', ' ', 'g')")
+    return f"""
+WITH RECURSIVE talk AS (SELECT conv_id, turn, role, text || ' ' || ({said}) AS t, (conv_id * 7 + turn) % 6 AS k, conv_id::VARCHAR AS conv, 'chat_' || (conv_id % 7) AS source_id, row_number() OVER (PARTITION BY conv_id % 7 ORDER BY conv_id, turn) - 1 AS idx,
+  strftime(TIMESTAMP '2026-01-01' + to_seconds(conv_id * 60 + turn), '%Y-%m-%dT%H:%M:%S') AS stamp FROM conversations),
+spoken AS (SELECT *, CASE k WHEN 5 THEN 'plain' ELSE role END AS sender_id, CASE k WHEN 0 THEN 'The ' || role WHEN 1 THEN role WHEN 2 THEN 'N' WHEN 4 THEN role END AS sender_display_name,
+  CASE k WHEN 2 THEN 'assistant' WHEN 0 THEN role WHEN 1 THEN role ELSE 'external' END AS sender_role, CASE k WHEN 3 THEN t || chr(10) || 'more' ELSE t END AS text, CASE k WHEN 4 THEN 'conv_default' ELSE conv END AS conversation_id, CASE k WHEN 4 THEN 't1' WHEN 0 THEN conv ELSE conv END AS thread_id,
+  CASE WHEN k < 3 THEN stamp || '+00:00' WHEN k = 5 THEN stamp || '.250000+00:00' END AS "timestamp", CASE k WHEN 2 THEN stamp || 'Z' END AS raw_time, CASE k WHEN 2 THEN ['edited_message'] WHEN 3 THEN ['flagged'] ELSE []::VARCHAR[] END AS risk_flags, CASE k WHEN 2 THEN '"old"' ELSE '' END AS edit_history FROM talk),
+messages AS (SELECT *, CASE WHEN k < 2 THEN conv || ':' || turn WHEN k = 5 THEN (conv_id * 1000 + turn)::VARCHAR ELSE {_id('msg', index='idx', sender_id=_json('sender_id'), source_id=_json('source_id'), text=_ascii('text'), timestamp="coalesce('\"' || raw_time || '\"', 'null')")} END AS message_id FROM spoken),
+heard AS (SELECT event_id, event_id % 3 AS k, 'audio_' || ((event_id // 50) % 10) AS source_id, row_number() OVER (PARTITION BY (event_id // 50) % 10 ORDER BY event_id) - 1 AS idx, 'S' || (user_id % 4) AS speaker, (event_id * 4 + 0.5)::DOUBLE AS start, (event_id * 4 + 2.5 + event_id % 5)::DOUBLE AS stop, {_STATE} AS text,
+  CASE WHEN event_id % 3 <> 1 THEN (event_id % 100) / 100.0::DOUBLE END AS asr_confidence, CASE WHEN event_id % 3 <> 1 THEN (event_id % 37) / 37.0::DOUBLE END AS diarization_confidence FROM events),
+named AS (SELECT *, CASE WHEN k < 2 THEN 'utt_' || event_id ELSE {_id('utt', end='stop', index='idx', source_id=_json('source_id'), speaker=_json('speaker'), start='start', text=_json('text'))} END AS utterance_id FROM heard),
+clash AS (SELECT DISTINCT a.utterance_id FROM named a JOIN named b ON a.source_id = b.source_id AND a.utterance_id <> b.utterance_id AND b.start < a.stop AND b.stop > a.start),
+low AS (SELECT *, list_concat(CASE k WHEN 2 THEN ['noisy'] ELSE []::VARCHAR[] END, {_when(('low_asr_confidence', 'asr_confidence < 0.55'), ('speaker_uncertain', 'diarization_confidence < 0.5'))}) AS f FROM named),
+utterances AS (SELECT * EXCLUDE (f), CASE WHEN utterance_id IN (SELECT utterance_id FROM clash) THEN list_sort(list_append(f, 'overlapping_speech')) ELSE f END AS risk_flags FROM low),
+lines AS (SELECT doc_id, pos, {_BLOCK_SQL} AS raw FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents) WHERE regexp_matches(text, '\\S')),
+blocks AS (SELECT 'pdf_' || doc_id AS source_id, (pos // 5 + 1)::INT AS page, (pos % 5)::INT AS block_no, raw, {clean} AS text, doc_id % 3 = 0 AS boxed, CASE WHEN doc_id % 3 = 0 THEN [0.0, 0.0, 10.0, pos + 1.0]::DOUBLE[] END AS bbox, CASE WHEN doc_id % 3 = 0 THEN 'pymupdf' ELSE 'pypdf' END AS extractor FROM lines),
+signed AS (SELECT *, {signature} AS signature, min(block_no) OVER (PARTITION BY source_id, page) AS low, max(block_no) OVER (PARTITION BY source_id, page) AS high FROM blocks),
+usable AS (SELECT * FROM signed WHERE length(signature) BETWEEN 1 AND 120), several AS (SELECT source_id, signature FROM usable GROUP BY ALL HAVING count(DISTINCT page) >= 2),
+furniture AS (SELECT source_id, page, block_no, CASE WHEN block_no = low THEN 'header' ELSE 'footer' END AS kind FROM usable JOIN several USING (source_id, signature) WHERE block_no IN (low, high)),
+{_headings()},
+hd AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY page, block_no) AS i FROM headings ANTI JOIN furniture USING (source_id, page, block_no)),
+dp AS (SELECT *, least(i, min(level - i) OVER (PARTITION BY source_id ORDER BY i ROWS UNBOUNDED PRECEDING) + i) AS depth FROM hd), un AS (SELECT *, unnest(range(1, depth + 1)) AS k FROM dp),
+nm AS (SELECT *, last_value(CASE WHEN depth = k THEN title END IGNORE NULLS) OVER (PARTITION BY source_id, k ORDER BY i ROWS UNBOUNDED PRECEDING) AS name FROM un), pt AS (SELECT source_id, page, block_no, list(name ORDER BY k) AS path FROM nm GROUP BY ALL),
+placed AS (SELECT b.*, f.kind, CASE WHEN f.kind IS NOT NULL THEN []::VARCHAR[] ELSE coalesce(last_value(p.path IGNORE NULLS) OVER w, []::VARCHAR[]) END AS section_path,
+  coalesce(sum(length(b.text) + 1) OVER (PARTITION BY b.source_id ORDER BY b.page, b.block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS char_start
+  FROM blocks b LEFT JOIN furniture f USING (source_id, page, block_no) LEFT JOIN pt p USING (source_id, page, block_no) WINDOW w AS (PARTITION BY b.source_id ORDER BY b.page, b.block_no ROWS UNBOUNDED PRECEDING)),
+pdf AS (SELECT *, {_id('pdf_blk', block_no='block_no', page='page', source_id=_json('source_id'), text=_ascii('text'))} AS block_id, coalesce(kind, 'text') AS block_type, char_start + length(text) AS char_end,
+  {_when(('join_wrapped_lines', f"contains({_strip('raw')}, chr(10))"), ('collapse_whitespace', f"replace({_strip('raw')}, chr(10), ' ') <> text"), ('classify_repeated_page_furniture', 'kind IS NOT NULL'))} AS cleanup_actions,
+  {_when(('missing_bbox', 'NOT boxed'), ('page_furniture', 'kind IS NOT NULL'))} AS risk_flags FROM placed),
+images AS (SELECT p_partkey, 'img_' || p_partkey AS image_id, 'pic_' || (p_partkey % 50) AS source_id, (p_size * 20 + 30)::INT AS width, (p_size * 11 + 50)::INT AS height FROM part),
+xs AS (SELECT *, least(width, {PATCH})::INT AS w, least(height, {PATCH})::INT AS h FROM images),
+at_x AS (SELECT *, unnest(list_sort(list_distinct(list_append(range(0, width - w + 1, {STRIDE}), (width - w)::BIGINT)))) AS x FROM xs), at_xy AS (SELECT *, unnest(list_sort(list_distinct(list_append(range(0, height - h + 1, {STRIDE}), (height - h)::BIGINT)))) AS y FROM at_x),
+regions AS (SELECT image_id, source_id, x::INT AS x, y::INT AS y, w, h, '{_METHOD}' AS proposal_method, CASE WHEN w < {PATCH} OR h < {PATCH} THEN ['edge_patch'] ELSE []::VARCHAR[] END AS risk_flags,
+  {_id('img_region', bbox="'[' || x || ',' || y || ',' || w || ',' || h || ']'", image_id=_json('image_id'), proposal_method=_q(json.dumps(_METHOD)))} AS region_id FROM at_xy),
+latest AS (SELECT source_id, max(image_id) AS image_id FROM images GROUP BY source_id),
+read AS (SELECT CASE p_partkey % 3 WHEN 2 THEN l.image_id ELSE 'img_' || p_partkey END AS image_id, i.source_id, {_strip(exports.PRINTED)} AS text, CASE WHEN p_partkey % 3 <> 1 THEN '1,2,' || p_size || ',9' END AS bbox, CASE p_partkey % 3 WHEN 0 THEN 'reader' WHEN 1 THEN 'Other Reader' ELSE 'unknown_ocr_model' END AS ocr_model,
+  CASE WHEN p_partkey % 3 <> 1 THEN (p_partkey % 100) / 100.0::DOUBLE END AS ocr_confidence, p_size FROM part JOIN images i USING (p_partkey) JOIN latest l USING (source_id)),
+ocr AS (SELECT *, CASE WHEN bbox IS NULL THEN ['blurred'] WHEN ocr_confidence < 0.75 THEN ['low_ocr_confidence'] ELSE []::VARCHAR[] END AS risk_flags FROM read),
+ends AS (SELECT source_id, greatest(max(stop), 0) AS source_duration FROM utterances GROUP BY source_id),
+evidence AS (
+  SELECT {_id('ev_msg', message_id=_json('message_id'), source_id=_json('source_id'))} AS evidence_id, source_id, 'chat' AS source_modality, 'message_span' AS evidence_type, text, risk_flags, conversation_id, thread_id, message_id, sender_id, sender_display_name, sender_role, "timestamp", 0 AS char_start, length(text)::INT AS char_end FROM messages
+  UNION ALL BY NAME SELECT {_id('ev_pdf', block_id=_json('block_id'), source_id=_json('source_id'))} AS evidence_id, source_id, 'pdf' AS source_modality, 'text_span' AS evidence_type, text, risk_flags, page, block_id, block_no, bbox, char_start, char_end::INT AS char_end, section_path, extractor FROM pdf WHERE block_type = 'text'
+  UNION ALL BY NAME SELECT {_id('ev_audio', source_id=_json('source_id'), utterance_id=_json('utterance_id'))} AS evidence_id, source_id, 'audio' AS source_modality, 'utterance_span' AS evidence_type, text, risk_flags, utterance_id, speaker, start, stop, source_duration, asr_confidence, diarization_confidence FROM utterances JOIN ends USING (source_id)
+  UNION ALL BY NAME SELECT {_id('ev_ocr', bbox="CASE WHEN bbox IS NULL THEN 'null' ELSE '[' || bbox || ']' END", image_id=_json('image_id'), ocr_model=_json('ocr_model'), source_id=_json('source_id'), text=_ascii('text'))} AS evidence_id, source_id, 'image' AS source_modality, 'ocr_text_span' AS evidence_type, text, risk_flags, image_id, CASE WHEN bbox IS NOT NULL THEN [1, 2, p_size, 9]::DOUBLE[] END AS bbox, ocr_model, ocr_confidence FROM ocr
+  UNION ALL BY NAME SELECT {_id('ev_img', region_id=_json('region_id'), source_id=_json('source_id'))} AS evidence_id, source_id, 'image' AS source_modality, 'visual_region' AS evidence_type, NULL::VARCHAR AS text, risk_flags, image_id, region_id, [x, y, w, h]::DOUBLE[] AS bbox, NULL::VARCHAR AS crop_path, proposal_method, NULL::DOUBLE AS proposal_score FROM regions)"""
+
+
+def _chunk_sql(target_tokens: int = chunks.TARGET_TOKENS) -> str:
+    window = lambda cols, rows: f"(PARTITION BY {cols} ROWS BETWEEN {rows} PRECEDING AND CURRENT ROW)"
+    return f""",
+threads AS (SELECT m.*, e.evidence_id, coalesce(nullif(m.sender_display_name, ''), m.sender_id) || ': ' || m.text AS line FROM messages m JOIN evidence e ON e.message_id = m.message_id),
+chat_chunks AS (SELECT {_id('chunk_chat', max_tokens="'1200'", previous_messages="'2'", primary_evidence_id=_json('evidence_id'))} AS chunk_id, source_id, 'chat' AS source_modality, list(evidence_id) OVER w AS evidence_ids, [evidence_id] AS primary_evidence_ids, array_to_string(list(line) OVER w, chr(10)) AS text
+  FROM threads WINDOW w AS {window("source_id, conversation_id, thread_id ORDER BY coalesce(\"timestamp\", ''), idx, message_id", 2)}),
+turns AS (SELECT u.*, e.evidence_id, u.speaker || ': ' || u.text AS line FROM utterances u JOIN evidence e ON e.utterance_id = u.utterance_id),
+audio_chunks AS (SELECT {_id('chunk_audio', max_tokens="'1200'", previous_utterances="'1'", primary_evidence_id=_json('evidence_id'))} AS chunk_id, source_id, 'audio' AS source_modality, list(evidence_id) OVER w AS evidence_ids, [evidence_id] AS primary_evidence_ids, array_to_string(list(line) OVER w, chr(10)) AS text
+  FROM turns WINDOW w AS {window("source_id ORDER BY start, stop, utterance_id", 1)}),
+ordered AS (SELECT source_id, evidence_id, page, block_no, text, section_path, length(text) AS n, row_number() OVER (PARTITION BY source_id ORDER BY page, block_no, evidence_id) AS rn FROM evidence WHERE source_modality = 'pdf'),
+fold AS (SELECT source_id, rn, evidence_id, section_path, n AS used, 0 AS chunk, NULL::VARCHAR AS over FROM ordered WHERE rn = 1
+  UNION ALL SELECT o.source_id, o.rn, o.evidence_id, o.section_path, CASE WHEN o.section_path <> f.section_path OR f.used + o.n > {4 * target_tokens} THEN o.n ELSE f.used + o.n END, f.chunk + CASE WHEN o.section_path <> f.section_path OR f.used + o.n > {4 * target_tokens} THEN 1 ELSE 0 END,
+    CASE WHEN o.section_path <> f.section_path THEN NULL WHEN f.used + o.n > {4 * target_tokens} THEN f.evidence_id ELSE f.over END FROM fold f JOIN ordered o ON o.source_id = f.source_id AND o.rn = f.rn + 1),
+batches AS (SELECT f.source_id, f.chunk, max(f.over) AS over, list(f.evidence_id ORDER BY f.rn) AS ids, string_agg(o.text, chr(10) || chr(10) ORDER BY f.rn) AS text FROM fold f JOIN ordered o USING (source_id, rn) GROUP BY ALL),
+pdf_chunks AS (SELECT {_id('chunk_pdf', overlap_tokens="'150'", primary_evidence_ids="'[\"' || array_to_string(ids, '\",\"') || '\"]'", target_tokens=f"'{target_tokens}'")} AS chunk_id, source_id, 'pdf' AS source_modality, list_concat(CASE WHEN over IS NULL THEN []::VARCHAR[] ELSE [over] END, ids) AS evidence_ids, ids AS primary_evidence_ids, text FROM batches),
+chunks AS (SELECT * FROM chat_chunks UNION ALL SELECT * FROM audio_chunks UNION ALL SELECT * FROM pdf_chunks
+  UNION ALL SELECT {_id('chunk_ocr', evidence_id=_json('evidence_id'))}, source_id, 'image', [evidence_id], [evidence_id], text FROM evidence WHERE evidence_type = 'ocr_text_span')"""
+
+
+def _span_sql() -> str:
+    low = "CASE source_modality WHEN 'image' THEN 'ocr' ELSE source_modality END"
+    detector = "CASE source_modality WHEN 'image' THEN 'image_ocr' ELSE source_modality END || '_rules_v1'"
+    return f""",
+tasks AS (SELECT c.chunk_id, e.*, c.text AS context_text FROM (SELECT chunk_id, text, unnest(primary_evidence_ids) AS evidence_id FROM chunks) c JOIN evidence e USING (evidence_id) WHERE e.text IS NOT NULL),
+cut AS (SELECT *, unnest(regexp_extract_all(text, '[^.!?\\n]+(?:[.!?]+|\\n|$)|[.!?\\n]+')) AS piece, generate_subscripts(regexp_extract_all(text, '[^.!?\\n]+(?:[.!?]+|\\n|$)|[.!?\\n]+'), 1) AS no FROM tasks),
+run AS (SELECT *, sum(length(piece)) OVER (PARTITION BY chunk_id, evidence_id ORDER BY no) AS upto, {_strip('piece')} AS segment FROM cut),
+kept AS (SELECT *, (upto - length(piece) + length(piece) - length(regexp_replace(piece, '^\\s+', '')))::INT AS c0 FROM run WHERE NOT regexp_matches(piece, '^[.!?\\n]') AND (NOT suffix(piece, chr(10)) OR upto = length(text)) AND segment <> ''),
+scored AS (SELECT * EXCLUDE (risk_flags), c0 + length(segment)::INT AS c1, {_score('segment')} AS score, {_set('risk_flags', _when(('context_dependent_coreference', _word('segment', T.COREFERENCE)), ('assistant_generated_text', "coalesce(sender_role, '') = 'assistant'"), ('question_speech_act', "suffix(segment, '?')")))} AS flags FROM kept),
+spans AS (SELECT {_id('span', chunk_id=_json('chunk_id'), char_end='c1', char_start='c0', detector=_json(detector), evidence_id=_json('evidence_id'))} AS raw_id, 'span_' || {low} || substr(raw_id, 5) AS span_id, * FROM scored WHERE score IS NOT NULL)"""
+
+
+def _claim_sql() -> str:
+    ocr = "evidence_type = 'ocr_text_span'"
+    prompt = "CASE WHEN " + ocr + f" THEN '{_PROMPT['image_ocr']}' " + " ".join(f"WHEN source_modality = '{m}' THEN '{_PROMPT[m]}'" for m in ("chat", "pdf", "audio")) + " END"
+    extractor = f"CASE WHEN {ocr} THEN '{extraction.OCR_EXTRACTOR}' ELSE '{extraction.TEXT_EXTRACTOR}' END"
+    model, color = extraction.REGION_EXTRACTOR, extraction.COLOR_CLASSIFIER
+    c = [f"least(abs(embedding[{i}]::DOUBLE) * 5, 1)" for i in (1, 2, 3)]
+    return f""",
+text_claims AS (SELECT {_id('claim', evidence_id=_json('evidence_id'), extractor=_json(extractor), prompt_id=_json(prompt), span_id=_json('span_id'), text=_ascii('segment'))} AS claim_id, source_id, source_modality, span_id, evidence_id, CASE WHEN {ocr} THEN 'ocr_text_claim' ELSE 'attributed_text_claim' END AS claim_type,
+  CASE WHEN source_modality IN ('chat', 'audio') THEN CASE WHEN suffix(segment, '?') THEN 'The speaker asked: ' ELSE 'The speaker asserted: ' END WHEN source_modality = 'pdf' THEN 'The document states: ' ELSE 'OCR text states: ' END || segment AS source_faithful_claim,
+  NULL::VARCHAR AS subject, NULL::VARCHAR AS predicate, NULL::VARCHAR AS object, '{{"extractor":"' || {extractor} || '","prompt_id":"' || {prompt} || '"}}' AS attributes, {_modality('segment')} AS modality, segment AS evidence_text,
+  list_contains(flags, 'context_dependent_coreference') AS context_dependent, CASE WHEN list_contains(flags, 'context_dependent_coreference') THEN context_text END AS context_used,
+  CASE WHEN source_modality IN ('chat', 'audio') THEN 'speaker' WHEN source_modality = 'pdf' THEN 'document' ELSE 'model' END AS att_type, CASE source_modality WHEN 'chat' THEN sender_id WHEN 'audio' THEN speaker WHEN 'pdf' THEN source_id ELSE ocr_model END AS att_agent,
+  CASE WHEN source_modality IN ('chat', 'audio') THEN 'speaker_asserted_unverified' WHEN source_modality = 'image' THEN 'model_observation_unverified' ELSE 'source_asserted_unverified' END AS truth_status, score AS confidence, flags AS risk_flags FROM spans),
+region_claims AS (SELECT {_id('claim_img', evidence_id=_json('evidence_id'), proposal_method=_json('proposal_method'), region_id=_json('region_id'))} AS claim_id, source_id, 'image' AS source_modality, NULL AS span_id, evidence_id, 'visual_region_proposal' AS claim_type, 'Region ' || region_id || ' was proposed as a visual region by ' || proposal_method || '.' AS source_faithful_claim,
+  region_id AS subject, 'proposed_visual_region' AS predicate, '{{"bbox":[' || array_to_string(list_transform(bbox, lambda x: x::VARCHAR), ',') || ']}}' AS object, '{{"extractor":"{model}","proposal_method":"' || proposal_method || '"}}' AS attributes, 'model_observation' AS modality, NULL AS evidence_text, false AS context_dependent, NULL AS context_used,
+  'model' AS att_type, proposal_method AS att_agent, 'model_observation_unverified' AS truth_status, 0.5::DOUBLE AS confidence, risk_flags FROM evidence WHERE evidence_type = 'visual_region'),
+tinted AS (SELECT 'emb_' || vec_id AS embedding_id, e.*, {c[0]} AS r, {c[1]} AS g, {c[2]} AS b FROM embeddings v JOIN evidence e ON e.image_id = 'img_' || v.vec_id AND e.evidence_type = 'visual_region' AND e.bbox[1] = 0 AND e.bbox[2] = 0),
+tones AS (SELECT *, greatest(r, g, b) AS high, least(r, g, b) AS low, list_sort([r, g, b])[2] AS middle FROM tinted),
+colors AS (SELECT *, CASE WHEN high < 0.12 THEN 'black' WHEN low > 0.88 THEN 'white' WHEN high - low < 0.08 THEN 'gray' WHEN middle > 0.45 AND middle >= high * 0.65 AND low < high * 0.5 THEN CASE low WHEN b THEN 'yellow' WHEN g THEN 'magenta' ELSE 'cyan' END WHEN r = high THEN 'red' WHEN g = high THEN 'green' ELSE 'blue' END AS label,
+  round(CASE WHEN high < 0.12 OR low > 0.88 THEN 0.9::DOUBLE WHEN high - low < 0.08 THEN 0.55::DOUBLE + least(0.25::DOUBLE, 0.08::DOUBLE - (high - low)) ELSE greatest(0.5::DOUBLE, least(1::DOUBLE, 0.55::DOUBLE + (high - low) / 2)) END, 3) AS sure FROM tones),
+color_claims AS (SELECT {_id('claim_img_cls', classifier_model=_q(json.dumps(color)), evidence_id=_json('evidence_id'), label=_json('label'), region_id=_json('region_id'))} AS claim_id, source_id, 'image' AS source_modality, NULL AS span_id, evidence_id, 'named_visual_classification' AS claim_type, 'Model {color} classified region ' || region_id || ' as ' || label || '.' AS source_faithful_claim,
+  region_id AS subject, 'classified_as' AS predicate, label AS object, '{{"classifier":{{"model":"{color}","confidence":' || sure || ',"basis":"region_color_embedding"}},"embedding_id":"' || embedding_id || '","embedding_model":"{EMBEDDING_MODEL}"}}' AS attributes, 'model_observation' AS modality, NULL AS evidence_text, false AS context_dependent, NULL AS context_used,
+  'model' AS att_type, '{color}' AS att_agent, 'model_observation_unverified' AS truth_status, sure AS confidence, {_set('risk_flags', "['color_only_classification']")} AS risk_flags FROM colors),
+clean AS (SELECT * FROM text_claims UNION ALL BY NAME SELECT * FROM region_claims UNION ALL BY NAME SELECT * FROM color_claims)"""
+
+
+def _faulty(columns: dict[str, str], of: str) -> str:
+    return f"SELECT * REPLACE (" + ", ".join(f'{_sql(e)} AS "{c}"' for c, e in columns.items()) + f") FROM {of}"
+
+
+def _validated_sql() -> str:
+    blank = lambda c: f"trim(coalesce({c}, '')) = ''"
+    bad_box = "(bbox IS NULL OR len(bbox) <> 4 OR bbox[1] < 0 OR bbox[2] < 0 OR bbox[3] <= 0 OR bbox[4] <= 0)"
+    outside = lambda c: f"({c} < 0 OR {c} > 1)"
+    m = lambda x: f"there AND m = '{x}' AND "
+    chat, pdf, audio = m("chat"), m("pdf"), m("audio")
+    region, ocr = (f"there AND m = 'image' AND kind = '{k}' AND " for k in ("visual_region", "ocr_text_span"))
+    either = "there AND m = 'image' AND kind IN ('visual_region', 'ocr_text_span') AND "
+    leans = "m IN ('chat', 'audio') AND list_contains(all_flags, 'context_dependent_coreference') AND "
+    label = "claim_type = 'named_visual_classification' AND "
+    open_ = label + "coalesce(decision, '') NOT IN ('accept', 'reject', 'needs_review') AND "
+    doubtful = "needs_exact AND coalesce(c.evidence_text, '') <> '' AND NOT exact"
+    errors = [
+        ("missing_evidence", "NOT there"), ("source_id_mismatch", "there AND c_source IS DISTINCT FROM e_source"), ("missing_span", "coalesce(c_span, '') <> '' AND s_evidence IS NULL"), ("span_evidence_mismatch", "s_evidence IS NOT NULL AND s_evidence IS DISTINCT FROM c_evidence"),
+        ("missing_evidence_text", "needs_exact AND coalesce(quoted, '') = ''"), ("evidence_not_exact_substring", "doubtful"), ("attribution_not_speaker", "m IN ('chat', 'audio') AND coalesce(att_type, '') <> 'speaker'"),
+        ("attribution_agent_mismatch", "m IN ('chat', 'audio') AND att_type = 'speaker' AND there AND len(agents) > 0 AND NOT list_contains(agents, coalesce(att_agent, ''))"), ("attribution_not_document", "m = 'pdf' AND coalesce(att_type, '') NOT IN ('document', 'speaker')"),
+        ("attribution_not_model_or_reviewer", "m = 'image' AND coalesce(att_type, '') NOT IN ('model', 'human_reviewer')"), ("missing_page_provenance", pdf + "coalesce(page, 0) < 1"), ("missing_block_provenance", pdf + "coalesce(block_id, '') = ''"),
+        ("missing_bbox_provenance", pdf + "lower(extractor) = 'pymupdf' AND bbox IS NULL"), ("missing_conversation_provenance", chat + blank("conversation_id")), ("missing_message_provenance", chat + blank("message_id")), ("missing_sender_provenance", chat + blank("sender_id")),
+        ("missing_utterance_provenance", audio + blank("utterance_id")), ("missing_speaker_provenance", audio + blank("speaker")), ("missing_audio_timestamp_provenance", audio + "(start IS NULL OR stop IS NULL)"), ("invalid_audio_timestamp_bounds", audio + "(start < 0 OR stop < start)"),
+        ("invalid_audio_source_duration_provenance", audio + "source_duration < 0"), ("audio_timestamp_out_of_source_bounds", audio + "start IS NOT NULL AND source_duration >= 0 AND stop > source_duration"), ("invalid_asr_confidence_provenance", audio + outside("asr_confidence")),
+        ("invalid_diarization_confidence_provenance", audio + outside("diarization_confidence")), ("missing_image_provenance", either + blank("image_id")), ("missing_region_provenance", region + blank("region_id")), ("missing_image_bbox_provenance", either + bad_box),
+        ("missing_region_proposal_provenance", region + blank("proposal_method")), ("missing_ocr_model_provenance", ocr + blank("ocr_model")), ("invalid_ocr_confidence_provenance", ocr + outside("ocr_confidence")),
+        ("context_dependency_not_flagged", leans + "NOT coalesce(context_dependent, false)"), ("missing_context_used", leans + "coalesce(context_used, '') = ''"), *((f, f"m = 'audio' AND list_contains(all_flags, '{f}')") for f in validator.AUDIO_RISKS),
+        ("human_review_rejected_label", label + "decision = 'reject'"), ("human_review_needs_review", label + "decision = 'needs_review'"), ("image_label_low_confidence", open_ + "confidence < 0.85"), ("low_ocr_confidence", "kind = 'ocr_text_span' AND list_contains(all_flags, 'low_ocr_confidence')"),
+        ("negation_dropped", f"{_word('quote', T.NEGATION)} AND NOT {_word('said', T.NEGATION)} AND coalesce(modality, '') <> 'negated'"),
+        ("uncertainty_dropped", f"{_word('quote', T.UNCERTAINTY)} AND NOT {_word('said', T.UNCERTAINTY)} AND coalesce(modality, '') NOT IN ('uncertain_observation', 'reported_uncertain', 'hypothetical')"),
+        ("quantity_mismatch", "len(quote_q) > 0 AND (len(said_q) = 0 OR NOT list_has_all(quote_q, said_q))"), ("unsupported_entities_introduced", "needs_exact AND len(introduced) > 0"),
+    ]
+    warnings = [
+        ("evidence_matches_after_normalization", "doubtful AND folded"), ("missing_audio_source_duration_provenance", audio + "source_duration IS NULL"), ("missing_asr_confidence_provenance", audio + "asr_confidence IS NULL"), ("missing_diarization_confidence_provenance", audio + "diarization_confidence IS NULL"),
+        ("missing_region_crop_provenance", region + blank("crop_path")), ("missing_ocr_confidence_provenance", ocr + "ocr_confidence IS NULL"), ("unsupported_entities_introduced", "len(introduced) > 0"),
+    ]
+    squeeze = lambda e: f"trim(regexp_replace({e}, '\\s+', ' ', 'g'))"
+    return f""",
+claims AS ({_faulty(exports.CLAIM_FAULTS, 'clean')}),
+marred AS ({_faulty(exports.EVIDENCE_FAULTS, 'evidence')}),
+reviews AS (SELECT claim_id, {_sql(exports.DECISION)} AS decision FROM clean),
+joined AS (SELECT c.claim_id, c.source_modality AS m, c.source_id AS c_source, c.span_id AS c_span, c.evidence_id AS c_evidence, c.claim_type, c.source_faithful_claim, c.subject, c.predicate, c.object, c.attributes, c.modality, c.evidence_text AS quoted, c.context_dependent, c.context_used, c.att_type, c.att_agent, c.truth_status, c.confidence,
+  {_set('c.risk_flags', 'e.risk_flags', 's.flags')} AS all_flags, e.evidence_id IS NOT NULL AS there, e.source_id AS e_source, coalesce(e.evidence_type, '') AS kind, e.text AS e_text, s.evidence_id AS s_evidence, s.segment AS s_text, r.decision, e.* EXCLUDE (evidence_id, source_id, source_modality, evidence_type, text, risk_flags)
+  FROM claims c LEFT JOIN marred e ON c.evidence_id = e.evidence_id LEFT JOIN spans s ON c.span_id = s.span_id LEFT JOIN reviews r ON r.claim_id = c.claim_id),
+supported AS (SELECT *, list_filter([s_text, e_text, context_used], lambda x: coalesce(x, '') <> '') AS supports, m <> 'image' OR kind = 'ocr_text_span' AS needs_exact, list_filter([sender_id, sender_display_name, speaker], lambda x: x IS NOT NULL) AS agents,
+  concat_ws(' ', source_faithful_claim, modality, nullif(subject, ''), nullif(predicate, ''), coalesce(object, ''), attributes) AS said FROM joined),
+quoted_ AS (SELECT *, coalesce(nullif(quoted, ''), supports[1], '') AS quote, len(list_filter(supports, lambda x: contains(x, coalesce(quoted, '')))) > 0 AS exact, len(list_filter(supports, lambda x: contains({squeeze('x')}, {squeeze("coalesce(quoted, '')")}))) > 0 AS folded FROM supported),
+measured AS (SELECT *, needs_exact AND coalesce(quoted, '') <> '' AND NOT exact AS doubtful, {_quantities('quote')} AS quote_q, {_quantities('said')} AS said_q,
+  list_sort(list_filter({_entities('said')}, lambda e: NOT list_contains(flatten(list_transform(list_concat(supports, list_filter([att_agent, {", ".join(validator.NAMING).replace("feature_cluster_id, embedding_model, clustering_method, ", "")}], lambda x: x IS NOT NULL)), lambda t: {_entities('t')})), e))) AS introduced FROM quoted_),
+judged AS (SELECT *, {_when(*errors)} AS errors, {_when(*warnings)} AS warnings FROM measured),
+validated AS (SELECT *, {_id('val', claim_id=_json('claim_id'), validator=_q(json.dumps(validator.VERSION)))} AS validation_id, CASE WHEN len(errors) = 0 THEN 'accepted_extracted' ELSE 'quarantined' END AS status FROM judged)"""
+
+
+def _normalized_sql() -> str:
+    chosen = lambda values, key: "CASE " + key + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in values.items()) + " END"
+    who = "CASE att_type WHEN 'speaker' THEN 'speaker' WHEN 'model' THEN 'model' WHEN 'human_reviewer' THEN 'reviewer' WHEN 'document' THEN 'source' ELSE m END"
+    return f""",
+accepted AS (SELECT *, nullif(subject, '') AS subj, nullif(att_agent, '') AS agent, CASE WHEN m = 'image' AND claim_type = 'named_visual_classification' AND decision = 'accept' THEN 'human_confirmed' ELSE truth_status END AS truth FROM validated WHERE status = 'accepted_extracted'),
+named_ AS (SELECT *, coalesce(subj, agent, c_source) AS surface, CASE WHEN subj IS NOT NULL THEN CASE WHEN m = 'image' THEN 'image_region' ELSE 'entity' END ELSE {who} END AS prefix, CASE WHEN subj IS NOT NULL THEN 'claim_subject' WHEN agent IS NOT NULL THEN 'attribution_agent' ELSE 'source_id' END AS basis FROM accepted),
+normalized AS (SELECT {_id('nclaim', claim_id=_json('claim_id'), normalizer=_q(json.dumps(propositions.NORMALIZER)))} AS normalized_claim_id, claim_id, c_source AS source_id, c_evidence AS evidence_id, prefix || ':' || {_slug('surface')} AS subject,
+  coalesce({chosen(propositions.BY_CLAIM_TYPE, 'claim_type')}, CASE WHEN predicate IN ({", ".join(map(_q, propositions.PREDICATES))}) THEN predicate END, {chosen(propositions.BY_MODALITY, 'modality')}, 'asserts') AS predicate, coalesce(object, nullif(quoted, ''), source_faithful_claim) AS object, modality, truth AS truth_status,
+  att_type, att_agent, source_faithful_claim, confidence, 'validated_claim_confidence' AS confidence_basis, basis || '=' || prefix || ':' || {_slug('surface')} || CASE WHEN agent IS NOT NULL AND agent <> surface THEN ',attribution_agent=' || {who} || ':' || {_slug('agent')} ELSE '' END AS resolutions, coalesce(nullif(predicate, ''), modality) AS surface FROM named_),
+keyed AS (SELECT *, '{{"object":' || coalesce(to_json(object)::VARCHAR, 'null') || ',"predicate":' || to_json(predicate)::VARCHAR || ',"qualifiers":{{"modality":' || coalesce(to_json(modality)::VARCHAR, 'null') || ',"truth_status":' || coalesce(to_json(truth_status)::VARCHAR, 'null') || '}},"subject":' || to_json(subject)::VARCHAR || '}}' AS proposition FROM normalized)"""
+
+
+def oracle_sql():
+    base = _ingest_sql()
+    chunked = base + _chunk_sql()
+    spanned = chunked + _span_sql()
+    claimed = spanned + _claim_sql()
+    judged = claimed + _validated_sql()
+    normal = judged + _normalized_sql()
+    j = lambda *names: ", ".join(f"array_to_string({n}, ',') AS {n}" for n in names)
+    wrong = lambda *codes: f"NOT list_has_any(errors, [{', '.join(map(_q, codes))}])"
+    atom = lambda e: f"to_json({e})::VARCHAR"
+    dedupe = _id("dedupe", normalized_claim=_ascii("proposition"))
+    return {
+        "ingest_chat": base + f" SELECT message_id, source_id, conversation_id, thread_id, sender_id, sender_display_name, sender_role, \"timestamp\", md5(text) AS digest, idx::INT AS message_index, edit_history, 'a' AS team, '2025' AS year, {j('risk_flags')} FROM messages",
+        "ingest_transcripts": base + f" SELECT utterance_id, source_id, speaker, start, stop AS \"end\", md5(text) AS digest, asr_confidence, diarization_confidence, 'en' AS language, {j('risk_flags')} FROM utterances",
+        "transcript_sources": base + " SELECT source_id, count(*) AS utterance_count, max(stop) AS duration_seconds FROM utterances GROUP BY source_id",
+        "ingest_blocks": base + f" SELECT block_id, source_id, page, block_no, block_type, md5(text) AS digest, {j('cleanup_actions')}, char_start, char_end::INT AS char_end, array_to_string(section_path, ' > ') AS section_path, {j('risk_flags')} FROM pdf",
+        "ingest_ocr": base + f" SELECT image_id, source_id, text, bbox, ocr_model, ocr_confidence, {j('risk_flags')} FROM ocr",
+        "propose_regions": base + f" SELECT region_id, image_id, x, y, w, h, proposal_method, {j('risk_flags')} FROM regions",
+        "build_evidence": base + f" SELECT evidence_id, source_id, source_modality, evidence_type, md5(text) AS digest, {j('risk_flags')}, message_id, thread_id, \"timestamp\", char_start, char_end, block_id, utterance_id, source_duration, image_id, region_id, ocr_model FROM evidence",
+        "chunk_all": chunked + f" SELECT chunk_id, source_id, source_modality, {j('evidence_ids', 'primary_evidence_ids')}, array_to_string(list_filter(evidence_ids, lambda x: NOT list_contains(primary_evidence_ids, x)), ',') AS overlap_evidence_ids, md5(text) AS digest FROM chunks",
+        "pdf_chunk_packing": base + _chunk_sql(60) + f" SELECT chunk_id, {j('evidence_ids')}, array_to_string(list_filter(evidence_ids, lambda x: NOT list_contains(primary_evidence_ids, x)), ',') AS overlap_evidence_ids, md5(text) AS digest FROM pdf_chunks",
+        "detect_spans": spanned + " SELECT span_id, chunk_id, evidence_id, source_modality, c0 AS char_start, c1 AS char_end, md5(segment) AS digest, score, array_to_string(flags, ',') AS risk_flags FROM spans",
+        "extract_claims": claimed + f" SELECT claim_id, source_modality, claim_type, source_faithful_claim, subject, predicate, modality, context_dependent, md5(context_used) AS context_digest, att_type, att_agent, truth_status, confidence, {j('risk_flags')} FROM clean",
+        "validate_all": judged + f" SELECT validation_id, claim_id, m AS source_modality, status, {j('errors', 'warnings')} FROM validated",
+        "validation_summary": judged + f""" SELECT claim_id, CASE WHEN needs_exact THEN coalesce(quoted, '') <> '' AND exact END AS evidence_exact_match, {wrong('negation_dropped')} AS negation_preserved, {wrong('uncertainty_dropped')} AS uncertainty_preserved,
+  {wrong('attribution_not_speaker', 'attribution_agent_mismatch', 'attribution_not_document', 'attribution_not_model_or_reviewer')} AS attribution_preserved, {wrong('quantity_mismatch')} AS quantities_preserved, array_to_string(introduced, '|') AS introduced, array_to_string(all_flags, ',') AS flags, coalesce(decision = 'accept', false) AS human_confirmed FROM validated""",
+        "normalize_all": normal + " SELECT normalized_claim_id, claim_id, subject, predicate, md5(object) AS object_digest, truth_status, confidence, confidence_basis, resolutions, surface FROM normalized",
+        "graph_edges_all": normal + f" SELECT {_id('edge', normalized_claim_id=_json('normalized_claim_id'), object=_ascii('object'), predicate=_json('predicate'), subject=_json('subject'))} AS edge_id, subject, predicate, modality, truth_status, att_agent AS agent, confidence FROM normalized",
+        "duplicate_groups_all": normal + f""" SELECT {dedupe} AS dedupe_id, subject, predicate, count(*) AS member_count, min(confidence) AS confidence_min, max(confidence) AS confidence_max, array_to_string(list_sort(list(DISTINCT source_id)), ',') AS source_ids,
+  CASE WHEN count(DISTINCT source_id) > 1 THEN 'cross_source_corroboration_candidate' WHEN count(DISTINCT evidence_id) > 1 THEN 'same_source_distinct_evidence' ELSE 'same_evidence_duplicate' END AS duplicate_level,
+  concat_ws(',', 'attribution', CASE WHEN bool_or(confidence IS NOT NULL) THEN 'confidence' END, 'confidence_basis', CASE WHEN bool_or(source_faithful_claim IS NOT NULL) THEN 'source_faithful_claim' END) AS omitted_qualifier_keys FROM keyed GROUP BY proposition, subject, predicate HAVING count(*) > 1""",
+        "duplicate_members_all": normal + f" SELECT {dedupe} AS dedupe_id, normalized_claim_id, claim_id FROM keyed",
+    }
