@@ -203,7 +203,8 @@ def counters(tables: Tables) -> DataFrame:
         if name not in tables:
             continue
         kind = tables[name].select(column).schema[0].dataType.typeName()
-        values = tables[name].select((F.explode(column) if kind == "array" else F.col(column)).cast("string").alias("value")).where("value IS NOT NULL")
+        each = tables[name].select((F.explode(column) if kind == "array" else F.col(column)).alias("value"))
+        values = each.select(F.col("value").cast("string").alias("value")).where("value IS NOT NULL")
         out.append(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).select(F.lit(title).alias("counter"), "value", "n"))
     return reduce(DataFrame.unionByName, out)
 

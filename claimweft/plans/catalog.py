@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from claimweft.plans import flow, registry
+from claimweft.plans import flow, registry, run
 
 
 def queries():
-    return registry.queries() | flow.queries()
+    return registry.queries() | flow.queries() | run.queries()
 
 
 def oracle_sql():
-    return registry.oracle_sql() | flow.oracle_sql()
+    return registry.oracle_sql() | flow.oracle_sql() | run.oracle_sql()
