@@ -40,19 +40,9 @@ def spans(chunks: DataFrame) -> DataFrame:
 def claims(sp: DataFrame) -> DataFrame:
     m = T.modality(F.col("sentence"))
     framed = F.concat(F.when(m == "question_asked", "The speaker asked: ").otherwise("The speaker asserted: "), F.col("sentence"))
-    truth = F.when(m == "question_asked", "not_applicable").when(m == "uncertain_observation", "uncertain").otherwise("unverified")
+    truth = F.lit("speaker_asserted_unverified")
     return sp.select(
         stable_id("claim", span_id=json_string(F.col("span_id")), extractor=F.lit('"deterministic"')).alias("claim_id"), "span_id", "evidence_id", "source_id", F.col("text").alias("evidence"), F.col("sentence").alias("evidence_text"),
         framed.alias("claim_text"), m.alias("modality"), truth.alias("truth_status"), F.col("sender_id").alias("agent"), "sender_id", F.col("score").alias("confidence"), "risk_flags", "message_index",
         F.when(F.contains("risk_flags", F.lit("coreference")) & (F.col("overlap") > 0), F.col("chunk_text")).alias("context_used"),
     )
-
-
-def with_faults(c: DataFrame) -> DataFrame:
-    """Faults by place, so that each rule of the validator has something to find."""
-    n = F.length("evidence") + F.col("message_index")
-    return (
-        c.withColumn("n", n).withColumn("evidence_text", F.when(F.col("n") % 5 == 0, F.upper("evidence_text")).otherwise(F.col("evidence_text")))
-        .withColumn("claim_text", F.when(F.col("n") % 7 == 0, F.regexp_replace(F.regexp_replace("claim_text", "three", "four"), " not ", " ")).when(F.col("n") % 11 == 0, F.regexp_replace(F.concat("claim_text", F.lit(" Captain Nemo agreed.")), " may ", " will ")).otherwise(F.col("claim_text")))
-        .withColumn("agent", F.when(F.col("n") % 13 == 0, "someone").otherwise(F.col("agent"))).drop("n")
-    )

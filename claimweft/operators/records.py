@@ -25,19 +25,6 @@ def char_offsets(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("char_start", start).withColumn("char_end", F.col("char_start") + F.length("text")).select("source_id", "page", "block_no", "char_start", "char_end")
 
 
-def block_chunks(blocks: DataFrame, target_chars: int = 4800) -> DataFrame:
-    """Greedy chunks of consecutive blocks up to the target; an ordered fold over each source's block lengths."""
-    rows = blocks.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("page", "block_no", F.length("text").alias("n")))).alias("b"))
-    zero = F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("used"), F.array().cast("array<struct<chunk:int,page:int,block_no:int>>").alias("out"))
-
-    def add(s, x):
-        fresh = (s["used"] > 0) & (s["used"] + x["n"] > target_chars)
-        chunk = F.when(fresh, s["chunk"] + 1).otherwise(s["chunk"])
-        return F.struct(chunk.alias("chunk"), F.when(fresh, x["n"]).otherwise(s["used"] + x["n"]).alias("used"), F.concat(s["out"], F.array(F.struct(chunk.alias("chunk"), x["page"].alias("page"), x["block_no"].alias("block_no")))).alias("out"))
-
-    return rows.select("source_id", F.explode(F.aggregate("b", zero, add)["out"]).alias("o")).select("source_id", "o.page", "o.block_no", "o.chunk")
-
-
 def overlaps():
     """Whether an utterance (source_id, start, end, utterance_id) overlaps another of its source.
 

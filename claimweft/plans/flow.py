@@ -148,7 +148,8 @@ def _summary(s, d):
     return v.select("claim_id", *kept, F.array_join("summary.introduced_entities", "|").alias("introduced"), F.array_join("flags", ",").alias("flags"), "human_confirmed")
 
 
-def queries():
+def _queries():
+    """The queries; their columns need a session."""
     sel = lambda f, *c: lambda s, d: f(s, d).select(*c)
     return {
         "ingest_chat": sel(messages, "message_id", "source_id", "conversation_id", "thread_id", "sender_id", "sender_display_name", "sender_role", "timestamp", F.md5("text").alias("digest"), "message_index", _list("edit_history"), F.col("metadata")["team"].alias("team"), F.col("metadata")["year"].alias("year"), _list("risk_flags")),
@@ -174,6 +175,35 @@ def queries():
     }
 
 
+NAMES = (
+    "ingest_chat",
+    "ingest_transcripts",
+    "transcript_sources",
+    "ingest_blocks",
+    "ingest_ocr",
+    "propose_regions",
+    "build_evidence",
+    "chunk_all",
+    "pdf_chunk_packing",
+    "detect_spans",
+    "extract_claims",
+    "validate_all",
+    "validation_summary",
+    "normalize_all",
+    "graph_edges_all",
+    "duplicate_groups_all",
+    "duplicate_members_all",
+    "s_expressions_all",
+    "cluster_scores",
+    "cluster_evidence",
+)
+
+
+def queries():
+    """Name -> query, which can be listed without a session."""
+    return {name: lambda s, d, name=name: _queries()[name](s, d) for name in NAMES}
+
+
 # ---- the same in SQL ----------------------------------------------------------------------------------------------
 
 
@@ -376,6 +406,22 @@ normalized AS (SELECT {_id('nclaim', claim_id=_json('claim_id'), normalizer=_q(j
 keyed AS (SELECT *, '{{"object":' || coalesce(to_json(object)::VARCHAR, 'null') || ',"predicate":' || to_json(predicate)::VARCHAR || ',"qualifiers":{{"modality":' || coalesce(to_json(modality)::VARCHAR, 'null') || ',"truth_status":' || coalesce(to_json(truth_status)::VARCHAR, 'null') || '}},"subject":' || to_json(subject)::VARCHAR || '}}' AS proposition FROM normalized)"""
 
 
+_CLUSTER_ID = _id("img_cluster", clustering_method=_q(json.dumps(CLUSTERING)), embedding_model=_q(json.dumps(EMBEDDING_MODEL)), member_region_ids="'[\"' || array_to_string(members, '\",\"') || '\"]'")
+
+
+def _cluster_sql() -> str:
+    distance = lambda a, b: f"sqrt(list_sum(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i]::DOUBLE - {b}[i]::DOUBLE) * ({a}[i]::DOUBLE - {b}[i]::DOUBLE))))"
+    return f"""
+WITH RECURSIVE v AS (SELECT vec_id, 'r' || lpad(vec_id::VARCHAR, 6, '0') AS region_id, 'src_' || label AS source_id, embedding AS e FROM embeddings), gaps AS (SELECT a.vec_id AS a, b.vec_id AS b, {distance('a.e', 'b.e')} AS d FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+close_ AS (SELECT a, b FROM gaps WHERE d <= {NEAR}), reach AS (SELECT vec_id AS v, vec_id AS r FROM v UNION SELECT reach.v, close_.b FROM reach JOIN close_ ON reach.r = close_.a), comp AS (SELECT v AS vec_id, min(r) AS c FROM reach GROUP BY v),
+grouped AS (SELECT c, list_sort(list(region_id)) AS members, count(*) AS size, list_sort(list(DISTINCT source_id)) AS sources, bool_or(vec_id % 10 = 0) AS edge FROM comp JOIN v USING (vec_id) GROUP BY c HAVING count(*) >= 2),
+inner_ AS (SELECT x.c, avg(d) AS mean, max(d) AS most FROM gaps JOIN comp x ON a = x.vec_id JOIN comp y ON b = y.vec_id WHERE x.c = y.c AND a < b GROUP BY x.c), outer_ AS (SELECT x.c, min(d) AS outside FROM gaps JOIN comp x ON a = x.vec_id JOIN comp y ON b = y.vec_id WHERE x.c <> y.c GROUP BY x.c),
+axis AS (SELECT c, k, avg(x::DOUBLE) AS x FROM (SELECT c, unnest(e) AS x, generate_subscripts(e, 1) AS k FROM comp JOIN v USING (vec_id)) GROUP BY c, k), center AS (SELECT c, list(x ORDER BY k) AS m FROM axis GROUP BY c),
+ranked AS (SELECT c, region_id, row_number() OVER (PARTITION BY c ORDER BY round({distance('e', 'm')}, 9), region_id) AS n FROM comp JOIN v USING (vec_id) JOIN center USING (c)), best AS (SELECT c, list(region_id ORDER BY n) AS reps FROM ranked WHERE n <= 2 GROUP BY c),
+measured_ AS (SELECT *, round(greatest(0, least(1, 1 - mean)), 6) AS cohesion_score, round(greatest(0, least(1, coalesce(outside, 1) - most)), 6) AS nearest_neighbor_margin FROM grouped JOIN inner_ USING (c) JOIN best USING (c) LEFT JOIN outer_ USING (c)),
+scored AS (SELECT *, list_sort({_when(('edge_patch', 'edge'), ('small_cluster', 'size < 3'), ('same_source_cluster', 'len(sources) = 1'), ('weak_cluster_margin', 'nearest_neighbor_margin < 0.05'))}) AS flags FROM measured_)"""
+
+
 def oracle_sql():
     base = _ingest_sql()
     chunked = base + _chunk_sql()
@@ -408,4 +454,11 @@ def oracle_sql():
   CASE WHEN count(DISTINCT source_id) > 1 THEN 'cross_source_corroboration_candidate' WHEN count(DISTINCT evidence_id) > 1 THEN 'same_source_distinct_evidence' ELSE 'same_evidence_duplicate' END AS duplicate_level,
   concat_ws(',', 'attribution', CASE WHEN bool_or(confidence IS NOT NULL) THEN 'confidence' END, 'confidence_basis', CASE WHEN bool_or(source_faithful_claim IS NOT NULL) THEN 'source_faithful_claim' END) AS omitted_qualifier_keys FROM keyed GROUP BY proposition, subject, predicate HAVING count(*) > 1""",
         "duplicate_members_all": normal + f" SELECT {dedupe} AS dedupe_id, normalized_claim_id, claim_id FROM keyed",
+        "s_expressions_all": normal + f""" SELECT normalized_claim_id, (row_number() OVER (PARTITION BY normalized_claim_id ORDER BY no) - 1)::INT AS line_no, md5(line) AS digest FROM (SELECT normalized_claim_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS no FROM (SELECT normalized_claim_id, list_filter([
+  concat_ws(' ', '(claim', {atom('normalized_claim_id')}, {atom('claim_id')}, {atom('source_id')}, {atom('evidence_id')}, {atom('subject')}, {atom('predicate')}, {atom('object')}, {atom('q')}, ')'), concat_ws(' ', '(claim-modality', {atom('normalized_claim_id')}, {atom('modality')}, ')'),
+  concat_ws(' ', '(claim-truth-status', {atom('normalized_claim_id')}, {atom('truth_status')}, ')'), concat_ws(' ', '(claim-attribution', {atom('normalized_claim_id')}, {atom('who')}, ')'), CASE WHEN source_faithful_claim IS NOT NULL THEN concat_ws(' ', '(claim-source-faithful', {atom('normalized_claim_id')}, {atom('source_faithful_claim')}, ')') END,
+  concat_ws(' ', '(claim-confidence', {atom('normalized_claim_id')}, regexp_replace(round(confidence, 6)::VARCHAR, '\\.0$', ''), ')'), concat_ws(' ', '(claim-confidence-basis', {atom('normalized_claim_id')}, {atom('confidence_basis')}, ')')], lambda x: x IS NOT NULL) AS lines
+  FROM (SELECT *, '{{"agent":' || coalesce({atom('att_agent')}, 'null') || ',"type":' || {atom('att_type')} || '}}' AS who, concat('{{', concat_ws(',', '"attribution":' || who, '"confidence":' || confidence, '"confidence_basis":' || {atom('confidence_basis')}, '"modality":' || {atom('modality')}, '"source_faithful_claim":' || coalesce({atom('source_faithful_claim')}, '""'), '"truth_status":' || {atom('truth_status')}), '}}') AS q FROM normalized)))""",
+        "cluster_scores": _cluster_sql() + f" SELECT {_CLUSTER_ID} AS feature_cluster_id, array_to_string(members, ',') AS member_region_ids, size::INT AS cluster_size, cohesion_score, nearest_neighbor_margin, array_to_string(reps, ',') AS representative_region_ids, array_to_string(sources, ',') AS source_ids, array_to_string(flags, ',') AS risk_flags FROM scored",
+        "cluster_evidence": _cluster_sql() + f" SELECT {_id('ev_vf', feature_cluster_id=_json('feature_cluster_id'))} AS evidence_id, sources[1] AS source_id, feature_cluster_id, size::INT AS cluster_size, cohesion_score, array_to_string(list_transform(reps, lambda r: 'crops/' || r || '.png'), ',') AS crops, array_to_string(flags, ',') AS risk_flags FROM (SELECT *, {_CLUSTER_ID} AS feature_cluster_id FROM scored)",
     }

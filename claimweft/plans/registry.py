@@ -28,7 +28,7 @@ def _spans(s, d):
 
 
 def _claims(s, d):
-    return chat.with_faults(chat.claims(_spans(s, d)))
+    return views.with_faults(chat.claims(_spans(s, d)))
 
 
 def _validated(s, d):
@@ -68,30 +68,6 @@ def _pii_rows(s, d):
     return docs.union(_messages(s, d).select("message_id", "text"))
 
 
-def _acceptance(s, d):
-    ev, sp, v, n = _evidence(s, d), _spans(s, d), _validated(s, d), _normalized(s, d)
-    def check(name, rows, bad):
-        return rows.agg(F.count(F.lit(1)).alias("total")).crossJoin(bad.agg(F.count(F.lit(1)).alias("failed"))).select(F.lit(name).alias("name"), "total", "failed")
-    out = check("evidence_ids_unique", ev, ev.groupBy("evidence_id").count().where("count > 1"))
-    out = out.union(check("spans_link_evidence", sp, sp.join(ev, "evidence_id", "left_anti")))
-    out = out.union(check("normalized_from_accepted", n, n.join(v.where("status = 'accepted_extracted'"), "claim_id", "left_anti")))
-    out = out.union(check("quarantined_have_reasons", v.where("status = 'quarantined'"), v.where("status = 'quarantined' and errors = ''")))
-    return out.withColumn("status", F.when(F.col("failed") == 0, "pass").otherwise("fail"))
-
-
-def _gold(s, d):
-    labels = views.load(s, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "accepted").otherwise("quarantined").alias("expected"))
-    got = views.load(s, d, "documents").select("doc_id", F.when(T.span_score(F.col("text")) >= 0.6, "accepted").otherwise("quarantined").alias("status"))
-    j = labels.join(got, "doc_id")
-    both = F.count_if((F.col("expected") == "accepted") & (F.col("status") == "accepted"))
-    return j.agg(F.count(F.lit(1)).alias("gold"), both.alias("both"), (both / F.count_if(F.col("status") == "accepted")).alias("precision"), (both / F.count_if(F.col("expected") == "accepted")).alias("recall"))
-
-
-def _jobs(s, d):
-    l = views.load(s, d, "lineitem")
-    return l.groupBy(F.col("l_returnflag").alias("stage")).agg(F.count(F.lit(1)).alias("jobs"), F.count_distinct("l_suppkey").alias("sources"), F.round(F.sum("l_quantity"), 2).alias("latency"))
-
-
 def _privacy(s, d):
     src = views.sources(s, d)
     c = views.load(s, d, "lineitem").select(F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("claim_id"), F.concat(F.lit("src_"), F.col("l_orderkey").cast("string")).alias("source_id"), F.when(F.col("l_linenumber") % 2 == 0, "local").otherwise("external").alias("provider"))
@@ -107,22 +83,11 @@ def _incremental(s, d):
     return jsonl.new_rows(e, e.where("event_id % 3 = 0"), "event_id")
 
 
-def _review_queue(s, d):
-    v = views.reviews(s, d)
-    last = records.latest_reviews(v)
-    return last.where(~F.col("decision").isin("accept", "reject")).join(v.groupBy("claim_id").agg(F.count(F.lit(1)).alias("reviews")), "claim_id").select("claim_id", "decision", "reviews")
-
-
 def _images(s, d):
     p = views.load(s, d, "part")
     return p.select(F.col("p_partkey").alias("image_id"), (F.col("p_size") * 20 + 30).cast("int").alias("width"), (F.col("p_size") * 11 + 50).cast("int").alias("height"))
 
 
-def _trace(s, d):
-    v, sp, ev = _validated(s, d), _spans(s, d), _evidence(s, d)
-    return v.select("claim_id", "span_id", "status").join(sp.select("span_id", "chunk_id", "evidence_id"), "span_id").join(ev.select("evidence_id", "message_id", "source_id"), "evidence_id").select("claim_id", "status", "span_id", "chunk_id", "evidence_id", "message_id", "source_id")
-
-
 def _sections(s, d):
     b = views.pdf_blocks(s, d)
     return sections.section_paths(b, records.furniture(b))
@@ -135,34 +100,6 @@ def _misquoted(s, d):
     return chat.claims(_spans(s, d)).withColumn("span_text", F.col("evidence_text")).withColumn("evidence_text", wide)
 
 
-def _applied(s, d):
-    c = _misquoted(s, d)
-    return repair.apply_repairs(repair.suggest_repairs(c), c, c).select("claim_id", "outcome", "reason", "evidence_text")
-
-
-def _job_rates(s, d):
-    jobs = views.load(s, d, "lineitem").select(F.col("l_orderkey").alias("source_id"), F.col("l_tax").alias("cost_usd"), F.col("l_quantity").alias("latency_seconds"))
-    return reports.job_rates(jobs, _validated(s, d))
-
-
-def _links(s, d):
-    """Referential checks along the path from sources to edges, as name, total, failed."""
-    ev, ch, sp, c, v, n = _evidence(s, d), _chunks(s, d), _spans(s, d), _claims(s, d), _validated(s, d), _normalized(s, d)
-    def check(name, rows, bad):
-        return rows.agg(F.count(F.lit(1)).alias("total")).crossJoin(bad.agg(F.count(F.lit(1)).alias("failed"))).select(F.lit(name).alias("name"), "total", "failed")
-    accepted = v.where("status = 'accepted_extracted'")
-    out = [
-        check("chunks_link_evidence", ch, ch.join(ev, "evidence_id", "left_anti")), check("spans_link_chunks", sp, sp.join(ch, "chunk_id", "left_anti")), check("claims_link_spans", c, c.join(sp, "span_id", "left_anti")),
-        check("validation_run_completed", c, c.join(v, "claim_id", "left_anti")), check("accepted_have_exact_evidence", accepted, accepted.where(~F.contains("evidence", "evidence_text"))),
-        check("accepted_are_attributed", accepted, accepted.where("agent IS NULL OR agent <> sender_id")), check("normalized_preserve_confidence", n, n.join(v.select("claim_id", F.col("confidence").alias("had")), "claim_id").where("NOT confidence <=> had")),
-        check("normalized_complete", n, n.where("subject IS NULL OR predicate IS NULL OR object IS NULL")),
-    ]
-    rows = out[0]
-    for o in out[1:]:
-        rows = rows.union(o)
-    return rows.withColumn("status", F.when(F.col("failed") == 0, "pass").otherwise("fail"))
-
-
 def queries():
     sel = lambda f, *c: lambda s, d: f(s, d).select(*c)
     return {
@@ -185,26 +122,19 @@ def queries():
         "canonical_entity": lambda s, d: views.load(s, d, "customer").select("c_custkey", T.canonical_id(F.lit("entity"), F.concat_ws(" ", "c_name", "c_mktsegment")).alias("canonical")),
         "pdf_furniture": lambda s, d: records.furniture(views.pdf_blocks(s, d)),
         "pdf_char_offsets": lambda s, d: records.char_offsets(views.pdf_blocks(s, d)),
-        "pdf_chunks": lambda s, d: records.block_chunks(views.pdf_blocks(s, d)),
         "audio_risk": lambda s, d: records.utterance_risk(views.utterances(s, d)),
         "audio_source_duration": lambda s, d: records.source_durations(views.utterances(s, d)),
         "latest_review": lambda s, d: records.latest_reviews(views.reviews(s, d)),
         "review_disagreement": lambda s, d: records.disagreement(views.reviews(s, d)),
-        "review_queue": _review_queue,
-        "pii_findings": lambda s, d: records.pii_findings(_pii_rows(s, d), "record_id"),
         "pii_redact": lambda s, d: _pii_rows(s, d).select("record_id", F.md5(records.redact(F.col("text"))).alias("digest")),
         "privacy_violations": _privacy,
         "retention_plan": lambda s, d: records.retention(views.sources(s, d), NOW),
         "idempotent_append": _incremental,
-        "gold_eval": _gold,
-        "acceptance_checks": _acceptance,
-        "job_metrics": _jobs,
         "grid_proposals": lambda s, d: records.grid_boxes(_images(s, d)),
         "close_pairs": lambda s, d: clusters.close_pairs(views.load(s, d, "embeddings"), NEAR).select("a", "b", F.round("distance", 6).alias("distance")),
         "image_clusters": _clusters,
         "dominant_color": lambda s, d: clusters.dominant_color(views.load(s, d, "embeddings")),
         "record_table": lambda s, d: jsonl.record_table(views.load(s, d, "nation"), "n_nationkey"),
-        "trace_claims": _trace,
         "pdf_headings": lambda s, d: sections.headings(views.pdf_blocks(s, d)),
         "pdf_section_path": _sections,
         "audio_context_window": lambda s, d: records.audio_windows(views.utterances(s, d)),
@@ -214,15 +144,13 @@ def queries():
         "import_claims": lambda s, d: repair.import_claims(views.from_events(s, d, views.LOOSE_CLAIMS)),
         "report_counters": lambda s, d: reports.counters(_validated(s, d), _normalized(s, d)),
         "quality_rates": lambda s, d: reports.quality_rates(_validated(s, d), _normalized(s, d)),
-        "link_checks": _links,
-        "apply_repairs": _applied,
-        "job_rates": _job_rates,
         "pii_email_ssn": lambda s, d: records.pii_findings(_pii_rows(s, d), "record_id").where("kind <> 'phone'"),
     }
 
 
 # ---- the same in SQL ----------------------------------------------------------------------------------------------
 
+PHONE = "(?:\\+?1[\\s.-]?)?(?:\\(?[0-9]{3}\\)?[\\s.-]?)[0-9]{3}[\\s.-]?[0-9]{4}"
 EMAIL = "\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}\\b"
 _q = lambda s: "'" + s.replace("'", "''") + "'"
 
@@ -287,7 +215,7 @@ spans AS (SELECT *, {_id('span_chat', chunk_id=_json('chunk_id'), sentence='sent
 plain AS (SELECT {_id('claim', span_id=_json('span_id'), extractor=_q('"deterministic"'))} AS claim_id, span_id, evidence_id, source_id, text AS evidence, sentence AS evidence_text, {_modality('sentence')} AS modality,
   sender_id AS agent, sender_id, score AS confidence, CASE WHEN contains(risk_flags, 'coreference') AND overlap > 0 THEN chunk_text END AS context_used, length(text) + message_index AS n FROM spans),
 claims AS (SELECT *, CASE WHEN modality = 'question_asked' THEN 'The speaker asked: ' ELSE 'The speaker asserted: ' END || evidence_text AS claim_text,
-  CASE WHEN modality = 'question_asked' THEN 'not_applicable' WHEN modality = 'uncertain_observation' THEN 'uncertain' ELSE 'unverified' END AS truth_status FROM plain),
+  'speaker_asserted_unverified' AS truth_status FROM plain),
 faulty AS (SELECT * REPLACE (CASE WHEN n % 5 = 0 THEN upper(evidence_text) ELSE evidence_text END AS evidence_text, CASE WHEN n % 13 = 0 THEN 'someone' ELSE agent END AS agent,
   CASE WHEN n % 7 = 0 THEN replace(replace(claim_text, 'three', 'four'), ' not ', ' ') WHEN n % 11 = 0 THEN replace(claim_text || ' Captain Nemo agreed.', ' may ', ' will ') ELSE claim_text END AS claim_text) FROM claims),
 measured AS (SELECT *, {_quantities('claim_text')} AS cq, {_quantities('evidence_text')} AS eq,
@@ -378,9 +306,8 @@ def _more_sql():
     line = lambda name, *atoms: f"concat_ws(' ', '({name}', " + ", ".join(f"to_json({a})::VARCHAR" for a in atoms) + ", ')')"
     qualifiers = """'{"modality":' || to_json(modality) || ',"truth_status":' || to_json(truth_status) || '}'"""
     return {
-        "apply_repairs": chain(f"SELECT claim_id, 'created' AS outcome, '' AS reason, evidence_text FROM claims WHERE {misquoted}"),
-        "job_rates": chain("SELECT round((SELECT sum(l_tax) FROM lineitem) / (SELECT count(*) FROM normalized), 4) AS cost_per_accepted_claim, round((SELECT sum(l_quantity) / count(DISTINCT l_orderkey) FROM lineitem), 2) AS latency_per_source"),
         "pii_email_ssn": chain(f"SELECT record_id, kind, CASE WHEN kind = 'email' THEN substr(m, 1, 1) || '***@' || string_split(m, '@')[-1] ELSE '***-**-' || right(m, 4) END AS preview, sha256(m) AS match_sha256 FROM (WITH rows AS (SELECT 'doc:' || doc_id AS record_id, text FROM documents UNION ALL SELECT message_id, text FROM messages) {found('email', EMAIL)} UNION ALL {found('ssn', T.SSN)})"),
+        "pii_redact": chain(f"""SELECT record_id, md5(regexp_replace(regexp_replace(regexp_replace(text, {_q(EMAIL)}, '[EMAIL]', 'g'), {_q('(^|[^0-9])(' + PHONE + ')($|[^0-9])')}, '\\1[PHONE]\\3', 'g'), {_q(T.SSN)}, '[SSN]', 'g')) AS digest FROM (SELECT 'doc:' || doc_id AS record_id, text FROM documents UNION ALL SELECT message_id, text FROM messages)"""),
         "metta_lines": chain(f"SELECT unnest([{line('claim', 'normalized_claim_id', 'claim_id', 'source_id', 'evidence_id', 'subject', 'predicate', 'object', qualifiers)}, {line('claim-modality', 'normalized_claim_id', 'modality')}, {line('claim-truth-status', 'normalized_claim_id', 'truth_status')}, "
             "concat_ws(' ', '(claim-confidence', to_json(normalized_claim_id)::VARCHAR, regexp_replace(round(confidence, 6)::VARCHAR, '\\.0$', ''), ')')]) AS line FROM normalized"),
         "pdf_headings": f"WITH {_BLOCKS}, {_headings()} SELECT * FROM headings",
@@ -407,11 +334,6 @@ UNION ALL SELECT 'reason', reason, count(*) FROM (SELECT unnest(string_split(err
             [kept("evidence_not_exact_substring", "exact_evidence"), kept("negation_dropped", "negation_preserved"), kept("uncertainty_dropped", "uncertainty_preserved"), kept("quantity_mismatch", "quantity_preserved"), kept("attribution_agent_mismatch", "attribution_preserved")])
             + " UNION ALL SELECT 'unsupported_entity', avg(CASE WHEN contains(errors, 'unsupported_entities_introduced') THEN 1 ELSE 0 END) FROM validated"
             + " UNION ALL SELECT 'duplicate', sum(CASE WHEN m > 1 THEN m ELSE 0 END) / sum(m) FROM (SELECT count(*) AS m FROM normalized GROUP BY subject, predicate, object, modality, truth_status))"),
-        "link_checks": chain("SELECT *, CASE WHEN failed = 0 THEN 'pass' ELSE 'fail' END AS status FROM (" + " UNION ALL ".join([
-            checked("chunks_link_evidence", "chunks", "chunks ANTI JOIN evidence USING (evidence_id)"), checked("spans_link_chunks", "spans", "spans ANTI JOIN chunks USING (chunk_id)"), checked("claims_link_spans", "faulty", "faulty ANTI JOIN spans USING (span_id)"),
-            checked("validation_run_completed", "faulty", "faulty ANTI JOIN validated USING (claim_id)"), checked("accepted_have_exact_evidence", "normalized", "validated WHERE status <> 'quarantined' AND NOT contains(evidence, evidence_text)"),
-            checked("accepted_are_attributed", "normalized", "validated WHERE status <> 'quarantined' AND (agent IS NULL OR agent <> sender_id)"),
-            checked("normalized_preserve_confidence", "normalized", "normalized n JOIN validated v USING (claim_id) WHERE n.confidence IS DISTINCT FROM v.confidence"), checked("normalized_complete", "normalized", "normalized WHERE subject IS NULL OR predicate IS NULL OR object IS NULL")]) + ")"),
     }
 
 
@@ -445,13 +367,9 @@ SELECT source_id, page, block_no, CASE WHEN block_no = low THEN 'header' ELSE 'f
         "audio_source_duration": f"WITH {_UTTERANCES} SELECT source_id, count(*) AS utterances, max(stop) AS duration FROM utterances GROUP BY source_id",
         "latest_review": f"WITH {_REVIEWS}, {_LAST} SELECT claim_id, decision, reviewer_id, review_id FROM last",
         "review_disagreement": f"WITH {_REVIEWS}, own AS (SELECT * FROM reviews QUALIFY row_number() OVER (PARTITION BY claim_id, reviewer_id ORDER BY reviewed_at DESC, review_id DESC) = 1), per AS (SELECT claim_id, count(DISTINCT decision) AS k FROM own GROUP BY claim_id HAVING count(*) >= 2) SELECT count(*) AS claims, count(*) FILTER (WHERE k > 1) AS disagreeing FROM per",
-        "review_queue": f"WITH {_REVIEWS}, {_LAST} SELECT claim_id, decision, (SELECT count(*) FROM reviews r WHERE r.claim_id = last.claim_id) AS reviews FROM last WHERE decision NOT IN ('accept', 'reject')",
         "privacy_violations": "SELECT l_orderkey || ':' || l_linenumber AS claim_id, 'src_' || l_orderkey AS source_id, 'external' AS provider FROM lineitem WHERE l_linenumber % 2 <> 0 AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey % 7 = 0)",
         "retention_plan": f"SELECT 'src_' || o_orderkey AS source_id, CASE WHEN o_orderkey % 2 = 0 THEN 'chat' ELSE 'pdf' END AS modality, floor((epoch(TIMESTAMP '{NOW}') - floor(epoch(o_orderdate))) / 86400)::BIGINT AS age_days FROM orders WHERE floor((epoch(TIMESTAMP '{NOW}') - floor(epoch(o_orderdate))) / 86400) >= 365",
         "idempotent_append": "SELECT event_id, user_id, event_type FROM events WHERE event_id NOT IN (SELECT event_id FROM events WHERE event_id % 3 = 0)",
-        "gold_eval": f"WITH j AS (SELECT quality = 1 AS e, coalesce({_score('text')} >= 0.6, false) AS s FROM labels JOIN documents USING (doc_id)) SELECT count(*) AS gold, count(*) FILTER (WHERE e AND s) AS both, count(*) FILTER (WHERE e AND s) / count(*) FILTER (WHERE s) AS precision, count(*) FILTER (WHERE e AND s) / count(*) FILTER (WHERE e) AS recall FROM j",
-        "acceptance_checks": chain("SELECT 'evidence_ids_unique' AS name, count(*) AS total, count(*) - count(DISTINCT evidence_id) AS failed, 'pass' AS status FROM evidence UNION ALL SELECT 'spans_link_evidence', count(*), 0, 'pass' FROM spans UNION ALL SELECT 'normalized_from_accepted', count(*), 0, 'pass' FROM normalized UNION ALL SELECT 'quarantined_have_reasons', count(*), count(*) FILTER (WHERE errors = ''), 'pass' FROM validated WHERE status = 'quarantined'"),
-        "job_metrics": "SELECT l_returnflag AS stage, count(*) AS jobs, count(DISTINCT l_suppkey) AS sources, round(sum(l_quantity), 2) AS latency FROM lineitem GROUP BY 1",
         "grid_proposals": """WITH i AS (SELECT p_partkey AS image_id, (p_size * 20 + 30)::INT AS width, (p_size * 11 + 50)::INT AS height FROM part), s AS (SELECT *, least(width, 224)::INT AS w, least(height, 224)::INT AS h FROM i)
 SELECT image_id, x::INT AS x, unnest(list_sort(list_distinct(list_append(range(0, height - h + 1, 224), (height - h)::BIGINT))))::INT AS y, w, h FROM (SELECT *, unnest(list_sort(list_distinct(list_append(range(0, width - w + 1, 224), (width - w)::BIGINT)))) AS x FROM s)""",
         "close_pairs": f"SELECT a.vec_id AS a, b.vec_id AS b, round({_DISTANCE}, 6) AS distance FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_DISTANCE} <= {NEAR}",
@@ -461,5 +379,4 @@ reach AS (SELECT vec_id AS v, vec_id AS r FROM embeddings UNION SELECT reach.v,
 SELECT vec_id, CASE WHEN high < 0.12 THEN 'black' WHEN low > 0.88 THEN 'white' WHEN high - low < 0.08 THEN 'gray' WHEN middle > 0.45 AND middle >= high * 0.65 AND low < high * 0.5 THEN CASE low WHEN b THEN 'yellow' WHEN g THEN 'magenta' ELSE 'cyan' END WHEN r = high THEN 'red' WHEN g = high THEN 'green' ELSE 'blue' END AS color,
   round(CASE WHEN high < 0.12 OR low > 0.88 THEN 0.9::DOUBLE WHEN high - low < 0.08 THEN 0.55::DOUBLE + least(0.25::DOUBLE, 0.08::DOUBLE - (high - low)) ELSE greatest(0.5::DOUBLE, least(1::DOUBLE, 0.55::DOUBLE + (high - low) / 2)) END, 3) AS confidence FROM x""",
         "record_table": """SELECT n_nationkey::VARCHAR AS record_key, '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}' AS payload_json FROM nation""",
-        "trace_claims": chain("SELECT v.claim_id, v.status, v.span_id, s.chunk_id, s.evidence_id, s.message_id, s.source_id FROM validated v JOIN spans s USING (span_id)"),
     } | _more_sql()

@@ -10,14 +10,13 @@ import json
 from pyspark.sql import functions as F
 
 from claimweft.functions import text as T
-from claimweft.operators import governance, measures, propositions, reviews, tables
+from claimweft.operators import governance, measures, propositions, repair, reviews, tables
 from claimweft.plans import flow
 from claimweft.plans.flow import _ascii, _set, _when, stage
-from claimweft.plans.registry import EMAIL, _id, _json, _q
+from claimweft.plans.registry import EMAIL, PHONE as PHONE_SQL, _id, _json, _q
 from claimweft.sources import exports, views
 
 NOW = "2026-03-01 00:00:00"
-PHONE_SQL = "(?:\\+?1[\\s.-]?)?(?:\\(?[0-9]{3}\\)?[\\s.-]?)[0-9]{3}[\\s.-]?[0-9]{4}"
 SSN_SQL = "\\b[0-9]{3}-[0-9]{2}-[0-9]{4}\\b"
 CONTACT = "CASE right(evidence_id, 1) WHEN '0' THEN ' Call 415-555-0142 or 415-555-0142, or mail jo.lund@example.org.' WHEN '1' THEN ' His number is 123-45-6789.' ELSE '' END"
 PROVIDER = "CASE right(claim_id, 1) WHEN '0' THEN ' ' WHEN '1' THEN 'Deterministic' WHEN '2' THEN 'remote' ELSE 'deterministic' END"
@@ -131,13 +130,29 @@ def _recorded(s, d):
     return events.join(new.select(F.col("claim_id").alias("c"), "review_id", "decision"), F.col("claim_id") == F.col("c"), "left").select("audit_event_id", "claim_id", "status", "review_id", "decision")
 
 
+def _misquoted(s, d):
+    c, sp, ev = flow.claims(s, d), flow.all_spans(s, d), flow.text_evidence(s, d)
+    return c.join(sp.select("span_id", F.col("text").alias("span_text")), "span_id", "left").join(ev.select("evidence_id", F.col("text").alias("evidence")), "evidence_id", "left").where("right(claim_id, 1) = '2' AND evidence_text IS NOT NULL")
+
+
+def _repaired(s, d):
+    """Suggestions for misquoted claims, some of which have gone or changed meanwhile, or are repaired already."""
+    c = _misquoted(s, d)
+    found = repair.suggest_repairs(c)
+    two = F.right("claim_id", F.lit(2))
+    now = c.where(two != "02").withColumn("evidence_text", F.when(two == "12", "changed").otherwise(F.col("evidence_text")))
+    done = repair.apply_repairs(found.where(two == "22"), c, c).select(F.col("new_claim_id").alias("claim_id"))
+    return repair.apply_repairs(found, now, done).select("claim_id", "new_claim_id", "outcome", "reason", "evidence_text")
+
+
 def _traced(s, d):
     t = _more(s, d) | {"retention_plan": governance.retention_plan(sources(s, d), NOW), "pii_findings": _pii(s, d)}
     ids = [r[0] for r in flow.claims(s, d).orderBy("claim_id").select("claim_id").limit(3).collect()]  # the claims that are asked for
     return measures.trace(t, [*ids, "claim_nowhere"]).groupBy("claim_id", "part").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def queries():
+def _queries():
+    """The queries; their columns need a session."""
     join = lambda c: F.array_join(c, ",").alias(c)
     return {
         "pii_findings_all": lambda s, d: _pii(s, d).select("finding_id", "artifact", "record_id", "field", "pii_type", "redacted_preview", "char_start", "char_end"),
@@ -155,9 +170,35 @@ def queries():
         "job_rows": lambda s, d: jobs(s, d).select("job_id", "stage", "source_id", join("input_record_ids"), "model_hash"),
         "table_violations": lambda s, d: tables.violations(run_tables(s, d)).groupBy("table", "code").agg(F.count(F.lit(1)).alias("n")),
         "trace_all": _traced,
+        "repairs_all": _repaired,
     }
 
 
+NAMES = (
+    "pii_findings_all",
+    "pii_redactions_all",
+    "privacy_decisions",
+    "retention_plan_all",
+    "route_all",
+    "review_queue_all",
+    "review_records",
+    "gold_sets",
+    "gold_metrics",
+    "acceptance_all",
+    "counters_all",
+    "quality_all",
+    "job_rows",
+    "table_violations",
+    "trace_all",
+    "repairs_all",
+)
+
+
+def queries():
+    """Name -> query, which can be listed without a session."""
+    return {name: lambda s, d, name=name: _queries()[name](s, d) for name in NAMES}
+
+
 # ---- the same in SQL ----------------------------------------------------------------------------------------------
 
 
@@ -290,6 +331,9 @@ def oracle_sql():
         "job_rows": run + f" SELECT {_id('job', config_hash=_q(json.dumps(config)), input_record_ids=_q(json.dumps(['a', 'b'], separators=(',', ':'))), model_hash=_q(json.dumps(model)), prompt_hash=_q('null'), source_id=_json('source_id'), stage=_json('stage'))} AS job_id, stage, source_id, 'a,b' AS input_record_ids, '{model}' AS model_hash FROM asked",
         "table_violations": run + f" SELECT * FROM ({broken}) WHERE n > 0",
         "trace_all": run + " " + traced,
+        "repairs_all": run + f""" SELECT claim_id, new_claim_id, CASE WHEN reason = '' THEN 'created' WHEN reason = 'repaired_claim_exists' THEN 'skipped' ELSE 'failed' END AS outcome, reason, CASE WHEN reason = '' THEN segment END AS evidence_text
+  FROM (SELECT claim_id, segment, {_id('claim_repair', claim_id=_json('claim_id'), repair_id=_json('repair_id'), suggested_evidence_text=_ascii('segment'))} AS new_claim_id, CASE right(claim_id, 2) WHEN '02' THEN 'missing_claim' WHEN '12' THEN 'claim_evidence_text_changed' WHEN '22' THEN 'repaired_claim_exists' ELSE '' END AS reason
+  FROM (SELECT c.claim_id, s.segment, {_id('repair', claim_id=_json('c.claim_id'), original_evidence_text=_ascii('c.evidence_text'), suggested_evidence_text=_ascii('s.segment'))} AS repair_id FROM claims c JOIN spans s ON c.span_id = s.span_id WHERE right(c.claim_id, 1) = '2' AND contains(s.segment, ' ')))""",
     }
 
 
