@@ -59,9 +59,12 @@ def of_regions(regions: DataFrame) -> DataFrame:
 
 
 def of_ocr(texts: DataFrame) -> DataFrame:
+    """Of texts read several times at one place by one model, the most certain reading counts."""
     box = F.when(F.col("bbox").isNull(), "null").otherwise(F.concat(F.lit("["), F.array_join(F.col("bbox").cast("array<string>"), ","), F.lit("]")))
     own = stable_id("ev_ocr", source_id=json_string(F.col("source_id")), image_id=json_string(F.col("image_id")), bbox=box, text=json_string(F.col("text")), ocr_model=json_string(F.col("ocr_model")))
-    return _rows(texts, own, "image", "ocr_text_span", F.col("text"), provenance(**_same("image_id", "bbox", "ocr_model", "ocr_confidence")))
+    rows = _rows(texts, own, "image", "ocr_text_span", F.col("text"), provenance(**_same("image_id", "bbox", "ocr_model", "ocr_confidence")))
+    rest = [c for c in rows.columns if c != "evidence_id"]
+    return rows.groupBy("evidence_id").agg(F.max_by(F.struct(*rest), F.coalesce("provenance.ocr_confidence", F.lit(-1.0))).alias("r")).select("evidence_id", "r.*")
 
 
 def of_clusters(clusters: DataFrame, regions: DataFrame) -> DataFrame:

@@ -280,7 +280,7 @@ evidence AS (
   SELECT {_id('ev_msg', message_id=_json('message_id'), source_id=_json('source_id'))} AS evidence_id, source_id, 'chat' AS source_modality, 'message_span' AS evidence_type, text, risk_flags, conversation_id, thread_id, message_id, sender_id, sender_display_name, sender_role, "timestamp", 0 AS char_start, length(text)::INT AS char_end FROM messages
   UNION ALL BY NAME SELECT {_id('ev_pdf', block_id=_json('block_id'), source_id=_json('source_id'))} AS evidence_id, source_id, 'pdf' AS source_modality, 'text_span' AS evidence_type, text, risk_flags, page, block_id, block_no, bbox, char_start, char_end::INT AS char_end, section_path, extractor FROM pdf WHERE block_type = 'text'
   UNION ALL BY NAME SELECT {_id('ev_audio', source_id=_json('source_id'), utterance_id=_json('utterance_id'))} AS evidence_id, source_id, 'audio' AS source_modality, 'utterance_span' AS evidence_type, text, risk_flags, utterance_id, speaker, start, stop, source_duration, asr_confidence, diarization_confidence FROM utterances JOIN ends USING (source_id)
-  UNION ALL BY NAME SELECT {_id('ev_ocr', bbox="CASE WHEN bbox IS NULL THEN 'null' ELSE '[' || bbox || ']' END", image_id=_json('image_id'), ocr_model=_json('ocr_model'), source_id=_json('source_id'), text=_ascii('text'))} AS evidence_id, source_id, 'image' AS source_modality, 'ocr_text_span' AS evidence_type, text, risk_flags, image_id, CASE WHEN bbox IS NOT NULL THEN [1, 2, p_size, 9]::DOUBLE[] END AS bbox, ocr_model, ocr_confidence FROM ocr
+  UNION ALL BY NAME SELECT {_id('ev_ocr', bbox="CASE WHEN bbox IS NULL THEN 'null' ELSE '[' || bbox || ']' END", image_id=_json('image_id'), ocr_model=_json('ocr_model'), source_id=_json('source_id'), text=_ascii('text'))} AS evidence_id, source_id, 'image' AS source_modality, 'ocr_text_span' AS evidence_type, text, risk_flags, image_id, CASE WHEN bbox IS NOT NULL THEN [1, 2, p_size, 9]::DOUBLE[] END AS bbox, ocr_model, ocr_confidence FROM (SELECT * FROM ocr QUALIFY row_number() OVER (PARTITION BY source_id, image_id, text, bbox, ocr_model ORDER BY ocr_confidence DESC NULLS LAST) = 1)
   UNION ALL BY NAME SELECT {_id('ev_img', region_id=_json('region_id'), source_id=_json('source_id'))} AS evidence_id, source_id, 'image' AS source_modality, 'visual_region' AS evidence_type, NULL::VARCHAR AS text, risk_flags, image_id, region_id, [x, y, w, h]::DOUBLE[] AS bbox, NULL::VARCHAR AS crop_path, proposal_method, NULL::DOUBLE AS proposal_score FROM regions)"""
 
 
