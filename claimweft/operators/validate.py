@@ -10,16 +10,19 @@ from claimweft.functions.ids import json_string, stable_id
 
 
 def validate(c: DataFrame) -> DataFrame:
-    """Add errors (codes joined by commas, in the order of the rules) and status. One projection, no shuffle."""
-    c = c.withColumn("claim_q", T.quantities(F.col("claim_text"))).withColumn("evidence_q", T.quantities(F.col("evidence_text")))
+    """Add errors (codes joined by commas, in the order of the rules) and status. One projection, no shuffle.
+
+    For chat claims that carry their evidence; ``validator`` joins all modalities. Null claim texts and agents don't pass.
+    """
+    c = c.withColumn("claim_q", T.quantities(F.coalesce("claim_text", F.lit("")))).withColumn("evidence_q", T.quantities(F.col("evidence_text")))
     support = F.array_union(T.entities(F.col("evidence")), F.array_union(T.entities(F.col("evidence_text")), T.entities(F.coalesce("context_used", F.lit("")))))
-    new = F.array_except(T.entities(F.regexp_replace("claim_text", "^The speaker (asked|asserted): ", "")), F.array_union(support, F.array(F.col("agent"))))
+    new = F.array_except(T.entities(F.regexp_replace("claim_text", "^The speaker (asked|asserted): ", "")), F.array_union(support, F.array(F.coalesce("agent", F.lit("")))))
     supported = F.contains("evidence", F.col("evidence_text")) | F.contains(F.coalesce("context_used", F.lit("")), F.col("evidence_text"))
-    rules = [
+    rules = [  # fixed values: the codes, in the order of the rules
         ("missing_evidence", F.col("evidence").isNull()), ("missing_evidence_text", F.coalesce("evidence_text", F.lit("")) == ""), ("evidence_not_exact_substring", ~supported),
-        ("attribution_agent_mismatch", F.col("agent") != F.col("sender_id")),
-        ("negation_dropped", T.has_word(F.col("evidence_text"), T.NEGATION) & ~T.has_word(F.col("claim_text"), T.NEGATION)),
-        ("uncertainty_dropped", T.has_word(F.col("evidence_text"), T.UNCERTAINTY) & ~T.has_word(F.col("claim_text"), T.UNCERTAINTY)),
+        ("missing_claim_text", F.col("claim_text").isNull()), ("attribution_agent_mismatch", ~F.coalesce(F.col("agent") == F.col("sender_id"), F.lit(False))),
+        ("negation_dropped", T.has_word(F.col("evidence_text"), T.NEGATION) & ~T.has_word(F.coalesce("claim_text", F.lit("")), T.NEGATION)),
+        ("uncertainty_dropped", T.has_word(F.col("evidence_text"), T.UNCERTAINTY) & ~T.has_word(F.coalesce("claim_text", F.lit("")), T.UNCERTAINTY)),
         ("quantity_mismatch", (F.size("evidence_q") > 0) & ((F.size("claim_q") == 0) | (F.size(F.array_except("claim_q", "evidence_q")) > 0))),
         ("unsupported_entities_introduced", F.size(new) > 0),
     ]

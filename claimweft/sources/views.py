@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SUFFIXES = (" It was not replaced.", " It may be 12 meters long.", " Did Hope have masts?", "", " Hope had three masts.", " Call 415-555-1212 or mail alice@example.com.")
+SUFFIXES = (" The lift was not moved.", " It may be 14 meters high.", " Was Lund on board?", "", " Lund had three ropes.", " Call 415-555-0187 or mail jo.lund@example.org.")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +69,7 @@ LOOSE_CLAIMS = {
     "line": "event_id",
     "payload": """concat('{', CASE WHEN event_id % 7 <> 0 THEN '"source_id":"s1",' ELSE '' END, CASE WHEN event_id % 3 = 0 THEN '"claim_id":"given",' ELSE '' END, '"evidence_id":"e', CAST(event_id AS STRING), '","source_modality":"',
       CASE event_id % 4 WHEN 0 THEN 'chat' WHEN 1 THEN 'pdf' WHEN 2 THEN 'image' ELSE 'web' END, '","', CASE event_id % 5 WHEN 0 THEN 'claim' WHEN 1 THEN 'claim_text' WHEN 2 THEN 'text' ELSE 'source_faithful_claim' END, '":"It was a ', event_type, '.","',
-      CASE event_id % 3 WHEN 0 THEN 'evidence' WHEN 1 THEN 'supporting_text' ELSE 'evidence_text' END, '":"', CASE WHEN event_id % 8 = 0 THEN '' ELSE event_type END, '","attribution":', CASE WHEN event_id % 2 = 0 THEN '"alice"' ELSE '{"type":"speaker","agent":"bob"}' END,
+      CASE event_id % 3 WHEN 0 THEN 'evidence' WHEN 1 THEN 'supporting_text' ELSE 'evidence_text' END, '":"', CASE WHEN event_id % 8 = 0 THEN '' ELSE event_type END, '","attribution":', CASE WHEN event_id % 2 = 0 THEN '"kim"' ELSE '{"type":"speaker","agent":"bob"}' END,
       CASE event_id % 6 WHEN 0 THEN ',"confidence":"82%"' WHEN 1 THEN ',"confidence":64' WHEN 2 THEN ',"confidence":0.5' WHEN 3 THEN ',"confidence":250' ELSE '' END, CASE WHEN event_id % 4 = 0 THEN ',"risk_flags":"x"' ELSE '' END, '}')""",
 }
 

@@ -29,16 +29,16 @@ def test_sentences_drop_unterminated_lines_but_the_last(spark):
 
 
 def test_scores(spark):
-    got = {s: one(spark, T.span_score(F.col("v")), v=s) for s in ("Thanks", "Did Hope have masts?", "It was not 3 maybe.", "blue", "")}
+    got = {s: one(spark, T.span_score(F.col("v")), v=s) for s in ("Thanks", "Was Berta at sea?", "It was not 3 maybe.", "blue", "")}
     assert got["Thanks"] is None and got["blue"] is None and got[""] is None
-    assert abs(got["Did Hope have masts?"] - 0.85) < 1e-9 and got["It was not 3 maybe."] == 0.95
+    assert abs(got["Was Berta at sea?"] - 0.85) < 1e-9 and got["It was not 3 maybe."] == 0.95
 
 
 def test_chat_example(spark):
-    export = spark.createDataFrame([(1, 0, "user", "Did Hope have masts?"), (1, 1, "external", "I saw Hope yesterday. It had three masts."), (1, 2, "user", "Thanks")], "conv_id long, turn long, role string, text string")
+    export = spark.createDataFrame([(1, 0, "user", "Was Berta at sea?"), (1, 1, "external", "I met Berta yesterday. It had three ropes."), (1, 2, "user", "Thanks")], "conv_id long, turn long, role string, text string")
     spans = chat.spans(chat.context_windows(chat.evidence(chat.messages(export))))
     rows = spans.orderBy("message_index", "sentence_no").collect()
-    assert [r["sentence"] for r in rows] == ["Did Hope have masts?", "I saw Hope yesterday.", "It had three masts."]
+    assert [r["sentence"] for r in rows] == ["Was Berta at sea?", "I met Berta yesterday.", "It had three ropes."]
     assert rows[0]["risk_flags"] == "question_speech_act" and rows[2]["risk_flags"] == "context_dependent_coreference"
     v = validate.validate(chat.claims(spans))
     assert v.where("status = 'accepted_extracted'").count() == 3
@@ -53,10 +53,10 @@ def test_overlapping_utterances(spark):
 
 
 def test_redaction_and_findings(spark):
-    t = "Email alice@example.com or call 415-555-1212."
-    assert one(spark, records.redact(F.col("v")), v=t) == "Email [EMAIL] or call [PHONE]."
+    t = "Write to jo@example.org or dial 415-555-0187."
+    assert one(spark, records.redact(F.col("v")), v=t) == "Write to [EMAIL] or dial [PHONE]."
     found = records.pii_findings(spark.createDataFrame([("r", t)], "id string, text string"), "id").collect()
-    assert sorted(r["preview"] for r in found) == ["***-***-1212", "a***@example.com"]
+    assert sorted(r["preview"] for r in found) == ["***-***-0187", "j***@example.org"]
 
 
 def test_appends_are_idempotent(spark, tmp_path):

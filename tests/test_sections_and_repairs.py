@@ -12,14 +12,14 @@ BLOCKS = "source_id string, page int, block_no int, text string"
 
 
 def test_sections_of_a_survey(spark):
-    texts = ["1. Inspection", "The hull was sound.", "1.1 Engine Condition", "It was replaced in 2024.", "2. Recommendations", "THE ENGINE WAS REPLACED IN 2024."]
+    texts = ["1. Quay wall", "The wall was dry.", "1.1 Crane Tracks", "They were laid in 2019.", "2. Next Steps", "THE TRACKS WERE LAID IN 2019."]
     b = spark.createDataFrame([("s", 1 + i // 4, i % 4, t) for i, t in enumerate(texts)], BLOCKS)
     got = [r.section for r in sections.section_paths(b, records.furniture(b)).orderBy("page", "block_no").collect()]
-    assert got == ["1. Inspection"] * 2 + ["1. Inspection > 1.1 Engine Condition"] * 2 + ["2. Recommendations"] * 2
+    assert got == ["1. Quay wall"] * 2 + ["1. Quay wall > 1.1 Crane Tracks"] * 2 + ["2. Next Steps"] * 2
 
 
 def test_heading_levels(spark):
-    want = {"1) Hull": 1, "1.2.3 Keel bolts": 3, "Appendix B: Photographs": 1, "ENGINE ROOM": 1, "Engine Room Findings": 2, "The engine was sound": None, "Engine Is Sound": None, "Engine Room.": None, "ok": None, "": None, "X" * 121: None, "  Deck \t Plan ": 2}
+    want = {"1) Quay": 1, "1.2.3 Rail bolts": 3, "Appendix C: Drawings": 1, "CRANE CABIN": 1, "Crane Cabin Findings": 2, "The cabin was clean": None, "Cabin Is Clean": None, "Crane Cabin.": None, "ok": None, "": None, "X" * 121: None, "  Site \t Plan ": 2}
     b = spark.createDataFrame([("s", 1, i, t) for i, t in enumerate(want)], BLOCKS)
     got = {r.block_no: r.level for r in sections.headings(b).collect()}
     assert [got.get(i) for i in range(len(want))] == list(want.values())
@@ -49,17 +49,17 @@ def test_paths_equal_a_stack(spark):
 
 def test_repairs(spark):
     rows = [
-        ("blanks", "The vessel   Hope appears old.", "The vessel Hope appears old.", "Well. The vessel Hope appears old. Yes."), ("quotes", 'He said "fine" to us.', "He said “fine” to us.", "He said “fine” to us."),
-        ("exact", "Hope is old.", "Hope is old.", "Hope is old."), ("wrong", "Hope is new.", "Hope is old.", "Hope is old."), ("slice", "ﬁne  day", None, "What a fine day it is."), ("none", "x", None, None), ("null", None, "a", "a"), ("bare", "  ", "a b", "a b"),
+        ("blanks", "The barge   Lund looks slow.", "The barge Lund looks slow.", "Well. The barge Lund looks slow. Yes."), ("quotes", 'She called it "sound" then.', "She called it “sound” then.", "She called it “sound” then."),
+        ("exact", "Lund is slow.", "Lund is slow.", "Lund is slow."), ("wrong", "Lund is fast.", "Lund is slow.", "Lund is slow."), ("slice", "ﬁne  day", None, "What a fine day it is."), ("none", "x", None, None), ("null", None, "a", "a"), ("bare", "  ", "a b", "a b"),
     ]
     got = {r.claim_id: (r.suggestion, r.scope) for r in repair.suggest_repairs(spark.createDataFrame(rows, "claim_id string, evidence_text string, span_text string, evidence string")).collect()}
-    assert got == {"blanks": ("The vessel Hope appears old.", "span"), "quotes": ("He said “fine” to us.", "span"), "slice": ("fine day", "evidence")}
+    assert got == {"blanks": ("The barge Lund looks slow.", "span"), "quotes": ("She called it “sound” then.", "span"), "slice": ("fine day", "evidence")}
 
 
 def test_import_of_loose_claims(spark):
-    rows = [(1, '{"claim":"Hope is old.","evidence":"Hope is old.","attribution":"alice","confidence":"82%","source_id":"s","evidence_id":"e","source_modality":"chat"}'), (2, '{"claim":"x","confidence":0.5}'), (3, "no json"), (4, None), (5, "[]")]
+    rows = [(1, '{"claim":"Lund is slow.","evidence":"Lund is slow.","attribution":"kim","confidence":"82%","source_id":"s","evidence_id":"e","source_modality":"chat"}'), (2, '{"claim":"x","confidence":0.5}'), (3, "no json"), (4, None), (5, "[]")]
     got = {r.line: r for r in repair.import_claims(spark.createDataFrame(rows, "line int, payload string")).collect()}
-    assert got[1].status == "repaired" and got[1].confidence == 0.82 and (got[1].attribution_type, got[1].agent) == ("speaker", "alice") and got[1].claim_id.startswith("claim_import_")
+    assert got[1].status == "repaired" and got[1].confidence == 0.82 and (got[1].attribution_type, got[1].agent) == ("speaker", "kim") and got[1].claim_id.startswith("claim_import_")
     assert all(got[i].status == "schema_invalid" for i in (2, 3, 4, 5))
 
 
