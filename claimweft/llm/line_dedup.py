@@ -22,6 +22,8 @@ WINDOW = 3
 DIVISOR = 3
 MIN_LINES = 2
 MAX_LINES = 64
+#: So many of the most frequent chunks are dealt to DEALS tasks each.
+HOT, DEALS = 1000, 32
 PRIME = 2**31 - 1
 FACTORS = tuple(pow(1_000_003, k + 1, PRIME) for k in range(WINDOW))
 
@@ -75,10 +77,16 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, leasts: tuple[int,
     # keys only: which chunks are repeated at all, and where each stands first
     keyed = each.select(F.md5("c.text").alias("key"), "d", "h", F.struct("c.at", "c.n").alias("at"), F.col("c.text").alias("chunk"))
     place = F.struct("d", "h", "at")
-    repeated = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("places"), F.min(place).alias("first")).where("places > 1").select(F.col("key").alias("k"), "first")
-    held = written(keyed.join(repeated, F.col("key") == F.col("k")).select("key", "d", "h", "at", "chunk", (place == F.col("first")).alias("kept")), "chunks")
-    kept = held.where("kept").groupBy(F.col("key").alias("k")).agg(F.min("chunk").alias("bytes"))
-    gone = held.where(~F.col("kept")).join(kept, (F.col("key") == F.col("k")) & (F.col("chunk") == F.col("bytes"))).groupBy("d", "h").agg(F.array_distinct(F.collect_list("at")).alias("gone"))
+    repeated = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("places"), F.min(place).alias("first")).where("places > 1"), "repeated")
+    # the most frequent chunks are dealt to several tasks each; any other has no more than a HOTth of all places
+    hot = repeated.orderBy(F.col("places").desc(), "key").limit(HOT).select(F.col("key").alias("hot_key"))
+    dealt = lambda df, salt: df.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left").withColumn("deal", F.when(F.col("hot_key").isNotNull(), salt).otherwise(F.lit(0))).drop("hot_key")
+    every = lambda df: df.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left").withColumn("deal", F.explode(F.sequence(F.lit(0), F.when(F.col("hot_key").isNotNull(), DEALS - 1).otherwise(0)))).drop("hot_key")
+    firsts = every(repeated).select(F.col("key").alias("k"), F.col("deal").alias("k_deal"), "first")
+    salted = dealt(keyed, F.pmod(F.xxhash64("d", "h"), F.lit(DEALS)).cast("int"))
+    held = written(salted.join(firsts, (F.col("key") == F.col("k")) & (F.col("deal") == F.col("k_deal"))).select("key", "deal", "d", "h", "at", "chunk", (place == F.col("first")).alias("kept")), "chunks")
+    kept = every(held.where("kept").groupBy("key").agg(F.min("chunk").alias("bytes"))).select(F.col("key").alias("k"), F.col("deal").alias("k_deal"), "bytes")
+    gone = held.where(~F.col("kept")).join(kept, (F.col("key") == F.col("k")) & (F.col("deal") == F.col("k_deal")) & (F.col("chunk") == F.col("bytes"))).groupBy("d", "h").agg(F.array_distinct(F.collect_list("at")).alias("gone"))
     full = docs.join(
         gone.withColumnsRenamed({"d": f"{INNER}d", "h": f"{INNER}h", "gone": f"{INNER}gone"}),
         F.col("doc_id").eqNullSafe(F.col(f"{INNER}d")) & (F.xxhash64(F.col("text").cast("string")) == F.col(f"{INNER}h")), "left",
