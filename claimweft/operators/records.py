@@ -10,13 +10,20 @@ from claimweft.functions.ids import json_string, stable_id
 
 
 def furniture(blocks: DataFrame, most_chars: int = 120, least_pages: int = 2) -> DataFrame:
-    """First or last blocks of pages whose signature stands on several pages of the source: header or footer."""
-    page = Window.partitionBy("source_id", "page")
-    b = blocks.withColumn("signature", T.furniture_signature(F.col("text"))).withColumn("low", F.min("block_no").over(page)).withColumn("high", F.max("block_no").over(page))
-    usable = b.where((F.length("signature") > 0) & (F.length("signature") <= most_chars))
-    on = usable.groupBy("source_id", "signature").agg(F.count_distinct("page").alias("pages")).where(F.col("pages") >= least_pages)
-    kind = F.when(F.col("block_no") == F.col("low"), "header").when(F.col("block_no") == F.col("high"), "footer")
-    return usable.join(on, ["source_id", "signature"]).withColumn("kind", kind).where(F.col("kind").isNotNull()).select("source_id", "page", "block_no", "kind")
+    """First or last blocks of pages whose signature stands on several pages of the source: header or footer.
+
+    A signature is on several pages where its least and its largest page differ; what that takes is aggregated on the map
+    side, and only the first and last block of a page, found by an aggregate too, are joined with it.
+    """
+    b = blocks.select("source_id", "page", "block_no", T.furniture_signature(F.col("text")).alias("signature"))
+    usable = (F.length("signature") > 0) & (F.length("signature") <= most_chars)
+    pages = (F.min("page") != F.max("page")) if least_pages == 2 else (F.count_distinct("page") >= least_pages)
+    several = b.where(usable).groupBy("source_id", "signature").agg(pages.alias("several")).where("several").select("source_id", "signature")
+    ends = b.groupBy("source_id", "page").agg(F.min(F.struct("block_no", "signature")).alias("low"), F.max(F.struct("block_no", "signature")).alias("high"))
+    kinds = F.array(F.struct(F.col("low.block_no").alias("block_no"), F.col("low.signature").alias("signature"), F.lit("header").alias("kind")), F.struct(F.col("high.block_no").alias("block_no"), F.col("high.signature").alias("signature"), F.lit("footer").alias("kind")))
+    each = ends.select("source_id", "page", F.col("low.block_no").alias("first"), F.explode(kinds).alias("k")).where((F.col("k.kind") == "header") | (F.col("k.block_no") != F.col("first")))
+    marked = each.select("source_id", "page", F.col("k.block_no").alias("block_no"), F.col("k.signature").alias("signature"), F.col("k.kind").alias("kind"))
+    return marked.join(several, ["source_id", "signature"], "left_semi").where(usable).select("source_id", "page", "block_no", "kind")
 
 
 def char_offsets(blocks: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,7 +16,8 @@ def spark():
 
     s = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="claimweft-tests-")).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
