@@ -225,19 +225,17 @@ def train(texts: list[str], labels: list[str], seed: int = SEED) -> Model:
     return model
 
 
-def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text; UNDETERMINED and 0 for a text that is null or has no letter, or with no model."""
+def posteriors(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, and start, end, row and language posteriors of each word of the texts, by forward-backward."""
     n = len(column)
-    langs, score = [UNDETERMINED] * n, np.zeros(n)
     data, s, e, rows = letter_words(column)
     if not len(s) or not model.langs:
-        return langs, score
+        return data, s, e, rows, np.zeros((len(s), len(model.langs)), np.float32)
     h, first, number = distinct(data, s, e)
     index, bounds = word_features(data, s[first], e[first])
     em = scaled(model.emissions(index, bounds, model.in_lists(h)))
     row_at = row_bounds(rows, n)
-    length = np.diff(row_at)
-    order = np.argsort(-length, kind="stable")
+    order = np.argsort(-np.diff(row_at), kind="stable")
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
     place = np.arange(len(s)) - row_at[rows]
@@ -246,8 +244,18 @@ def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     step = np.empty(len(s), np.int64)
     step[at] = np.arange(len(s))
     post, _, _ = forward_backward(em[number[step]], active, model.transitions, model.start)
-    doc = rows[step]
-    sums = np.stack([np.bincount(doc, post[:, i], n) for i in range(len(model.langs))], axis=1)
+    return data, s, e, rows, post[at]
+
+
+def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text; UNDETERMINED and 0 for a text that is null or has no letter, or with no model."""
+    n = len(column)
+    langs, score = [UNDETERMINED] * n, np.zeros(n)
+    data, s, _, rows, post = posteriors(column, model)
+    if not len(s) or not model.langs:
+        return langs, score
+    length = np.bincount(rows, minlength=n)
+    sums = np.stack([np.bincount(rows, post[:, i], n) for i in range(len(model.langs))], axis=1)
     best = sums.argmax(axis=1)
     ascii_letters = np.bincount(rows, (data[s] < 128), n) > 0
     for i in np.flatnonzero(length > 0).tolist():
@@ -257,6 +265,31 @@ def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     return langs, score
 
 
+def word_languages(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, word_no (from 0), word (in lower case), lang, score: the language of each word of code-switched texts.
+
+    Null, empty and letterless texts have no words; repeated rows give repeated words; other columns aren't read.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    sent = spark.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text", PREDICT_BYTES):
+                data, s, e, rows, post = posteriors(part.column("text"), sent.value)
+                if not sent.value.langs:
+                    continue
+                raw, best = data.tobytes(), post.argmax(axis=1) if len(s) else np.zeros(0, np.int64)
+                number = np.arange(len(s)) - row_bounds(rows, part.num_rows)[rows]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(rows)), pa.array(number, pa.int32()), pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(s.tolist(), e.tolist())], pa.string()), pa.array([sent.value.langs[i] for i in best.tolist()], pa.string()), pa.array(post[np.arange(len(s)), best].astype(np.float64))],
+                    ["doc_id", "word_no", "word", "lang", "score"],
+                )
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "doc_id long, word_no int, word string, lang string, score double")
+
+
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 

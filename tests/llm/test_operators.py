@@ -804,6 +804,22 @@ def test_language(spark, docs, empty):
     assert language.identify(empty).count() == 0 and language.identify(docs).count() == docs.count()
 
 
+def test_words_of_code_switched_text(spark):
+    """Sentences that change from English to German and French; each word is labelled."""
+    known = {
+        "en": "the ship came into the harbour and the captain spoke with the men who were working there . we have not seen such a storm for many years . she said that nothing would change before the winter . they would have been there with their friends in the morning".split(" . "),
+        "de": "das schiff kam in den hafen und der kapitän sprach mit den männern die dort arbeiteten . wir haben seit vielen jahren keinen solchen sturm gesehen . sie sagte dass sich vor dem winter nichts ändern würde . am morgen wären sie mit ihren freunden dort gewesen".split(" . "),
+        "fr": "le navire est entré dans le port et le capitaine a parlé avec les hommes qui travaillaient là . nous n'avons pas vu une telle tempête depuis des années . elle disait que rien ne changerait avant l'hiver . ils auraient été là avec leurs amis dans la matinée".split(" . "),
+    }
+    model = language.train([t for ts in known.values() for t in ts], [k for k, ts in known.items() for _ in ts])
+    text = "We have seen the captain with the men und dann sprach der kapitän mit den männern im hafen puis le navire est entré dans le port avec les hommes."
+    d = spark.createDataFrame([(1, text), (2, None), (3, "12 …")], "doc_id long, text string")
+    got = [r.lang for r in language.word_languages(d, model).orderBy("doc_id", "word_no").collect() if r.doc_id == 1]
+    want = ["en"] * 8 + ["de"] * 10 + ["fr"] * 11
+    assert len(got) == len(want) and sum(a == b for a, b in zip(got, want)) >= 24
+    assert language.word_languages(d, model).where("doc_id = 2").count() == 0
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     e, t, s = np.exp(rng.normal(size=(4, 2))), rng.normal(size=(2, 2)), rng.normal(size=2)
