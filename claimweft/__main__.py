@@ -24,7 +24,7 @@ COMMANDS = {
     "ingest-chat": (("file",), lambda st, a: pipeline.ingest_chat(st, a.file)), "ingest-pdf": (("file",), lambda st, a: pipeline.ingest_pdf(st, a.file)), "ingest-audio-transcript": (("file",), lambda st, a: pipeline.ingest_audio_transcript(st, a.file)),
     "ingest-images": (("file",), lambda st, a: pipeline.ingest_images(st, a.file)), "ingest-image-ocr": (("file",), lambda st, a: pipeline.ingest_image_ocr(st, a.file)), "normalize-audio": (("file", "folder"), lambda st, a: [r.asDict() for r in pipeline.ingest.normalization_plans(pipeline.ingest.register_files(st.spark, a.file, "audio"), a.folder).collect()]),
     "propose-image-regions": ((), lambda st, a: pipeline.propose_image_regions(st)), "build-image-evidence": ((), lambda st, a: pipeline.build_evidence(st, "image")), "build-image-cluster-evidence": ((), lambda st, a: pipeline.build_cluster_evidence(st)),
-    "embed-image-regions": (("file",), lambda st, a: pipeline.embed(st, st.spark.read.parquet(a.file))), "classify-image-regions": ((), lambda st, a: pipeline.classify_image_regions(st)), "cluster-image-regions": ((), lambda st, a: pipeline.cluster_image_regions(st, a.threshold, source_id=a.source_id)),
+    "embed-image-regions": ((), lambda st, a: pipeline.embed(st, st.spark.read.parquet(a.table)) if a.table else pipeline.embed_image_regions(st)), "classify-image-regions": ((), lambda st, a: pipeline.classify_image_regions(st)), "cluster-image-regions": ((), lambda st, a: pipeline.cluster_image_regions(st, a.threshold, source_id=a.source_id)),
     "chunk-image-ocr": ((), lambda st, a: pipeline.chunk(st, "image")), "detect-image-ocr-spans": ((), lambda st, a: pipeline.detect_spans(st, "image")),
     "build-evidence": ((), lambda st, a: pipeline.build_evidence(st, a.modality or "all")), "chunk": ((), lambda st, a: pipeline.chunk(st, a.modality or "all")), "detect-spans": ((), lambda st, a: pipeline.detect_spans(st, a.modality or "all")),
     "extract-claims": ((), lambda st, a: pipeline.extract_claims(st, a.modality or "all", a.source_id)), "validate-claims": ((), lambda st, a: pipeline.validate_claims(st, a.source_id, tuple(a.claim_id or ()))), "import-raw-claims": (("file",), lambda st, a: pipeline.import_raw_claims(st, a.file)), "normalize-claims": ((), lambda st, a: pipeline.normalize_claims(st)),

@@ -230,3 +230,42 @@ def test_audio_plans_are_not_made_twice(spark):
     assert sorted((r.normalized_file, r.status) for r in merged) == [("/out/a_16khz_mono.wav", "created"), ("/out/a_44100hz_stereo.wav", "planned")]
     with pytest.raises(ValueError):
         ingest.normalization_plans(files, "/out", 0)
+
+
+def test_pixels_of_png(spark, tmp_path):
+    import struct
+    import zlib
+
+    import numpy as np
+
+    from claimweft.operators import pixels
+
+    r = np.random.default_rng(2)
+    image = r.integers(0, 256, (37, 53, 3)).astype(np.uint8)
+    assert (pixels.read_png(pixels.write_png(image)) == image).all() and pixels.read_png(b"GIF89a") is None and pixels.read_png(b"") is None
+    # every filter, written row by row
+    raw, above = b"", np.zeros(53 * 3, int)
+    for y in range(37):
+        line, kind = image[y].reshape(-1).astype(int), y % 5
+        left, corner = np.concatenate([np.zeros(3, int), line[:-3]]), np.concatenate([np.zeros(3, int), above[:-3]])
+        guess = left + above - corner
+        paeth = np.where((abs(guess - left) <= abs(guess - above)) & (abs(guess - left) <= abs(guess - corner)), left, np.where(abs(guess - above) <= abs(guess - corner), above, corner))
+        raw += bytes([kind]) + ((line - [0 * line, left, above, (left + above) // 2, paeth][kind]) % 256).astype(np.uint8).tobytes()
+        above = line
+    part = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
+    data = b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", 53, 37, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(raw)) + part(b"IEND", b"")
+    assert (pixels.read_png(data) == image).all()
+    plain = np.full((30, 40, 3), (200, 20, 20), np.uint8)
+    assert pixels.color_vector(plain) == [0.784314, 0.078431, 0.078431, 0.0, 0.0, 0.0]
+    big = image[:32, :48].astype(float).reshape(16, 2, 16, 3, 3).mean(axis=(1, 3)).reshape(-1, 3) / 255
+    assert np.allclose(pixels.color_vector(image[:32, :48]), [*big.mean(axis=0), *big.std(axis=0)], atol=1e-6)
+    (tmp_path / "a.png").write_bytes(pixels.write_png(plain))
+    (tmp_path / "b.png").write_bytes(b"no image")
+    images = spark.createDataFrame([("i", f"file:{tmp_path}/a.png"), ("j", f"file:{tmp_path}/b.png")], "image_id string, source_file string")
+    regions = spark.createDataFrame([("r", "i", "s", [0, 0, 16, 16], []), ("t", "i", "s", [24, 14, 16, 16], ["edge_patch"]), ("u", "j", "s", [0, 0, 1, 1], [])], "region_id string, image_id string, source_id string, bbox array<int>, risk_flags array<string>")
+    got = {x.region_id: x for x in pixels.embeddings(regions, images).collect()}
+    assert sorted(got) == ["r", "t"] and got["t"].risk_flags == ["edge_patch"] and got["r"].vector[:1] == [0.784314]
+    assert {x.region_id: pixels.read_png(bytes(x.crop)).shape for x in pixels.crops(regions, images).collect()} == {"r": (16, 16, 3), "t": (16, 16, 3)}
+    e = evidence.of_regions(regions.selectExpr("*", "null AS crop_path", "null AS mask_path", "'g' AS proposal_method", "null AS proposal_score"))
+    labels = extraction.color_claims(pixels.embeddings(regions, images), e, pixels.MODEL).collect()
+    assert {c.object for c in labels} == {"red"} and labels[0].claim_type == "named_visual_classification"
