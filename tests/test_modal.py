@@ -269,3 +269,31 @@ def test_pixels_of_png(spark, tmp_path):
     e = evidence.of_regions(regions.selectExpr("*", "null AS crop_path", "null AS mask_path", "'g' AS proposal_method", "null AS proposal_score"))
     labels = extraction.color_claims(pixels.embeddings(regions, images), e, pixels.MODEL).collect()
     assert {c.object for c in labels} == {"red"} and labels[0].claim_type == "named_visual_classification"
+
+
+def test_long_exports_come_in_parts(spark):
+    """A part counts on from the one before, keeps the file's defaults, and no item's row holds the document."""
+    whole = [("s", json.dumps({"conversation_id": "c", "metadata": {"k": "v"}, "messages": [{"sender": "a", "text": f"t{i}"} for i in range(5)]}))]
+    parts = [("s", first, json.dumps({"conversation_id": "c", "metadata": {"k": "v"}, "messages": [{"sender": "a", "text": f"t{i}"} for i in range(first, last)]})) for first, last in ((3, 5), (0, 3))]
+    names = ["message_id", "message_index", "conversation_id", "text", "metadata"]
+    one = ingest.chat_messages(spark.createDataFrame(whole, "source_id string, payload string")).select(*names).collect()
+    several = ingest.chat_messages(spark.createDataFrame(parts, "source_id string, first_index int, payload string")).select(*names).collect()
+    assert len(one) == 5 and sorted(map(str, one)) == sorted(map(str, several))
+    assert "head" not in ingest.items(spark.createDataFrame(whole, "source_id string, payload string"), ("messages",)).columns
+
+
+def test_made_exports_are_bounded(spark, tmp_path):
+    """However long a source is, none of its rows holds more than 1,000 messages or 50 utterances; indexes run on over parts."""
+    from claimweft.sources import exports
+
+    d = str(tmp_path)
+    spark.range(2600).select((F.col("id") % 2 * 7007).alias("conv_id"), F.floor(F.col("id") / 2).cast("int").alias("turn"), F.lit("user").alias("role"), F.lit("hi").alias("text")).write.parquet(f"{d}/conversations.parquet")
+    spark.range(3000).select(F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("view").alias("event_type")).write.parquet(f"{d}/events.parquet")
+    chat, audio = exports.chat_exports(spark, d), exports.transcripts(spark, d)
+    assert chat.select(F.max(F.regexp_count("payload", F.lit('"text"|"content"|"body"|"message":')))).first()[0] <= 1000
+    assert audio.select(F.max(F.regexp_count("payload", F.lit('"text"|"transcript"')))).first()[0] <= 50
+    m = ingest.chat_messages(chat).where("message_id LIKE '%:%'").select("message_index", "message_id").collect()
+    assert m and all(r.message_index == int(r.message_id.split(":")[1]) + (1300 if r.message_id.startswith("7007:") else 0) for r in m)
+    u = ingest.utterances(audio).where("utterance_id RLIKE '^utt_[0-9]{1,4}$'").select("utterance_index", "utterance_id").collect()
+    number = {e: i for g in range(10) for i, e in enumerate(e for e in range(3000) if e // 50 % 10 == g)}
+    assert u and all(r.utterance_index == number[int(r.utterance_id[4:])] for r in u)
