@@ -18,6 +18,12 @@ NOT_ENTITIES = ("I", "The", "A", "An", "This", "That", "It", "They", "He", "She"
 EMAIL = "(?:(?<![\\p{L}\\p{N}_])(?=[A-Za-z0-9_])|(?<=[\\p{L}\\p{N}_])(?=[.%+-]))[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}(?![\\p{L}\\p{N}_])"
 PHONE = "(?<!\\d)(?:\\+?1[\\s.-]?)?(?:\\(?\\d{3}\\)?[\\s.-]?)\\d{3}[\\s.-]?\\d{4}(?!\\d)"
 SSN = "\\b\\d{3}-\\d{2}-\\d{4}\\b"
+# The same as pii_redact's SQL has them: words and blanks are ASCII, a phone number takes the characters around it.
+_EDGE = "(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))"
+_GAP = "[\\t\\n\\f\\r .-]?"
+SQL_EMAIL = f"{_EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}{_EDGE}"
+SQL_PHONE = f"(\\A|[^0-9])(?:\\+?1{_GAP})?(?:\\(?[0-9]{{3}}\\)?{_GAP})[0-9]{{3}}{_GAP}[0-9]{{4}}(\\z|[^0-9])"
+SQL_SSN = f"{_EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_EDGE}"
 
 VALUE = f"(?:[0-9]+(?:\\.[0-9]+)?|{NUMBER_WORDS})"
 QUANTITY = (

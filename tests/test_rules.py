@@ -70,3 +70,24 @@ def test_appends_are_idempotent(spark, tmp_path):
     rows.union(spark.createDataFrame([(3, "c")], rows.schema)).write.json(source)
     append_stream(spark.readStream.schema(rows.schema).json(source), path, "id", str(tmp_path / "cp")).awaitTermination()
     assert read_jsonl(spark, path, rows.schema).count() == 3
+
+
+def test_redaction_of_odd_texts_is_that_of_the_sql(spark, tmp_path):
+    """Numbers parted by one character, words beyond ASCII at an edge, every kind of blank: pii_redact gives its SQL's rows."""
+    import duckdb
+
+    from claimweft.plans import registry
+    from conftest import SMALL
+
+    phones = ["415-555-0187 415-555-0188", "+1 (415) 555-0187,4155550188;415.555.0189", "14155550187", "1234155550187", "415\x0b555\x0b0187", "(415)\t555\n0187\n", "٤415-555-0187", "415-555-0187\n"]
+    words = ["éjo@example.org", "jo@example.orgé", ".jo@example.org", "a@b.co,c@d.org", "jo@example.org_", "é123-45-6789", "123-45-6789é", "x123-45-6789", "123-45-6789 123-45-6780", "", None]
+    d, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(i, t) for i, t in enumerate(phones + words)], "doc_id long, text string").coalesce(1).write.parquet(f"{d}/documents.parquet")
+    spark.read.parquet(f"{SMALL}/conversations.parquet").coalesce(1).write.parquet(f"{d}/conversations.parquet")
+    registry.queries()["pii_redact"](spark, d).write.parquet(out)
+    c = duckdb.connect()
+    for t in ("documents", "conversations"):
+        c.execute(f"create view {t} as select * from '{d}/{t}.parquet/*.parquet'")
+    c.execute(f"create table want as {registry.oracle_sql()['pii_redact']}")
+    assert not c.execute(f"select * from want except all select record_id, digest from '{out}/*.parquet'").fetchall()
+    assert one(spark, records.redact(F.col("v")), v=phones[0]) == "[PHONE] [PHONE]"
