@@ -297,3 +297,31 @@ def test_made_exports_are_bounded(spark, tmp_path):
     u = ingest.utterances(audio).where("utterance_id RLIKE '^utt_[0-9]{1,4}$'").select("utterance_index", "utterance_id").collect()
     number = {e: i for g in range(10) for i, e in enumerate(e for e in range(3000) if e // 50 % 10 == g)}
     assert u and all(r.utterance_index == number[int(r.utterance_id[4:])] for r in u)
+
+
+def test_blocks_of_vectors_meet_once(spark, monkeypatch):
+    """Many small blocks, made of rows in any order, give each pair once, and clusters the scores that all pairs give."""
+    import itertools
+    import math
+    import random
+    import tempfile
+
+    monkeypatch.setattr(clusters, "BLOCK", 16)
+    r = random.Random(5)
+    for n in (1, 20, 130, 150):
+        v = [(i, [r.gauss(0, 1) + 3 * (i % 4) for _ in range(3)]) for i in range(n - n // 10)]
+        v += [(1000 + i, v[0][1]) for i in range(n // 10)]
+        d = spark.createDataFrame(v, "vec_id long, embedding array<double>").repartition(7)
+        near = {(a, b): math.dist(x, y) for (a, x), (b, y) in itertools.combinations(v, 2)}
+        got = [(x.a, x.b, round(x.distance, 9)) for x in clusters.close_pairs(d, 1.1).collect()]
+        assert sorted(got) == sorted((min(p), max(p), round(m, 9)) for p, m in near.items() if m <= 1.1)
+    e = d.select(F.concat(F.lit("r"), F.lpad(F.col("vec_id").cast("string"), 6, "0")).alias("region_id"), F.lit("s").alias("source_id"), F.lit("m").alias("embedding_model"), F.col("embedding").alias("vector"), F.lit(None).cast("array<string>").alias("risk_flags"))
+    rows = clusters.feature_clusters(e, 1.1, 2, "m", "k", "file://" + tempfile.mkdtemp()).collect()
+    assert len(rows) > 1
+    at = {f"r{i:06d}": x for i, x in v}
+    for row in rows:
+        own = set(row.member_region_ids)
+        inside = [math.dist(at[a], at[b]) for a, b in itertools.combinations(sorted(own), 2)]
+        outside = min(math.dist(at[a], x) for a in own for b, x in at.items() if b not in own)
+        held = lambda x: max(0.0, min(1.0, x))
+        assert abs(row.cohesion_score - held(1 - sum(inside) / len(inside))) < 2e-6 and abs(row.nearest_neighbor_margin - held(outside - max(inside))) < 2e-6
