@@ -325,3 +325,14 @@ def test_blocks_of_vectors_meet_once(spark, monkeypatch):
         outside = min(math.dist(at[a], x) for a in own for b, x in at.items() if b not in own)
         held = lambda x: max(0.0, min(1.0, x))
         assert abs(row.cohesion_score - held(1 - sum(inside) / len(inside))) < 2e-6 and abs(row.nearest_neighbor_margin - held(outside - max(inside))) < 2e-6
+
+
+def test_stages_keep_texts_once(spark):
+    """No stage stores what is a projection of another, nor texts that nothing reads, and its writes leave no setting behind."""
+    from claimweft.plans import flow
+
+    d = "/root/testdata/sf0.001"
+    flow.validated(spark, d)
+    stored = {name for _, at, name in flow._WRITTEN if at == d}
+    assert "clean_claims" in stored and not stored & {"claims", "text_evidence"}
+    assert "original_text" not in flow.blocks(spark, d).columns and spark.conf.get(flow.SHUFFLE_CLEANUP, None) is None
