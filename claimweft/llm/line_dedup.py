@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimweft.frames import shuffles_removed
 from claimweft.llm.common import INNER, table, written
 
 WINDOW = 3
@@ -84,7 +85,8 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, leasts: tuple[int,
     every = lambda df: df.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left").withColumn("deal", F.explode(F.sequence(F.lit(0), F.when(F.col("hot_key").isNotNull(), DEALS - 1).otherwise(0)))).drop("hot_key")
     firsts = every(repeated).select(F.col("key").alias("k"), F.col("deal").alias("k_deal"), "first")
     salted = dealt(keyed, F.pmod(F.xxhash64("d", "h"), F.lit(DEALS)).cast("int"))
-    held = written(salted.join(firsts, (F.col("key") == F.col("k")) & (F.col("deal") == F.col("k_deal"))).select("key", "deal", "d", "h", "at", "chunk", (place == F.col("first")).alias("kept")), "chunks")
+    with shuffles_removed(docs.sparkSession):  # the texts of all chunks were shuffled for it, and those of documents are next
+        held = written(salted.join(firsts, (F.col("key") == F.col("k")) & (F.col("deal") == F.col("k_deal"))).select("key", "deal", "d", "h", "at", "chunk", (place == F.col("first")).alias("kept")), "chunks")
     kept = every(held.where("kept").groupBy("key").agg(F.min("chunk").alias("bytes"))).select(F.col("key").alias("k"), F.col("deal").alias("k_deal"), "bytes")
     gone = held.where(~F.col("kept")).join(kept, (F.col("key") == F.col("k")) & (F.col("deal") == F.col("k_deal")) & (F.col("chunk") == F.col("bytes"))).groupBy("d", "h").agg(F.array_distinct(F.collect_list("at")).alias("gone"))
     full = docs.join(

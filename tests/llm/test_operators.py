@@ -155,6 +155,20 @@ def test_chunks_equal_a_slow_chunking(spark):
         assert all(c["text"] == "\n".join(lines[c["at"] : c["at"] + c["n"]]) for c in x["__cw_chunks"])
 
 
+def test_line_dedup_leaves_no_shuffle_of_chunk_texts(spark, docs, monkeypatch):
+    from claimweft.frames import SHUFFLE_CLEANUP
+
+    seen = {}
+
+    def noted(df, name, write=line_dedup.written):
+        seen[name] = df.sparkSession.conf.get(SHUFFLE_CLEANUP, None)
+        return write(df, name)
+
+    monkeypatch.setattr(line_dedup, "written", noted)
+    line_dedup.dedup_lines(docs.select("doc_id", "text"))
+    assert seen["chunks"] == "true" and spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
 def test_boundaries_depend_on_the_order_of_lines(spark):
     r = random.Random(15)
     a = [prose(r, 3) for _ in range(300)]
