@@ -1,6 +1,7 @@
 """The modal paths on hand-made rows: fallbacks, constraints, every rule of the validator, governance, reviews, clusters."""
 
 import json
+import os
 import re
 
 import pytest
@@ -336,3 +337,44 @@ def test_stages_keep_texts_once(spark):
     stored = {name for _, at, name in flow._WRITTEN if at == d}
     assert "clean_claims" in stored and not stored & {"claims", "text_evidence"}
     assert "original_text" not in flow.blocks(spark, d).columns and spark.conf.get(flow.SHUFFLE_CLEANUP, None) is None
+
+
+def test_evidence_stores_no_blocks(spark, tmp_path):
+    from claimweft.plans import flow
+
+    d = str(tmp_path / "sf")
+    os.symlink("/root/testdata/sf0.001", d)
+    flow.clean_evidence(spark, d)
+    assert {name for _, at, name in flow._WRITTEN if at == d} == {"messages", "utterances", "regions", "ocr_texts", "clean_evidence"}
+
+
+def test_pdf_chunks_shuffle_texts_once(spark):
+    block = lambda i, section, n: ("e%02d" % i, "s%d" % (i // 20), "pdf", "text_span", "x" * n, tuple({"page": 1, "block_no": i, "block_id": f"b{i}", "section_path": section}.get(k) for k in evidence.PROVENANCE), [])
+    e = spark.createDataFrame([block(i, ["A" if i % 20 < 9 else "B"], 7 * i % 23) for i in range(40)], f"evidence_id string, source_id string, source_modality string, evidence_type string, text string, provenance {PROVENANCE}, risk_flags array<string>")
+    before, key = None, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    try:
+        for most in ("1", "3", "1000"):  # chunks that pass from batch to batch
+            spark.conf.set(key, most)
+            got = sorted(tuple(map(str, r)) for r in chunks.of_pdf(e, target_tokens=10).collect())
+            assert before in (None, got) and sum(len(eval(r[4])) for r in got) == 40
+            before = got
+    finally:
+        spark.conf.set(key, old)
+    assert chunks.of_pdf(e)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_sentences_hold_no_whole_text(spark):
+    d = spark.createDataFrame([(1, "It may. No\nTwo ropes are cut. ")], "i int, text string")
+    assert extraction.segments(d, ["i"]).columns == ["i", "segment", "char_start", "char_end"]
+
+
+def test_ids_and_blank_ends(spark):
+    from claimweft.functions.ids import json_string
+
+    texts = ["", "plain", " a ", "\u00a0b\u2003", "\u001cc\n", "d \u0085", 'q"\\\n\t\b\f\r\u0001', "Größe und 😀 emoji", "é" * 3 + " run " + "ü", "\x7f", "a-\nb -\n c\nd\n\ne  f\tg"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for r in d.select("text", json_string(F.col("text")).alias("j"), T.strip(F.col("text")).alias("s"), T.clean_block(F.col("text")).alias("c")).collect():
+        assert r.j == json.dumps(r.text) and r.s == r.text.strip()
+        step = re.sub(r"(?<!\n)\n(?!\n)", " ", re.sub(r"(?<=\w)-\n(?=\w)", "", r.text.strip()))
+        assert r.c == re.sub(r"[ \t]+", " ", step).strip()
