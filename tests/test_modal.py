@@ -378,3 +378,32 @@ def test_ids_and_blank_ends(spark):
         assert r.j == json.dumps(r.text) and r.s == r.text.strip()
         step = re.sub(r"(?<!\n)\n(?!\n)", " ", re.sub(r"(?<=\w)-\n(?=\w)", "", r.text.strip()))
         assert r.c == re.sub(r"[ \t]+", " ", step).strip()
+
+
+@pytest.mark.parametrize("name, stored", [
+    ("pdf_chunk_packing", set()), ("pii_redactions_all", {"messages", "utterances", "regions", "ocr_texts", "evidence_texts"}),
+    ("graph_edges_all", {"messages", "utterances", "regions", "ocr_texts", "clean_evidence", "all_chunks", "all_spans", "clean_claims"})])
+def test_queries_store_what_is_read_again(spark, tmp_path, name, stored):
+    """A query's stage tables are those that it reads several times."""
+    from claimweft.plans import catalog, flow
+
+    d = str(tmp_path / "sf")
+    os.symlink("/root/testdata/sf0.001", d)
+    assert catalog.queries()[name](spark, d).count()
+    assert {x for _, at, x in flow._WRITTEN if at == d} == stored
+
+
+def test_claims_name_their_context(spark):
+    """No stored claim holds a chunk's text, and the text takes the place of the id where it is read."""
+    from claimweft.plans import flow, run
+
+    d = "/root/testdata/sf0.001"
+    texts = {r.chunk_id: r.text for r in flow.all_chunks(spark, d).collect()}
+    for table in (flow.clean_claims, flow.validated):
+        used = [r.context_used for r in table(spark, d).select("context_used").collect()]
+        assert any(used) and {x for x in used if x} <= set(texts)
+    of = {r.claim_id: r.context_used for r in flow.claims(spark, d).collect()}
+    whole = run.run_tables(spark, d)["claims_raw"].collect()
+    assert len(whole) == len(of) and all(r.context_used == texts.get(of[r.claim_id]) for r in whole)
+    held = run.quarantine(spark, d).select("claim_id", F.get_json_object("payload", "$.context_used").alias("c")).collect()
+    assert any(r.c for r in held) and all(r.c == texts.get(of[r.claim_id]) for r in held)
