@@ -393,6 +393,26 @@ def test_queries_store_what_is_read_again(spark, tmp_path, name, stored):
     assert {x for _, at, x in flow._WRITTEN if at == d} == stored
 
 
+@pytest.mark.parametrize("name, own", [("privacy_decisions", {"sources"})])
+def test_queries_of_few_columns_store_no_claims(spark, tmp_path, name, own):
+    """Queries that read ids and quotations of claims store neither chunks nor claims, and have the rows of their SQL."""
+    import duckdb
+
+    from claimweft.plans import catalog, flow
+    from test_oracle import TABLES
+
+    d = str(tmp_path / "sf")
+    os.symlink("/root/testdata/sf0.001", d)
+    catalog.queries()[name](spark, d).write.parquet(str(tmp_path / "out"))
+    assert {x for _, at, x in flow._WRITTEN if at == d} == {"messages", "utterances", "regions", "ocr_texts", "clean_evidence"} | own
+    duck = duckdb.connect()
+    for t in TABLES:
+        duck.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
+    duck.execute(f"create table want as {catalog.oracle_sql()[name]}")
+    duck.execute(f"create table got as select {', '.join(r[0] for r in duck.execute('describe want').fetchall())} from '{tmp_path}/out/*.parquet'")
+    assert not duck.execute("(from want except all from got) union all (from got except all from want)").fetchall()
+
+
 def test_claims_name_their_context(spark):
     """No stored claim holds a chunk's text, and the text takes the place of the id where it is read."""
     from claimweft.plans import flow, run
