@@ -393,7 +393,7 @@ def test_queries_store_what_is_read_again(spark, tmp_path, name, stored):
     assert {x for _, at, x in flow._WRITTEN if at == d} == stored
 
 
-@pytest.mark.parametrize("name, own", [("privacy_decisions", {"sources"}), ("review_records", {"review_claims"})])
+@pytest.mark.parametrize("name, own", [("privacy_decisions", {"sources"}), ("review_records", {"review_claims"}), ("repairs_all", {"member_spans", "misquoted"})])
 def test_queries_of_few_columns_store_no_claims(spark, tmp_path, name, own):
     """Queries that read ids and quotations of claims store neither chunks nor claims, and have the rows of their SQL."""
     import duckdb
