@@ -4,6 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from claimweft.functions import text as T
+from claimweft.operators import propositions
 from claimweft.sources import exports
 
 
@@ -14,3 +15,9 @@ def test_upper_case_of_quotes_is_that_of_the_sql(spark):
     assert not [(hex(i), t, u, want[t]) for i, (t, u) in got.items() if u != want[t]]
     faulty = exports.with_claim_faults(spark.createDataFrame([("claim_0", "Die Straße ist nicht naß.")], "claim_id string, evidence_text string"))
     assert faulty.first().evidence_text == "DIE STRAẞE IST NICHT NAẞ."
+
+
+def test_groups_name_all_their_sources(spark):
+    own = "'n' || id AS normalized_claim_id, 'c' || id AS claim_id, 's' || (id % 1500) AS source_id, 'e' || id AS evidence_id, 'a' AS subject, 'p' AS predicate, 'o' AS object, 'm' AS modality, 't' AS truth_status, 0.5D AS confidence"
+    (group,) = propositions.duplicate_groups(spark.range(3000).selectExpr(*own.split(", "))).collect()
+    assert group.source_ids == sorted(f"s{i}" for i in range(1500)) and (group.member_count, group.source_count) == (3000, 1500)
