@@ -4,7 +4,8 @@ import duckdb
 from pyspark.sql import functions as F
 
 from claimweft.functions import text as T
-from claimweft.operators import propositions
+from claimweft.operators import governance, propositions
+from claimweft.plans import run
 from claimweft.sources import exports
 
 
@@ -21,3 +22,25 @@ def test_groups_name_all_their_sources(spark):
     own = "'n' || id AS normalized_claim_id, 'c' || id AS claim_id, 's' || (id % 1500) AS source_id, 'e' || id AS evidence_id, 'a' AS subject, 'p' AS predicate, 'o' AS object, 'm' AS modality, 't' AS truth_status, 0.5D AS confidence"
     (group,) = propositions.duplicate_groups(spark.range(3000).selectExpr(*own.split(", "))).collect()
     assert group.source_ids == sorted(f"s{i}" for i in range(1500)) and (group.member_count, group.source_count) == (3000, 1500)
+
+
+def test_personal_data_of_the_queries_is_that_of_their_sql(spark, monkeypatch):
+    texts = ["415-555-0142 415-555-0143", "call 415-555-0142\n415-555-0143,415-555-0144.", "für.jo@example.orgß x", "ßjo@example.org", "é123-45-6789é", "(415)\x0b555-0142", "+1 415 555 0142-1415.555.0142", "nothing"]
+    rows = [(f"ev_{i}", "s", t) for i, t in enumerate(texts)]
+    empty = spark.createDataFrame([], "message_id string, source_id string, text string")
+    monkeypatch.setattr(run, "contacts", lambda s, d: spark.createDataFrame(rows, "evidence_id string, source_id string, text string"))
+    monkeypatch.setattr(run.flow, "messages", lambda s, d: empty)
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE contacts AS SELECT 'ev_' || (i - 1) AS evidence_id, x AS text FROM (SELECT unnest(?) AS x, generate_subscripts(?, 1) AS i)", [texts, texts])
+    kinds = (("email", run._marks(run.EMAIL, False)), ("phone", run._marks(run.PHONE_SQL, True)), ("ssn", run._marks(run.SSN_SQL, False)))
+    found = " UNION ALL ".join(run._found(k, m, "evidence", "contacts", "evidence_id") for k, m in kinds)
+    want = duck.execute(f"SELECT record_id, pii_type, min(char_start), min(char_start) + length(match)::INT FROM ({found}) GROUP BY record_id, pii_type, match").fetchall()
+    got = run._pii(spark, "").select("record_id", "pii_type", "char_start", "char_end").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert len([x for x in want if x[0] == "ev_0"]) == 1
+    sql = run.oracle_sql()["pii_redactions_all"]
+    sql = sql[sql.rindex("FROM (SELECT evidence_id, ") :]
+    want = duck.execute(f"SELECT record_id, n::INT, digest {sql.replace('SELECT evidence_id,', 'SELECT evidence_id AS record_id,', 1)}").fetchall()
+    assert sorted(map(tuple, run._redacted(spark, "").select("record_id", "replacement_count", "digest").collect())) == sorted(want)
+    rules = governance.pii_findings(run.contacts(spark, ""), "evidence")
+    assert rules.where("record_id = 'ev_0'").count() == 2  # the operator's own rules find both
