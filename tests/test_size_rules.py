@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from claimweft.functions import text as T
 from claimweft.operators import governance, propositions
-from claimweft.plans import run
+from claimweft.plans import flow, run
 from claimweft.sources import exports
+from conftest import SMALL
 
 
 def test_upper_case_of_quotes_is_that_of_the_sql(spark):
@@ -44,3 +45,16 @@ def test_personal_data_of_the_queries_is_that_of_their_sql(spark, monkeypatch):
     assert sorted(map(tuple, run._redacted(spark, "").select("record_id", "replacement_count", "digest").collect())) == sorted(want)
     rules = governance.pii_findings(run.contacts(spark, ""), "evidence")
     assert rules.where("record_id = 'ev_0'").count() == 2  # the operator's own rules find both
+
+
+def test_ocr_texts_compile(spark):
+    """A stage over 64 KB a method is compiled in vain, on the driver too, and costs memory there."""
+    with_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = flow.ocr_texts.rows(spark, SMALL)._jdf.queryExecution().executedPlan()
+        stages = getattr(getattr(spark.sparkContext._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(plan)
+        sizes = [(len(stages.apply(i)._2()), stages.apply(i)._3().maxMethodCodeSize()) for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_aqe)
+    assert sizes and all(source < 500_000 and 0 < method < 65_536 for source, method in sizes)
